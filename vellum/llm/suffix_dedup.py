@@ -203,7 +203,9 @@ def repeated_spans(spark: SparkSession, docs: DataFrame, text_col: str = "text",
     found = rows.mapInArrow(emit, f"{K1} bigint, {K2} bigint, gram bigint, cover bigint, at bigint, low int, high int")
     found = save(spark, found, "anchors")
     grams = found.groupBy("gram").agg(F.count(F.lit(1)).alias("n"), F.min("cover").alias("c0"), F.max("cover").alias("c1")).where("n > 1")
-    again = save(spark, found.join(grams.select("gram", (F.col("c0") == F.col("c1")).alias("alike")), "gram"), "repeated")
+    # written first: a join straight from an aggregate keeps its partitions, and a gram that very many anchors share couldn't be split
+    grams = save(spark, grams.select("gram", (F.col("c0") == F.col("c1")).alias("alike")), "grams")
+    again = save(spark, found.join(grams, "gram"), "repeated")
     span = F.struct((F.col("at") - F.col("high")).alias("a"), (F.col("at") - F.col("low") + window).alias("b")).alias("span")
     alike = again.where("alike").select(K1, K2, span)
 
