@@ -156,7 +156,8 @@ def join(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", text_col:
     distinct = save(spark, distinct.withColumn("sid", F.xxhash64("sig")), "distinct")
 
     thin = distinct.select("sid", F.explode("keys").alias("key"))
-    meet = thin.groupBy("key").agg(F.min("sid").alias("a"), F.max("sid").alias("b")).where("a <> b").select("key")
+    # written first: a join straight from an aggregate keeps its partitions, and a key that very many sets share couldn't be split
+    meet = save(spark, thin.groupBy("key").agg(F.min("sid").alias("a"), F.max("sid").alias("b")).where("a <> b").select("key"), "keys")
     met = thin.join(meet, "key").join(distinct.select("sid", "n", "sketch"), "sid").select("key", "sid", "n", "sketch")
 
     def bucket(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -184,7 +185,8 @@ def join(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", text_col:
     some = some.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     some = some.withColumn("cell", F.xxhash64("root", F.least("side", "other"), F.greatest("side", "other"))).withColumn("own", (F.col("side") == F.col("other")))
     # in the cell of a block with itself every pair counts, in others only pairs across
-    some = some.join(rows.select(K1, K2, "text"), [K1, K2]).select("cell", "sig", "times", F.when(F.col("own"), F.lit(-1)).otherwise(F.col("side")).alias("side"), "text")
+    # merged at every size: the candidates grow with the input, and so does what this join moves
+    some = some.hint("merge").join(rows.select(K1, K2, "text"), [K1, K2]).select("cell", "sig", "times", F.when(F.col("own"), F.lit(-1)).otherwise(F.col("side")).alias("side"), "text")
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b, cut in grouped(batches, "cell"):
