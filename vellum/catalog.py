@@ -5,6 +5,370 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+from .functions import distance, text, titles
+from .operators import duplicates, match, tables
+from .plans import carriers
+from .plans.carriers import table
+
+Query = Callable[[SparkSession, str], DataFrame]
+QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
+
+
+def query(sql: str, on_carriers: bool = False) -> Callable[[Query], Query]:
+    def add(f: Query) -> Query:
+        QUERIES[f.__name__] = f
+        ORACLES[f.__name__] = (carriers.SQL + "SELECT * FROM (" + sql + ")") if on_carriers else sql
+        return f
+
+    return add
+
+
+def digest(rows: DataFrame, id_col: str, value) -> DataFrame:
+    return rows.select(id_col, F.md5(value.cast("binary")).alias("hash"), F.length(value).cast("bigint").alias("size"))
+
+
+def digest_sql(relation: str, id_col: str, value: str) -> str:
+    return f"SELECT {id_col}, md5(v) AS hash, length(v)::BIGINT AS size FROM (SELECT {id_col}, {value} AS v FROM {relation})"
+
+
+# -- normalisers and cleaning ------------------------------------------------------------------------------------------------------------------
+
+PLAIN_SQL = "replace(replace(replace(replace(regexp_replace({0}, '<[^>]*>?', '', 'g'), '&lt;', '<'), '&gt;', '>'), '&nbsp;', ' '), '&amp;', '&')"
+VIOLENT_SQL = r"lower(regexp_replace({0}, '[^\p{{L}}\p{{N}}]+', '', 'g'))"
+SPACES_SQL = r"regexp_replace({0}, '([\s\v])[\s\v]+', '\1', 'g')"
+
+
+@query(digest_sql("documents", "doc_id", "lower(regexp_replace(text, '[^A-Za-z0-9]+', ' ', 'g'))"))
+def norm_limp(spark, d):
+    return digest(table(spark, d, "documents"), "doc_id", text.limp(F.col("text")))
+
+
+@query(digest_sql("documents", "doc_id", VIOLENT_SQL.format("text")))
+def norm_violent(spark, d):
+    return digest(table(spark, d, "documents"), "doc_id", text.violent(F.col("text")))
+
+
+@query(digest_sql("documents", "doc_id", SPACES_SQL.format("text")))
+def norm_spaces(spark, d):
+    return digest(table(spark, d, "documents"), "doc_id", text.single_spaces(F.col("text")))
+
+
+@query(digest_sql("documents", "doc_id", "translate(text, 'aeiou.,''', '')"))
+def strip_chars(spark, d):
+    return digest(table(spark, d, "documents"), "doc_id", text.without(F.col("text"), "aeiou.,'"))
+
+
+@query(digest_sql("pages", "page_id", PLAIN_SQL.format("html")))
+def strip_tags(spark, d):
+    return digest(table(spark, d, "pages"), "page_id", text.plain(F.col("html")))
+
+
+@query(digest_sql("pages", "page_id", "regexp_replace(html, '<[^>]*>?', '', 'g')"))
+def strip_tags_only(spark, d):
+    return digest(table(spark, d, "pages"), "page_id", text.without_tags(F.col("html")))
+
+
+@query(digest_sql("pages", "page_id", VIOLENT_SQL.format(PLAIN_SQL.format("html"))))
+def norm_law_view(spark, d):
+    return digest(table(spark, d, "pages"), "page_id", text.law_text(F.col("html")))
+
+
+@query(digest_sql("documents", "doc_id", "list_aggregate(list_transform(string_split(text, ''), lambda c: CASE WHEN unicode(c) > 127 THEN '&#' || unicode(c) || ';' ELSE c END), 'string_agg', '')"))
+def ascii_charrefs(spark, d):
+    return digest(table(spark, d, "documents"), "doc_id", text.ascii_references(F.col("text")))
+
+
+@query(digest_sql("documents", "doc_id", "translate(replace(replace(text || chr(1) || chr(4) || chr(31) || chr(13) || chr(10) || chr(13), chr(13) || chr(10), chr(10)), chr(13), chr(10)), " + " || ".join(f"chr({ord(c)})" for c in text.DELETED_CONTROLS) + ", '')"))
+def control_chars(spark, d):
+    dirty = F.concat(F.col("text"), F.lit("\x01\x04\x1f\r\n\r"))
+    return digest(table(spark, d, "documents"), "doc_id", text.without_controls(text.unix_lines(dirty)))
+
+
+@query(digest_sql("documents", "doc_id", "CASE WHEN position('<' IN text) > 0 THEN substr(text, position('<' IN text)) END"))
+def first_tag(spark, d):
+    return digest(table(spark, d, "documents"), "doc_id", text.from_first_tag(F.col("text")))
+
+
+@query(r"SELECT page_id, CASE WHEN regexp_matches(html, '(?i)<title[^>]*>') THEN regexp_replace(translate(regexp_replace(regexp_extract(html, '(?is)<title[^>]*>([^<]*)', 1), '^\s+|\s+$', '', 'g'), chr(10), ' '), '  +', ' ', 'g') END AS title FROM pages")
+def page_title(spark, d):
+    return table(spark, d, "pages").select("page_id", titles.page_title(F.col("html")).alias("title"))
+
+
+@query(r"""SELECT page_id, regexp_extract(url, '^[a-z]+://([^/:?#]+)', 1) AS host, CASE WHEN contains(regexp_extract(url, '^[a-z]+://([^/:?#]+)', 1), 'example.com') THEN replace(regexp_extract(url, '^[a-z]+://([^/:?#]+)', 1), 'example.com', 'example.org') END AS redirect FROM pages""")
+def page_host(spark, d):
+    host = titles.host(F.col("url"))
+    return table(spark, d, "pages").select("page_id", host.alias("host"), titles.respelt_host(host, "example.com", "example.org").alias("redirect"))
+
+
+@query("""SELECT page_id, (unnest(list_transform(range(1, len(l) + 1), lambda i: struct_pack(pos := i, href := l[i])))).pos::INTEGER AS pos, (unnest(list_transform(range(1, len(l) + 1), lambda i: struct_pack(pos := i, href := l[i])))).href AS href
+FROM (SELECT page_id, regexp_extract_all(html, '<a href="([^"]*)"', 1) AS l FROM pages)""")
+def page_links(spark, d):
+    return table(spark, d, "pages").select("page_id", F.posexplode(titles.links(F.col("html"))).alias("pos", "href")).select("page_id", (F.col("pos") + 1).alias("pos"), "href")
+
+
+@query(r"""SELECT page_id, CASE WHEN regexp_matches(p, '\.[A-Za-z0-9]{2,4}$') THEN p ELSE p || CASE WHEN ends_with(p, '/') THEN '' ELSE '/' END || 'index.html' END AS path
+FROM (SELECT page_id, regexp_extract(url, '^[a-z]+://[^/?#]+([^?#]*)', 1) AS p FROM pages)""")
+def path_index(spark, d):
+    return table(spark, d, "pages").select("page_id", titles.index_path(F.regexp_extract("url", "^[a-z]+://[^/?#]+([^?#]*)", 1)).alias("path"))
+
+
+@query(digest_sql("documents", "doc_id", r"regexp_replace(regexp_replace('<p class=x> &nbsp;</p><P></P>' || replace(text, chr(10), '<blockquote> </blockquote>') || '<p>x</p>', '(?i)<p(?: [^>]*)?>(?:\s|&nbsp;)*</p>', '<br/>', 'g'), '(?i)<blockquote(?: [^>]*)?>(?:\s|&nbsp;)*</blockquote>', '<br/>', 'g')"))
+def empty_blocks(spark, d):
+    html = F.concat(F.lit("<p class=x> &nbsp;</p><P></P>"), F.replace(F.col("text"), F.lit("\n"), F.lit("<blockquote> </blockquote>")), F.lit("<p>x</p>"))
+    return digest(table(spark, d, "documents"), "doc_id", titles.breaks_for_empty_blocks(html))
+
+
+@query(digest_sql("(SELECT page_id, string_split(html, '<br>') AS l FROM pages)", "page_id", "CASE WHEN len(l) > 2 THEN list_aggregate(l[2:len(l) - 1], 'string_agg', '<br>') ELSE '' END"))
+def between_marks(spark, d):
+    return digest(table(spark, d, "pages"), "page_id", titles.between_marks(F.col("html"), "<br>"))
+
+
+# -- titles, dates, parties, codes ---------------------------------------------------------------------------------------------------------------
+
+
+@query(r"SELECT judgmentid, regexp_extract(title, '(\[\d{4}\].*)$', 1) AS cite FROM j", True)
+def title_year_cite(spark, d):
+    return carriers.judgments(spark, d).select("judgmentid", titles.year_part(F.col("title")).alias("cite"))
+
+
+@query("SELECT judgmentid, unnest(string_split(neutral || '; ' || second, '; ')) AS code FROM j", True)
+def cite_split(spark, d):
+    both = F.concat("neutral", F.lit("; "), "second")
+    return carriers.judgments(spark, d).select("judgmentid", F.explode(F.transform(F.split(both, ";"), text.stripped)).alias("code"))
+
+
+@query("SELECT judgmentid, translate(regexp_replace(c, '  +', ' ', 'g'), '.''', '') AS code FROM (SELECT judgmentid, replace(neutral, ' ', '  ') || ' Q.B.' AS c FROM j)", True)
+def cite_norm(spark, d):
+    return carriers.judgments(spark, d).select("judgmentid", text.weak_citation(F.concat(F.replace("neutral", F.lit(" "), F.lit("  ")), F.lit(" Q.B."))).alias("code"))
+
+
+@query(r"SELECT judgmentid, strptime(regexp_extract(title, '\((\d+ [A-Za-z]+ \d{4})\)$', 1), '%d %B %Y')::DATE AS date FROM j", True)
+def title_date(spark, d):
+    return carriers.judgments(spark, d).select("judgmentid", titles.title_date(F.col("title")).alias("date"))
+
+
+@query("""SELECT judgmentid, 1 AS position, trim(split_part(replace(split_part(title, '[', 1), ' v. ', ' v '), ' v ', 2)) AS name FROM j
+UNION ALL SELECT judgmentid, 2, trim(unnest(string_split(split_part(replace(split_part(title, '[', 1), ' v. ', ' v '), ' v ', 1), '&'))) FROM j""", True)
+def parties(spark, d):
+    return carriers.judgments(spark, d).select("judgmentid", F.explode(titles.party_list(F.col("title"))).alias("p")).select("judgmentid", "p.position", "p.name")
+
+
+@query("SELECT judgmentid, replace(replace(citationcode || '/x', ' ', '_'), '/', '__') AS file, 'disambiguation_' || replace(replace(citationcode, ' ', '_'), '/', '__') || '.html' AS page FROM codes", True)
+def code_filename(spark, d):
+    return carriers.codes(carriers.judgments(spark, d)).select("judgmentid", text.file_name(F.concat("citationcode", F.lit("/x"))).alias("file"), text.disambiguation_file(F.col("citationcode")).alias("page"))
+
+
+@query("""SELECT judgmentid, b || CASE WHEN n > 0 THEN '_' || n ELSE '' END || '.html' AS url FROM (SELECT judgmentid, b, row_number() OVER (PARTITION BY b ORDER BY judgmentid) - 1 AS n
+FROM (SELECT judgmentid, '/judgments/' || court || '/' || year(date) || '/' || replace(second, ' ', '_') AS b FROM j)) WHERE n <= 99""", True)
+def unique_url(spark, d):
+    base = F.concat(F.lit("/judgments/"), "court", F.lit("/"), F.year("date").cast("string"), F.lit("/"), text.file_name(F.col("second")))
+    return tables.unique_names(carriers.judgments(spark, d), base, "judgmentid")[0].select("judgmentid", "url")
+
+
+@query("""SELECT p_type, (m).w AS nearest, (m).d::INTEGER AS distance FROM (SELECT p_type, min(struct_pack(d := levenshtein(p_type, c_mktsegment), w := c_mktsegment)) AS m
+FROM (SELECT DISTINCT p_type FROM part), (SELECT DISTINCT c_mktsegment FROM customer) GROUP BY p_type)""")
+def nearest_name(spark, d):
+    return distance.nearest_of(table(spark, d, "part").select("p_type").distinct(), "p_type", table(spark, d, "customer"), "c_mktsegment").select("p_type", "nearest", "distance")
+
+
+@query("""SELECT judgmentid, (m).c::INTEGER AS cost, (m).w AS code FROM (SELECT judgmentid, min(struct_pack(c := cost, w := citationcode)) AS m FROM (SELECT p.judgmentid, p.citationcode, cost FROM p JOIN (SELECT a, b, dp[len(dp)] AS cost FROM step WHERE i = length(a)) USING (a, b)) GROUP BY judgmentid)""")
+def weighted_name(spark, d):
+    j = carriers.judgments(spark, d)
+    target = F.concat(F.lit("["), F.year("date").cast("string"), F.lit("] "), F.upper(F.substring("court", 1, 6)), F.lit(" "))
+    rows = j.select("judgmentid", target.alias("target"), F.explode(F.array("neutral", "second")).alias("code"))
+    rows = rows.withColumn("cost", distance.weighted_distance(F.col("target"), F.col("code"), 1, 2, 2))
+    return rows.groupBy("judgmentid").agg(F.min(F.struct("cost", "code")).alias("m")).select("judgmentid", "m.cost", "m.code")
+
+
+# insertion 1, deletion 2, substitution 2; each row of the table from the one above it
+ORACLES["weighted_name"] = carriers.SQL.replace("WITH j", "WITH RECURSIVE j") + """,
+p AS (SELECT judgmentid, '[' || year(date) || '] ' || upper(substr(court, 1, 6)) || ' ' AS a, unnest([neutral, second]) AS b, unnest([neutral, second]) AS citationcode FROM j),
+q AS (SELECT DISTINCT a, b FROM p),
+step AS (SELECT a, b, 0 AS i, list_transform(range(0, length(b) + 1), lambda k: k::INTEGER) AS dp FROM q
+    UNION ALL SELECT a, b, i + 1, list_transform(range(0, length(b) + 1), lambda k: list_min(t[1:k + 1]) + k::INTEGER) FROM (SELECT a, b, i, list_transform(range(0, length(b) + 1), lambda k:
+        (CASE WHEN k = 0 THEN dp[1] + 2 ELSE least(dp[k + 1] + 2, dp[k] + CASE WHEN b[k] = a[i + 1] THEN 0 ELSE 2 END) END) - k::INTEGER) AS t FROM step WHERE i < length(a)))
+""" + ORACLES["weighted_name"]
+
+
+# -- tables ------------------------------------------------------------------------------------------------------------------------------------------------
+
+
+@query("SELECT DISTINCT court, category FROM j", True)
+def dims_courts(spark, d):
+    return tables.dimension(carriers.judgments(spark, d), "court", "category", key="courtid").select("court", "category")
+
+
+@query("SELECT DISTINCT citationcode FROM codes", True)
+def dims_codes(spark, d):
+    return tables.dimension(carriers.codes(carriers.judgments(spark, d)), "citationcode", key="citationcodeid").select("citationcode")
+
+
+@query("SELECT o_orderkey AS judgmentid, n_name AS court, r_name AS category FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey")
+def judgment_court(spark, d):
+    return carriers.judgments(spark, d).select("judgmentid", "court", "category")
+
+
+@query("SELECT judgmentid, string_agg(citationcode, ', ' ORDER BY citationcode) AS codes FROM codes GROUP BY judgmentid", True)
+def codes_of_judgment(spark, d):
+    return tables.codes_of(carriers.codes(carriers.judgments(spark, d)))
+
+
+@query("SELECT citationcode, count(*) AS n, string_agg(judgmentid::VARCHAR, ',' ORDER BY judgmentid) AS ids, 'disambiguation_' || replace(citationcode, ' ', '_') || '.html' AS file FROM codes GROUP BY citationcode HAVING count(*) > 1", True)
+def ambiguous_codes(spark, d):
+    return tables.ambiguous(carriers.codes(carriers.judgments(spark, d)))
+
+
+@query("SELECT p_partkey, p_name FROM (SELECT *, row_number() OVER (PARTITION BY " + VIOLENT_SQL.format("p_name") + " ORDER BY p_partkey) AS n FROM part) WHERE n = 1")
+def first_by_key(spark, d):
+    return tables.first_by(table(spark, d, "part"), text.violent(F.col("p_name")), "p_partkey").select("p_partkey", "p_name")
+
+
+@query("SELECT doc_id, source FROM documents d WHERE NOT EXISTS (SELECT 1 FROM labels l WHERE l.doc_id = d.doc_id)")
+def no_metadata(spark, d):
+    return tables.without_match(table(spark, d, "documents").select("doc_id", "source"), table(spark, d, "labels").select("doc_id"), "doc_id")
+
+
+# -- references -----------------------------------------------------------------------------------------------------------------------------------------------
+
+
+def _refs(spark, d):
+    """References to the cited judgments' own codes."""
+    j = carriers.judgments(spark, d)
+    refs = carriers.references(spark, d).join(j.select(F.col("judgmentid").alias("citedid"), F.col("neutral").alias("citationcode")), "citedid").select("judgmentid", "citationcode")
+    return j, refs
+
+
+REFS = "(SELECT x.judgmentid, j.neutral AS citationcode FROM x JOIN j ON x.citedid = j.judgmentid)"
+NO_SELF = f"(SELECT r.judgmentid, r.citationcode FROM {REFS} r WHERE NOT EXISTS (SELECT 1 FROM codes c WHERE c.judgmentid = r.judgmentid AND c.citationcode = r.citationcode))"
+
+
+@query(f"SELECT count(*) AS n FROM {REFS}", True)
+def xref_raw_count(spark, d):
+    return _refs(spark, d)[1].agg(F.count(F.lit(1)).alias("n"))
+
+
+@query(f"SELECT judgmentid, citationcode FROM {NO_SELF}", True)
+def xref_noself(spark, d):
+    j, refs = _refs(spark, d)
+    return tables.without_self(refs, carriers.codes(j))
+
+
+@query(f"SELECT (SELECT count(*) FROM {REFS}) - (SELECT count(*) FROM {NO_SELF}) AS n", True)
+def xref_self_removed(spark, d):
+    j, refs = _refs(spark, d)
+    own = carriers.codes(j)
+    return refs.join(own, ["judgmentid", "citationcode"], "left_semi").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query(f"SELECT r.judgmentid, c.judgmentid AS target, t.date, t.title FROM {NO_SELF} r JOIN codes c USING (citationcode) JOIN j t ON t.judgmentid = c.judgmentid", True)
+def xref_out(spark, d):
+    j, refs = _refs(spark, d)
+    return tables.outgoing(tables.without_self(refs, carriers.codes(j)), carriers.codes(j), j)
+
+
+@query(f"SELECT c.judgmentid, r.judgmentid AS source, s.date, s.title FROM {NO_SELF} r JOIN codes c USING (citationcode) JOIN j s ON s.judgmentid = r.judgmentid", True)
+def xref_in(spark, d):
+    j, refs = _refs(spark, d)
+    return tables.incoming(tables.without_self(refs, carriers.codes(j)), carriers.codes(j), j)
+
+
+@query(f"SELECT c.judgmentid, count(*) AS n FROM {NO_SELF} r JOIN codes c USING (citationcode) GROUP BY c.judgmentid ORDER BY n DESC, c.judgmentid LIMIT 20", True)
+def most_cited(spark, d):
+    j, refs = _refs(spark, d)
+    cited = tables.without_self(refs, carriers.codes(j)).join(carriers.codes(j).withColumnRenamed("judgmentid", "target"), "citationcode")
+    return cited.groupBy(F.col("target").alias("judgmentid")).agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "judgmentid").limit(20)
+
+
+@query("SELECT court, strftime(min(date), '%B %Y') AS heading, year(date) || '-' || month(date) AS anchor, count(*) AS n, string_agg(title, '|' ORDER BY date DESC, judgmentid) AS titles FROM j GROUP BY court, year(date), month(date)", True)
+def court_index(spark, d):
+    m = tables.by_month(carriers.judgments(spark, d))
+    return m.select("court", "heading", "anchor", "n", F.array_join(F.transform("rows", lambda r: r["title"]), "|").alias("titles"))
+
+
+@query("SELECT r_name AS category, n_name AS court, '/judgments/' || n_name || '/' AS href, count(o_orderkey) AS n FROM nation JOIN region ON n_regionkey = r_regionkey LEFT JOIN customer ON c_nationkey = n_nationkey LEFT JOIN orders ON o_custkey = c_custkey GROUP BY ALL")
+def top_index(spark, d):
+    courts = table(spark, d, "nation").join(table(spark, d, "region"), F.col("n_regionkey") == F.col("r_regionkey")).select(F.col("r_name").alias("category"), F.col("n_name").alias("court"))
+    n = carriers.judgments(spark, d).groupBy("court").agg(F.count(F.lit(1)).alias("n"))
+    return courts.join(n, "court", "left").select("category", "court", F.concat(F.lit("/judgments/"), "court", F.lit("/")).alias("href"), F.coalesce("n", F.lit(0)).alias("n"))
+
+
+# -- search ------------------------------------------------------------------------------------------------------------------------------------------------------
+
+SEARCH_SQL = SPACES_SQL.format(PLAIN_SQL.format("translate({0}, '.''', '')"))
+
+
+@query(f"SELECT doc_id, item_id FROM (SELECT doc_id, {SEARCH_SQL.format('text')} AS t FROM documents) JOIN (SELECT item_id, {SEARCH_SQL.format('text')} AS k FROM benchmark) ON contains(t, k)")
+def dict_hits(spark, d):
+    docs = table(spark, d, "documents").select("doc_id", text.search_text(F.col("text")).alias("t"))
+    items = table(spark, d, "benchmark").select("item_id", text.search_text(F.col("text")).alias("k"))
+    return match.hits(docs, "doc_id", "t", items, "k", "item_id")
+
+
+@query(f"SELECT doc_id, item_id FROM (SELECT doc_id, {VIOLENT_SQL.format('text')} AS t FROM documents) JOIN (SELECT item_id, {VIOLENT_SQL.format('text')} AS k FROM benchmark) ON contains(t, k)")
+def dict_hits_norm(spark, d):
+    docs = table(spark, d, "documents").select("doc_id", text.violent(F.col("text")).alias("t"))
+    items = table(spark, d, "benchmark").select("item_id", text.violent(F.col("text")).alias("k"))
+    return match.hits(docs, "doc_id", "t", items, "k", "item_id")
+
+
+#: A few short words, and what they link to.
+WORDS = {"the": "/a", "then": "/b", "and": "/c", "tion": "/d", "que": "/e", "sch": "/f"}
+
+
+@query("""SELECT doc_id, md5(regexp_replace(text, '(then|tion|the|and|que|sch)', '<a href="/">\\1</a>', 'g')) AS hash, len(regexp_extract_all(text, 'then|tion|the|and|que|sch'))::INTEGER AS n FROM documents""")
+def dict_replace(spark, d):
+    linked = match.link(table(spark, d, "documents"), "doc_id", "text", dict.fromkeys(WORDS, "/"), None)
+    return linked.select("doc_id", F.md5(F.col("text").cast("binary")).alias("hash"), F.size("keys").alias("n"))
+
+
+@query("""SELECT doc_id, (p - 1)::BIGINT AS start, w AS word FROM (SELECT doc_id, text, w, unnest(range(1, length(text) + 1)) AS p FROM documents, (SELECT unnest(['then', 'tion', 'que', 'sch', 'chen', 'qu']) AS w) WHERE contains(text, w)) WHERE substr(text, p, length(w)) = w
+AND NOT (w = 'qu' AND substr(text, p, 3) = 'que')""")
+def dict_search(spark, d):
+    words = spark.createDataFrame([(w,) for w in ("then", "tion", "que", "sch", "chen", "qu")], "k string").withColumn("word", F.col("k"))
+    return match.search(table(spark, d, "documents"), "doc_id", "text", words, "k", "word").select("doc_id", "start", "word")
+
+
+@query(f"SELECT doc_id, item_id FROM (SELECT doc_id, item_id, unnest(range(1, length(t) - length(k) + 2)) AS p, t, k FROM (SELECT doc_id, {VIOLENT_SQL.format('text')} AS t FROM documents) JOIN (SELECT item_id, {VIOLENT_SQL.format('text')} AS k FROM benchmark) ON contains(t, k)) WHERE substr(t, p, length(k)) = k")
+def law_refs(spark, d):
+    docs = table(spark, d, "documents").select("doc_id", text.violent(F.col("text")).alias("t"))
+    items = table(spark, d, "benchmark").select("item_id", text.violent(F.col("text")).alias("k"))
+    return match.search(docs, "doc_id", "t", items, "k", "item_id").select("doc_id", "item_id")
+
+
+# -- duplicates and logs --------------------------------------------------------------------------------------------------------------------------------------------
+
+
+@query("SELECT md5(text) AS hash, count(*) OVER (PARTITION BY text) AS n, doc_id FROM documents QUALIFY n > 1")
+def exact_dups(spark, d):
+    return duplicates.groups(table(spark, d, "documents"), "doc_id", F.col("text"))
+
+
+@query("SELECT sum(n)::BIGINT AS n_files, count(*) AS n_distinct, count(*) FILTER (n > 1) AS n_groups FROM (SELECT count(*) AS n FROM documents GROUP BY text)")
+def dup_totals(spark, d):
+    return duplicates.totals(table(spark, d, "documents"), "doc_id", F.col("text"))
+
+
+@query("""WITH w AS (SELECT DISTINCT doc_id, md5(substr(text, i, 250)) AS h FROM (SELECT doc_id, text, unnest(range(1, greatest(length(text) - 249, 1) + 1)) AS i FROM documents)),
+s AS (SELECT * FROM w WHERE h[1:2] = '00' AND h[3] < '8')
+SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS n_shared FROM s a JOIN s b ON a.h = b.h AND a.doc_id < b.doc_id GROUP BY ALL""")
+def near_dups(spark, d):
+    return duplicates.near(table(spark, d, "documents"), "doc_id", F.col("text"))
+
+
+def _log_lines(spark, d):
+    e = table(spark, d, "events")
+    status = F.concat((F.lit(2) + F.col("event_id") % 4).cast("string"), F.lit("0"), (F.col("event_id") % 10).cast("string"))
+    agent = F.when(F.col("event_id") % 7 == 0, "Googlebot").when(F.col("event_id") % 11 == 0, "-").otherwise("browser")
+    referrer = F.when(F.col("event_id") % 11 == 0, "-").otherwise("/")
+    return e.select("event_id", F.concat(F.lit("GET /"), "event_type", F.lit(' HTTP/1.1" '), status, F.lit(' 12 "'), referrer, F.lit('" "'), agent, F.lit('"')).alias("line"))
+
+
+@query("""SELECT level, count(*) AS n FROM (SELECT CASE WHEN regexp_matches(line, 'HTTP/1.1" [45][0-9][0-9] ') AND NOT regexp_matches(line, 'Googlebot|bingbot|baidu|ahrefs|YandexBot') THEN 'warning' ELSE 'debug' END AS level
+FROM (SELECT 'GET /' || event_type || ' HTTP/1.1" ' || (2 + event_id % 4) || '0' || (event_id % 10) || ' 12 "' || CASE WHEN event_id % 11 = 0 THEN '-' ELSE '/' END || '" "' || CASE WHEN event_id % 7 = 0 THEN 'Googlebot' WHEN event_id % 11 = 0 THEN '-' ELSE 'browser' END || '"' AS line FROM events)
+WHERE NOT contains(line, '"-" "-"')) GROUP BY level""")
+def log_levels(spark, d):
+    lines = _log_lines(spark, d).withColumn("level", titles.log_level(F.col("line"))).where("level is not null")
+    return lines.groupBy("level").agg(F.count(F.lit(1)).alias("n"))
