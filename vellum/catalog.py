@@ -137,7 +137,7 @@ def title_year_cite(spark, d):
 @query("SELECT judgmentid, unnest(string_split(neutral || '; ' || second, '; ')) AS code FROM j", True)
 def cite_split(spark, d):
     both = F.concat("neutral", F.lit("; "), "second")
-    return carriers.judgments(spark, d).select("judgmentid", F.explode(F.transform(F.split(both, ";"), text.stripped)).alias("code"))
+    return carriers.judgments(spark, d).select("judgmentid", F.explode(F.transform(F.split(both, ";"), lambda c: text.stripped(c))).alias("code"))
 
 
 @query("SELECT judgmentid, translate(regexp_replace(c, '  +', ' ', 'g'), '.''', '') AS code FROM (SELECT judgmentid, replace(neutral, ' ', '  ') || ' Q.B.' AS c FROM j)", True)
@@ -179,7 +179,7 @@ def weighted_name(spark, d):
     j = carriers.judgments(spark, d)
     target = F.concat(F.lit("["), F.year("date").cast("string"), F.lit("] "), F.upper(F.substring("court", 1, 6)), F.lit(" "))
     rows = j.select("judgmentid", target.alias("target"), F.explode(F.array("neutral", "second")).alias("code"))
-    rows = rows.withColumn("cost", distance.weighted_distance(F.col("target"), F.col("code"), 1, 2, 2))
+    rows = rows.withColumn("cost", distance.weighted_distance(1, 2, 2)("target", "code"))
     return rows.groupBy("judgmentid").agg(F.min(F.struct("cost", "code")).alias("m")).select("judgmentid", "m.cost", "m.code")
 
 
@@ -324,8 +324,9 @@ def dict_replace(spark, d):
     return linked.select("doc_id", F.md5(F.col("text").cast("binary")).alias("hash"), F.size("keys").alias("n"))
 
 
-@query("""SELECT doc_id, (p - 1)::BIGINT AS start, w AS word FROM (SELECT doc_id, text, w, unnest(range(1, length(text) + 1)) AS p FROM documents, (SELECT unnest(['then', 'tion', 'que', 'sch', 'chen', 'qu']) AS w) WHERE contains(text, w)) WHERE substr(text, p, length(w)) = w
-AND NOT (w = 'qu' AND substr(text, p, 3) = 'que')""")
+@query("""SELECT doc_id, p::BIGINT AS start, w AS word FROM (SELECT doc_id, text, w, list_sum(list_transform(parts[1:i], lambda x: length(x))) + (i - 1) * length(w) AS p
+FROM (SELECT doc_id, text, w, parts, unnest(range(1, len(parts))) AS i FROM (SELECT doc_id, text, w, string_split(text, w) AS parts FROM documents, (SELECT unnest(['then', 'tion', 'que', 'sch', 'chen', 'qu']) AS w))))
+WHERE NOT (w = 'qu' AND substr(text, p::BIGINT + 1, 3) = 'que')""")
 def dict_search(spark, d):
     words = spark.createDataFrame([(w,) for w in ("then", "tion", "que", "sch", "chen", "qu")], "k string").withColumn("word", F.col("k"))
     return match.search(table(spark, d, "documents"), "doc_id", "text", words, "k", "word").select("doc_id", "start", "word")

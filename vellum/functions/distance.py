@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -19,22 +22,14 @@ def distance(a: str, b: str, insertion: int = 1, deletion: int = 1, substitution
     return row[-1]
 
 
-def weighted_distance(a: Column, b: Column, insertion: int = 1, deletion: int = 1, substitution: int = 1) -> Column:
-    """The same as an expression. A row of the table follows from the one above it without going along it: insertions are the
-    least of all entries to the left plus what the way from there costs."""
-    width = F.length(b)
-    first = F.transform(F.sequence(F.lit(0), width), lambda j: j * insertion)
-
-    def step(row: Column, x: Column) -> Column:
-        def above(j: Column) -> Column:
-            diagonal = F.get(row, j - 1) + F.when(F.substring(b, j, F.lit(1)) == x, 0).otherwise(substitution)
-            return F.when(j == 0, F.get(row, j) + deletion).otherwise(F.least(F.get(row, j) + deletion, diagonal)) - j * insertion
+def weighted_distance(insertion: int = 1, deletion: int = 1, substitution: int = 1) -> Callable[..., Column]:
+    """A vectorised function of two columns for the same; with unit costs the built-in one is faster. (As an expression of nested array functions it took 50 s for 30,000 pairs, so it isn't one.)"""
 
-        least = F.transform(F.sequence(F.lit(0), width), above)
-        return F.transform(F.sequence(F.lit(0), width), lambda j: F.array_min(F.slice(least, F.lit(1), j + 1)) + j * insertion)
+    @F.pandas_udf("int")
+    def cost(a: pd.Series, b: pd.Series) -> pd.Series:
+        return pd.Series([None if x is None or y is None else distance(x, y, insertion, deletion, substitution) for x, y in zip(a, b, strict=True)], dtype="Int32")
 
-    chars = F.filter(F.split(a, ""), lambda c: c != "")
-    return F.element_at(F.aggregate(chars, first, step), -1)
+    return cost
 
 
 def nearest(names: DataFrame, name_col: str, dictionary: list[str], distance_col: str = "distance", nearest_col: str = "nearest") -> DataFrame:
