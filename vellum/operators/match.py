@@ -112,13 +112,13 @@ class Dictionary:
         return len(self.entries)
 
     def search(self, text: str, legacy_end: bool = False) -> list[Match]:
-        """The longest key at each start. legacy_end: leave out keys that end with the text."""
+        """The longest key at each start. legacy_end: nothing is reported where the longest key ends with the text."""
         longest: dict[int, str] = {}
         for last, key in self.automaton.iter(text) if len(self.automaton) else ():
             start = last + 1 - len(key)
-            if len(key) > len(longest.get(start, "")) and not (legacy_end and last + 1 == len(text)):
+            if len(key) > len(longest.get(start, "")):
                 longest[start] = key
-        return [Match(s, s + len(k), k) for s, k in sorted(longest.items())]
+        return [Match(s, s + len(k), k) for s, k in sorted(longest.items()) if not (legacy_end and s + len(k) == len(text))]
 
     def leftmost(self, text: str) -> list[Match]:
         """Of these the leftmost ones that don't overlap."""
