@@ -19,6 +19,7 @@ from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -77,19 +78,25 @@ def has_letter(data: np.ndarray, offs: np.ndarray) -> np.ndarray:
     return out
 
 
-def machine(x: np.ndarray, y: np.ndarray, c: float = 1.0, epochs: int = 30) -> np.ndarray:
-    """The weights of a linear support vector machine (last: the bias) for y of -1 and 1, by dual coordinate ascent."""
-    x = np.hstack([x, np.ones((len(x), 1))])
-    norm, w, a, rng = (x**2).sum(1), np.zeros(x.shape[1]), np.zeros(len(y)), np.random.default_rng(1)
+Sparse = tuple[np.ndarray, np.ndarray]  # slots and values of one row
+
+
+def machine(rows: list[Sparse], y: np.ndarray, c: float = 10.0, epochs: int = 30) -> np.ndarray:
+    """The weights of a linear support vector machine (last: the bias) for y of -1 and 1, by dual coordinate ascent on sparse rows."""
+    norm = np.array([v @ v + 1 for _, v in rows])
+    w, a, rng = np.zeros(SLOTS + 1), np.zeros(len(y)), np.random.default_rng(1)
     for _ in range(epochs):
         most = 0.0
         for i in rng.permutation(len(y)):
-            g = y[i] * (x[i] @ w) - 1
+            at, v = rows[i]
+            g = y[i] * (v @ w[at] + w[-1]) - 1
             new = min(max(a[i] - g / norm[i], 0.0), c)
             if new != a[i]:
-                w += (new - a[i]) * y[i] * x[i]
+                d = (new - a[i]) * y[i]
+                w[at] += d * v
+                w[-1] += d
                 most, a[i] = max(most, abs(new - a[i])), new
-        if most < 1e-4:
+        if most < 1e-3:
             break
     return w
 
@@ -133,25 +140,27 @@ class Model:
         return lang, np.clip(score, 0, 1)
 
 
-def fit(x: np.ndarray, langs: list[str], families: dict[str, tuple[str, ...]] = FAMILIES) -> Model:
+def fit(rows: list[Sparse], langs: list[str], families: dict[str, tuple[str, ...]] = FAMILIES) -> Model:
     names = sorted(set(langs))
     of = {m: f for f, ms in families.items() for m in ms}
     groups: dict[str, list[str]] = {}
     for m in names:
         groups.setdefault(of.get(m, m), []).append(m)
-    fams = sorted(groups.items())
-    scale = 1 / np.sqrt(x.mean(0) + 1e-5) if len(x) else np.ones(SLOTS)
-    z, y = x * scale, np.array(langs)
-    z /= np.maximum(np.sqrt((z**2).sum(1)).mean(), 1e-12) if len(z) else 1.0
-    unit = z[0] @ z[0] / max((x[0] * scale) @ (x[0] * scale), 1e-30) if len(z) else 1.0
-    scale = scale * np.sqrt(unit)
+    fams, y = sorted(groups.items()), np.array(langs)
+    mean = np.zeros(SLOTS)
+    for at, v in rows:
+        mean[at] += v / max(len(rows), 1)
+    scale = 1 / np.sqrt(mean + 1e-5)
+    # rows have length 1 in the mean
+    scale /= max(np.mean([np.sqrt(((v * scale[at]) ** 2).sum()) for at, v in rows]), 1e-12) if rows else 1.0
+    scaled = [(at, v * scale[at]) for at, v in rows]
     ws, pairs = [], []
     for _, members in fams:
-        ws.append(machine(z, np.where(np.isin(y, members), 1.0, -1.0), 10.0) if len(fams) > 1 else np.r_[np.zeros(SLOTS), 1.0])
+        ws.append(machine(scaled, np.where(np.isin(y, members), 1.0, -1.0)) if len(fams) > 1 else np.r_[np.zeros(SLOTS), 1.0])
     for f, (_, members) in enumerate(fams):
         for i, j in combinations(range(len(members)), 2):
-            rows = np.isin(y, [members[i], members[j]])
-            ws.append(machine(z[rows], np.where(y[rows] == members[i], 1.0, -1.0), 10.0))
+            some = np.flatnonzero(np.isin(y, [members[i], members[j]]))
+            ws.append(machine([scaled[k] for k in some], np.where(y[some] == members[i], 1.0, -1.0)))
             pairs.append((f, i, j))
     w = np.array(ws).reshape(len(ws), SLOTS + 1)
     return Model(fams, pairs, (w[:, :-1] * scale).T.astype(np.float32), w[:, -1])
@@ -162,7 +171,7 @@ def held_out(id_col: Column) -> Column:
     return F.crc32(F.coalesce(id_col.cast("string"), F.lit("")).cast("binary")) % 4 == 2
 
 
-def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", per_lang: int = 250, most_langs: int = 200) -> Model:
+def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", per_lang: int = 250, most_langs: int = 100) -> Model:
     """Machines fitted on at most ``per_lang`` documents (those with the smallest hash) of each of the ``most_langs``
     most frequent languages, held-out rows never. Each gives its whole text, and two short pieces of it as texts of their own."""
     known = docs.where(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull() & ~held_out(F.col(id_col)))
@@ -181,18 +190,18 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
                     langs.append(lang), pieces.append(piece)
             data, offs = tk.texts(pa.array(pieces, pa.string()))
             ok = has_letter(data, offs)
-            x = features(data, offs).astype(np.float32)
             for i in np.flatnonzero(ok):
-                at = np.flatnonzero(x[i])
-                yield pa.RecordBatch.from_arrays([pa.array([langs[i]]), pa.array([at], pa.list_(pa.int32())), pa.array([x[i, at]], pa.list_(pa.float32()))], ["lang", "at", "share"])
+                x = features(data, offs[i : i + 2])[0].astype(np.float32)
+                at = np.flatnonzero(x)
+                yield pa.RecordBatch.from_arrays([pa.array([langs[i]]), pa.array([at], pa.list_(pa.int32())), pa.array([x[at]], pa.list_(pa.float32()))], ["lang", "at", "share"])
 
     got = some.mapInArrow(count, "lang string, at array<int>, share array<float>").toPandas()
-    x = np.zeros((len(got), SLOTS))
-    for i, (at, share) in enumerate(zip(got["at"], got["share"], strict=True)):
-        x[i, at] = share
+    rows = [(np.asarray(at), np.asarray(share, np.float64)) for at, share in zip(got["at"], got["share"], strict=True)]
     langs = got["lang"].tolist()
-    order = sorted(range(len(langs)), key=lambda i: (langs[i], x[i].tobytes()))  # rows arrive in any order
-    return fit(x[order], [langs[i] for i in order])
+    del got
+    marks = [xxhash.xxh3_64_intdigest(at.tobytes() + share.tobytes()) for at, share in rows]
+    order = sorted(range(len(langs)), key=lambda i: (langs[i], marks[i]))  # rows arrive in any order
+    return fit([rows[i] for i in order], [langs[i] for i in order])
 
 
 def predict(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
