@@ -18,6 +18,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -88,7 +89,7 @@ def fit(rows: list[tuple[np.ndarray, np.ndarray]], grade: np.ndarray, top: int,
         seen_in[at] += 1
     used = seen_in >= least_docs
     used[SLOTS:] = True
-    rows = [(at[used[at]], x[used[at]].astype(np.float64)) for at, x in rows]
+    rows = [(at[used[at]], x[used[at]]) for at, x in rows]
     share = np.array([np.clip((grade >= k).mean(), 1e-3, 1 - 1e-3) for k in range(1, top + 1)])
     th = np.maximum.accumulate(-np.log(share / (1 - share)) + 1e-3 * np.arange(top))
     first, gaps = th[0], np.log(np.maximum(np.diff(th), 1e-2))
@@ -117,7 +118,7 @@ def graded(quality: Column, toxic: Column) -> Column:
     return F.when(toxic == 1, 0).when(quality == 0, 1).when(quality == 1, 2)
 
 
-def train(docs: DataFrame, labels: DataFrame, grade: Column, top: int = 2, id_col: str = "doc_id", text_col: str = "text", max_rows: int = 12000) -> Model:
+def train(docs: DataFrame, labels: DataFrame, grade: Column, top: int = 2, id_col: str = "doc_id", text_col: str = "text", max_rows: int = 8000) -> Model:
     """A model fitted on at most ``max_rows`` rated rows, those with the smallest hash of their id; that also bounds what is broadcast and collected.
     ``grade``: an expression over ``labels``, from 0 to ``top``."""
     some = labels.select(F.col(id_col).alias("__id"), grade.cast("int").alias("__grade")).where("__id is not null and __grade is not null")
@@ -135,7 +136,9 @@ def train(docs: DataFrame, labels: DataFrame, grade: Column, top: int = 2, id_co
     got = rows.mapInArrow(hashed, "grade int, slots array<int>, share array<float>").limit(2 * max_rows).toPandas()
     rows_ = [(np.asarray(x, np.int32), np.asarray(y, np.float32)) for x, y in zip(got["slots"], got["share"], strict=True)]
     grades = got["grade"].to_numpy()
-    order = sorted(range(len(rows_)), key=lambda i: (int(grades[i]), rows_[i][0].tobytes(), rows_[i][1].tobytes()))  # rows arrive in any order
+    del got
+    marks = [xxhash.xxh3_64_intdigest(at.tobytes() + share.tobytes()) for at, share in rows_]
+    order = sorted(range(len(rows_)), key=lambda i: (int(grades[i]), marks[i]))  # rows arrive in any order
     return fit([rows_[i] for i in order], grades[order] if len(order) else np.zeros(0), top)
 
 
