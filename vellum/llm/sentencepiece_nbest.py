@@ -154,27 +154,29 @@ def lattice(v: Vocabulary, part: bytes) -> tuple[list[float], list[list[tuple[in
 def n_best(v: Vocabulary, part: bytes, n: int) -> list[tuple[float, list[int]]]:
     """The n best segmentations of a part, by A* from its end; the first is the Viterbi path."""
     forward, into, back = lattice(v, part)
-    best, at = [], len(part)
+    best, at, ids = set(), len(part), []
     while at:
-        best.append((at, *back[at]))
-        at = back[at][0]
-    chosen = set(best)
-    out: list[tuple[float, list[int]]] = []
-    heap: list[tuple[float, int, int, int, float, tuple | None]] = [(-forward[-1], 0, 0, len(part), 0.0, None)]
+        s, i = back[at]
+        best.add((at, s, i))
+        ids[:0] = [v.ids_of(i, part[s:at])]
+        at = s
+    out: list[tuple[float, list[int]]] = [(forward[-1], [x for piece in ids for x in piece])]
+    # Scores that agree to 6 places are equal; of equals the one nearest to the start goes first, so a search among very many equals runs straight on.
+    heap: list[tuple[float, int, int, int, float, tuple | None]] = [(round(-forward[-1], 6), len(part), 0, 0, 0.0, None)]
     order = 0
     while heap and len(out) < n:
-        loss, off, _, at, walked, path = heapq.heappop(heap)
+        _, at, off, _, walked, path = heapq.heappop(heap)
         if at == 0:
-            ids, node = [], path
-            while node:
-                s, e, i, node = node
-                ids += v.ids_of(i, part[s:e])
-            out.append((-loss, ids))
+            if off:  # else it is the Viterbi path
+                ids, node = [], path
+                while node:
+                    s, e, i, node = node
+                    ids += v.ids_of(i, part[s:e])
+                out.append((walked, ids))
             continue
         for s, i, score in into[at]:
             order += 1
-            # among equals the Viterbi path goes first
-            heapq.heappush(heap, (-(walked + score + forward[s]), off + ((at, s, i) not in chosen), order, s, walked + score, (s, at, i, path)))
+            heapq.heappush(heap, (round(-(walked + score + forward[s]), 6), s, off + ((at, s, i) not in best), order, walked + score, (s, at, i, path)))
     return out
 
 
