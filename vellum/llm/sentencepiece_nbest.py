@@ -20,7 +20,8 @@ from __future__ import annotations
 
 import hashlib
 import heapq
-from collections.abc import Iterator
+from array import array
+from collections.abc import Iterator, Sequence
 from functools import cache, lru_cache
 
 import numpy as np
@@ -30,7 +31,7 @@ from pyspark.sql import functions as F
 
 from . import textkit as tk
 
-SLICE = 1 << 22
+SLICE = 1 << 21
 LONG_PART = 40
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 _TOP = np.uint64(44)
@@ -334,7 +335,7 @@ class Encoded:
             return np.array([np.array_equal(back[cut[i] : cut[i + 1]], self.data[self.base[i] : self.base[i + 1]]) for i in range(n)], bool)
         return tk.sums(back != self.data, self.base) == 0
 
-    def alternatives(self, t: int) -> list[tuple[float, list[tuple[int, list[int]]]]]:
+    def alternatives(self, t: int) -> list[tuple[float, list[tuple[int, Sequence[int]]]]]:
         """The n best segmentations of text t: score, and which parts are other than in the best one (number in the text, ids)."""
         a, b = int(self.cut[t]), int(self.cut[t + 1])
         which = self.which[a:b]
@@ -366,7 +367,7 @@ class Encoded:
                         heapq.heappush(heap, (sum(lists[q][0][0] - lists[q][x][0] for q, x in enumerate(new)), new))
         return out
 
-    def replaced(self, t: int, changes: list[tuple[int, list[int]]]) -> np.ndarray:
+    def replaced(self, t: int, changes: list[tuple[int, Sequence[int]]]) -> np.ndarray:
         """The ids of text t with some parts' ids replaced."""
         a, at, out = int(self.cut[t]), int(self.id_cut[t]), []
         for i, ids in sorted(changes):
@@ -375,12 +376,13 @@ class Encoded:
         return np.concatenate([*out, self.ids[at : self.id_cut[t + 1]]])
 
 
-@lru_cache(100_000)
-def _remembered(v: Vocabulary, part: bytes, n: int) -> list[tuple[float, list[int]]]:
-    return n_best(v, part, n)
+@lru_cache(1 << 15)
+def _remembered(v: Vocabulary, part: bytes, n: int) -> list[tuple[float, Sequence[int]]]:
+    """Short parts' segmentations, as arrays: a worker keeps them, so their size counts."""
+    return [(score, array("i", ids)) for score, ids in n_best(v, part, n)]
 
 
-def remembered(v: Vocabulary, part: bytes, n: int) -> list[tuple[float, list[int]]]:
+def remembered(v: Vocabulary, part: bytes, n: int) -> list[tuple[float, Sequence[int]]]:
     return _remembered(v, part, n) if len(part) <= LONG_PART else n_best(v, part, n)
 
 
