@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from . import textkit as tk
 from .components import components
 from .scratch import K1, K2, row_key, save
-from .streams import grouped
+from .streams import grouped, thrifty
 
 WORDS, SIMILARITY, RECALL, DEPTH, BLOCK = 5, "0.8", 0.99999, 3, 1024
 #: Sketches of pairs at similarity 0.8 agree in fewer than this many of 64 places about once in a million times.
@@ -140,6 +140,7 @@ def join(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", text_col:
     kind = dict(docs.dtypes)[id_col]
     rows = docs.select(F.col(id_col).alias("id"), *row_key(F.col(id_col), text), text.alias("text"))
 
+    @thrifty
     def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             data, offs = tk.texts(b.column(3))
@@ -160,6 +161,7 @@ def join(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", text_col:
     meet = save(spark, thin.groupBy("key").agg(F.min("sid").alias("a"), F.max("sid").alias("b")).where("a <> b").select("key"), "keys")
     met = thin.join(meet, "key").join(distinct.select("sid", "n", "sketch"), "sid").select("key", "sid", "n", "sketch")
 
+    @thrifty
     def bucket(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b, cut in grouped(batches, "key"):
             sid, n = b.column(1).to_numpy(), b.column(2).to_numpy()
@@ -188,6 +190,7 @@ def join(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", text_col:
     # merged at every size: the candidates grow with the input, and so does what this join moves
     some = some.hint("merge").join(rows.select(K1, K2, "text"), [K1, K2]).select("cell", "sig", "times", F.when(F.col("own"), F.lit(-1)).otherwise(F.col("side")).alias("side"), "text")
 
+    @thrifty
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b, cut in grouped(batches, "cell"):
             sig, times, side = b.column(1).to_pylist(), b.column(2).to_numpy(), b.column(3).to_numpy()

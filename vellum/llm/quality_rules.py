@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 
 from . import textkit as tk
 from .scratch import bounded_sample
+from .streams import thrifty
 
 SYMBOLS = np.zeros(256, bool)
 SYMBOLS[list(b"#*$%&|<>")] = True
@@ -191,6 +192,7 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     some = bounded_sample(some, max_rows, F.col("__id"), F.col("__label"))
     rows = docs.select(F.col(id_col).alias("__id"), F.col(text_col).cast("string").alias("text")).join(F.broadcast(some), "__id").select("__label", "text")
 
+    @thrifty
     def stats(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             data, offs = tk.texts(b.column(1))
@@ -210,6 +212,7 @@ def score(docs: DataFrame, trees: Trees, id_col: str = "doc_id", text_col: str =
     """The id, the base counts, base_failed, the trees' score and kept for every row of ``docs``."""
     model = trees
 
+    @thrifty
     def rate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             data, offs = tk.texts(b.column(1))
@@ -226,6 +229,7 @@ def keep(docs: DataFrame, trees: Trees, text_col: str = "text") -> DataFrame:
     """The rows of ``docs``, with all their columns, that the base rules and the trees keep. Nothing is shuffled."""
     model, at = trees, docs.columns.index(text_col)
 
+    @thrifty
     def choose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             data, offs = tk.texts(b.column(at))

@@ -30,6 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import textkit as tk
+from .streams import thrifty
 
 SLICE = 1 << 21
 LONG_PART = 40
@@ -397,6 +398,7 @@ def decode_ids(v: Vocabulary, ids: np.ndarray, cut: np.ndarray) -> tuple[np.ndar
 def encode(docs: DataFrame, model_path: str, n: int = 4, id_col: str = "doc_id", text_col: str = "text", scoring: str = "auto") -> DataFrame:
     """Per row: the id, and ``segmentations``: the n best, each with its score and ids."""
 
+    @thrifty
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         v = load(model_path, scoring)
         for b in batches:
@@ -413,6 +415,7 @@ def encode(docs: DataFrame, model_path: str, n: int = 4, id_col: str = "doc_id",
 def decode(encoded: DataFrame, model_path: str, id_col: str = "doc_id", ids_col: str = "ids", scoring: str = "auto") -> DataFrame:
     """Per row: the id and the text that the ids stand for (null for null)."""
 
+    @thrifty
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         v = load(model_path, scoring)
         for b in batches:
@@ -435,6 +438,7 @@ def digests(docs: DataFrame, model_path: str, n: int = 4, id_col: str = "doc_id"
     """Per row: the id, n_pieces and ids_sha256 (of little-endian 32-bit ids) of the best segmentation, lossless (whether decoding it gives the text back), and nbest: for each of the n best
     its score to 6 places, and each part that differs from the best one's as part:id.id..."""
 
+    @thrifty
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         v = load(model_path, scoring)
         for b in batches:

@@ -1,12 +1,39 @@
-"""Whole groups from a sorted stream of Arrow batches."""
+"""Whole groups from a sorted stream of Arrow batches, and memory given back at its end."""
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import ctypes
+import gc
+from collections.abc import Callable, Iterator
+from functools import wraps
 
 import numpy as np
 import pyarrow as pa
 
+Batches = Iterator[pa.RecordBatch]
+
+
+def give_back() -> None:
+    """Return freed memory to the system. Workers outlive their tasks and wait beside the JVM, so what they keep counts."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
+def thrifty(f: Callable[[Batches], Batches]) -> Callable[[Batches], Batches]:
+    """``f``, giving memory back once its partition is done."""
+
+    @wraps(f)
+    def run(batches: Batches) -> Batches:
+        try:
+            yield from f(batches)
+        finally:
+            give_back()
+
+    return run
+
 
 def grouped(batches: Iterator[pa.RecordBatch], key: str) -> Iterator[tuple[pa.RecordBatch, np.ndarray]]:
     """Batches that hold whole runs of equal ``key`` (an integer column without nulls), each with the places where its runs begin and
