@@ -36,6 +36,19 @@ def test_disguised_identifiers(text, kind, want):
         assert [text[a:b] for a, b in more[kind]] == [want]
 
 
+BRACKETED = [
+    ("mail alice@example[.]com", "email", "alice@example[.]com"), ("alice@mail{ . }example<.>com", "email", "alice@mail{ . }example<.>com"),
+    ("from 192[.]168[.]1[.]10 on", "ip", "192[.]168[.]1[.]10"), ("192(.)168 (.) 1(.)10", "ip", "192(.)168 (.) 1(.)10"),
+]
+
+
+@pytest.mark.parametrize(("text", "kind", "want"), BRACKETED)
+def test_bracketed_points_alone(text, kind, want):
+    plain, more = pii.find(text)
+    assert not any(plain.values()) and [text[a:b] for a, b in more[kind]] == [want]
+    assert pii.redact(text) == text.replace(want, f"[{kind.upper()}]")
+
+
 @settings(max_examples=300)
 @given(st.text("ab@.-+ 0123456789(", max_size=40))
 def test_plain_identifiers_are_the_patterns_matches(s):

@@ -149,8 +149,9 @@ def spelled() -> tuple[dict[str, str], frozenset[str], re.Pattern[str], re.Patte
 
 _DOT_WORD = re.compile(r"\bdot\b", re.I)
 _PLUS = re.compile(r"\bplus\s+(?=[0-9])", re.I)
-_AT = re.compile(r"\s*[(\[{<]\s*(?:at|@)\s*[)\]}>]\s*", re.I)
-_DOT = re.compile(r"\s*[(\[{<]\s*(?:dot|\.)\s*[)\]}>]\s*", re.I)
+# without the spaces around them, which would be tried again from each space of a long run
+_AT = re.compile(r"[(\[{<]\s*(?:at|@)\s*[)\]}>]", re.I)
+_DOT = re.compile(r"[(\[{<]\s*(?:dot|\.)\s*[)\]}>]", re.I)
 _PLAIN_AT = re.compile(r"(?<=[A-Za-z0-9._%+-])\s+at\s+(?=[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\s+dot\s+[A-Za-z0-9-])", re.I)
 _PLAIN_DOT = re.compile(r"(?<=[A-Za-z0-9])\s+dot\s+(?=[A-Za-z0-9])", re.I)
 
@@ -171,8 +172,23 @@ def spell(v: View) -> View:
     return v.rewrite([(m.start(), m.end(), [("+", m.start(), m.end())]) for m in _PLUS.finditer(v.text)])
 
 
+def spaced(pattern: re.Pattern[str], text: str) -> Iterator[Span]:
+    """The pattern's matches with the spaces around them."""
+    end = 0
+    for m in pattern.finditer(text):
+        a, b = m.span()
+        while a > end and text[a - 1].isspace():
+            a -= 1
+        while b < len(text) and text[b].isspace():
+            b += 1
+        yield a, b
+        end = b
+
+
 def undisguise(v: View) -> View:
-    for pattern, c in ((_AT, "@"), (_DOT, "."), (_PLAIN_AT, "@"), (_PLAIN_DOT, ".")):
+    for pattern, c in ((_AT, "@"), (_DOT, ".")):
+        v = v.rewrite([(a, b, [(c, a, b)]) for a, b in spaced(pattern, v.text)])
+    for pattern, c in ((_PLAIN_AT, "@"), (_PLAIN_DOT, ".")):
         v = v.rewrite([(m.start(), m.end(), [(c, m.start(), m.end())]) for m in pattern.finditer(v.text)])
     return v
 
@@ -190,7 +206,7 @@ def suspicious(text: str) -> bool:
     low = text.lower()
     if "dot" in low and _DOT_WORD.search(text) or "plus" in low and _PLUS.search(text):
         return True
-    if _AT.search(text) if "at" in low or "@" in low else False:
+    if _AT.search(text) or _DOT.search(text):
         return True
     words = spelled()[1].intersection(low.replace(",", " ").replace("-", " ").replace(".", " ").split())
     return len(words) > 1 and spelled()[2].search(text) is not None
