@@ -49,6 +49,20 @@ def test_bracketed_points_alone(text, kind, want):
     assert pii.redact(text) == text.replace(want, f"[{kind.upper()}]")
 
 
+LONGER = [
+    ("call +44 20 7946 095８ now", "phone", "+44 20 7946 095", "+44 20 7946 095８"), ("to john@mail.exаmple.com, ok", "email", "john@mail.ex", "john@mail.exаmple.com"),
+    ("at 10.1.2.3４ up", "ip", "10.1.2.3", "10.1.2.3４"), ("jоhn@mail.com", "email", "hn@mail.com", "jоhn@mail.com"),
+]
+
+
+@pytest.mark.parametrize(("text", "kind", "part", "whole"), LONGER)
+def test_longer_than_a_plain_one(text, kind, part, whole):
+    plain, more = pii.find(text)
+    assert [text[a:b] for a, b in plain[kind]] == [part] and [text[a:b] for a, b in more[kind]] == [whole]
+    assert pii.redact(text) == text.replace(whole, f"[{kind.upper()}]")
+    assert pii.find(text.replace(whole, part))[1][kind] == []
+
+
 @settings(max_examples=300)
 @given(st.text("ab@.-+ 0123456789(", max_size=40))
 def test_plain_identifiers_are_the_patterns_matches(s):

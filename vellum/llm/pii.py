@@ -12,8 +12,8 @@ The same patterns then run over the rewritten text, and what they find there in
 Only texts with a trace of a disguise are rewritten.
 
 Defined results: a null text counts as empty; an empty text has no spans and the digest of the empty string. Texts
-are read whole. Within a kind spans never overlap; a disguised span that overlaps a plain one of its kind is
-dropped, since plain spans stay. Repeated rows get equal results, an empty table an empty one. Only the named
+are read whole. Plain spans of a kind never overlap, nor do disguised ones. Plain spans stay; a disguised span is dropped
+only if it lies wholly within a plain one of its kind, and one that reaches beyond it is added. Repeated rows get equal results, an empty table an empty one. Only the named
 columns are read, so further columns never clash.
 """
 
@@ -219,10 +219,10 @@ def disguised(text: str, plain: dict[str, list[Span]]) -> dict[str, list[Span]]:
         return out
     v = undisguise(spell(fold(View(text))))
     for kind, spans in identifiers(v.text).items():
-        taken = sorted(plain[kind])
+        taken = plain[kind]
         for a, b in spans:
             s, e = v.start[a], v.end[b - 1]
-            if any(v.changed[a:b]) and not any(x < e and s < y for x, y in taken):
+            if any(v.changed[a:b]) and not any(x <= s and e <= y for x, y in taken):
                 out[kind].append((s, e))
     return out
 
