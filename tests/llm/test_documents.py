@@ -63,6 +63,37 @@ def test_longer_than_a_plain_one(text, kind, part, whole):
     assert pii.find(text.replace(whole, part))[1][kind] == []
 
 
+MIXED = [
+    ("call +44 20 seven 946 0958 now", "phone", "+44 20 seven 946 0958"), ("+1 415 five five five 0123", "phone", "+1 415 five five five 0123"), ("card 4111 one one one one 1111 1111 ok", "card", "4111 one one one one 1111 1111"),
+    ("4111, one-one-one-one, 1111-1111, one of mine", "card", "4111, one-one-one-one, 1111-1111"), ("Plus five five five five five five five five five five", "phone", "Plus five five five five five five five five five five"),
+    ("+44 20 7946 095eight", "phone", "+44 20 7946 095eight"), ("ip 192.168.one.5 up", "ip", "192.168.one.5"), ("ip one one dot one one dot one one dot one one", "ip", "one one dot one one dot one one dot one one"),
+    ("three 4111 1111 1111 111１", "card", "4111 1111 1111 111１"), ("at server one 192[.]168[.]1[.]10", "ip", "192[.]168[.]1[.]10"), ("+1 (vier) 15 555 0123 9", "phone", "+1 (vier) 15 555 0123 9"),
+]
+
+
+@pytest.mark.parametrize(("text", "kind", "want"), MIXED)
+def test_digits_and_words_mixed(text, kind, want):
+    _, more = pii.find(text)
+    assert [text[a:b] for a, b in more[kind]] == [want]
+    assert pii.redact(text) == text.replace(want, f"[{kind.upper()}]")
+
+
+def test_words_that_are_no_part_of_a_number():
+    for text in ("NULL, " * 16, "one or two of 5 in a row", "one two@example.com", "1.2.3.4 one", "server one 10.2.3.4", "null " * 5000 + "dot one dot one"):
+        assert not any(pii.find(text)[1].values()), text
+    assert pii.find("null " * 5000 + "dot one dot one dot one")[1]["ip"] == [(0, 25023)]
+
+
+@settings(max_examples=300)
+@given(st.lists(st.sampled_from(["one", "FIVE", "ſix", "fİve", "zéro", "7", "4111", "+", "plus", " ", "-", ", ", ".", " dot ", "[.]", "@", "(", "x", "８", "\u200b"]), max_size=24))
+def test_spans_of_mixed_texts(parts):
+    text = "".join(parts)
+    plain, more = pii.find(text)
+    for k in pii.KINDS:
+        assert all(0 <= a < b <= len(text) for a, b in more[k]) and all(x[1] <= y[0] for x, y in zip(more[k], more[k][1:], strict=False))
+        assert not any(x <= a and b <= y for a, b in more[k] for x, y in plain[k])
+
+
 @settings(max_examples=300)
 @given(st.text("ab@.-+ 0123456789(", max_size=40))
 def test_plain_identifiers_are_the_patterns_matches(s):

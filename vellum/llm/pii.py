@@ -5,10 +5,13 @@ rewrites it and keeps, for every character it puts out, the span of source chara
 
 * ``fold``: characters that look like ASCII ones become those, digits of any script become 0-9, and characters
   without width vanish;
-* ``spell``: runs of spelled digits become digits, "plus" before a digit becomes ``+``;
+* ``spell``: spelled digits become digits, also single ones and those among figures, "plus" before a digit becomes ``+``;
 * ``undisguise``: "(at)", "[dot]", " at ... dot " and the like become ``@`` and ``.``.
 
-The same patterns then run over the rewritten text, and what they find there in rewritten places is mapped back.
+The same patterns then run over the rewritten text, and what they find there in rewritten places is mapped back. Whether a
+spelled digit beside a number belongs to it can't be told, so a text with such words is rewritten in several ways, the patterns
+reject by length and Luhn, and findings that overlap become one span: a phone or card may take in a digit word that stands beside
+it. One word again and again, without a figure, is no card.
 Only texts with a trace of a disguise are rewritten.
 
 Defined results: a null text counts as empty; an empty text has no spans and the digest of the empty string. Texts
@@ -34,7 +37,7 @@ from .streams import thrifty
 KINDS = ("email", "ip", "card", "phone")
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 _EMAIL = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
-_IP = re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
+_IP = re.compile(r"(?<![0-9])[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
 _CARD = re.compile(r"[0-9]([\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _DIGIT = re.compile("[0-9]")
@@ -73,7 +76,7 @@ def identifiers(text: str) -> dict[str, list[Span]]:
     if "@" in text:
         out["email"] = emails(text)
     if _DIGIT.search(text):
-        out["ip"] = [m.span() for m in _IP.finditer(text) if all(len(x.lstrip("0")) < 4 and int(x) <= 255 for x in m[0].split("."))]
+        out["ip"] = [m.span() for m in _IP.finditer(text) if all(len(y := x.lstrip("0")) < 4 and int(y or "0") <= 255 for x in m[0].split("."))]
         out["card"] = [m.span() for m in _CARD.finditer(text) if 14 <= len(d := _NOT_DIGIT.sub("", m[0])) <= 19 and luhn(d)]
         if "+" in text:
             out["phone"] = [m.span() for m in _PHONE.finditer(text) if 10 <= len(_NOT_DIGIT.sub("", m[0])) <= 15]
@@ -140,14 +143,25 @@ def folding() -> tuple[dict[str, str], re.Pattern[str]]:
 
 
 @cache
-def spelled() -> tuple[dict[str, str], frozenset[str], re.Pattern[str], re.Pattern[str]]:
+def spelled() -> tuple[dict[str, str], re.Pattern[str], re.Pattern[str], re.Pattern[str]]:
+    """Of texts in lower case: the words' digits, one word, a run of them with the gaps to digits beside it, and a word that touches what a number is made of."""
     value = {w: str(i) for words in DIGIT_WORDS for i, w in enumerate(words.split())}
-    one = "(?:" + "|".join(sorted(value, key=lambda w: (-len(w), w))) + ")"
-    run = re.compile(rf"\b{one}(?:[ ,-]{{1,2}}{one})+\b|\b{one}(?=\s+dot\b)|(?<=\bdot ){one}\b", re.I)
-    return value, frozenset(value), run, re.compile(rf"\b{one}\b", re.I)
+    some = "|".join(sorted(value, key=lambda w: (-len(w), w)))
+    one = rf"(?<![^\W\d])(?:{some})(?![^\W\d])"
+    run = re.compile(rf"(?P<left>(?<=[0-9])[ ,-]{{1,2}}|(?<=\+)[ ]{{1,2}})?(?P<words>{one}(?:[ ,-]{{1,2}}{one})*)(?P<right>[ ,-]{{1,2}}(?=[0-9]))?")
+    touching = re.compile(rf"{one}(?:[ ().,-]{{0,3}}[0-9]|[ ().,-]{{1,3}}{one})|[0-9+][ ().,-]{{0,3}}{one}|\bplus\s+{one}")
+    return value, re.compile(one), run, touching
+
+
+def lower(text: str) -> str:
+    """The text in lower case, character by character."""
+    low = text.lower()
+    return low if len(low) == len(text) else "".join(c if len(x := c.lower()) != 1 else x for c in text)
 
 
 _DOT_WORD = re.compile(r"\bdot\b", re.I)
+_DOT_AFTER = re.compile(r"\s+dot\b")
+_WORD = re.compile(r"[^\W\d_]+")
 _PLUS = re.compile(r"\bplus\s+(?=[0-9])", re.I)
 # without the spaces around them, which would be tried again from each space of a long run
 _AT = re.compile(r"[(\[{<]\s*(?:at|@)\s*[)\]}>]", re.I)
@@ -161,12 +175,18 @@ def fold(v: View) -> View:
     return v.rewrite([(m.start(), m.end(), [(c, m.start(), m.end()) for c in table[m[0]]]) for m in found.finditer(v.text)])
 
 
-def spell(v: View) -> View:
-    value, _, run, one = spelled()
-    edits = []
-    for m in run.finditer(v.text):
-        words = [(value[w[0].lower()], w.start(), w.end()) for w in one.finditer(v.text, m.start(), m.end())]
-        if len(words) == 1 or len({d for d, _, _ in words}) > 1:  # the same word again and again is no number
+def spell(v: View, how: str) -> View:
+    """``words``: words beside others, or next to "dot", become digits. ``inner``: words between digits do, and the gaps to these go.
+    ``all``: all words do, and the gaps to digits beside them go."""
+    value, one, run, _ = spelled()
+    edits, low = [], lower(v.text)
+    for m in run.finditer(low):
+        a, b = m.span("words")
+        words = [(value[w[0]], w.start(), w.end()) for w in one.finditer(low, a, b)]
+        if how == "words":
+            if len(words) > 1 or _DOT_AFTER.match(low, b) or low[max(0, a - 5) : a].endswith("dot ") and _DOT_WORD.match(low, a - 4):
+                edits.append((a, b, words))
+        elif how == "all" or low[max(0, m.start() - 1) : m.start()] in set("0123456789+") and low[m.end() : m.end() + 1] in set("0123456789"):
             edits.append((m.start(), m.end(), words))
     v = v.rewrite(edits)
     return v.rewrite([(m.start(), m.end(), [("+", m.start(), m.end())]) for m in _PLUS.finditer(v.text)])
@@ -208,22 +228,47 @@ def suspicious(text: str) -> bool:
         return True
     if _AT.search(text) or _DOT.search(text):
         return True
-    words = spelled()[1].intersection(low.replace(",", " ").replace("-", " ").replace(".", " ").split())
-    return len(words) > 1 and spelled()[2].search(text) is not None
+    words, _, _, touching = spelled()
+    return not words.keys().isdisjoint(_WORD.findall(low)) and touching.search(low) is not None
 
 
 def disguised(text: str, plain: dict[str, list[Span]]) -> dict[str, list[Span]]:
-    """Identifiers that show only in the rewritten text, as spans of ``text``."""
+    """Identifiers that show only in a rewritten text, as spans of ``text``."""
     out: dict[str, list[Span]] = {k: [] for k in KINDS}
     if not suspicious(text):
         return out
-    v = undisguise(spell(fold(View(text))))
-    for kind, spans in identifiers(v.text).items():
-        taken = plain[kind]
-        for a, b in spans:
-            s, e = v.start[a], v.end[b - 1]
-            if any(v.changed[a:b]) and not any(x <= s and e <= y for x, y in taken):
-                out[kind].append((s, e))
+    folded = fold(View(text))
+    views = [folded]
+    if spelled()[1].search(lower(folded.text)) or _PLUS.search(folded.text):
+        # a word beside a number may belong to it or not, so each reading is searched
+        views += [spell(folded, how) for how in ("words", "inner", "all")]
+    for i, v in enumerate(map(undisguise, views)):
+        for kind, spans in identifiers(v.text).items():
+            for a, b in spans:
+                s, e = v.start[a], v.end[b - 1]
+                if not any(v.changed[a:b]) or i and kind == "card" and one_word(v, a, b):
+                    continue
+                # words beside a plain address are no part of it
+                apart = i and kind in ("email", "ip")
+                if not any((x < e and s < y) if apart else (x <= s and e <= y) for x, y in plain[kind]):
+                    out[kind].append((s, e))
+    return {k: merged(v) for k, v in out.items()}
+
+
+def one_word(v: View, a: int, b: int) -> bool:
+    """Whether a number is one digit word again and again, such as a row of null, and has no figure."""
+    at = [i for i in range(a, b) if v.text[i] in "0123456789"]
+    return all(v.changed[i] and v.text[i] == v.text[at[0]] for i in at)
+
+
+def merged(spans: list[Span]) -> list[Span]:
+    """The spans in order, those that overlap as one."""
+    out: list[Span] = []
+    for a, b in sorted(spans):
+        if out and a < out[-1][1]:
+            out[-1] = out[-1][0], max(b, out[-1][1])
+        else:
+            out.append((a, b))
     return out
 
 
