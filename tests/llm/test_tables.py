@@ -43,6 +43,25 @@ def test_archives(spark, split, least):
     assert warc.round_trip(spark, pages.limit(0)).count() == 0
 
 
+LONG_URLS = [
+    (1, "u", "before"), (2, "http://x/" + "a" * 20000 + "WARC/1." + "b" * 20000, "long"), (3, "u", "after"), (4, "WARC/1.1 " + "c" * 9000 + "WARC/1." * 3 + "d" * 20000, "long" + INNER),
+    (5, "u", "WARC/1.1\r\nA: " * 3000), (6, "u", "WARC/1.1\r\nA: b\r\n" + "e" * 20000 + "WARC/1.0\r\n: " + "f" * 20000), (7, "http://x/WARC/1.1" + "g" * 20000, "long"), (8, "u", "last"),
+]
+
+
+@pytest.mark.parametrize("split", [None, "5000", "300"])
+def test_long_urls_with_magics(spark, split):
+    pages = spark.createDataFrame(LONG_URLS, "page_id long, url string, html string")
+    if split:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", split)
+        spark.conf.set("spark.sql.files.openCostInBytes", "0")
+    try:
+        assert sorted(map(str, map(tuple, warc.round_trip(spark, pages.coalesce(1)).collect()))) == expected(LONG_URLS)
+    finally:
+        for k in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes"):
+            spark.conf.unset(k)
+
+
 def test_many_groups_are_joined(spark, monkeypatch):
     monkeypatch.setattr(warc, "SENT_GROUPS", 0)
     pages = spark.createDataFrame(PAGES, "page_id long, url string, html string")

@@ -5,8 +5,8 @@ A group's decision is joined to its pages by digest, so pages are moved only if
 
 Reading: the text source splits files at every ``WARC/1.``, true record start or not. For each such place a task reads the header and emits the length it declares, which is where the
 record's successor would begin; a payload digest comes with it if the record ends before the next such place. The places of one file then form a graph of pointers;
-pointer jumping from the start of the file marks those that can be reached, and only they are records. So ``WARC/1.`` inside a payload, a whole record there included, is never taken for
-one. Payloads that hold such places are put together from their parts in a second pass, which is left out if there are none.
+a walk from the start of the file finds those that can be reached, and only they are records. A header that holds ``WARC/1.`` itself, of whatever length, is put together when the walk comes to
+it, so no byte is put together twice. So ``WARC/1.`` inside a payload, a whole record there included, is never taken for one. Payloads that hold such places are put together from their parts in a second pass, which is left out if there are none.
 
 Defined results: a null payload counts as empty; payloads of fewer than ``least`` bytes are always responses. Pages with a null id come last in the choice of the response. Repeated rows with the
 chosen id are all responses. A file that doesn't begin with a record has none; a chain that meets no record start ends there. No pages give no records. Line breaks in a URL become
@@ -31,7 +31,6 @@ from .streams import grouped
 MAGIC = b"WARC/1."
 #: So many groups of equal payloads, of 28 bytes each, are sent to every task; more are joined by a shuffle.
 SENT_GROUPS = 100_000
-LONGEST_HEADER = 1 << 13
 _ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
 _VERSION = re.compile(rb"[0-9]\r\n")
 _FIELDS = ["type", "record_id", "target_uri", "refers_to", "declared_digest", "payload_digest", "payload_bytes"]
@@ -98,6 +97,11 @@ def header(chunk: bytes) -> tuple[dict[bytes, bytes], int, int] | None:
     return fields, end + 4, int(length)
 
 
+def goes_on(chunk: bytes) -> bool:
+    """Whether a header that reaches into the chunk may go on behind it: no blank line, and its whole lines are fields or continue one."""
+    return b"\r\n\r\n" not in chunk and all(b":" in line or line[:1] in (b" ", b"\t") for line in chunk.split(b"\r\n")[1:-1])
+
+
 def described(fields: dict[bytes, bytes], block: bytes) -> tuple:
     text = lambda k: fields[k].decode("utf-8", "replace") if k in fields else None
     payload, size = block, len(block)
@@ -136,14 +140,16 @@ def read(spark: SparkSession, folder: str) -> DataFrame:
     fields_ddl = "type string, record_id string, target_uri string, refers_to string, declared_digest string, payload_digest string, payload_bytes bigint"
 
     def candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        is_open = True  # whether the chunk before this one may be the beginning of a header that goes on here
+        is_open = True  # whether a header before this chunk may go on here
         for b in batches:
             rows = []
             for x, number in zip(b.column(0), b.column(3).to_pylist(), strict=True):
                 chunk = x.as_py()
                 h, stop = header(chunk), chunk.find(b"\r\n\r\n")
-                start = chunk[: stop + 4 if stop >= 0 else None][:LONGEST_HEADER] if h is None or is_open or number < 2 else None
-                is_open = stop < 0
+                # of the first chunks of a split it isn't known what stands before them
+                into = is_open or number < 2
+                is_open = (into or _VERSION.match(chunk) is not None) and goes_on(chunk)
+                start = chunk[: stop + 4 if stop >= 0 else None] if into or is_open else None
                 if h is None:
                     rows.append((len(chunk), None, start, *[None] * 7))
                     continue
@@ -153,7 +159,21 @@ def read(spark: SparkSession, folder: str) -> DataFrame:
             cols = list(zip(*rows, strict=True)) or [()] * 10
             yield pa.RecordBatch.from_arrays([*b.columns[1:], *(pa.array(c, t) for c, t in zip(cols, [pa.int64(), pa.int64(), pa.binary(), *_FIELD_TYPES], strict=True))], ["file", "split", "number", "size", "reach", "start", *_FIELDS])
 
-    def jump(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def stitched(starts: pa.Array, i: int, end: int) -> int:
+        """How far a record reaches whose header begins in chunk i and holds magics; 0 if none does."""
+        parts = [starts[i].as_py() or b""]
+        if not _VERSION.match(parts[0]):
+            return 0
+        while b"\r\n\r\n" not in parts[-1]:
+            i += 1
+            more = starts[i].as_py() if i < end else None
+            if more is None:
+                return 0
+            parts.append(more)
+        h = header(MAGIC.join(parts))
+        return len(MAGIC) + h[1] + h[2] + 4 if h else 0
+
+    def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = ["file", "offset", "split", "number", "parts", *_FIELDS]
         for b, cut in grouped(batches, "key"):
             col = {n: b.column(i) for i, n in enumerate(b.schema.names)}
@@ -166,31 +186,21 @@ def read(spark: SparkSession, folder: str) -> DataFrame:
                 if n == 0 or size[0] != 0:
                     continue
                 reach = col["reach"].slice(x + 1, n).fill_null(0).to_numpy().copy()
-                for i in np.flatnonzero(col["start"].slice(x + 1, n).is_valid().to_numpy(zero_copy_only=False)).tolist():
-                    text = col["start"][x + 1 + i].as_py()
-                    if reach[i] or not _VERSION.match(text) or b"\r\n\r\n" in text:
-                        continue
-                    for j in range(i + 1, n):
-                        more = col["start"][x + 1 + j].as_py()
-                        if more is None or len(text) > LONGEST_HEADER:
-                            break
-                        text += MAGIC + more
-                        if b"\r\n\r\n" in text:
-                            h = header(text)
-                            reach[i] = len(MAGIC) + h[1] + h[2] + 4 if h else 0
-                            break
                 succ = np.where(reach > 0, magic + reach, -1)
                 to = np.searchsorted(magic, succ)
-                ok = (succ >= 0) & (to < n) & (magic[np.minimum(to, n - 1)] == succ)
-                pointer = np.where(ok, to, np.arange(n))
-                seen = np.zeros(n, bool)
-                seen[0] = True
-                for _ in range(max(1, n.bit_length())):
-                    seen[pointer[seen]] = True
-                    pointer = pointer[pointer]
-                # a record must end at a start or at the end of the file
-                good = np.flatnonzero(seen & (ok | (succ == end)))
-                count = np.searchsorted(magic, succ[good]) - good
+                good, i = [], 0
+                while i < n:
+                    if succ[i] < 0:
+                        succ[i] = magic[i] + stitched(col["start"], x + 1 + i, y)
+                        to[i] = np.searchsorted(magic, succ[i])
+                    j = int(to[i])
+                    # a record must end at a start or at the end of the file
+                    if j <= i or (magic[j] if j < n else end) != succ[i]:
+                        break
+                    good.append(i)
+                    i = j
+                good = np.array(good, np.int64)
+                count = to[good] - good
                 keep.append(x + 1 + good)
                 offsets.append(magic[good])
                 parts.append(count)
@@ -200,7 +210,7 @@ def read(spark: SparkSession, folder: str) -> DataFrame:
 
     every = chunks(spark, folder)
     thin = every.mapInArrow(candidates, f"file string, split bigint, number bigint, size bigint, reach bigint, start binary, {fields_ddl}").withColumn("key", F.xxhash64("file"))
-    found = thin.repartition("key").sortWithinPartitions("key", "split", "number").mapInArrow(jump, f"file string, offset bigint, split bigint, number bigint, parts bigint, {fields_ddl}")
+    found = thin.repartition("key").sortWithinPartitions("key", "split", "number").mapInArrow(walk, f"file string, offset bigint, split bigint, number bigint, parts bigint, {fields_ddl}")
     found = save(spark, found, "records")
     return found.select("file", "offset", *_FIELDS) if found.where("parts > 1").isEmpty() else found.where("parts = 1").select("file", "offset", *_FIELDS).unionByName(spanning(spark, every, found))
 
