@@ -206,6 +206,49 @@ def test_lzw_full_table():
     assert gif.lzw_decode(gif.lzw_encode(data)[:500], 8, len(data)) == data[: len(gif.lzw_decode(gif.lzw_encode(data)[:500], 8, len(data)))]
 
 
+def deferred(parts, bits):
+    """A code stream that has clear codes only between the parts."""
+    clear, out, count = 1 << bits, [], 0
+    for data in parts:
+        out.append((clear, bits + 1 if not out else min(12, (clear + 1 + count).bit_length())))
+        table, prefix, count = {bytes([i]): i for i in range(clear)}, b"", 0
+        codes = []
+        for c in data:
+            if prefix + bytes([c]) in table:
+                prefix += bytes([c])
+                continue
+            codes.append(table[prefix])
+            if len(table) + 2 < 4096:
+                table[prefix + bytes([c])] = len(table) + 2
+            prefix = bytes([c])
+        for code in [*codes, table[prefix]]:
+            out.append((code, max(bits + 1, min(12, (clear + 1 + count).bit_length()))))
+            count += 1
+    out.append((clear + 1, min(12, (clear + 1 + count).bit_length())))
+    return np.packbits([code >> i & 1 for code, n in out for i in range(n)], bitorder="little").tobytes(), len(out)
+
+
+@pytest.mark.parametrize("bits", [2, 8])
+def test_lzw_full_table_without_clear(bits):
+    rng = random.Random(bits)
+    parts = [bytes(rng.randrange(1 << bits) for _ in range(n)) for n in (50000 if bits == 8 else 200000, 7, 90000)]
+    stream, n = deferred(parts, bits)
+    data = b"".join(parts)
+    assert n > 2 * 16384 and gif.lzw_decode(stream, bits, len(data)) == data and gif.lzw_decode(stream, bits, len(data) + 9) == data
+    half = gif.lzw_decode(stream[: len(stream) // 2], bits, len(data))
+    assert len(half) > 20000 and data.startswith(half)
+
+
+def test_large_image_of_others(spark):
+    rng = random.Random(3)
+    data = bytes(rng.randrange(4) for _ in range(600 * 500))
+    stream, n = deferred([data], 2)
+    head = b"GIF89a" + bytes([88, 2, 244, 1, 0x81, 0, 0]) + bytes([0, 0, 0, 255, 0, 0, 0, 255, 0, 0, 0, 255])
+    whole = head + (b"\x2c" + bytes([0, 0, 0, 0, 88, 2, 244, 1, 0, 2]) + gif.blocks(stream)) * 2 + b";"
+    got = gif.frames(spark.createDataFrame([(1, bytearray(whole))], "doc_id long, media binary"), "doc_id", "media").collect()
+    assert n > 16384 and len(got) == 2 and all(sum(r.histogram) == 600 * 500 for r in got)
+
+
 def frames_of(*parts):
     head = b"GIF89a" + bytes([3, 0, 2, 0, 0x81, 0, 0]) + bytes([0, 0, 0, 255, 0, 0, 0, 255, 0, 0, 0, 255])
     return head + b"".join(parts) + b";"

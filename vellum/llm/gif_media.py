@@ -44,6 +44,12 @@ def schedule(bits: int) -> tuple[np.ndarray, np.ndarray]:
     return width, np.r_[0, np.cumsum(width)]
 
 
+@cache
+def frozen() -> tuple[np.ndarray, np.ndarray]:
+    """As ``schedule``, for codes behind a full table."""
+    return np.full(1 << 14, 12), 12 * np.arange((1 << 14) + 1)
+
+
 def packed(runs: list[list[int]], bits: int) -> bytes:
     """Runs of codes, each of which ends with a clear code or the end code, as a bit stream, low bits first. A clear code goes before them."""
     parts = [((1 << bits) >> np.arange(bits + 1)) & 1]
@@ -85,15 +91,16 @@ def lzw_encode(samples: bytes, bits: int = 8) -> bytes:
 
 
 def lzw_decode(stream: bytes, bits: int, want: int) -> bytes:
-    """The samples of a code stream, ``want`` at most; of a broken stream as many as can be read. Codes up to the next clear code are unpacked at once. An entry is
-    the output of the code that made it and the sample after that, so a code is a copy of output that is there already."""
+    """The samples of a code stream, ``want`` at most; of a broken stream as many as can be read. Codes up to the next clear code are unpacked at once, those of a table
+    that stays full in blocks. An entry is the output of the code that made it and the sample after that, so a code is a copy of output that is there already."""
     clear, end, base = 1 << bits, (1 << bits) + 1, (1 << bits) + 2
     if not 1 < bits < 9:
         return b""
-    widths, ahead = schedule(bits)
     raw = np.frombuffer(stream + b"\0\0\0", np.uint8).astype(np.uint32)
-    out, at, total = bytearray(), 0, 8 * len(stream)
+    out, at, total, full = bytearray(), 0, 8 * len(stream), False
+    start: list[int] = []
     while len(out) < want:
+        widths, ahead = frozen() if full else schedule(bits)
         n = min(int(np.searchsorted(ahead, total - at, "right")) - 1, want - len(out) + 2, len(widths))
         if n <= 0:
             break
@@ -103,7 +110,10 @@ def lzw_decode(stream: bytes, bits: int, want: int) -> bytes:
         stop = np.flatnonzero((codes == clear) | (codes == end))
         last = int(stop[0]) if len(stop) else n
         pos = len(out)
-        start = [pos]  # where each code's output begins, and at last where the next one's will
+        if full:
+            del start[4097:]  # a full table has no entries behind these
+        else:
+            start = [pos]  # where each code's output begins, and at last where the next one's will
         add, put = start.append, out.append
         for c in codes[:last].tolist():
             if c < clear:
@@ -121,11 +131,10 @@ def lzw_decode(stream: bytes, bits: int, want: int) -> bytes:
                     put(out[a])
                 pos += b + 1 - a
             add(pos)
-        if last == n and n == len(widths):  # no clear code for very long: the table is full and widths stay
-            return bytes(out[:want])
-        if last == n or codes[last] == end:
+        full = last == n == len(widths)  # no clear code for very long: the table is full, it and the width stay
+        if not full and (last == n or codes[last] == end):
             break
-        at += int(ahead[last + 1])
+        at += int(ahead[n if full else last + 1])
     return bytes(out[:want])
 
 
