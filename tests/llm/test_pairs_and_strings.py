@@ -1,5 +1,6 @@
 """Jaccard join and removal of repeated strings against brute force."""
 
+import math
 import random
 
 import numpy as np
@@ -43,6 +44,10 @@ def test_recall_of_paths():
     assert met >= 0.98 * n
 
 
+def test_sketches_miss_less_than_one_in_a_million():
+    assert sum(math.comb(jj.SKETCH, k) * 0.8**k * 0.2 ** (jj.SKETCH - k) for k in range(jj.AGREE)) < 1e-6
+
+
 def test_components(spark):
     rng = random.Random(2)
     edges = [(rng.randrange(200), rng.randrange(200)) for _ in range(120)] + [(i, i + 1) for i in range(300, 340)] + [(400, 400)]

@@ -34,8 +34,8 @@ from .scratch import K1, K2, row_key, save
 from .streams import grouped, thrifty
 
 WORDS, SIMILARITY, RECALL, DEPTH, BLOCK = 5, "0.8", 0.99999, 3, 1024
-#: Sketches of pairs at similarity 0.8 agree in fewer than this many of 64 places about once in a million times.
-SKETCH, AGREE = 64, 36
+#: Sketches of pairs at similarity 0.8 agree in fewer than this many of 64 places less than once in a million times (binomial: 3.2e-7).
+SKETCH, AGREE = 64, 34
 _rng = np.random.default_rng(0xC0FFEE)
 _SKETCH_A = _rng.integers(0, 1 << 32, SKETCH, dtype=np.uint64).astype(np.uint32) | np.uint32(1)
 _SKETCH_B = _rng.integers(0, 1 << 32, SKETCH, dtype=np.uint64).astype(np.uint32)
