@@ -67,8 +67,8 @@ def test_components(spark):
     assert got == {k: v for k, v in root.items() if k not in alone}
 
 
-@pytest.mark.parametrize(("window", "gram"), [(40, 8), (400, 128)])
-def test_repeated_strings_are_what_all_windows_give(spark, window, gram):
+@pytest.mark.parametrize(("window", "gram", "crowd"), [(40, 8, 4096), (400, 128, 4096), (40, 8, 1), (400, 128, 1), (200, 16, 3)])
+def test_repeated_strings_are_what_all_windows_give(spark, window, gram, crowd):
     rng, texts = random.Random(1), []
     passages = [" ".join(words(rng, window // 2)) for _ in range(6)]
     for _ in range(80):
@@ -82,7 +82,7 @@ def test_repeated_strings_are_what_all_windows_give(spark, window, gram):
             texts.append(t[: len(t) // 2] + "X" + t[len(t) // 2 + 1 :])
     texts += [*edge_texts(), texts[0], "ab" * window]
     ids = [*range(len(texts) - 1), 0]
-    got = sorted(map(tuple, sd.dedup(spark, frame(spark, texts, ids), window=window, gram=gram).collect()))
+    got = sorted(map(tuple, sd.dedup(spark, frame(spark, texts, ids), window=window, gram=gram, crowd=crowd).collect()))
     assert got == sorted((i, *e) for i, e in zip(ids, covered(texts, window), strict=True))
 
 

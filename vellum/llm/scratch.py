@@ -14,6 +14,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 K1, K2 = "__vellum_k1", "__vellum_k2"
+#: So many keys at most are sent to every task by a join that takes the most frequent ones out of its shuffle.
+HOT_KEYS = 10_000
 
 _tables: list = []
 
@@ -64,6 +66,15 @@ def save(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
     return out
 
 
+def join_evenly(rows: DataFrame, keys: DataFrame, on: list[str], times: str) -> DataFrame:
+    """``rows`` with those of ``keys`` (one row for each key; ``times``: how many of the rows have it, a column that is dropped). Keys that more than one row in
+    HOT_KEYS has, and of which there can't be more than HOT_KEYS, are sent to every task; rows with such a key aren't shuffled. Both tables should be saved ones."""
+    most = max(rows.count() // HOT_KEYS, 1)
+    hot, cold = (keys.where(F.col(times) > most).drop(times), keys.where(F.col(times) <= most).drop(times))
+    rest = rows.join(F.broadcast(hot.select(on)), on, "left_anti")
+    return rows.join(F.broadcast(hot), on).unionByName(rest.join(cold, on))
+
+
 def row_key(*cols: Column) -> list[Column]:
     """Two 64-bit hashes that stand for a row's values in ``cols``; rows that are alike share them."""
     return [F.xxhash64(*cols).alias(K1), F.xxhash64(F.lit(7), *cols).alias(K2)]

@@ -12,9 +12,13 @@ one byte in 130), each with the bytes in front of it that its strings reach back
    and sorted within its bucket by multikey quicksort. Splitters are compared on the whole gram, so no run of suffixes
    that could share a string lies across a boundary;
 4. neighbours' common prefixes, and the same for the reversed bytes in front, tell for each distance between string and anchor
-   which strings are equal;
+   which strings are equal. A gram with more different covers than one task should hold isn't sorted in one bucket: its covers are told apart
+   by hashes of what they have in common for a range of distances, ranges of 32, then 4, then 1, and only those go on to a narrower range
+   that others might equal in a part of it (``crowded_spans``);
 5. the covered bytes are removed from each text.
 
+Rows with a gram or cover that very many rows have aren't shuffled by it (``join_evenly``).
+
 Defined results: a null or empty text has no bytes; a text shorter than the window is left whole. Strings are judged on the
 input. Repeated rows and equal texts count as repetitions of each other. Texts of any length are read whole, in overlapping pieces.
 An empty table gives an empty result. Only the named columns are read, so further columns never clash.
@@ -32,10 +36,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import textkit as tk
-from .scratch import K1, K2, row_key, save
+from .scratch import K1, K2, join_evenly, row_key, save
 from .streams import grouped
 
 WINDOW, GRAM = 400, 128
+#: A gram with more different covers than this isn't compared in one task.
+CROWD = 4096
+#: Numbers of distances that such covers are compared for at a time.
+STEPS = (32, 4, 1)
 _PLACE = np.uint64((1 << 24) - 1)
 _PIECE = 1 << 20
 
@@ -181,7 +189,7 @@ def merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return out
 
 
-def repeated_spans(spark: SparkSession, docs: DataFrame, text_col: str = "text", key_cols: tuple[str, ...] = ("doc_id",), window: int = WINDOW, gram: int = GRAM) -> DataFrame:
+def repeated_spans(spark: SparkSession, docs: DataFrame, text_col: str = "text", key_cols: tuple[str, ...] = ("doc_id",), window: int = WINDOW, gram: int = GRAM, crowd: int = CROWD) -> DataFrame:
     """Per row key the covered byte ranges, not merged: __vellum_k1, __vellum_k2, spans array<struct<a,b>>; only for rows that have any."""
     text = F.col(text_col).cast("string")
     rows = docs.select(*row_key(*[F.col(c) for c in key_cols], text), text.alias("text"))
@@ -203,45 +211,47 @@ def repeated_spans(spark: SparkSession, docs: DataFrame, text_col: str = "text",
     found = rows.mapInArrow(emit, f"{K1} bigint, {K2} bigint, gram bigint, cover bigint, at bigint, low int, high int")
     found = save(spark, found, "anchors")
     grams = found.groupBy("gram").agg(F.count(F.lit(1)).alias("n"), F.min("cover").alias("c0"), F.max("cover").alias("c1")).where("n > 1")
-    # written first: a join straight from an aggregate keeps its partitions, and a gram that very many anchors share couldn't be split
-    grams = save(spark, grams.select("gram", (F.col("c0") == F.col("c1")).alias("alike")), "grams")
-    again = save(spark, found.join(grams, "gram"), "repeated")
+    grams = save(spark, grams.select("gram", (F.col("c0") == F.col("c1")).alias("alike"), "n"), "grams")
+    again = save(spark, join_evenly(found, grams, ["gram"], "n"), "repeated")
     span = F.struct((F.col("at") - F.col("high")).alias("a"), (F.col("at") - F.col("low") + window).alias("b")).alias("span")
     alike = again.where("alike").select(K1, K2, span)
 
     differ = again.where("not alike")
     owner = F.struct(K1, K2, "at", "low", "high")
     covers = save(spark, differ.groupBy("gram", "cover").agg(F.count(F.lit(1)).alias("n"), F.min(owner).alias("o")), "covers")
-    copied = differ.join(covers.where("n > 1").select("gram", "cover"), ["gram", "cover"]).select(K1, K2, span)
+    copied = join_evenly(differ, covers.where("n > 1").select("gram", "cover", "n"), ["gram", "cover"], "n").select(K1, K2, span)
 
-    wanted = covers.groupBy(F.col(f"o.{K1}").alias(K1), F.col(f"o.{K2}").alias(K2)).agg(F.collect_list(F.struct("gram", "cover", "n", F.col("o.at").alias("at"), F.col("o.low").alias("low"), F.col("o.high").alias("high"))).alias("w"))
+    crowds = save(spark, covers.groupBy("gram").agg(F.count(F.lit(1)).alias("m")).where(F.col("m") > crowd), "crowds")
+    some = not crowds.isEmpty()
+    each = covers.join(crowds.select("gram", F.lit(True).alias("crowded")), "gram", "left") if some else covers.withColumn("crowded", F.lit(False))
+    wanted = each.groupBy(F.col(f"o.{K1}").alias(K1), F.col(f"o.{K2}").alias(K2)).agg(F.collect_list(F.struct("gram", "cover", "n", F.coalesce("crowded", F.lit(False)).alias("crowded"), F.col("o.at").alias("at"), F.col("o.low").alias("low"), F.col("o.high").alias("high"))).alias("w"))
 
     def slice_(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             data, offs = tk.texts(b.column(2))
             raw = memoryview(data)
-            cols: list[list] = [[] for _ in range(10)]
+            cols: list[list] = [[] for _ in range(11)]
             size = 0
             for i, (x1, x2, want) in enumerate(zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(3).to_pylist(), strict=True)):
                 o = int(offs[i])
                 for w in want:
                     at = o + w["at"]
-                    row = (x1, x2, w["gram"], w["cover"], w["n"], w["at"], w["low"], w["high"], bytes(raw[at : at - w["low"] + window]), bytes(raw[at - w["high"] : at])[::-1])
+                    row = (x1, x2, w["gram"], w["cover"], w["n"], w["at"], w["low"], w["high"], bytes(raw[at : at - w["low"] + window]), bytes(raw[at - w["high"] : at])[::-1], w["crowded"])
                     for c, v in zip(cols, row, strict=True):
                         c.append(v)
                     size += window + 64
                 if size > 1 << 22:
                     yield out(cols)
-                    cols, size = [[] for _ in range(10)], 0
+                    cols, size = [[] for _ in range(11)], 0
             yield out(cols)
 
     def out(cols: list[list]) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, [pa.int64()] * 6 + [pa.int32()] * 2 + [pa.binary()] * 2, strict=True)], [K1, K2, "gram", "cover", "n", "at", "low", "high", "suffix", "front"])
+        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, [pa.int64()] * 6 + [pa.int32()] * 2 + [pa.binary()] * 2 + [pa.bool_()], strict=True)], [K1, K2, "gram", "cover", "n", "at", "low", "high", "suffix", "front", "crowded"])
 
-    schema = f"{K1} bigint, {K2} bigint, gram bigint, cover bigint, n bigint, at bigint, low int, high int, suffix binary, front binary"
+    schema = f"{K1} bigint, {K2} bigint, gram bigint, cover bigint, n bigint, at bigint, low int, high int, suffix binary, front binary, crowded boolean"
     suffixes = save(spark, rows.join(wanted, [K1, K2]).select(K1, K2, "text", "w").mapInArrow(slice_, schema), "suffixes")
     head = F.substring("suffix", 1, gram)
-    buckets = suffixes.repartitionByRange(head).sortWithinPartitions(head)
+    buckets = suffixes.where("not crowded").repartitionByRange(head).sortWithinPartitions(head)
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b, cut in grouped(batches, "gram"):
@@ -263,13 +273,56 @@ def repeated_spans(spark: SparkSession, docs: DataFrame, text_col: str = "text",
 
     parts = buckets.mapInArrow(compare, f"{K1} bigint, {K2} bigint, span struct<a: bigint, b: bigint>")
     spans = alike.unionByName(copied).unionByName(parts)
+    if some:
+        spans = spans.unionByName(crowded_spans(spark, suffixes.where("crowded"), window))
     return spans.groupBy(K1, K2).agg(F.collect_list("span").alias("spans"))
 
 
-def dedup(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW, gram: int = GRAM, texts: bool = False) -> DataFrame:
+def crowded_spans(spark: SparkSession, covers: DataFrame, window: int = WINDOW) -> DataFrame:
+    """The covered ranges (K1, K2, span) of covers that occur once, of grams that have very many of them. Covers are dealt by hashes, never gathered by gram.
+
+    Distances are taken a slot at a time. Covers can only share a string of a slot if they agree in the bytes that all its strings have (``core``); covers that agree in all
+    bytes that their strings of the slot have (``whole``) share all of them. One of each such set goes on to narrower slots, if another set has its core."""
+    todo = covers.select(K1, K2, "gram", "cover", "at", "suffix", "front", F.array(F.struct(F.col("low").alias("p"), F.col("high").alias("q"), (F.col("n") > 1).alias("done"))).alias("ranges"))
+    schema = f"{K1} bigint, {K2} bigint, gram bigint, cover bigint, at bigint, core bigint, whole bigint, p int, q int, done boolean"
+    out = None
+    for step in STEPS:
+
+        def slots(batches: Iterator[pa.RecordBatch], step: int = step) -> Iterator[pa.RecordBatch]:
+            for b in batches:
+                index, found = [], []
+                for i, (gram, suffix, front, ranges) in enumerate(zip(*(b.column(c).to_pylist() for c in (2, 5, 6, 7)), strict=True)):
+                    for r in ranges:
+                        for k in range(r["p"] // step, r["q"] // step + 1):
+                            first, last = k * step, k * step + step - 1
+                            p, q = max(r["p"], first), min(r["q"], last)
+                            core = xxhash.xxh3_64_intdigest(b"%d %d %d %b" % (gram, first, len(front[:first]), front[:first] + suffix[: window - last]))
+                            whole = xxhash.xxh3_64_intdigest(b"%d %d %d %b" % (core, p, q, front[:q] + suffix[: window - p]))
+                            index.append(i)
+                            found.append((core - (1 << 63), whole - (1 << 63), p, q, r["done"]))
+                cols = list(zip(*found, strict=True)) or [()] * 5
+                kept = b.take(pa.array(index, pa.int64()))
+                yield pa.RecordBatch.from_arrays([*kept.columns[:5], *(pa.array(c, t) for c, t in zip(cols, [pa.int64()] * 2 + [pa.int32()] * 2 + [pa.bool_()], strict=True))], [K1, K2, "gram", "cover", "at", "core", "whole", "p", "q", "done"])
+
+        each = save(spark, todo.mapInArrow(slots, schema), "slots")
+        same = each.groupBy("core", "whole").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("gram", "cover", "p", "q")).alias("one"), F.bool_or("done").alias("done"))
+        same = save(spark, same, "same")
+        span = F.struct((F.col("at") - F.col("q")).alias("a"), (F.col("at") - F.col("p") + window).alias("b")).alias("span")
+        here = join_evenly(each.where("not done"), same.where("n > 1").select("core", "whole", "n"), ["core", "whole"], "n").select(K1, K2, span)
+        out = here if out is None else out.unionByName(here)
+        if step == STEPS[-1]:
+            break
+        open_ = same.groupBy("core").agg(F.count(F.lit(1)).alias("m"), F.bool_and(F.col("done") | (F.col("n") > 1)).alias("all")).where("m > 1 and not all").select("core", "m")
+        on = join_evenly(same, save(spark, open_, "open"), ["core"], "m").select("one.*", (F.col("done") | (F.col("n") > 1)).alias("done"))
+        ranges = on.groupBy("gram", "cover").agg(F.collect_list(F.struct("p", "q", "done")).alias("ranges"))
+        todo = covers.join(ranges, ["gram", "cover"]).select(K1, K2, "gram", "cover", "at", "suffix", "front", "ranges")
+    return out
+
+
+def dedup(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW, gram: int = GRAM, texts: bool = False, crowd: int = CROWD) -> DataFrame:
     """Per row of ``docs``: the id, n_bytes, n_removed, n_spans, kept_sha256, and with ``texts`` the kept bytes (which need not be UTF-8 any more)
     and the removed ranges."""
-    spans = repeated_spans(spark, docs, text_col, (id_col,), window, gram)
+    spans = repeated_spans(spark, docs, text_col, (id_col,), window, gram, crowd)
     text = F.col(text_col).cast("string")
     rows = docs.select(F.col(id_col).alias("__id"), *row_key(F.col(id_col), text), text.alias("text")).join(spans, [K1, K2], "left").select("__id", "text", "spans")
 
