@@ -7,6 +7,7 @@ import math
 import duckdb
 import pytest
 from fixtures_llm import edge_texts, frame, near_texts
+from pyspark.sql import functions as F
 
 from vellum.llm import mixing, queries
 from vellum.llm import warc_archive as warc
@@ -68,6 +69,28 @@ def test_many_groups_are_joined(spark, monkeypatch):
     assert sorted(map(str, map(tuple, warc.round_trip(spark, pages).collect()))) == expected(PAGES)
 
 
+@pytest.mark.parametrize("sent", [0, 100_000])
+def test_one_long_record_before_many(spark, monkeypatch, sent):
+    """What stands behind a record with magics is no part of it; the result outlives the archive, a later table and the JVM's garbage."""
+    from vellum.llm.scratch import save
+
+    monkeypatch.setattr(warc, "SENT_CHUNKS", sent)
+    rows = [(0, "u", "first WARC/1.1 in it")] + [(i, f"u{i}", f"page {i % 400} " * 20) for i in range(1, 2000)] + [(5000, "WARC/1." * 2000, "WARC/1.0\r\n" * 30000)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string").withColumns({"file": F.lit("f"), "record": F.lit(1), "__payload": F.lit("p"), "id": F.lit(2), "__top": F.lit(3)})
+    got = warc.round_trip(spark, pages.coalesce(1))
+    spark.sparkContext._jvm.System.gc()
+    save(spark, spark.range(1), "later")
+    assert sorted(map(str, map(tuple, got.collect()))) == expected(rows)
+
+
+def test_lost_records_are_an_error(spark, monkeypatch):
+    pages = spark.createDataFrame(PAGES, "page_id long, url string, html string")
+    whole = warc.read
+    monkeypatch.setattr(warc, "read", lambda s, folder: whole(s, folder).limit(3))
+    with pytest.raises(RuntimeError, match="12 pages"):
+        warc.round_trip(spark, pages)
+
+
 def test_header():
     assert warc.header(b"1\r\nWARC-Type: response\r\nX: a\r\n b\r\nContent-Length: 2\r\n\r\nhi")[0][b"x"] == b"a b"
     assert warc.header(b"1\r\nno colon\r\n\r\n") is None and warc.header(b"1 in a text") is None and warc.header(b"1\r\nContent-Length: 2\r\n\r\n") is None
@@ -88,8 +111,6 @@ def test_mixing(spark):
 
 
 def test_poisson(spark):
-    from pyspark.sql import functions as F
-
     for rate in (0.3, 4.0, 60.0):
         cdf = spark.range(1).select(mixing.poisson_cdf(F.lit(rate)).alias("c")).first()[0]
         assert all(abs(c - sum(math.exp(k * math.log(rate) - rate - math.lgamma(k + 1)) for k in range(i + 1))) < 1e-12 for i, c in enumerate(cdf[:100]))

@@ -6,11 +6,12 @@ A group's decision is joined to its pages by digest, so pages are moved only if
 Reading: the text source splits files at every ``WARC/1.``, true record start or not. For each such place a task reads the header and emits the length it declares, which is where the
 record's successor would begin; a payload digest comes with it if the record ends before the next such place. The places of one file then form a graph of pointers;
 a walk from the start of the file finds those that can be reached, and only they are records. A header that holds ``WARC/1.`` itself, of whatever length, is put together when the walk comes to
-it, so no byte is put together twice. So ``WARC/1.`` inside a payload, a whole record there included, is never taken for one. Payloads that hold such places are put together from their parts in a second pass, which is left out if there are none.
+it, so no byte is put together twice. So ``WARC/1.`` inside a payload, a whole record there included, is never taken for one. Payloads that hold such places are put together from their parts in a second pass, which is left out if there are none:
+the walk names the chunks that belong to each such record, and these alone are joined, sorted and read on one after the other.
 
 Defined results: a null payload counts as empty; payloads of fewer than ``least`` bytes are always responses. Pages with a null id come last in the choice of the response. Repeated rows with the
 chosen id are all responses. A file that doesn't begin with a record has none; a chain that meets no record start ends there. No pages give no records. Line breaks in a URL become
-spaces. Only the named columns are read, so further columns never clash.
+spaces, and URLs and payloads may be of any length. A round trip that doesn't give back as many records as pages is an error. Only the named columns are read, so further columns never clash.
 """
 
 from __future__ import annotations
@@ -25,16 +26,19 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .scratch import new_folder, save, watch
+from .scratch import delete, new_folder, save
 from .streams import grouped
 
 MAGIC = b"WARC/1."
 #: So many groups of equal payloads, of 28 bytes each, are sent to every task; more are joined by a shuffle.
 SENT_GROUPS = 100_000
+#: So many chunks of records that hold magics are sent to every task, by their places of 30 bytes or so; more are joined by a shuffle.
+SENT_CHUNKS = 100_000
 _ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
 _VERSION = re.compile(rb"[0-9]\r\n")
 _FIELDS = ["type", "record_id", "target_uri", "refers_to", "declared_digest", "payload_digest", "payload_bytes"]
 _FIELD_TYPES = [pa.string()] * 6 + [pa.int64()]
+_PLACES = pa.list_(pa.struct([("split", pa.int64()), ("number", pa.int64())]))
 
 
 def base32(hex_digest: Column) -> Column:
@@ -174,10 +178,10 @@ def read(spark: SparkSession, folder: str) -> DataFrame:
         return len(MAGIC) + h[1] + h[2] + 4 if h else 0
 
     def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["file", "offset", "split", "number", "parts", *_FIELDS]
+        names = ["file", "offset", "parts", "chunks", *_FIELDS]
         for b, cut in grouped(batches, "key"):
             col = {n: b.column(i) for i, n in enumerate(b.schema.names)}
-            keep, offsets, parts = [], [], []
+            keep, offsets, parts, chunks_ = [], [], [], []
             for x, y in zip(cut[:-1].tolist(), cut[1:].tolist(), strict=True):
                 size = col["size"].slice(x, y - x).to_numpy()
                 # the first chunk stands before the first magic
@@ -204,50 +208,56 @@ def read(spark: SparkSession, folder: str) -> DataFrame:
                 keep.append(x + 1 + good)
                 offsets.append(magic[good])
                 parts.append(count)
+                split, number = (col[c].slice(x + 1, n).to_pylist() if (count > 1).any() else [] for c in ("split", "number"))
+                chunks_ += [[{"split": split[k], "number": number[k]} for k in range(i, i + c)] if c > 1 else None for i, c in zip(good.tolist(), count.tolist(), strict=True)]
             if keep:
                 at = pa.array(np.concatenate(keep))
-                yield pa.RecordBatch.from_arrays([col["file"].take(at), pa.array(np.concatenate(offsets)), col["split"].take(at), col["number"].take(at), pa.array(np.concatenate(parts).astype(np.int64)), *(col[f].take(at) for f in _FIELDS)], names)
+                yield pa.RecordBatch.from_arrays([col["file"].take(at), pa.array(np.concatenate(offsets)), pa.array(np.concatenate(parts).astype(np.int64)), pa.array(chunks_, _PLACES), *(col[f].take(at) for f in _FIELDS)], names)
 
     every = chunks(spark, folder)
     thin = every.mapInArrow(candidates, f"file string, split bigint, number bigint, size bigint, reach bigint, start binary, {fields_ddl}").withColumn("key", F.xxhash64("file"))
-    found = thin.repartition("key").sortWithinPartitions("key", "split", "number").mapInArrow(walk, f"file string, offset bigint, split bigint, number bigint, parts bigint, {fields_ddl}")
+    found = thin.repartition("key").sortWithinPartitions("key", "split", "number").mapInArrow(walk, f"file string, offset bigint, parts bigint, chunks array<struct<split: bigint, number: bigint>>, {fields_ddl}")
     found = save(spark, found, "records")
-    return found.select("file", "offset", *_FIELDS) if found.where("parts > 1").isEmpty() else found.where("parts = 1").select("file", "offset", *_FIELDS).unionByName(spanning(spark, every, found))
+    long = found.where("parts > 1")
+    n = long.agg(F.sum("parts")).first()[0]
+    short = found.where("parts = 1").select("file", "offset", *_FIELDS)
+    # saved, so that the result reads nothing of the archives any more
+    return short.unionByName(save(spark, spanning(every, long, n <= SENT_CHUNKS), "spanning")) if n else short
 
 
-def spanning(spark: SparkSession, every: DataFrame, found: DataFrame) -> DataFrame:
-    """Records whose payload holds magics, put together from their chunks. A file's chunks are numbered in order by their split and number."""
-    long = found.where("parts > 1").select("file", "offset", "parts", F.struct("split", "number").alias("first"))
-    firsts = long.groupBy("file").agg(F.sort_array(F.collect_list(F.struct("first", "offset", "parts"))).alias("longs"))
-    # within a file with such records, each chunk finds the last of them that begins at or before it
-    here = F.struct("split", "number")
-    owner = F.element_at(F.filter("longs", lambda r: r["first"] <= here), -1)
-    mine = every.join(firsts, "file").withColumn("own", F.when(F.size(F.filter("longs", lambda r: r["first"] <= here)) > 0, owner)).where("own is not null")
-    parts = mine.groupBy("file", F.col("own.offset").alias("offset"), F.col("own.parts").alias("parts")).agg(F.slice(F.sort_array(F.collect_list(F.struct("split", "number", "chunk"))), 1, F.col("own.parts").cast("int")).alias("chunks"))
+def spanning(every: DataFrame, long: DataFrame, few: bool) -> DataFrame:
+    """Records whose payload holds magics, from the chunks that the walk found to be theirs. ``few``: there are few enough of these to be sent to every task."""
+    places = long.select("file", "offset", F.posexplode("chunks").alias("place", "c")).select("file", "offset", "place", "c.split", "c.number")
+    mine = every.join(F.broadcast(places) if few else places, ["file", "split", "number"]).select(F.xxhash64("file", "offset").alias("record"), "file", "offset", "place", "chunk")
 
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b, cut in grouped(batches, "record"):
             rows = []
-            for x in b.column(2):
-                chunk = MAGIC.join(c["chunk"] for c in x.as_py())
+            for x, y in zip(cut[:-1].tolist(), cut[1:].tolist(), strict=True):
+                chunk = MAGIC.join(b.column(4).slice(x, y - x).to_pylist())
                 h = header(chunk)
                 rows.append(described(h[0], chunk[h[1] : h[1] + h[2]]) if h else (None,) * 7)
+            at = pa.array(cut[:-1])
             cols = list(zip(*rows, strict=True)) or [()] * 7
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), *(pa.array(c, t) for c, t in zip(cols, _FIELD_TYPES, strict=True))], ["file", "offset", *_FIELDS])
+            yield pa.RecordBatch.from_arrays([b.column(1).take(at), b.column(2).take(at), *(pa.array(c, t) for c, t in zip(cols, _FIELD_TYPES, strict=True))], ["file", "offset", *_FIELDS])
 
     ddl = "file string, offset bigint, type string, record_id string, target_uri string, refers_to string, declared_digest string, payload_digest string, payload_bytes bigint"
-    return parts.select("file", "offset", "chunks").mapInArrow(build, ddl)
+    return mine.repartition("record").sortWithinPartitions("record", "file", "offset", "place").mapInArrow(build, ddl)
 
 
 def round_trip(spark: SparkSession, pages: DataFrame, id_col: str = "page_id", url_col: str = "url", payload_col: str = "html", least: int = 0) -> DataFrame:
     """Write ``pages`` as archives in the shared folder and read them back: per page its id, payload_bytes, payload_digest, record_type and refers_to."""
     folder = new_folder(spark, "warc")
     write(spark, pages, folder, id_col, url_col, payload_col, least)
-    watch(spark, spark.read.text(folder), folder)
+    records = read(spark, folder)
+    back_, there = records.count(), pages.count()
+    if back_ != there:
+        raise RuntimeError(f"{there} pages were written to {folder}, and {back_} records read back")
+    delete(spark, folder)
     kind = dict(pages.dtypes)[id_col]
     number = lambda c: F.regexp_extract(c, "^<urn:page:(.*)>$", 1)
     back = lambda c: F.when(number(c) != "null", number(c)).cast(kind)
-    return read(spark, folder).select(back(F.col("record_id")).alias(id_col), "payload_bytes", "payload_digest", F.col("type").alias("record_type"), back(F.col("refers_to")).alias("refers_to"))
+    return records.select(back(F.col("record_id")).alias(id_col), "payload_bytes", "payload_digest", F.col("type").alias("record_type"), back(F.col("refers_to")).alias("refers_to"))
 
 
 ORACLE = f"""
