@@ -97,12 +97,16 @@ def test_header():
 
 
 def test_mixing(spark):
-    rows = [(i, f"t{i}", "hot" if i % 3 else f"s{i % 5}", i) for i in range(600)] + [(None, None, None, 1), (7, "t7", "hot", 7), (9000, "", "none", 0)]
+    rows = [(i, f"t{i}", "hot" if i % 3 else f"s{i % 5}", i) for i in range(600)] + [(None, None, None, 1), (7, "t7", "hot", 7), (9000, "", "none", 0), (9001, "x" * (1 << 20), "hot", 0)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, source string, copy long")
     a = mixing.mix(docs).collect()
     keys = [r.mix_key for r in a]
     assert keys == sorted(keys) and set(a[0].asDict()) == {"doc_id", "text", "source", "copy", "mix_key"}
     assert sorted(map(str, a)) == sorted(map(str, mixing.mix(docs.repartition(7)).collect()))
+    assert sorted(map(str, a)) == sorted(map(str, mixing.mix(docs, sent_bytes=0).collect()))
+    named = mixing.mix(docs, copy_col="__mix_copy", key_col="__mix_key").select(*docs.columns).collect()
+    assert len(named) == len(a) and {r.copy for r in named} <= {r[3] for r in rows}
+    assert not any("hashpartitioning(source" in x for x in mixing.mix(docs)._jdf.queryExecution().executedPlan().toString().split("\n"))
     weights = spark.createDataFrame([("hot", 1.0), ("s0", 1.0), (None, 0.0)], "source string, weight double")
     b = mixing.mix(docs, weights=weights, total=4000).groupBy("source").count().collect()
     n = {r.source: r["count"] for r in b}

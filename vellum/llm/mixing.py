@@ -3,13 +3,14 @@
 Each source gets a mean repetition rate: its target weight times the total, over the rows it has. A document's number of
 copies is the value at which the Poisson distribution with that mean passes a uniform number that a seeded hash of the
 document's id gives; the document is exploded by that number, and all copies are sorted by a seeded hash of id
-and copy, which is a global shuffle. Sums of rows by source are combined before they are moved, the table of rates has a row
-per source, and the sort deals a hot source out evenly.
+and copy, which is a global shuffle and the only exchange of texts. Sums of rows by source are combined before they are moved. The table of rates
+has a row per source; its size is measured, and up to SENT_BYTES it is sent to every task. A larger one is joined by source and one of SALTS parts of the
+documents, so that a hot source doesn't meet in one task.
 
 Defined results: a null source is a source of its own; a null id counts as the empty text; texts may be null, empty or of
 any length. Repeated rows draw the same number, and their copies' order among each other is open. A source with
 weight 0 vanishes, one that ``weights`` doesn't name too. An empty table gives an empty one. Further columns of the
-documents pass through; three names, ``copy``, ``mix_key`` and any that begins with ``__mix``, are the operator's own, and columns
+documents pass through; the names given by ``copy_col`` and ``key_col`` and any that begins with ``__mix`` are the operator's own, and columns
 of the documents with those names are replaced.
 """
 
@@ -18,7 +19,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .scratch import save
+
 _UNIT = float(1 << 52)
+SENT_BYTES, SALTS = 16 << 20, 64
 
 
 def uniform(key: Column) -> Column:
@@ -53,19 +57,33 @@ def rates(docs: DataFrame, source_col: str = "source", weights: DataFrame | None
     return n.join(F.broadcast(all_)).select("__mix_source", (F.col("__mix_weight") / F.col("__mix_w") * aim / F.col("__mix_rows")).alias("__mix_rate"))
 
 
-def mix(docs: DataFrame, id_col: str = "doc_id", source_col: str = "source", weights: DataFrame | None = None, exponent: float = 0.5, total: int | None = None, seed: str = "mix-1") -> DataFrame:
-    """The copies of ``docs`` in shuffled order, each with ``copy`` (from 1) and ``mix_key``, the hash that it is sorted by."""
-    docs = docs.drop("copy", "mix_key")
+def with_rates(docs: DataFrame, r: DataFrame, ident: Column, source_col: str, sent_bytes: int = SENT_BYTES) -> DataFrame:
+    """``docs`` with their source's distribution; rows whose source has none go. No text is moved if the table of rates is small."""
+    r = save(docs.sparkSession, r, "rates")
+    size = r.agg(F.sum(8 * F.size("__mix_cdf") + F.coalesce(F.octet_length(F.col("__mix_source").cast("string")), F.lit(0)) + 32)).first()[0] or 0
+    same = F.col(source_col).eqNullSafe(F.col("__mix_source"))
+    if size <= sent_bytes:
+        return docs.join(F.broadcast(r), same)
+    part = F.pmod(F.xxhash64(ident), F.lit(SALTS)).cast("int")
+    r = r.withColumn("__mix_part", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    return docs.withColumn("__mix_own", part).join(r, same & (F.col("__mix_own") == F.col("__mix_part")))
+
+
+def mix(
+    docs: DataFrame, id_col: str = "doc_id", source_col: str = "source", weights: DataFrame | None = None, exponent: float = 0.5, total: int | None = None, seed: str = "mix-1", copy_col: str = "copy", key_col: str = "mix_key", sent_bytes: int = SENT_BYTES
+) -> DataFrame:
+    """The copies of ``docs`` in shuffled order, each with ``copy_col`` (from 1) and ``key_col``, the hash that it is sorted by."""
+    docs = docs.drop(copy_col, key_col)
     r = rates(docs, source_col, weights, exponent, total).select("__mix_source", poisson_cdf(F.col("__mix_rate")).alias("__mix_cdf"))
     ident = F.concat(F.lit(f"{seed}|"), F.coalesce(F.col(id_col).cast("string"), F.lit("")))
-    drawn = docs.withColumn("__mix_u", uniform(ident)).join(r, F.col(source_col).eqNullSafe(F.col("__mix_source")))
+    drawn = with_rates(docs.withColumn("__mix_u", uniform(ident)), r, ident, source_col, sent_bytes)
     times = F.size(F.filter("__mix_cdf", lambda c: c <= F.col("__mix_u")))
     return (
         drawn.withColumn("__mix_times", times).where("__mix_times > 0")
-        .withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("__mix_times"))))
-        .withColumn("mix_key", F.md5(F.concat(ident, F.lit("|"), F.col("copy").cast("string"))))
-        .select(*[F.col(f"`{c}`") for c in docs.columns], "copy", "mix_key")
-        .orderBy("mix_key")
+        .withColumn(copy_col, F.explode(F.sequence(F.lit(1), F.col("__mix_times"))))
+        .withColumn(key_col, F.md5(F.concat(ident, F.lit("|"), F.col(copy_col).cast("string"))))
+        .select(*[F.col(f"`{c}`") for c in docs.columns], copy_col, key_col)
+        .orderBy(key_col)
     )
 
 

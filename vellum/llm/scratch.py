@@ -2,7 +2,7 @@
 
 A job that is cut into steps writes each step's rows as a Parquet table below ``spark.checkpoint.dir`` and reads
 them back, so that an executor lost later costs one task and not the whole lineage. A table's files go when no
-plan in the JVM refers to them any more.
+plan in the JVM refers to them any more, and at the latest when the driver's JVM ends.
 """
 
 from __future__ import annotations
@@ -21,9 +21,12 @@ _tables: list = []
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The cluster's shared folder; one of our own only where none is set, as in tests."""
+    """The cluster's shared folder. One of our own only where none is set and all runs on this machine, as in tests."""
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
     if not base:
+        master = spark.sparkContext.master
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         base = "file://" + tempfile.mkdtemp(prefix="vellum-")
         spark.conf.set("spark.checkpoint.dir", base)
     return base.rstrip("/")
@@ -33,10 +36,15 @@ def new_folder(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/vellum-{name}-{uuid.uuid4().hex}"
 
 
+def _file_system(spark: SparkSession, path: str):
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
+
+
 def delete(spark: SparkSession, path: str) -> None:
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+    fs, p = _file_system(spark, path)
+    fs.delete(p, True)
+    fs.cancelDeleteOnExit(p)
 
 
 def watch(spark: SparkSession, frame: DataFrame, path: str) -> None:
@@ -60,6 +68,8 @@ def save(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to the shared folder and return a frame that reads it."""
     sweep(spark)
     path = new_folder(spark, name)
+    fs, p = _file_system(spark, path)
+    fs.deleteOnExit(p)
     df.write.parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     watch(spark, out, path)
