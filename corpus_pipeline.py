@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from vellum.llm import jaccard_join, mixing, pii, quality_rules, sentencepiece_nbest
 from vellum.llm.queries import PIECES, table
@@ -30,7 +31,7 @@ def privacy(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Sources are brought to their target weights, and all copies shuffled."""
-    return mixing.mix(docs).select(*docs.columns)
+    return mixing.mix(docs, copy_col="__mix_copy", key_col="__mix_key").select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
