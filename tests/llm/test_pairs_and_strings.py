@@ -13,12 +13,12 @@ from vellum.llm import suffix_dedup as sd
 from vellum.llm.components import components
 
 
-@pytest.mark.parametrize("block", [1024, 16])
-def test_join_is_what_all_pairs_give(spark, block):
+@pytest.mark.parametrize(("block", "bucket"), [(1024, 2048), (16, 2048), (1024, 3)])
+def test_join_is_what_all_pairs_give(spark, block, bucket):
     texts = near_texts()
     texts += [*edge_texts(), texts[5], texts[5]]
     ids = [*range(len(texts) - 2), 5, 7000]
-    got = sorted(tuple(r) for r in jj.join(spark, frame(spark, texts, ids), block=block).select("doc_id", "class_id", "n_links", "n_shingles").collect())
+    got = sorted(tuple(r) for r in jj.join(spark, frame(spark, texts, ids), block=block, bucket=bucket).select("doc_id", "class_id", "n_links", "n_shingles").collect())
     assert got == sorted(near_classes(list(zip(ids, texts, strict=True))))
 
 
@@ -44,6 +44,64 @@ def test_recall_of_paths():
     assert met >= 0.98 * n
 
 
+def sharing(rng, n, shared, own):
+    """Sets that have a passage in common, every tenth of them with a partner that is just similar enough."""
+    passage = rng.sample(range(1, 1 << 62), shared)
+    out, pairs = [], []
+    for i in range(n):
+        mine = passage + rng.sample(range(1, 1 << 62), own)
+        out.append(mine)
+        if i % 10 == 0:
+            size = len(mine)
+            rest = mine[: -(size // 9)]
+            pairs.append((len(out) - 1, len(out)))
+            out.append(rest + rng.sample(range(1, 1 << 62), size - len(rest)))
+    return [np.unique(np.array(x, np.uint64)) for x in out], pairs
+
+
+def test_large_buckets_are_split_and_pairs_within_are_kept(spark):
+    """1,100 sets of 96 with a passage of 46 in common meet in large buckets. All end in small ones, and pairs that were together mostly still are, as KEPT says."""
+    sets, pairs = sharing(random.Random(4), 1000, 46, 50)
+    sk = [jj.sketch(s).tobytes() for s in sets]
+    rows = [(r, i, len(s), bytearray(k)) for r in range(6) for i, (s, k) in enumerate(zip(sets, sk, strict=True))]
+    hot = spark.createDataFrame(rows, "key long, sid long, n long, sketch binary")
+    small, links = jj.deepened(spark, hot, 0.8, 64)
+    members = {}
+    for r in small.collect():
+        members.setdefault(r.key, set()).add(r.sid)
+    assert max(map(len, members.values())) <= 64 and sum(map(len, members.values())) < 8 * len(rows)
+    linked = {frozenset((r.a, r.b)) for r in links.collect()}
+    met = [any(a in m and b in m for m in members.values()) or frozenset((a, b)) in linked for a, b in pairs]
+    assert sum(met) == len(pairs)  # of six buckets one at least
+
+
+def test_near_copies_leave_large_buckets(spark):
+    rng = random.Random(5)
+    base = rng.sample(range(1, 1 << 62), 200)
+    sets = [np.unique(np.array(base[:190] + rng.sample(range(1, 1 << 62), 10), np.uint64)) for _ in range(1500)]
+    hot = spark.createDataFrame([(1, i, len(s), bytearray(jj.sketch(s).tobytes())) for i, s in enumerate(sets)], "key long, sid long, n long, sketch binary")
+    small, links = jj.deepened(spark, hot, 0.8, 64)
+    assert small.count() < 100 and len({r.a for r in links.collect()}) > 1400
+
+
+def test_measured_recall(spark):
+    """Of pairs just at the threshold, in texts that share a passage, nine of ten at least are found; here all of them."""
+    rng, texts, pairs = random.Random(6), [], []
+    passage = [f"p{i}" for i in range(50)]
+    for i in range(400):
+        own = [f"w{rng.randrange(1 << 40)}" for _ in range(70)]
+        texts.append(" ".join(passage + own))
+        if i % 4 == 0:
+            own[-12:] = [f"w{rng.randrange(1 << 40)}" for _ in range(12)]
+            pairs.append((len(texts) - 1, len(texts)))
+            texts.append(" ".join(passage + own))
+    want = near_classes(list(enumerate(texts)))
+    for bucket in (jj.BUCKET, 100):
+        got = {r.doc_id: r.n_links for r in jj.join(spark, frame(spark, texts), bucket=bucket).collect()}
+        assert sum(got.values()) >= 0.9 * sum(n for _, _, n, _ in want) and sum(n for _, _, n, _ in want) >= 2 * len(pairs)
+        assert got == {i: n for i, _, n, _ in want}
+
+
 def test_sketches_miss_less_than_one_in_a_million():
     assert sum(math.comb(jj.SKETCH, k) * 0.8**k * 0.2 ** (jj.SKETCH - k) for k in range(jj.AGREE)) < 1e-6
 

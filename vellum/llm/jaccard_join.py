@@ -3,17 +3,19 @@
 A text's set is that of the hashes of its runs of five words (a text of one to four words has one element: all of them). In each of a number of
 runs a set follows random paths: at a node it selects those of its elements whose hash, seeded with the path so far, is under a threshold of 1 / (similarity x
 size), and goes on from each of them. Two similar sets select the same element with fair probability, so they meet at the end of a path; two others seldom do. Selection
-depends on nothing but the set and the path, so each set walks its paths alone, and the recursion needs no shuffle of its own. The number of runs is
+depends on nothing but the set and the path, so each set walks the first DEPTH steps of its paths alone, without a shuffle. The number of runs is
 what the target recall takes, given the chance that a pair just at the threshold shares a path in one run.
 
-Sets at the end of one path are a bucket. Buckets are searched by brute force, but on sketches of 64 bytes: sets whose sketches agree well enough are linked. The
+Sets at the end of one path are a bucket. Buckets of more than BUCKET sets are split on (``deepened``): each set goes on from such a node by tokens sampled from its
+sketch, 64 bytes of minima, until its bucket is small; sets that agree with one drawn member almost wholly are linked with it and go no further, so groups of near copies don't
+stay together for ever. Small buckets are searched by brute force on the sketches: sets whose sketches agree well enough are linked. The
 linked sets' components are small, and their true sets are then compared pair by pair, exactly; a component above a fixed size is compared in blocks,
 each pair of blocks in a task of its own. Nowhere is a row made for a pair: tasks give each set's number of links, and a star for each class.
 
 Equal sets are one set from the start, by a hash of the set, so groups of copies never meet in a bucket.
 
 Defined results: a text that is null or has no word has no set, no link and a class of its own; copies count as links of each other. A class's id is the smallest id in it
-(nulls aside). Texts are read whole. Repeated rows are copies. An empty table gives an empty result. Only the named columns are read, so further columns never clash.
+(nulls aside). Texts are read whole. Repeated rows are copies; ``one_of_each`` keeps one of them. An empty table gives an empty result. Only the named columns are read, so further columns never clash.
 """
 
 from __future__ import annotations
@@ -21,6 +23,7 @@ from __future__ import annotations
 import math
 from collections.abc import Iterator
 from fractions import Fraction
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -30,22 +33,29 @@ from pyspark.sql import functions as F
 
 from . import textkit as tk
 from .components import components
-from .scratch import K1, K2, row_key, save
+from .scratch import K1, K2, join_evenly, row_key, save
 from .streams import grouped, thrifty
 
 WORDS, SIMILARITY, RECALL, DEPTH, BLOCK = 5, "0.8", 0.99999, 3, 1024
 #: Sketches of pairs at similarity 0.8 agree in fewer than this many of 64 places less than once in a million times (binomial: 3.2e-7).
 SKETCH, AGREE = 64, 34
+#: Larger buckets are split on, in so many steps at most; then what is left is searched as it is.
+BUCKET, LEVELS = 2048, 12
+#: Places in which a set that leaves a large bucket agrees with its drawn member. If x leaves and y doesn't even agree in AGREE places with that member, x and y agree in fewer than 48.
+STRONG = 50
+#: The chance that a pair at the threshold is still together where a large bucket ends: it has 3 children, then 1.6 in the mean, 0.8 of them common (the fixed point is 0.73).
+KEPT = 0.92
 _rng = np.random.default_rng(0xC0FFEE)
 _SKETCH_A = _rng.integers(0, 1 << 32, SKETCH, dtype=np.uint64).astype(np.uint32) | np.uint32(1)
 _SKETCH_B = _rng.integers(0, 1 << 32, SKETCH, dtype=np.uint64).astype(np.uint32)
 
 
 def runs_for(recall: float, depth: int) -> int:
-    """Runs after which a pair at the threshold has met with probability ``recall``. Such a pair selects one common element per node in the mean."""
+    """Runs after which a pair at the threshold has met with probability ``recall``, even if each bucket it meets in is split on. Such a pair selects one common element per node in the mean."""
     p = 1.0
     for _ in range(depth):
         p = 1 - math.exp(-p)
+    p *= KEPT
     return math.ceil(math.log(1 - recall) / math.log(1 - p))
 
 
@@ -132,7 +142,69 @@ def links_within(elements: list[np.ndarray], cross: np.ndarray | None, similarit
     return out
 
 
-def join(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", similarity: str = SIMILARITY, recall: float = RECALL, depth: int = DEPTH, words: int = WORDS, block: int = BLOCK) -> DataFrame:
+def agreement(sketch_: np.ndarray, other: np.ndarray, n: np.ndarray, m: np.ndarray, similarity: float) -> np.ndarray:
+    """In how many places sketches agree; 0 for sets whose sizes differ too much to be similar."""
+    return np.where(np.minimum(m, n) >= similarity * np.maximum(m, n) - 1e-9, (sketch_ == other).sum(1), 0)
+
+
+def children(key: np.ndarray, used: np.ndarray, sketch_: np.ndarray, level: int) -> tuple[np.ndarray, ...]:
+    """For each row the nodes that it goes on to, the places used on the way there (a bit each), and which row each is of. A node samples places that its path hasn't used; a row goes on by the
+    bytes that its sketch has there."""
+    h = tk.mix(key.view(np.uint64) + np.uint64((level + 1) * 0x9E3779B97F4A7C15 % 2**64))
+    count = np.full(len(key), 3) if level == 0 else 1 + ((h >> np.uint64(32)) % np.uint64(5) < 3)
+    row = np.repeat(np.arange(len(key)), count)
+    nth = np.arange(len(row)) - np.repeat(np.cumsum(count) - count, count)
+    bits, place = used.view(np.uint64)[row], ((h[row] & np.uint64(63)).astype(np.int64) + 23 * nth) % SKETCH
+    while (taken := (bits >> place.astype(np.uint64)) & np.uint64(1) > 0).any():
+        place[taken] = (place[taken] + 5) % SKETCH
+    token = (place * 256 + sketch_[row, place]).astype(np.uint64)
+    return tk.mix(h[row] + (token + np.uint64(1)) * np.uint64(0xD6E8FEB86659FD93)).view(np.int64), (bits | np.uint64(1) << place.astype(np.uint64)).view(np.int64), row
+
+
+def deepened(spark: SparkSession, hot: DataFrame, similarity: float, bucket: int, levels: int = LEVELS) -> tuple[DataFrame, DataFrame]:
+    """Of the members of large buckets (key, sid, n, sketch): the members of small ones that they are split into, and links (a, b). A large bucket is never gathered:
+    one of its members, drawn by a hash, is sent to the others."""
+
+    def split(level: int):
+        @thrifty
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for b in batches:
+                if not b.num_rows:
+                    continue
+                key, sid, n, used, lead, lead_n = (b.column(c).to_numpy() for c in (0, 1, 2, 4, 5, 6))
+                sk, lead_sk = (np.frombuffer(b"".join(b.column(c).to_pylist()), np.uint8).reshape(-1, SKETCH) for c in (3, 7))
+                agree = agreement(sk, lead_sk, n, lead_n, similarity)
+                linked = np.flatnonzero((agree >= AGREE) & (sid != lead))
+                stay = np.flatnonzero((agree < STRONG) & (sid != lead))
+                node, bits, row = children(key[stay], used[stay], sk[stay], level)
+                at = pa.array(stay[row])
+                none = pa.nulls(len(linked), pa.int64())
+                yield pa.RecordBatch.from_arrays([none, pa.array(sid[linked]), none, pa.nulls(len(linked), pa.binary()), none, pa.array(lead[linked])], names)
+                yield pa.RecordBatch.from_arrays([pa.array(node), b.column(1).take(at), b.column(2).take(at), b.column(3).take(at), pa.array(bits), pa.nulls(len(node), pa.int64())], names)
+
+        return run
+
+    names = ["key", "sid", "n", "sketch", "used", "lead"]
+    small, links, hot = [], [], hot.withColumn("used", F.lit(0).cast("bigint"))
+    for level in range(levels):
+        drawn = hot.groupBy("key").agg(F.count(F.lit(1)).alias("m"), F.min_by(F.struct("sid", "n", "sketch"), F.xxhash64("key", "sid")).alias("d"))
+        drawn = save(spark, drawn.select("key", "m", F.col("d.sid").alias("lead"), F.col("d.n").alias("lead_n"), F.col("d.sketch").alias("lead_sketch")), "drawn")
+        both = join_evenly(hot, drawn, ["key"], "m").select("key", "sid", "n", "sketch", "used", "lead", "lead_n", "lead_sketch")
+        out = save(spark, both.mapInArrow(split(level), "key bigint, sid bigint, n bigint, sketch binary, used bigint, lead bigint"), "level")
+        links.append(out.where("lead is not null").select(F.col("sid").alias("a"), F.col("lead").alias("b")))
+        nodes = out.where("key is not null").drop("lead")
+        sizes = save(spark, nodes.groupBy("key").agg(F.count(F.lit(1)).alias("m")).where("m > 1"), "sizes")
+        small.append(nodes.join(sizes.where(F.col("m") <= bucket).select("key"), "key").drop("used"))
+        large = sizes.where(F.col("m") > bucket)
+        if large.isEmpty():
+            break
+        hot = save(spark, join_evenly(nodes, large, ["key"], "m"), "hot")
+    else:
+        small.append(hot.drop("used"))
+    return reduce(DataFrame.unionByName, small), reduce(DataFrame.unionByName, links)
+
+
+def join(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", similarity: str = SIMILARITY, recall: float = RECALL, depth: int = DEPTH, words: int = WORDS, block: int = BLOCK, bucket: int = BUCKET) -> DataFrame:
     """Per row of ``docs``: the row's key (two columns), the id, class_id, n_links (other rows that are similar enough, copies too),
     n_shingles and first (whether the row is its class's representative, the one with the smallest id; rows alike in id and text all are)."""
     sim, runs = Fraction(similarity), runs_for(recall, depth)
@@ -158,11 +230,19 @@ def join(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", text_col:
 
     thin = distinct.select("sid", F.explode("keys").alias("key"))
     # written first: a join straight from an aggregate keeps its partitions, and a key that very many sets share couldn't be split
-    meet = save(spark, thin.groupBy("key").agg(F.min("sid").alias("a"), F.max("sid").alias("b")).where("a <> b").select("key"), "keys")
-    met = thin.join(meet, "key").join(distinct.select("sid", "n", "sketch"), "sid").select("key", "sid", "n", "sketch")
+    meet = save(spark, thin.groupBy("key").agg(F.count(F.lit(1)).alias("m")).where("m > 1"), "keys")
+
+    def members(keys: DataFrame) -> DataFrame:
+        return thin.join(keys.select("key"), "key").join(distinct.select("sid", "n", "sketch"), "sid").select("key", "sid", "n", "sketch")
+
+    large = meet.where(F.col("m") > bucket)
+    met, more = members(meet), None
+    if not large.isEmpty():
+        deep, more = deepened(spark, save(spark, members(large), "hot"), float(sim), bucket)
+        met = members(meet.where(F.col("m") <= bucket)).unionByName(deep)
 
     @thrifty
-    def bucket(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b, cut in grouped(batches, "key"):
             sid, n = b.column(1).to_numpy(), b.column(2).to_numpy()
             sk = np.frombuffer(b"".join(b.column(3).to_pylist()), np.uint8).reshape(-1, SKETCH)
@@ -170,14 +250,14 @@ def join(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", text_col:
             for x, y in zip(cut[:-1].tolist(), cut[1:].tolist(), strict=True):
 
                 def near(i: int, rest: np.ndarray, x: int = x) -> np.ndarray:
-                    m, o = n[x + rest], n[x + i]
-                    return ((sk[x + rest] == sk[x + i]).sum(1) >= AGREE) & (np.minimum(m, o) >= float(sim) * np.maximum(m, o) - 1e-9)
+                    return agreement(sk[x + rest], sk[x + i], n[x + rest], n[x + i], float(sim)) >= AGREE
 
                 out += [(int(sid[x + i]), int(sid[x + r])) for i, r in enumerate(stars(near, y - x)) if r != i]
             cols = list(zip(*set(out), strict=True)) or [(), ()]
             yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in cols], ["a", "b"])
 
-    found = met.repartition("key").sortWithinPartitions("key").mapInArrow(bucket, "a bigint, b bigint")
+    found = met.repartition("key").sortWithinPartitions("key").mapInArrow(search, "a bigint, b bigint")
+    found = found if more is None else found.unionByName(more)
     near = components(spark, found, "a", "b")
 
     some = distinct.join(near, distinct["sid"] == near["node"]).select("root", "sig", "times", F.col(f"rep.{K1}").alias(K1), F.col(f"rep.{K2}").alias(K2))
@@ -226,8 +306,8 @@ def join(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", text_col:
 def one_of_each(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """The rows of ``docs``, with all their columns, that stand for their class: one for each class. Rows without words all stay."""
     text = F.col(text_col).cast("string")
-    names = [F.col(f"`{c}`") for c in docs.columns]
-    first = join(spark, docs, id_col, text_col, **options).where("first").groupBy(K1, K2).agg(F.max("n_shingles").alias("__vellum_n"))
-    keyed = docs.select("*", *row_key(F.col(id_col), text)).join(first, [K1, K2])
-    spoken = keyed.where("__vellum_n > 0").dropDuplicates([K1, K2]).select(names)
-    return spoken.unionByName(keyed.where("__vellum_n = 0").select(names))
+    first = join(spark, docs, id_col, text_col, **options).where("first").groupBy(K1, K2).agg(F.max("n_shingles").alias("n"))
+    # within a struct, so that no name of the caller's clashes
+    keyed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), *row_key(F.col(id_col), text)).join(first, [K1, K2])
+    spoken = keyed.where("n > 0").dropDuplicates([K1, K2]).select("row.*")
+    return spoken.unionByName(keyed.where("n = 0").select("row.*"))
