@@ -1,8 +1,10 @@
 """Operators that look at one document at a time."""
 
 import hashlib
+import math
 import random
 import re
+import time
 from collections import Counter
 
 import numpy as np
@@ -117,6 +119,21 @@ def test_pii_rows(spark):
     assert pii.detect(frame(spark, texts).limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("unit", ["1", " ", "1 ", "1.", "+1", "at ", "dot ", "one ", "a@", "@", "(", "+1(", "( ", ". ", "a at ", "1-", "é", "４", "plus "])
+def test_a_megabyte_of_the_same_takes_seconds(unit):
+    text = "x" + unit * ((1 << 20) // len(unit)) + " a@b.cc"
+    began = time.process_time()
+    plain, more = pii.find(text)
+    assert time.process_time() - began < 30
+    assert plain["email"][-1:] and text.endswith(text[slice(*plain["email"][-1])]) and (not any(more.values()) or unit.strip() not in ("1", "", "1."))
+
+
+def test_megabytes_through_the_operator(spark):
+    texts = ["7" * (1 << 20), " " * (1 << 20), "at" + " " * (1 << 20) + "dot", None, "", "a@b.cc", "a@b.cc"]
+    rows = {r.doc_id: r for r in pii.detect(frame(spark, texts)).collect()}
+    assert [rows[i].n_email for i in range(7)] == [0, 0, 0, 0, 0, 1, 1] and rows[5][1:] == rows[6][1:] and not any(rows[i].spans for i in range(5))
+
+
 def brute_rules(t):
     w = WORD.findall(t or "")
     lines = [x for x in (t or "").split("\n") if WORD.search(x)]
@@ -156,6 +173,30 @@ def test_trees_are_monotonic():
     assert ((t.score(x) > 0.5) == y).mean() > 0.85
 
 
+def quality_words(text):
+    return [w for w in re.split("[\x20\x09-\x0d.,;:\"'()]+", text) if w]
+
+
+def brute_score(model, text):
+    """The score of a text from its set of words, their beginnings and the shares of their shapes, one at a time."""
+    words, slots = quality_words(text), set()
+    shapes = Counter()
+    for w in words:
+        raw = w.encode()
+        low = bytes(c + 32 if 65 <= c < 91 else c for c in raw)
+        data, offs = tk.texts(pa.array([low.decode()]))
+        slots.add(int(tk.tokens(data, offs, quality_ordinal._BREAK).hash[0]) >> 44)
+        for k in (4, 5):
+            if len(low) >= k:
+                v = k
+                for c in low[:k]:
+                    v = (v << 8 | c) % 2**64
+                slots.add(tk.mix_int(v) >> 44)
+        shapes[min(len(raw), 15) * 4 + bool(re.search("[#*$%&|<>!]", w)) * 2 + (len(re.findall("[A-Z]", w)) > 1)] += 1
+    share = sum(float(model.weights[quality_ordinal.SLOTS + s]) * 4 * n / len(words) for s, n in shapes.items())
+    return sum(float(model.weights[s]) for s in slots) + share
+
+
 def test_ordinal(spark):
     rng = random.Random(6)
     good, bad, worst = ["fine", "well", "good", "nice"], ["meh", "so", "bland"], ["vile", "nasty"]
@@ -169,12 +210,51 @@ def test_ordinal(spark):
     labels = spark.createDataFrame([(i, g) for i, g in enumerate(grades)], "doc_id long, grade int")
     m = quality_ordinal.train(docs, labels, F.col("grade"))
     assert (np.diff(m.thresholds) > 0).all()
+    assert quality_ordinal.train(docs.unionByName(docs).repartition(5), labels, F.col("grade"), max_rows=100).weights.tolist() == quality_ordinal.train(docs.unionByName(docs), labels, F.col("grade"), max_rows=100).weights.tolist()
     rows = {r.doc_id: r for r in quality_ordinal.score(docs, m, least=0.5).collect()}
+    for i, t in enumerate(texts):
+        want = [1 / (1 + math.exp(-(brute_score(m, t or "") - th))) for th in m.thresholds]
+        assert abs(rows[i].expected_grade - sum(want)) < 1e-5 and abs(rows[i].tail_prob - want[-1]) < 1e-5, t
+        assert rows[i].selected == (bool(quality_words(t or "")) and rows[i].tail_prob >= 0.5)
+    assert np.mean([rows[i].selected == (g == 2) for i, g in enumerate(grades)]) > 0.9
+    low = {r.doc_id: r.tail_prob for r in quality_ordinal.score(docs, m, tail=1).collect()}
+    assert all(low[i] >= rows[i].tail_prob for i in rows)
     assert np.mean([round(rows[i].expected_grade) == g for i, g in enumerate(grades)]) > 0.9
     assert not any(rows[400 + i].selected for i in range(3)) and len(rows) == len(texts)
     assert quality_ordinal.train(docs.limit(0), labels.limit(0), F.col("grade")).weights.sum() == 0
 
 
+def brute_language(model, text):
+    """The language of a text from the counts of its n-grams, one machine after the other."""
+    raw = bytes(c if c >= 128 or 97 <= c < 123 else c + 32 if 65 <= c < 91 else 32 for c in text.encode())
+    counts = Counter()
+    for n in (2, 3, 4):
+        for i in range(len(raw) - n + 1):
+            counts[(int.from_bytes(bytes([n]) + raw[i : i + n]) * 0x9E3779B97F4A7C15 % 2**64) >> 51] += 1
+    total = max(sum(counts.values()), 1)
+    margin = [sum(float(model.weights[s, k]) * c for s, c in counts.items()) / total + float(model.bias[k]) for k in range(len(model.bias))]
+    p = [1 / (1 + math.exp(-max(min(3 * x, 50), -50))) for x in margin]
+    nf = len(model.families)
+    f = max(range(nf), key=lambda k: (margin[k], -k))
+    members = model.families[f][1]
+    votes = dict.fromkeys(members, 0.0)
+    for k, (g, i, j) in enumerate(model.pairs):
+        if g == f:
+            votes[members[i]] += p[nf + k]
+            votes[members[j]] += 1 - p[nf + k]
+    best = max(members, key=lambda x: (votes[x], -members.index(x)))
+    return best, p[f] / sum(p[:nf]) * (votes[best] / (len(members) - 1) if len(members) > 1 else 1.0)
+
+
+def test_languages_have_no_cap(spark):
+    rows = [(i, f"{chr(0x4E00 + i % 110) * 6} x{i}", f"l{i % 110:03}", "c", 1.0) for i in range(550)] + [(1, "y" * 100_000, "l000", "c", 1.0)] * 3
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, slot string, place double")
+    m = langid.train(docs)
+    assert len(m.families) == 110
+    got = langid.predict(docs, m).collect()
+    assert len(got) == len(rows) and len({(r.lang_pred, r.score) for r in got if r.doc_id == 1}) <= 2
+
+
 def test_language(spark):
     vocab = {"en": ["the", "and", "ing", "wh"], "de": ["der", "sch", "ung", "ich"], "fr": ["le", "eau", "que", "eux"], "es": ["el", "ción", "que", "os"], "tlh": ["qap", "tlh", "ngo"]}
     rng, rows = random.Random(8), []
@@ -184,6 +264,12 @@ def test_language(spark):
     rows += [(9000, None, "en", "und"), (9001, "12 + 4", "en", "und"), (9002, "", None, "und"), (None, "the and the", "en", None)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, truth string")
     m = langid.train(docs, per_lang=40)
+    for r in rows:
+        if r[1] and any(c.isalpha() for c in r[1]):
+            data, offs = tk.texts(pa.array([r[1]]))
+            lang, score = m.predict(data, offs)
+            want = brute_language(m, r[1])
+            assert lang[0] == want[0] and abs(score[0] - want[1]) < 1e-6
     assert dict(m.families)["romance"] == ["es", "fr"] and dict(m.families)["tlh"] == ["tlh"]
     got = langid.predict(docs, m).collect()
     truth = {r[0]: r[3] for r in rows}

@@ -25,7 +25,11 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from . import textkit as tk
+from .scratch import save
+from .streams import thrifty
 
+#: So many languages' bounds are sent to every task; more are joined by a shuffle.
+SENT_LANGS = 100_000
 #: Families of languages whose members are easily confused.
 FAMILIES = {
     "romance": ("ca", "es", "fr", "gl", "it", "la", "oc", "pt", "ro"), "germanic": ("af", "da", "de", "en", "fy", "is", "lb", "nl", "no", "sv"),
@@ -171,17 +175,20 @@ def held_out(id_col: Column) -> Column:
     return F.crc32(F.coalesce(id_col.cast("string"), F.lit("")).cast("binary")) % 4 == 2
 
 
-def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", per_lang: int = 250, most_langs: int = 100) -> Model:
-    """Machines fitted on at most ``per_lang`` documents (those with the smallest hash) of each of the ``most_langs``
-    most frequent languages, held-out rows never. Each gives its whole text, and two short pieces of it as texts of their own."""
+def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", per_lang: int = 250, most_rows: int = 25_000, least_per_lang: int = 10) -> Model:
+    """Machines for every language that has a labelled row, fitted on at most ``per_lang`` documents of each (those with the smallest hash), held-out rows never. With so many languages
+    that these would be more than ``most_rows``, fewer are taken of each, though at least ``least_per_lang``. Each gives its whole text, and two short pieces of it as texts of their own."""
     known = docs.where(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull() & ~held_out(F.col(id_col)))
     known = known.select(F.col(lang_col).cast("string").alias("lang"), F.col(text_col).cast("string").alias("text"))
     slot = F.pmod(F.xxhash64(F.lit("langid"), "text"), F.lit(1 << 30))
-    sizes = known.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(most_langs)
+    sizes = save(docs.sparkSession, known.groupBy("lang").count(), "languages")
+    n = sizes.count()
+    per_lang = max(min(per_lang, most_rows // max(n, 1)), min(per_lang, least_per_lang))
     bounds = sizes.select("lang", (F.least(F.lit(1.0), 2.0 * per_lang / F.col("count") + 64.0 / F.col("count")) * (1 << 30)).cast("long").alias("bound"))
-    some = known.withColumn("slot", slot).join(F.broadcast(bounds), "lang").where("slot <= bound")
+    some = known.withColumn("slot", slot).join(F.broadcast(bounds) if n <= SENT_LANGS else bounds, "lang").where("slot <= bound")
     some = some.withColumn("place", F.row_number().over(W.partitionBy("lang").orderBy("slot", "text"))).where(F.col("place") <= per_lang).select("lang", "text")
 
+    @thrifty
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             langs, pieces = [], []
@@ -208,6 +215,7 @@ def predict(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str
     """Per row of ``docs``: the id, held_out, lang_pred and score."""
     m = model
 
+    @thrifty
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             data, offs = tk.texts(b.column(2))

@@ -2,12 +2,12 @@
 
 One weight per hashed word or beginning of a word (4 and 5 bytes) that the text has, and per shape of words for the share of its words that have this shape, is shared by all grades; ordered thresholds
 cut the score into grades: P(grade >= k) = 1 / (1 + exp(-(score - threshold_k))). The expected grade is the sum of these over k, and the tail probability P(grade >= k) for
-one chosen k decides what is selected.
+one chosen k, the highest by default, decides what is selected.
 
 The model is fitted on a bounded sample of rated documents by stochastic gradients with a step size per weight.
 
 Defined results: a null or empty text has score 0, so its grade is what the thresholds alone say, and it is never selected. Texts are read whole. Repeated rows get equal
-results; ties cannot arise. An empty table gives an empty result; without ratings of two grades all weights are 0, and everything with a word is selected. Only the named
+results; of more rated rows than the bound those with the smallest hashes of id and then of text are taken, and ties among these are rows that are alike. An empty table gives an empty result; without ratings of two grades all weights are 0, and everything with a word is selected. Only the named
 columns are read, so further columns never clash.
 """
 
@@ -18,12 +18,12 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import textkit as tk
 from .scratch import bounded_sample
+from .streams import thrifty
 
 SLOTS = 1 << 20
 _SHIFT = np.uint64(64 - 20)
@@ -123,35 +123,38 @@ def train(docs: DataFrame, labels: DataFrame, grade: Column, top: int = 2, id_co
     ``grade``: an expression over ``labels``, from 0 to ``top``."""
     some = labels.select(F.col(id_col).alias("__id"), grade.cast("int").alias("__grade")).where("__id is not null and __grade is not null")
     some = bounded_sample(some, max_rows, F.col("__id"), F.col("__grade"))
-    rows = docs.select(F.col(id_col).alias("__id"), F.col(text_col).cast("string").alias("text")).join(F.broadcast(some), "__id").select("__grade", "text")
+    text = F.col(text_col).cast("string")
+    rows = docs.select(F.col(id_col).alias("__id"), text.alias("text"), F.xxhash64(text).alias("mark")).join(F.broadcast(some), "__id").select("__grade", "text", "mark")
 
+    @thrifty
     def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             data, offs = tk.texts(b.column(1))
             for i, j in tk.slices(offs):
                 text, slot, value = features(data, offs[i : j + 1])
                 cut = pa.array(np.searchsorted(text, np.arange(j - i + 1)).astype(np.int32))
-                yield pa.RecordBatch.from_arrays([b.column(0).slice(i, j - i).cast(pa.int32()), pa.ListArray.from_arrays(cut, pa.array(slot)), pa.ListArray.from_arrays(cut, pa.array(value))], ["grade", "slots", "share"])
+                yield pa.RecordBatch.from_arrays([b.column(0).slice(i, j - i).cast(pa.int32()), b.column(2).slice(i, j - i), pa.ListArray.from_arrays(cut, pa.array(slot)), pa.ListArray.from_arrays(cut, pa.array(value))], ["grade", "mark", "slots", "share"])
 
-    got = rows.mapInArrow(hashed, "grade int, slots array<int>, share array<float>").limit(2 * max_rows).toPandas()
-    rows_ = [(np.asarray(x, np.int32), np.asarray(y, np.float32)) for x, y in zip(got["slots"], got["share"], strict=True)]
-    grades = got["grade"].to_numpy()
-    del got
-    marks = [xxhash.xxh3_64_intdigest(at.tobytes() + share.tobytes()) for at, share in rows_]
-    order = sorted(range(len(rows_)), key=lambda i: (int(grades[i]), marks[i]))  # rows arrive in any order
-    return fit([rows_[i] for i in order], grades[order] if len(order) else np.zeros(0), top)
+    # rows with repeated ids may be more than max_rows: those with the smallest hashes count
+    got = rows.mapInArrow(hashed, "grade int, mark bigint, slots array<int>, share array<float>").orderBy("mark", "grade").limit(max_rows).toArrow().combine_chunks()
+    slots, share = (got[c].combine_chunks() if got.num_rows else pa.array([], pa.list_(t)) for c, t in (("slots", pa.int32()), ("share", pa.float32())))
+    if isinstance(slots, pa.ChunkedArray):
+        slots, share = slots.chunk(0), share.chunk(0)
+    cut, at, x = slots.offsets.to_numpy(), slots.values.to_numpy(), share.values.to_numpy()
+    return fit([(at[a:b], x[a:b]) for a, b in zip(cut[:-1].tolist(), cut[1:].tolist(), strict=True)], got["grade"].to_numpy() if got.num_rows else np.zeros(0), top)
 
 
-def score(docs: DataFrame, model: Model, tail: int = 1, least: float = 0.98, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Per row: the id, expected_grade, tail_prob = P(grade >= tail) and selected (tail_prob at least ``least``, and the text has a word)."""
-    m = model
+def score(docs: DataFrame, model: Model, tail: int | None = None, least: float = 0.2, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """Per row: the id, expected_grade, tail_prob = P(grade >= tail), by default that of the highest grade, and selected (tail_prob at least ``least``, and the text has a word)."""
+    m, k = model, len(model.thresholds) if tail is None else tail
 
+    @thrifty
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             data, offs = tk.texts(b.column(1))
             for i, j in tk.slices(offs):
                 p, some = m.tails(data, offs[i : j + 1])
-                yield pa.RecordBatch.from_arrays([b.column(0).slice(i, j - i), pa.array(p.sum(1)), pa.array(p[:, tail - 1]), pa.array(some & (p[:, tail - 1] >= least))], [id_col, "expected_grade", "tail_prob", "selected"])
+                yield pa.RecordBatch.from_arrays([b.column(0).slice(i, j - i), pa.array(p.sum(1)), pa.array(p[:, k - 1]), pa.array(some & (p[:, k - 1] >= least))], [id_col, "expected_grade", "tail_prob", "selected"])
 
     kind = dict(docs.dtypes)[id_col]
     return docs.select(id_col, F.col(text_col).cast("string").alias("__text")).mapInArrow(run, f"`{id_col}` {kind}, expected_grade double, tail_prob double, selected boolean")

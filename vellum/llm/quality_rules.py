@@ -182,7 +182,7 @@ def fit(x: np.ndarray, y: np.ndarray, directions: list[int], rounds: int = 60, d
     return out
 
 
-_STATS_SCHEMA = "label int, stats array<double>"
+_STATS_SCHEMA = "label int, mark bigint, stats array<double>"
 
 
 def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", max_rows: int = 20000) -> Trees:
@@ -190,7 +190,8 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     also the bound of what is broadcast and of what the driver receives."""
     some = labels.select(F.col(id_col).alias("__id"), F.col(label_col).cast("int").alias("__label")).where("__id is not null and __label is not null")
     some = bounded_sample(some, max_rows, F.col("__id"), F.col("__label"))
-    rows = docs.select(F.col(id_col).alias("__id"), F.col(text_col).cast("string").alias("text")).join(F.broadcast(some), "__id").select("__label", "text")
+    text = F.col(text_col).cast("string")
+    rows = docs.select(F.col(id_col).alias("__id"), text.alias("text"), F.xxhash64(text).alias("mark")).join(F.broadcast(some), "__id").select("__label", "text", "mark")
 
     @thrifty
     def stats(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -198,13 +199,14 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
             data, offs = tk.texts(b.column(1))
             for i, j in tk.slices(offs):
                 _, x = statistics(data, offs[i : j + 1])
-                yield pa.RecordBatch.from_arrays([b.column(0).slice(i, j - i).cast(pa.int32()), pa.array(list(x), pa.list_(pa.float64()))], ["label", "stats"])
+                yield pa.RecordBatch.from_arrays([b.column(0).slice(i, j - i).cast(pa.int32()), b.column(2).slice(i, j - i), pa.array(list(x), pa.list_(pa.float64()))], ["label", "mark", "stats"])
 
-    got = rows.mapInArrow(stats, _STATS_SCHEMA).limit(2 * max_rows).toPandas()
+    # rows with repeated ids may be more than max_rows: those with the smallest hashes count
+    got = rows.mapInArrow(stats, _STATS_SCHEMA).orderBy("mark", "label").limit(max_rows).toPandas()
     if not len(got):
         return Trees(threshold=0.0)
     x, y = np.stack(got["stats"].to_numpy()), got["label"].to_numpy()
-    order = np.lexsort([*x.T, y])  # rows arrive in any order
+    order = np.lexsort([*x.T, y])  # texts with equal hashes may arrive in any order
     return fit(x[order], (y[order] > 0).astype(float), list(FEATURES.values()))
 
 
