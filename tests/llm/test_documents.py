@@ -5,6 +5,7 @@ import math
 import random
 import re
 import time
+import zlib
 from collections import Counter
 
 import numpy as np
@@ -250,7 +251,8 @@ def test_languages_have_no_cap(spark):
     rows = [(i, f"{chr(0x4E00 + i % 110) * 6} x{i}", f"l{i % 110:03}", "c", 1.0) for i in range(550)] + [(1, "y" * 100_000, "l000", "c", 1.0)] * 3
     docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, slot string, place double")
     m = langid.train(docs)
-    assert len(m.families) == 110
+    learned = {lang for i, _, lang, *_ in rows if zlib.crc32(str(i).encode()) % 4 != 2}
+    assert len(m.families) == len(learned) > 100
     got = langid.predict(docs, m).collect()
     assert len(got) == len(rows) and len({(r.lang_pred, r.score) for r in got if r.doc_id == 1}) <= 2
 
