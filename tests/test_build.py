@@ -1,3 +1,4 @@
+import random
 from datetime import datetime
 
 import pytest
@@ -99,6 +100,12 @@ def test_duplicates(spark):
     assert duplicates.totals(docs.where("t is not null"), "id", F.col("t")).first()[:] == (7, 5, 1)
     assert duplicates.groups(docs, "id", F.col("t")).count() == 3
     assert all(r.a < r.b for r in duplicates.near(docs, "id", F.col("t")).collect())
+    rng = random.Random(1)
+    p = "".join(rng.choice("abcdé ") for _ in range(3000))
+    docs = spark.createDataFrame([(3, p), (1, p), (2, p), (5, "x" + p[:2000]), (6, p[1000:] + "y"), (7, None), (8, ""), (9, "abc")], "id long, t string")
+    got = {(r.a, r.b): r.n_shared for r in duplicates.near(docs, "id", F.col("t")).collect()}
+    want = {i: {p[at : at + 250] for at in range(len(p) - 249) if sum(((((ord(p[j]) * 131 + ord(p[j + 1])) * 131 + ord(p[j + 2])) * 131 + ord(p[j + 3])) % 2**31 * 1103515245 >> 15) % 65536 for j in range(at, at + 247)) % 512 == 0} for i, p in ((1, p), (5, "x" + p[:2000]), (6, p[1000:] + "y"))}
+    assert got == {k: v for k, v in {(1, 2): len(want[1]), (1, 3): len(want[1]), (1, 5): len(want[1] & want[5]), (1, 6): len(want[1] & want[6]), (5, 6): len(want[5] & want[6])}.items() if v}
 
 
 def test_stream(spark, tmp_path):

@@ -25,6 +25,12 @@ def test_distance_is_symmetric(a, b):
     assert distance.distance(a, b, 2, 2, 3) == distance.distance(b, a, 2, 2, 3)
 
 
+@settings(max_examples=60)
+@given(st.lists(st.tuples(st.text("abé𝄞", max_size=6), st.text("abé𝄞", max_size=6)), max_size=12), st.integers(0, 4), st.integers(0, 4), st.integers(0, 9))
+def test_distances_of_many_pairs(pairs, i, d, s):
+    assert distance.distances([a for a, _ in pairs], [b for _, b in pairs], i, d, s).tolist() == [distance.distance(a, b, i, d, s) for a, b in pairs]
+
+
 def test_weighted_distance_as_function(spark):
     rows = spark.createDataFrame([("underground", "ergro"), (None, "x"), ("", "ab")], "a string, b string")
     assert [r[0] for r in rows.select(distance.weighted_distance(1, 10, 1)("a", "b")).collect()] == [60, None, 2]

@@ -352,9 +352,13 @@ def dup_totals(spark, d):
     return duplicates.totals(table(spark, d, "documents"), "doc_id", F.col("text"))
 
 
-@query("""WITH w AS (SELECT DISTINCT doc_id, md5(substr(text, i, 250)) AS h FROM (SELECT doc_id, text, unnest(range(1, greatest(length(text) - 249, 1) + 1)) AS i FROM documents)),
-s AS (SELECT * FROM w WHERE h[1:2] = '00' AND h[3] < '8')
-SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS n_shared FROM s a JOIN s b ON a.h = b.h AND a.doc_id < b.doc_id GROUP BY ALL""")
+@query("""WITH t AS (SELECT doc_id, text, length(text) AS n, string_split(text, '') AS l, min(doc_id) OVER (PARTITION BY text) AS rep FROM documents WHERE text IS NOT NULL),
+c AS (SELECT doc_id, n, unnest(list_transform(l, lambda x: unicode(x)::BIGINT)) AS c, generate_subscripts(l, 1) AS i FROM t WHERE n > 0),
+g AS (SELECT doc_id, n, i, CASE WHEN i <= n - 3 THEN (((((c * 131 + lead(c, 1) OVER o) * 131 + lead(c, 2) OVER o) * 131 + lead(c, 3) OVER o) & 2147483647) * 1103515245 >> 15) & 65535 ELSE 0 END AS v FROM c WINDOW o AS (PARTITION BY doc_id ORDER BY i)),
+m AS (SELECT doc_id, n, i, sum(v) OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN CURRENT ROW AND 246 FOLLOWING) % 512 AS s FROM g),
+s AS (SELECT DISTINCT doc_id, rep, md5(substr(text, i, 250)) AS h FROM (SELECT doc_id, i FROM m WHERE s = 0 AND (i = 1 OR i <= n - 249) UNION ALL SELECT doc_id, 1 FROM t WHERE n = 0) JOIN t USING (doc_id))
+SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS n_shared FROM s a JOIN s b ON a.h = b.h AND a.doc_id < b.doc_id WHERE a.doc_id = a.rep AND b.doc_id = b.rep GROUP BY ALL
+UNION ALL SELECT rep, doc_id, count(*) FROM s WHERE doc_id <> rep GROUP BY ALL""")
 def near_dups(spark, d):
     return duplicates.near(table(spark, d, "documents"), "doc_id", F.col("text"))
 

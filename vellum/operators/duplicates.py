@@ -5,10 +5,16 @@ from __future__ import annotations
 import hashlib
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .tables import join_salted
+
+#: One window in so many is sampled.
+RATE = 512
+
 
 def by_hash(rows: DataFrame, id_col: str, content: Column) -> DataFrame:
     """Per content: its md5, n (how many rows have it) and the smallest id. Counts are combined before they are moved."""
@@ -18,7 +24,7 @@ def by_hash(rows: DataFrame, id_col: str, content: Column) -> DataFrame:
 def groups(rows: DataFrame, id_col: str, content: Column) -> DataFrame:
     """The rows whose content others have too: hash, n, id."""
     many = by_hash(rows, id_col, content).where("n > 1").select("hash", "n")
-    return rows.select(F.md5(content.cast("binary")).alias("hash"), id_col).join(many, "hash").select("hash", "n", id_col)
+    return join_salted(rows.select(F.md5(content.cast("binary")).alias("hash"), id_col), many, "hash", F.col(id_col)).select("hash", "n", id_col)
 
 
 def totals(rows: DataFrame, id_col: str, content: Column) -> DataFrame:
@@ -26,33 +32,39 @@ def totals(rows: DataFrame, id_col: str, content: Column) -> DataFrame:
     return one.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n_files"), F.count(F.lit(1)).alias("n_distinct"), F.count(F.when(F.col("n") > 1, 1)).alias("n_groups"))
 
 
-def sampled_windows(docs: DataFrame, id_col: str, text: Column, window: int = 250) -> DataFrame:
-    """Distinct hashes of those windows of the text that fall in a fixed 1/512 of all hashes: md5s that begin with 00 and a third digit below 8. A shorter text is
-    one window. The choice depends on the window alone, so copies always choose alike."""
+def sampled_starts(text: str, window: int, rate: int = RATE) -> np.ndarray:
+    """Where the sampled windows of a text begin: those whose sum over a mixed value of each four characters is divisible by ``rate``. The sum rolls, so a character costs a few operations."""
+    c = np.frombuffer(text.encode("utf-32-le"), "<u4").astype(np.int64)
+    p = (((c[:-3] * 131 + c[1:-2]) * 131 + c[2:-1]) * 131 + c[3:]) & 0x7FFFFFFF if len(c) > 3 else c[:0]
+    sums = np.r_[0, np.cumsum(p * 1103515245 >> 15 & 0xFFFF)]
+    k = window - 3
+    return np.flatnonzero((sums[k:] - sums[:-k] if len(c) > window else sums[-1:]) % rate == 0)
+
+
+def sampled_windows(docs: DataFrame, id_col: str, text: Column, window: int = 250, rate: int = RATE) -> DataFrame:
+    """Per text: the id, ``key`` (the text's md5) and ``hashes``: the distinct md5s of its sampled windows. A text no longer than the window is one window. The choice depends on the window alone, so copies
+    always choose alike; null texts have no row."""
 
     def hashes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        md5 = hashlib.md5
         for b in batches:
-            ids, found = [], []
-            for i, t in enumerate(b.column(1).to_pylist()):
-                if t is None:
-                    continue
-                got = set()
-                for at in range(max(len(t) - window + 1, 1)):
-                    d = md5(t[at : at + window].encode()).digest()
-                    if d[0] == 0 and d[1] < 0x80:
-                        got.add(d.hex())
-                ids += [i] * len(got)
-                found += sorted(got)
-            yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array(ids, pa.int64())), pa.array(found, pa.string())], [id_col, "hash"])
-
-    return docs.select(id_col, text.alias("__text")).mapInArrow(hashes, f"`{id_col}` {dict(docs.dtypes)[id_col]}, hash string")
+            found = []
+            for t in b.column(2).to_pylist():
+                found.append(sorted({hashlib.md5(t[at : at + window].encode()).hexdigest() for at in sampled_starts(t, window, rate).tolist()}))
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(found, pa.list_(pa.string()))], [id_col, "key", "hashes"])
+
+    rows = docs.select(id_col, F.md5(text.cast("binary")).alias("key"), text.alias("__text")).where("__text is not null")
+    return rows.mapInArrow(hashes, f"`{id_col}` {dict(docs.dtypes)[id_col]}, key string, hashes array<string>")
 
 
 def near(docs: DataFrame, id_col: str, text: Column, window: int = 250, most: int | None = None) -> DataFrame:
-    """Pairs of rows (a before b) with the number of sampled windows that they share, most first. ``most``: that many pairs only."""
+    """Pairs a, b with n_shared, the number of sampled windows that they share. Different texts are paired by the row with the smallest id that has them (a before b); every other row is paired with that
+    of its own text alone, so copies never make pairs among each other. Texts that share a window are paired with each other; ``most``: that many pairs only, those that share most first."""
     w = sampled_windows(docs, id_col, text, window)
-    shared = w.groupBy("hash").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("hash")
-    w = w.join(shared, "hash")
-    pairs = w.select("hash", F.col(id_col).alias("a")).join(w.select("hash", F.col(id_col).alias("b")), "hash").where("a < b").groupBy("a", "b").agg(F.count(F.lit(1)).alias("n_shared"))
+    one = w.groupBy("key").agg(F.min(id_col).alias("a"), F.first("hashes").alias("hashes"))
+    h = one.select("a", F.explode("hashes").alias("hash"))
+    shared = h.groupBy("hash").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("hash")
+    h = h.join(shared, "hash")
+    pairs = h.join(h.select("hash", F.col("a").alias("b")), "hash").where("a < b").groupBy("a", "b").agg(F.count(F.lit(1)).alias("n_shared"))
+    copies = join_salted(w.where(F.size("hashes") > 0).select("key", F.col(id_col).alias("b"), F.size("hashes").cast("bigint").alias("n_shared")), one.select("key", "a"), "key", F.col("b"))
+    pairs = pairs.unionByName(copies.where("a <> b").select("a", "b", "n_shared"))
     return pairs if most is None else pairs.orderBy(F.desc("n_shared"), F.desc("a"), F.desc("b")).limit(most)

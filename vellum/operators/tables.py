@@ -23,6 +23,13 @@ def without_match(rows: DataFrame, other: DataFrame, on: str | list[str]) -> Dat
     return rows.join(other, on, "left_anti")
 
 
+def join_salted(rows: DataFrame, per_key: DataFrame, on: str, by: Column, salts: int = 32) -> DataFrame:
+    """``rows`` with what ``per_key`` (one row for each key) has for their key. Rows with one key are dealt by ``by`` over ``salts`` parts, each of which gets its own copy of the key's row, so
+    a key that very many rows have doesn't meet in one task."""
+    dealt = rows.withColumn("__salt", F.pmod(F.xxhash64(by), F.lit(salts)).cast("int"))
+    return dealt.join(per_key.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))), [on, "__salt"]).drop("__salt")
+
+
 def first_by(rows: DataFrame, key: Column, *order: str) -> DataFrame:
     """Of the rows with the same key the first."""
     return rows.withColumn("__key", key).withColumn("__n", F.row_number().over(W.partitionBy("__key").orderBy(*order))).where("__n = 1").drop("__key", "__n")
