@@ -76,16 +76,27 @@ def test_explicit_files_and_feed(spark, corpus):
     assert sorted((r.title, r.link) for r in pages.feed(spark, f"{corpus}/*.xml").collect()) == [("A Act", "/a"), ("A Act", "/a"), ("B Act", "/b")]
 
 
-def test_search_in_blocks_agrees(spark):
+def test_search_of_large_dictionaries_agrees(spark):
     docs = spark.createDataFrame([(1, "abcabd xbc"), (2, ""), (3, None), (4, "bcd")], "id long, t string")
     keys = spark.createDataFrame([("ab", 1), ("abc", 2), ("bc", 3), ("bc", 4), ("bcd", 5)], "k string, v long")
     one = match.search(docs, "id", "t", keys, "k", "v")
-    many = match.search(docs, "id", "t", keys, "k", "v", block_bytes=70)
+    many = match.search(docs, "id", "t", keys, "k", "v", sent_bytes=0)
     rows = sorted(map(tuple, one.collect()))
     assert rows == sorted(map(tuple, many.collect()))
     assert rows == [(1, 0, 3, 2), (1, 1, 2, 3), (1, 1, 2, 4), (1, 3, 2, 1), (1, 8, 2, 3), (1, 8, 2, 4), (4, 0, 3, 5)]
     assert match.search(docs, "id", "t", keys.limit(0), "k", "v").count() == 0
     assert {r[0] for r in match.search(docs, "id", "t", keys, "k", "v", boundary=True).collect()} == {4}
+    rng = random.Random(2)
+    text = lambda n: "".join(rng.choice("ab é.<>B") for _ in range(n))
+    docs = spark.createDataFrame([(i, text(rng.randint(0, 300))) for i in range(60)] + [(60, None), (61, text(50_000))], "id long, t string")
+    keys = spark.createDataFrame([(text(rng.choice([1, 2, 3, 5, 6, 7, 9])), i) for i in range(200)] + [(None, 1), ("", 2)], "k string, v long")
+    for options in ({}, {"boundary": True}, {"legacy_end": True}, {"normaliser": match.law_view}):
+        one = sorted(map(tuple, match.search(docs, "id", "t", keys, "k", "v", **options).collect()))
+        assert one and one == sorted(map(tuple, match.search(docs, "id", "t", keys, "k", "v", sent_bytes=0, **options).collect()))
+    laws = tables.first_by(keys.where("k <> ''"), F.col("k"), "v").select("k", F.col("v").cast("string").alias("href"))
+    one, two = (sorted(map(str, match.link_table(docs, "id", "t", laws, "k", "href", match.limp, sent_bytes=n).collect())) for n in (1 << 20, 0))
+    assert one == two and len(one) == 62 and any("href" in r for r in one)
+    assert match.link_table(docs, "id", "t", laws.limit(0), "k", "href").where("size(keys) > 0").count() == 0
 
 
 def test_unique_names(spark):

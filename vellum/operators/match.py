@@ -3,8 +3,8 @@
 ``search`` reports the longest entry at every place where one begins, overlaps included and without regard to word boundaries; ``replace`` takes the leftmost
 longest entries that don't overlap. Both can work on a normalised view of a text and map what they find back to the text itself.
 
-A dictionary's automaton is built once per task. Dictionaries of more than a fixed size are searched in blocks of that size, so what is sent to a task never grows
-with the dictionary.
+Dictionaries of up to SENT_BYTES are sent to every task, which builds an automaton. Larger ones stay tables: tasks get two filters of a fixed size, over how the keys begin and over whole
+keys, write down what passes them, and that is joined with the keys. So the texts are read once, whatever the dictionary's size, and what a task is sent never grows with it.
 """
 
 from __future__ import annotations
@@ -14,12 +14,17 @@ from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import ahocorasick
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-BLOCK_BYTES = 16 << 20
+from .tables import join_salted
+
+SENT_BYTES = 16 << 20
+#: A filter has 2 to this power bits; what isn't a key passes by chance with a probability of keys / bits.
+FILTER_BITS = 26
 
 #: A normalised text, and for each of its characters where it stood.
 View = tuple[str, list[int]]
@@ -142,47 +147,137 @@ class Dictionary:
         return "".join(out) + text[last:], keys
 
 
-def blocks(dictionary: DataFrame, key_col: str, value_col: str, block_bytes: int = BLOCK_BYTES) -> Iterator[dict[str, list]]:
-    """The dictionary in parts of about ``block_bytes``: for each key its values."""
+def small(dictionary: DataFrame, key_col: str, value_col: str, sent_bytes: int = SENT_BYTES) -> dict[str, list] | None:
+    """For each key its values; None if the dictionary is larger than ``sent_bytes``."""
     d = dictionary.select(F.col(key_col).cast("string").alias("k"), F.col(value_col).alias("v")).where("k <> ''")
-    total = d.agg(F.sum(F.octet_length("k") + 64)).first()[0] or 0
-    n = -(-int(total) // block_bytes)
-    for i in range(n):
-        part: dict[str, list] = {}
-        for k, v in d.where(F.pmod(F.xxhash64("k"), F.lit(n)) == i).collect():
-            part.setdefault(k, []).append(v)
-        if part:
-            yield {k: sorted(v, key=str) for k, v in part.items()}
+    if int(d.agg(F.sum(F.octet_length("k") + 64)).first()[0] or 0) > sent_bytes:
+        return None
+    part: dict[str, list] = {}
+    for k, v in d.collect():
+        part.setdefault(k, []).append(v)
+    return {k: sorted(v, key=str) for k, v in part.items()}
+
+
+def normalised(text: str | None, normaliser: Normaliser | None) -> str:
+    return (normaliser(view(text))[0] if normaliser else text) if text else ""
 
 
-def search(docs: DataFrame, id_col: str, text_col: str, dictionary: DataFrame, key_col: str, value_col: str, boundary: bool = False, legacy_end: bool = False, block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """A row per occurrence: the id, start (in characters, from 0), n_chars and the value. Both sides are taken as they are; normalise them first. A key with several values
+def search(
+    docs: DataFrame, id_col: str, text_col: str, dictionary: DataFrame, key_col: str, value_col: str, boundary: bool = False, legacy_end: bool = False, sent_bytes: int = SENT_BYTES, normaliser: Normaliser | None = None
+) -> DataFrame:
+    """A row per occurrence: the id, start (in characters, from 0), n_chars and the value. Both sides are taken as they are, but for texts with a ``normaliser``, whose result is searched. A key with several values
     gives a row for each. boundary: keep a match only if no letter or digit stands on either side of it."""
     ids, values = dict(docs.dtypes)[id_col], dict(dictionary.dtypes)[value_col]
-    out, n = None, 0
-    for part in blocks(dictionary, key_col, value_col, block_bytes):
-
-        def find(batches: Iterator[pa.RecordBatch], part: dict = part) -> Iterator[pa.RecordBatch]:
-            d = Dictionary(part)
-            for b in batches:
-                rows = []
-                for i, text in enumerate(b.column(1).to_pylist()):
-                    for m in d.search(text or "", legacy_end):
-                        if boundary and (text[m.start - 1 : m.start].isalnum() or text[m.end : m.end + 1].isalnum()):
-                            continue
+    part = small(dictionary, key_col, value_col, sent_bytes)
+    if part is None:
+        return _search_large(docs, id_col, text_col, dictionary, key_col, value_col, boundary, legacy_end, normaliser)
+    if not part:
+        return docs.select(id_col, F.lit(0).cast("bigint").alias("start"), F.lit(0).cast("bigint").alias("n_chars"), F.lit(None).cast(values).alias(value_col)).where("false")
+
+    def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        d = Dictionary(part)
+        for b in batches:
+            rows = []
+            for i, text in enumerate(b.column(1).to_pylist()):
+                text = normalised(text, normaliser)
+                for m in d.search(text, legacy_end):
+                    if not (boundary and inside_word(text, m.start, m.end)):
                         rows += [(i, m.start, m.end - m.start, v) for v in part[m.key]]
-                at, start, size, value = zip(*rows, strict=True) if rows else ((), (), (), ())
-                yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array(at, pa.int64())), pa.array(start, pa.int64()), pa.array(size, pa.int64()), pa.array(value) if rows else pa.array([], b.column(0).type)], [id_col, "start", "n_chars", value_col])
+            at, start, size, value = zip(*rows, strict=True) if rows else ((), (), (), ())
+            yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array(at, pa.int64())), pa.array(start, pa.int64()), pa.array(size, pa.int64()), pa.array(value) if rows else pa.array([], b.column(0).type)], [id_col, "start", "n_chars", value_col])
 
-        one = docs.select(id_col, text_col).mapInArrow(_typed(find, value_col, values), f"`{id_col}` {ids}, start bigint, n_chars bigint, `{value_col}` {values}")
-        out, n = one if out is None else out.unionByName(one), n + 1
-    if out is None:
-        return docs.select(id_col, F.lit(0).cast("bigint").alias("start"), F.lit(0).cast("bigint").alias("n_chars"), F.lit(None).cast(values).alias(value_col)).where("false")
-    if n > 1:
-        # only between blocks can a longer entry hide a shorter one that begins at the same place
-        longest = W.partitionBy(id_col, "start")
-        out = out.withColumn("__n", F.max("n_chars").over(longest)).where("n_chars = __n").drop("__n")
-    return out
+    return docs.select(id_col, text_col).mapInArrow(_typed(find, value_col, values), f"`{id_col}` {ids}, start bigint, n_chars bigint, `{value_col}` {values}")
+
+
+def inside_word(text: str, start: int, end: int) -> bool:
+    return text[start - 1 : start].isalnum() or text[end : end + 1].isalnum()
+
+
+START, _BASE = 6, 0xD6E8FEB86659FD93
+_MIX = np.uint64(0x9E3779B97F4A7C15)
+
+
+def geometric(base: int, n: int) -> np.ndarray:
+    out = np.full(n, np.uint64(base), np.uint64)
+    out[:1] = 1
+    return np.multiply.accumulate(out)
+
+
+def prefix_sums(text: str) -> tuple[np.ndarray, np.ndarray]:
+    """Sums over a text's characters, each with its own power of _BASE, and the powers of its inverse: with them the hash of any part of the text takes a few operations."""
+    c = np.frombuffer(text.encode("utf-32-le"), "<u4").astype(np.uint64) + np.uint64(1)
+    return np.r_[np.uint64(0), np.cumsum(c * geometric(_BASE, len(c)), dtype=np.uint64)], geometric(pow(_BASE, -1, 1 << 64), len(c) + 1)
+
+
+def part_bits(sums: np.ndarray, inverse: np.ndarray, start: np.ndarray, size: int) -> np.ndarray:
+    """The filter's bit for the parts of ``size`` characters from each start on."""
+    h = (sums[start + size] - sums[start]) * inverse[start] + np.uint64(size)
+    h = (h ^ (h >> np.uint64(31))) * _MIX
+    return ((h ^ (h >> np.uint64(29))) * _MIX >> np.uint64(64 - FILTER_BITS)).astype(np.int64)
+
+
+def filters(dictionary: DataFrame, key_col: str) -> tuple[np.ndarray, np.ndarray, dict[int, list[int]]]:
+    """Which bits the keys' first START characters (or all, of shorter keys) set, which the whole keys set, and for each size of a beginning the sizes of its keys. The filters are put together from
+    those of the tasks, of which each task makes one."""
+
+    def bits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        starts, wholes, sizes = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], set()
+        for b in batches:
+            for k in b.column(0).to_pylist():
+                sums, inverse = prefix_sums(k)
+                zero, n = np.zeros(1, np.int64), len(k)
+                starts.append(part_bits(sums, inverse, zero, min(n, START)))
+                wholes.append(part_bits(sums, inverse, zero, n))
+                sizes.add(n)
+            starts, wholes = [np.unique(np.concatenate(starts))], [np.unique(np.concatenate(wholes))]
+        for kind, x in ((0, starts[0]), (1, wholes[0]), (2, np.array(sorted(sizes), np.int64))):
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(x), kind, np.int32)), pa.array(x)], ["kind", "bit"])
+
+    keys = dictionary.select(F.col(key_col).cast("string").alias("k")).where("k <> ''")
+    # a bucket is 4096 bytes, for 32768 bits that are counted from 1 on
+    got = keys.mapInArrow(bits, "kind int, bit bigint")
+    maps = got.where("kind < 2").groupBy("kind", F.expr("bitmap_bucket_number(bit + 1)").alias("bucket")).agg(F.expr("bitmap_construct_agg(bitmap_bit_position(bit + 1))").alias("map")).collect()
+    out = np.zeros((2, 1 << FILTER_BITS - 3), np.uint8)
+    for kind, bucket, m in maps:
+        at = (bucket - 1) * 4096
+        out[kind, at : at + len(m)] = np.frombuffer(bytes(m), np.uint8)
+    lengths: dict[int, list[int]] = {}
+    for (n,) in got.where("kind = 2").select("bit").distinct().collect():
+        lengths.setdefault(min(n, START), []).append(n)
+    return out[0], out[1], {k: sorted(v) for k, v in sorted(lengths.items())}
+
+
+def _is_set(map_: np.ndarray, bit: np.ndarray) -> np.ndarray:
+    return (map_[bit >> 3] >> (bit & 7).astype(np.uint8)) & 1 > 0
+
+
+def _search_large(docs: DataFrame, id_col: str, text_col: str, dictionary: DataFrame, key_col: str, value_col: str, boundary: bool, legacy_end: bool, normaliser: Normaliser | None) -> DataFrame:
+    ids = dict(docs.dtypes)[id_col]
+    starts, wholes, lengths = filters(dictionary, key_col)
+
+    def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            rows: list[tuple] = []
+            for i, text in enumerate(b.column(1).to_pylist()):
+                text = normalised(text, normaliser)
+                sums, inverse = prefix_sums(text)
+                for first, sizes in lengths.items():
+                    begin = np.arange(len(text) - first + 1)
+                    begin = begin[_is_set(starts, part_bits(sums, inverse, begin, first))]
+                    for n in sizes:
+                        at = begin[begin <= len(text) - n]
+                        at = at[_is_set(wholes, part_bits(sums, inverse, at, n))]
+                        rows += [(i, a, n, text[a : a + n], not (boundary and inside_word(text, a, a + n)) and not (legacy_end and a + n == len(text))) for a in at.tolist()]
+            i, start, size, key, good = zip(*rows, strict=True) if rows else ((), (), (), (), ())
+            yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array(i, pa.int64())), pa.array(start, pa.int64()), pa.array(size, pa.int64()), pa.array(key, pa.string()), pa.array(good, pa.bool_())], [id_col, "start", "n_chars", "__key", "__good"])
+
+    found = docs.select(id_col, text_col).mapInArrow(find, f"`{id_col}` {ids}, start bigint, n_chars bigint, __key string, __good boolean")
+    keys = dictionary.select(F.col(key_col).cast("string").alias("__key"), F.col(value_col).alias("__value")).where("__key <> ''").groupBy("__key").agg(F.collect_list("__value").alias("__values"))
+    real = join_salted(found, keys, "__key", F.col("start"))
+    # at a place the longest key counts, whether or not it stands at a boundary
+    longest = W.partitionBy(id_col, "start")
+    real = real.withColumn("__n", F.max("n_chars").over(longest)).where("n_chars = __n and __good")
+    return real.select(id_col, "start", "n_chars", F.explode("__values").alias(value_col))
 
 
 def _typed(find, value_col: str, kind: str):
@@ -214,3 +309,24 @@ def link(docs: DataFrame, id_col: str, text_col: str, entries: dict[str, str], n
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array([t for t, _ in got], pa.string()), pa.array([k for _, k in got], pa.list_(pa.string()))], [id_col, text_col, "keys"])
 
     return docs.select(id_col, text_col).mapInArrow(run, f"`{id_col}` {dict(docs.dtypes)[id_col]}, `{text_col}` string, keys array<string>")
+
+
+def link_table(docs: DataFrame, id_col: str, text_col: str, entries: DataFrame, key_col: str, href_col: str, normaliser: Normaliser | None = law_view, sent_bytes: int = SENT_BYTES) -> DataFrame:
+    """As ``link``, for a table of entries with one row for each key. A small one is sent to every task; of a larger one each text gets the entries that were found in it. Rows need different ids then."""
+    part = small(entries, key_col, href_col, sent_bytes)
+    if part is not None:
+        if part:
+            return link(docs, id_col, text_col, {k: v[0] for k, v in part.items()}, normaliser)
+        return docs.select(id_col, text_col, F.array().cast("array<string>").alias("keys"))
+    pair = entries.select(F.col(key_col).alias("__k"), F.struct(F.col(key_col).alias("key"), F.col(href_col).alias("href")).alias("entry"))
+    found = search(docs, id_col, text_col, pair, "__k", "entry", sent_bytes=-1, normaliser=normaliser).groupBy(id_col).agg(F.collect_set("entry").alias("__entries"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            got = []
+            for t, own in zip(b.column(1).to_pylist(), b.column(2).to_pylist(), strict=True):
+                got.append(Dictionary({e["key"]: e["href"] for e in own}).replace(t, normaliser, lambda s, href: f'<a href="{href}">{s}</a>') if t and own else (t, []))
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array([t for t, _ in got], pa.string()), pa.array([k for _, k in got], pa.list_(pa.string()))], [id_col, text_col, "keys"])
+
+    rows = docs.select(id_col, text_col).join(found, id_col, "left")
+    return rows.mapInArrow(run, f"`{id_col}` {dict(docs.dtypes)[id_col]}, `{text_col}` string, keys array<string>")
