@@ -10,7 +10,7 @@ from vellum.operators import match
 
 PAGE = """<html><head><title>Smith &amp; Co v. Jones [2001] QB 62
  (25th July, 2001)</title></head><body><table><tr><td align="left"><h1>Court of Things</h1></td></tr></table>
-<small><i>http://example.org/62.html</i><br>x<br> Cite as: [2001] Q.B.  62, [2001] 2 Things 5 (25 July 2001)</small><hr><p>kept</p><p>&nbsp;</p>
+<small><i>http://example.org/62.html</i><br>x<br>Cite as: [2001] Q.B.  62, [2001] 2 Things 5 (25 July 2001)</small><hr><p>kept</p><p>&nbsp;</p>
 <ul><li><a href="x">a<li>b</li></a></li></ul><hr>gone<p>gone too</p></body></html>"""
 
 
@@ -90,7 +90,9 @@ def test_page():
         html.title(html.parse("<p>x</p>"))
 
 
-@pytest.mark.parametrize(("s", "want"), [("25th July, 2001", date(2001, 7, 25)), ("March 1995", date(1995, 3, 1)), ("01/02/2001", date(2001, 1, 2)), ("1999", date(1999, 1, 1)), ("SCOTLAND", None), ("194d(3", None), ("QB", None), ("", None), ("31 February 2001", None)])
+@pytest.mark.parametrize(("s", "want"), [("25th July, 2001", date(2001, 7, 25)), ("March 1995", date(1995, 3, 1)), ("01/02/2001", date(2001, 1, 2)), ("1999", date(1999, 1, 1)), ("SCOTLAND", None), ("194d(3", None), ("QB", None), ("", None), ("31 February 2001", None),
+    ("25 July 01", date(2001, 7, 25)), ("25/7/99", date(1999, 7, 25)), ("7/25/68", date(2068, 7, 25)), ("March 95", date(1995, 3, 1)), ("March 10", None), ("2001 July 25", date(2001, 7, 25)), ("2001/7/25", date(2001, 7, 25)), ("25.7.2001", date(2001, 7, 25)),
+    ("2001-07-25", date(2001, 7, 25)), ("Wednesday, 25th day of July 2001", date(2001, 7, 25)), ("Sept 3, 1999", date(1999, 9, 3)), ("99 July 4", date(1999, 7, 4)), ("13/13/2001", None), ("25 July", None), ("July", None), ("62", None), ("9999", None), ("12", None)])
 def test_dates(spark, s, want):
     assert citations.parse_date(s) == want
     assert spark.range(1).select(titles.parsed_date(F.lit(s))).first()[0] == want
@@ -114,5 +116,12 @@ def test_expressions(spark):
 
 
 def test_citations():
-    assert citations.citation_set("see [2001] UKHL 62, [2001] 1 AC 5 (HL)\nshort") == {"[2001] UKHL 62", "[2001] 1 AC 5 (HL)"}
+    assert citations.citation_set("see [2001] UKHL 62, [2001] 1 AC 5 (HL)\nshort") == {"[2001] UKHL 62", "[2001] 1 AC 5 (HL)", "short"}
+    # a piece is measured without its date
+    assert citations.citation_set("[2001] (25 July 2001)\n[2001] X (25 July 2001)\n(2001) 5 (1999) 66 (2000) 777") == {"[2001] X", "(2001) 5", "(1999) 66", "(2000) 777"}
+    exact, spaced = (html.parse(f"<small><br>{lead}Cite as: [2001] AB 7</small>") for lead in ("", " "))
+    assert citations.find_citations(exact, "T [1999] CD 8") == {"[2001] AB 7"} and citations.find_citations(spaced, "T [1999] CD 8; x") == {"[1999] CD 8", "x"}
+    link = '<a title="Link to X version">l</a>{}<b>3 May 2001</b>'
+    assert citations.find_date(html.parse(link.format(" (1 May 2001)")), "T") == date(2001, 5, 1) and citations.find_date(html.parse(link.format("1 May 2001")), "T") == date(2001, 5, 3)
+    assert citations.find_date(html.parse("<font>x (2\xa0May 2001</font>"), "T 194d(3) (SCOTLAND)") == date(2001, 5, 2) and citations.find_date(html.parse(""), "T 4 May 2001 x") == date(2001, 5, 4)
     assert citations.without_date("[1999] X 5 (1999)") == "[1999] X 5" and citations.without_date("[1999] X (194)") == "[1999] X (194)"

@@ -8,54 +8,89 @@ from datetime import date
 from .decode import ConversionError
 from .html import Node
 
-_MONTHS = {m: i + 1 for i, m in enumerate("jan feb mar apr may jun jul aug sep oct nov dec".split())}
-_MONTH = r"(?P<m>jan|feb|mar|apr|may|jun|jul|aug|sept?|oct|nov|dec)[a-z]*\.?"
-_DAY = r"(?P<d>\d{1,2})(?:st|nd|rd|th)?"
-_DATES = [re.compile(p, re.I) for p in (
-    rf"(?:[a-z]+day,? )?{_DAY}(?: day)?(?: of)? {_MONTH},? (?P<y>\d{{4}})", rf"(?:[a-z]+day,? )?{_MONTH} {_DAY},? (?P<y>\d{{4}})", rf"{_MONTH},? (?P<y>\d{{4}})",
-    r"(?P<y>\d{4})-(?P<m>\d{1,2})-(?P<d>\d{1,2})", r"(?P<m>\d{1,2})[/.-](?P<d>\d{1,2})[/.-](?P<y>\d{4})", r"(?P<y>[12]\d{3})",
-)]
+_MONTHS = {m: i + 1 for i, m in enumerate("january february march april may june july august september october november december".split())}
+_MONTHS |= {m[:3]: i for m, i in _MONTHS.items()} | {"sept": 9}
+_DAYS = {d[: n or None] for d in "monday tuesday wednesday thursday friday saturday sunday".split() for n in (0, 3)}
+_TOKEN = re.compile(r"(\d+)(?:st|nd|rd|th)?(?![a-z\d])|([a-z]+)|[\s,./-]", re.I)
+
+
+def full_year(digits: str) -> int | None:
+    """The year of two or four digits: 69 to 99 are of the last century, 00 to 68 of this one."""
+    n = int(digits)
+    return n if len(digits) == 4 and n else (1900 if n > 68 else 2000) + n if len(digits) == 2 else None
 
 
 def parse_date(s: str) -> date | None:
-    """A date with at least a year, month first in 1/2/2001. What is missing of month and day counts as 1, so results don't depend on the day of the run."""
-    s = " ".join(s.split()).strip(" ,.")
-    for p in _DATES:
-        m = p.fullmatch(s)
-        if m:
-            g = m.groupdict()
-            month = g.get("m") or "1"
-            try:
-                return date(int(g["y"]), int(month) if month.isdigit() else _MONTHS[month[:3].lower()], int(g.get("d") or 1))
-            except ValueError:
-                continue
-    return None
+    """A date with at least a year, in any of the usual orders: month first in 1/2/2001, unless the first is no month. What is missing of month and day counts as 1, so results don't depend on the
+    day of the run. Words other than months, weekdays, "of" and "day" make it none."""
+    numbers, month, before, at = [], None, 0, 0
+    while at < len(s):
+        m = _TOKEN.match(s, at)
+        if not m:
+            return None
+        at, word = m.end(), (m[2] or "").lower()
+        if m[1]:
+            numbers.append(m[1])
+        elif word in _MONTHS and month is None:
+            month, before = _MONTHS[word], len(numbers)
+        elif word and word not in _DAYS and word not in ("of", "day"):
+            return None
+    if any(len(n) not in (1, 2, 4) for n in numbers):
+        return None
+    year = next((n for n in numbers if len(n) == 4), None)
+    rest = [n for n in numbers if n is not year]
+    if any(len(n) == 4 for n in rest):
+        return None
+    if month is not None:
+        if year is None and len(rest) == 2:
+            # the year stands behind the day, but for 99 July 4
+            year = rest.pop(0 if before == 1 and int(rest[0]) > 31 >= int(rest[1]) else 1)
+        elif year is None and len(rest) == 1 and int(rest[0]) > 31:
+            year = rest.pop()
+        days = rest or ["1"]
+    elif year is not None and len(numbers) == 1:
+        if not "1000" <= year <= "2999":
+            return None
+        month, days = 1, ["1"]
+    elif len(numbers) == 3:
+        year = year or rest.pop()
+        if numbers[0] is not year and int(rest[0]) > 12:
+            rest.reverse()
+        month, days = int(rest[0]), rest[1:]
+    else:
+        return None
+    if year is None or len(days) != 1 or full_year(year) is None:
+        return None
+    try:
+        return date(full_year(year), month, int(days[0]))
+    except ValueError:
+        return None
 
 
 def without_date(s: str) -> str:
     """A citation without a date in its last parentheses. Digits there count as one only if they are a year."""
     at = s.rfind("(")
-    if at < 0:
+    if at < 1 or at == len(s) - 1:
         return s
-    inner = s[at + 1 :].split(")")[0].strip()
+    inner = s[at + 1 :].split(")")[0].strip(", \n")
     drop = bool(re.fullmatch(r"[12]\d{3}", inner)) if inner.isdigit() else parse_date(inner) is not None
     return s[:at].strip() if drop else s
 
 
 def citation_set(s: str) -> set[str]:
-    """The citations in a text of one or more lines. A line is cut to its first year, [2001] or (2001), and split again before each further year in brackets of the same kind;
-    pieces of at most six characters go."""
+    """The citations in a text of one or more lines. A line is cut to its first year, [2001] or (2001), and split again before each further year in brackets of the same kind; commas between two
+    pieces belong to neither. Pieces of at most six characters, counted without their date, go; a line without a year stays whole, however short."""
     out: set[str] = set()
-    for line in s.replace(" ", " ").split("\n"):
+    for line in s.replace("\xa0", " ").split("\n"):
         line = re.sub("  +", " ", line.strip(", \n"))
         m = re.search(r"[\[(][12]\d{3}[\])]", line)
         if m:
             line = line[m.start() :]
             left, right = (r"\[", r"\]") if line[0] == "[" else (r"\(", r"\)")
-            pieces = re.split(rf"(?={left}[12]\d{{3}}{right})", line)
+            pieces = (without_date(p.strip(", \n")) for p in re.split(rf"(?={left}[12]\d{{3}}{right})", line))
+            out |= {p for p in pieces if len(p) > 6}
         else:
-            pieces = [line]
-        out |= {without_date(p.strip(", \n")) for p in pieces if len(p.strip(", \n")) > 6}
+            out.add(without_date(line))
     out.discard("")
     return out
 
@@ -65,13 +100,13 @@ def weak(code: str) -> str:
 
 
 def find_citations(page: Node, title: str) -> set[str]:
-    """What stands behind "Cite as:" in small print, or else what the title has from its first year on."""
+    """What stands behind "Cite as:" at the very start of what follows a line break in small print, or else what the title has from its first year on."""
     for br in page.find("br", "small"):
-        if br.tail.strip().startswith("Cite as:"):
-            got = citation_set(br.tail.strip()[8:])
+        if br.tail.startswith("Cite as:"):
+            got = citation_set(br.tail[8:])
             if got:
                 return got
-    m = re.search(r"\[\d{4}\]", title)
+    m = re.search(r"\[[12]\d{3}\]", title)
     got = citation_set(title[m.start() :].replace(";", "\n")) if m else set()
     if not got:
         raise ConversionError("can't find a citation")
@@ -79,21 +114,36 @@ def find_citations(page: Node, title: str) -> set[str]:
 
 
 def _in_parentheses(s: str) -> date | None:
-    return next((d for m in re.finditer(r"\W\(([^()]*)(?:$|\))", s) if (d := parse_date(m[1]))), None)
+    """The first date in parentheses. They may be open at the end, and must not stand right behind a letter or digit: 194d(3) is no date."""
+    at = -1
+    while (at := s.find("(", at + 1)) >= 0:
+        if at and not (s[at - 1].isalnum() or s[at - 1] == "_"):
+            inner = re.match("[^()]*", s[at + 1 :])[0]
+            if s[at + 1 + len(inner) : at + 2 + len(inner)] != "(" and (d := parse_date(inner.replace("\xa0", " "))):
+                return d
+    return None
+
+
+def _last_words(s: str) -> str:
+    """The last number of a text with the word and the number in front of it, each of which may be missing."""
+    last = re.search("[0-9]+(?=[^0-9]*$)", s)
+    head = re.search("([0-9]*) ([A-Za-z]*) $", s[: last.start()]) if last else None
+    return f"{head[1]} {head[2]} {last[0]}" if head else ""
 
 
 def find_date(page: Node, title: str) -> date:
-    """The first date found in: parentheses in the title, the title's end, font elements, what stands behind a link to another version, bold text, a note of notification."""
-    got = _in_parentheses(title)
-    last = re.search(r"([0-9]* [A-Za-z]* [0-9]*)[^0-9]*$", title)
-    if not got and last:
-        got = parse_date(last[1])
+    """The first date found in: parentheses in the title, the title's end, parentheses within elements of the title and behind them, in font elements and behind a link to another version; bold text,
+    a note of notification."""
+    versions = (a for a in page.find("a") if re.fullmatch(r"Link to \w+ version", a.attrs.get("title", "")))
+    inside = (n for t in page.find("title") for n in t.walk() if n is not t)
     tests = (
+        (inside, lambda n: _in_parentheses(n.text) or _in_parentheses(n.tail)),
         (page.find("font"), lambda n: _in_parentheses(n.text)),
-        ((a for a in page.find("a") if re.fullmatch(r"Link to \w+ version", a.attrs.get("title", ""))), lambda n: _in_parentheses(n.tail) or parse_date(n.tail)),
+        (versions, lambda n: _in_parentheses(n.tail)),
         (page.find("b"), lambda n: parse_date(n.text)),
         (page.find("p"), lambda n: (m := re.search(r"notified: (.*)$", n.text)) and parse_date(m[1])),
     )
+    got = _in_parentheses(title) or parse_date(_last_words(title))
     for found, test in tests:
         got = got or next((d for n in found if (d := test(n))), None)
     if not got:

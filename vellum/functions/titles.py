@@ -46,7 +46,7 @@ def between_marks(html: Column, mark: str) -> Column:
 
 def year_part(title: Column) -> Column:
     """The title from its first year in square brackets on, semicolons as line feeds; null without one."""
-    return F.when(title.rlike(r"\[\d{4}\]"), F.translate(F.regexp_extract(title, r"(?s)(\[\d{4}\].*)$", 1), ";", "\n"))
+    return F.when(title.rlike(r"\[[12]\d{3}\]"), F.translate(F.regexp_extract(title, r"(?s)(\[[12]\d{3}\].*)$", 1), ";", "\n"))
 
 
 def party_list(title: Column) -> Column:
@@ -69,11 +69,19 @@ def date_candidates(title: Column) -> Column:
 
 
 def parsed_date(s: Column) -> Column:
-    """A date from the usual ways to write one; what is missing of day and month counts as 1, so that results don't depend on the day of the run. Month first in 1/2/2001."""
-    s = F.regexp_replace(F.translate(F.trim(s), ",.", "  "), "(?i)([0-9])(?:st|nd|rd|th)\\b", "$1")
-    s = F.regexp_replace(F.regexp_replace(s, "(?i)^(mon|tues|wednes|thurs|fri|satur|sun)day\\b|\\bof\\b", ""), " +", " ")
-    s = F.initcap(F.trim(s))
-    formats = ("d MMMM yyyy", "d MMM yyyy", "MMMM d yyyy", "MMM d yyyy", "yyyy-MM-dd", "M/d/yyyy", "MMMM yyyy", "MMM yyyy")
+    """A date from the usual ways to write one; what is missing of day and month counts as 1, so that results don't depend on the day of the run. Month first in 1/2/2001 unless the first is no month; years of two
+    digits from 69 on are of the last century."""
+    s = F.regexp_replace(F.translate(F.trim(s), ",./-", "    "), "(?i)([0-9])(?:st|nd|rd|th)\\b", "$1")
+    s = F.regexp_replace(s, r"(?i)\b((mon|tues|wednes|thurs|fri|satur|sun)day|mon|tue|wed|thu|fri|sat|sun|of|day)\b", " ")
+    s = F.initcap(F.trim(F.regexp_replace(s, r"\s+", " ")))
+    s = F.regexp_replace(s, r"\bSept\b", "Sep")
+    # the year goes to the end, in four digits
+    s = F.regexp_replace(s, r"^(\d{4}) (\S+) (\d{1,2})$", "$2 $3 $1")
+    s = F.regexp_replace(s, r"^(3[2-9]|[4-9]\d) ([A-Z]\S+) (\d{1,2})$", "$2 $3 $1")
+    short = s.rlike(r"^(\d{1,2} \S+|[A-Z]\S+ \d{1,2}) \d\d$|^[A-Z]\S+ (3[2-9]|[4-9]\d)$")
+    s = F.when(short, F.regexp_replace(F.regexp_replace(s, r" (69|[7-9]\d)$", " 19$1"), r" (\d\d)$", " 20$1")).otherwise(s)
+    s = F.regexp_replace(s, r"^(1[3-9]|[2-9]\d) (\d{1,2}) (\d{4})$", "$2 $1 $3")
+    formats = ("d MMMM yyyy", "d MMM yyyy", "MMMM d yyyy", "MMM d yyyy", "M d yyyy", "MMMM yyyy", "MMM yyyy")
     tried = [F.to_date(F.try_to_timestamp(s, F.lit(f))) for f in formats]
     return F.coalesce(*tried, F.when(s.rlike("^[12][0-9]{3}$"), F.to_date(F.try_to_timestamp(s, F.lit("yyyy")))))
 
