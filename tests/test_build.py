@@ -1,10 +1,11 @@
+import os
 import random
 from datetime import datetime
 
 import pytest
 from pyspark.sql import functions as F
 
-from vellum.operators import duplicates, match, tables
+from vellum.operators import duplicates, match, render, tables
 from vellum.plans import build, courts
 from vellum.sources import pages, sinks
 from vellum.streaming import logs
@@ -35,7 +36,7 @@ def test_build(spark, corpus):
     b = build.run(spark, [str(corpus / "in")], str(corpus / "store"), legislation=laws, courts=COURTS, categories=CATEGORIES)
     m = b.metrics()
     assert m["pages"] == 5 and {k: v.count() for k, v in b.tables.items() if k == "judgments"} == {"judgments": 3}
-    assert sorted((r.stage, r.key) for r in b.errors.where("stage = 'analyse'").collect()) == [("analyse", "bad.html"), ("analyse", "same.html")]
+    assert sorted((r.stage, r.key) for r in b.errors.where("stage = 'analyse'").collect()) == [("analyse", f"file:{corpus}/in/bad.html"), ("analyse", f"file:{corpus}/in/same.html")]
     name = {r.judgmentid: r.filename for r in b.tables["judgments"].collect()}
     refs = sorted((name[r.judgmentid], r.citationcode) for r in b.tables["crossreferences"].collect())
     assert refs == [("1.html", "[2001] QB 2"), ("2.html", "[2001] QB 3")]
@@ -50,12 +51,48 @@ def test_build(spark, corpus):
     assert index["index.html"].index("Court of Matters") < index["index.html"].index("Court of Things")
     sinks.save_pages(b.pages["judgments"], f"file://{corpus}/out")
     assert (corpus / "out/judgments/QB/2001/[2001]_QB_1.html").read_text() == html["/judgments/QB/2001/[2001]_QB_1.html"]
+    before = sorted(map(tuple, b.errors.collect()))
     again = build.run(spark, [], str(corpus / "store"), phases=("indexes",), courts=COURTS, categories=CATEGORIES)
-    assert again.pages["indexes"].count() == 2
+    assert again.pages["indexes"].count() == 2 and sorted(map(tuple, again.errors.collect())) == before
+    lines = [r.line for r in again.log(spark).collect()]
+    assert "*** judgments: 3" in lines and any(x.startswith("[analyse] file:") for x in lines) and f"*** errors: {len(before)}" in lines
     sinks.publish(spark, f"file://{corpus}/out", f"file://{corpus}/live")
     assert (corpus / "live/judgments/QB/2001/[2001]_QB_1.html").exists() and not (corpus / "out").exists()
 
 
+def test_files_of_one_name(spark, corpus):
+    (corpus / "in" / "1.html").write_text(page(9))
+    b = build.run(spark, [str(corpus / "in")], str(corpus / "store2"), courts=COURTS, categories=CATEGORIES)
+    # deep/1.html has the name of another file, and so same.html, of the same source, isn't rejected
+    assert b.tables["pages"].count() == 6 and b.tables["judgments"].count() == 4
+    kept = {r.path for r in b.tables["judgments"].collect()}
+    assert {f"file:{corpus}/in/1.html", f"file:{corpus}/in/same.html"} < kept and f"file:{corpus}/in/deep/1.html" not in kept
+    assert b.pages["judgments"].count() == 4 and b.tables["bodies"].count() == 4
+    assert {r.key for r in b.errors.where("stage = 'crossreference'").collect()} == {f"file:{corpus}/in/deep/1.html"}
+
+
+def test_purge_includes_and_feeds(spark, tmp_path):
+    (tmp_path / "deep").mkdir()
+    for n in ("a.html", "deep/b.html", "c.txt", "new.html"):
+        (tmp_path / n).write_text("x")
+        if n != "new.html":
+            os.utime(tmp_path / n, (1, 1))
+    assert sinks.purge(spark, f"file://{tmp_path}", datetime(2001, 1, 1)) == 2 and sorted(p.name for p in tmp_path.rglob("*.*")) == ["c.txt", "new.html"]
+    page = spark.createDataFrame([('a<esi:include src="/h" />b<esi:include src="/x"/>c',), ("none",), (None,)], "h string")
+    assert [r[0] for r in page.select(render.includes(F.col("h"), {"/h": "<b>$1</b>"})).collect()] == ["a<b>$1</b>bc", "none", None]
+    assert page.select(render.includes(F.col("h"), {})).first()[0] == "abc"
+    link = '<feed xmlns="http://www.w3.org/2005/Atom">{}<entry><title>The {} Act</title><link rel="self" href="/{}"/><link rel="next" href="nowhere"/></entry></feed>'
+    web = {"f1976": link.format('<link rel="next" href="f1976"/>', "A", "a"), "f1977": link.format('<link rel="next" href="p2"/>', "B", "b"), "p2": link.format("", "C", "c")}
+    assert pages.save_feeds(spark, lambda u: web[u].encode(), "f%d", f"file://{tmp_path}/feeds", [1976, 1977]) == 3
+    assert sorted((r.title, r.link) for r in pages.feed(spark, f"{tmp_path}/feeds/*.xml").collect()) == [("A Act", "/a"), ("B Act", "/b"), ("C Act", "/c")]
+
+
+def test_profile(spark, tmp_path):
+    with build.profiled(spark, str(tmp_path)):
+        spark.range(3).mapInArrow(lambda bs: bs, "id long").count()
+    assert any(tmp_path.iterdir())
+
+
 def test_phases():
     with pytest.raises(ValueError):
         build.check(("analyse", "convert"))

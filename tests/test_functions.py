@@ -68,6 +68,10 @@ def test_decoding():
     assert decode.decode("é".encode()).text == "é"
     assert decode.decode("<meta charset=iso-8859-1>“".encode("cp1252")).text.endswith("“")
     assert decode.decode("x".encode("utf-16")).text == "x"
+    for declaration in ("<meta http-equiv='Content-Type' content='text/html; charset=iso-8859-1'>", '<META CHARSET="latin-1"/>', "<meta charset=ISO-8859-1 >", "<?xml version='1.0' encoding='iso-8859-1'?>"):
+        assert decode.decode(declaration.encode() + b"\x93\xe9").text.endswith("\u201cé"), declaration
+    assert decode.decode("<?xml version='1.0' encoding='utf-16'?>é".encode("utf-16")).text.endswith("é")
+    assert decode.open_page("<p>\u201cx\u201d \u2013".encode(), smart_quotes=False) == '<p>"x" -' and "&#8220;" in decode.open_page("<p>\u201cx".encode())
     bad = decode.decode(b"<?xml encoding='utf-8'?>\xff\x81")
     assert bad.replaced and bad.encoding == "utf-8"
     assert decode.open_page("zzz<p>é\r\na\rb\x01\x04</p>".encode()) == "<p>&#233;\na\nb\x04</p>"

@@ -5,12 +5,14 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from .functions import distance, text, titles
-from .operators import duplicates, match, tables
-from .plans import carriers
+from .operators import duplicates, match, render, tables
+from .plans import build, carriers
 from .plans.carriers import table
+from .sources import pages, sinks
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -377,3 +379,191 @@ WHERE NOT contains(line, '"-" "-"')) GROUP BY level""")
 def log_levels(spark, d):
     lines = _log_lines(spark, d).withColumn("level", titles.log_level(F.col("line"))).where("level is not null")
     return lines.groupBy("level").agg(F.count(F.lit(1)).alias("n"))
+
+
+# -- files, tables and pages -------------------------------------------------------------------------------------------------------------------------------
+
+
+CLEAN_SQL = carriers.filled_sql(
+    carriers.PAGE.removeprefix("\ufeff junk ").replace("\r\n", "\n").replace("\x02", "").replace("é", "&#233;"), meta="CASE WHEN judgmentid % 4 = 2 THEN '<meta charset=\"iso-8859-1\">' ELSE '' END", title="replace(title, '&', '&amp;')", court="court",
+    source="'http://example.org/' || judgmentid", codes="neutral || ', ' || second", body="category || ' &amp; more.'",
+)
+
+
+def _number(filename):
+    return F.regexp_extract(filename, r"(\d+)\.html$", 1).cast("bigint")
+
+
+@query(f"SELECT judgmentid, md5({CLEAN_SQL}) AS hash FROM j", True)
+def page_decoded(spark, d):
+    analysed = pages.analyse(carriers.files(carriers.judgments(spark, d)))
+    return analysed.select(_number(F.col("filename")).alias("judgmentid"), F.md5(F.col("page").cast("binary")).alias("hash"))
+
+
+@query("""SELECT judgmentid, title, 'http://example.org/' || judgmentid AS source_url, court AS court_name, date, array_to_string(list_sort([neutral, second]), '; ') AS codes,
+    '1:' || trim(split_part(split_part(title, '[', 1), ' v. ', 2)) || '|' || (SELECT string_agg('2:' || trim(x.u), '|' ORDER BY x.i) FROM (SELECT unnest(string_split(split_part(title, ' v. ', 1), '&')) AS u, generate_subscripts(string_split(split_part(title, ' v. ', 1), '&'), 1) AS i) x) AS parties
+FROM j""", True)
+def page_metadata(spark, d):
+    v = pages.analyse(carriers.files(carriers.judgments(spark, d))).select(_number(F.col("filename")).alias("judgmentid"), "value.*")
+    people = F.array_join(F.transform("parties", lambda p: F.concat(p["position"].cast("string"), F.lit(":"), p["name"])), "|")
+    return v.select("judgmentid", "title", "source_url", "court_name", "date", F.array_join("citations", "; ").alias("codes"), people.alias("parties"))
+
+
+@query("""SELECT judgmentid, '<p>caf' || chr(233) || ' ' || category || ' &amp; more.</p><br/><ul><li><a href="x">one</a></li><li>two</li></ul>end' AS body, true AS mended, true AS emptied FROM j""", True)
+def page_body(spark, d):
+    analysed = pages.analyse(carriers.files(carriers.judgments(spark, d))).select(_number(F.col("filename")).alias("judgmentid"), "page")
+    return render.bodies(analysed, "judgmentid", "page").select("judgmentid", "body", "mended", "emptied")
+
+
+def esc(x: str) -> str:
+    return f"""replace(replace(replace(replace({x}, '&', '&amp;'), '<', '&lt;'), '>', '&gt;'), '"', '&quot;')"""
+
+
+def anchor_sql(href: str, label: str) -> str:
+    return f"""('<a href="' || {esc(href)} || '">' || {esc(label)} || '</a>')"""
+
+
+def page_sql(title: str, body: str) -> str:
+    return f"('<!DOCTYPE html>' || chr(10) || '<html><head><title>' || {esc(title)} || '</title></head>' || chr(10) || '<body>' || chr(10) || {body} || chr(10) || '</body></html>' || chr(10))"
+
+
+def listing_sql(items: str, heading: str) -> str:
+    return f"CASE WHEN {items} IS NULL THEN '' ELSE '<h2>{heading}</h2>' || chr(10) || '<ul>' || chr(10) || {items} || chr(10) || '</ul>' || chr(10) END"
+
+
+def _with_url(j):
+    return j.withColumn("url", F.concat(F.lit("/j/"), F.col("judgmentid").cast("string"), F.lit(".html"))).withColumn("court_url", F.concat(F.lit("/j/"), "court", F.lit("/")))
+
+
+@query("SELECT doc_id, md5(" + esc("text") + ") AS hash, length(" + esc("text") + ")::BIGINT AS size FROM documents")
+def escaped_text(spark, d):
+    return digest(table(spark, d, "documents"), "doc_id", text.escaped(F.col("text")))
+
+
+@query(digest_sql("documents", "doc_id", "replace(text, ' ', chr(160))").replace("md5(v)", "md5(replace(v, chr(160), ' '))"))
+def nbsp_to_space(spark, d):
+    return digest(table(spark, d, "documents"), "doc_id", text.no_break_to_space(F.translate("text", " ", "\u00a0")))
+
+
+@query(digest_sql("pages", "page_id", "lower(regexp_replace(" + PLAIN_SQL.format("html") + ", '[^A-Za-z0-9]+', ' ', 'g'))"))
+def norm_composed(spark, d):
+    return digest(table(spark, d, "pages"), "page_id", text.limp(text.plain(F.col("html"))))
+
+
+@query(digest_sql("documents", "doc_id", "'<h>' || text || 'F'"))
+def page_includes(spark, d):
+    html = F.concat(F.lit('<esi:include src="/head" />'), "text", F.lit('<esi:include src="/foot"/><esi:include src="/none" />'))
+    return digest(table(spark, d, "documents"), "doc_id", render.includes(html, {"/head": "<h>", "/foot": "F"}))
+
+
+@query(f"""WITH o AS (SELECT r.judgmentid, string_agg('<li>' || {anchor_sql("'/j/' || t.judgmentid || '.html'", "t.title || ' (' || t.date || ')'")} || '</li>', chr(10) ORDER BY t.date, t.judgmentid) AS items FROM {NO_SELF} r JOIN codes c USING (citationcode) JOIN j t ON t.judgmentid = c.judgmentid GROUP BY ALL),
+i AS (SELECT c.judgmentid, string_agg('<li>' || {anchor_sql("'/j/' || s.judgmentid || '.html'", "s.title || ' (' || s.date || ')'")} || '</li>', chr(10) ORDER BY s.date, s.judgmentid) AS items FROM {NO_SELF} r JOIN codes c USING (citationcode) JOIN j s ON s.judgmentid = r.judgmentid GROUP BY ALL)
+SELECT '/j/' || judgmentid || '.html' AS path, md5({page_sql("title", "'<h1>' || " + esc("title") + " || '</h1>' || chr(10) || '<p>' || date || ' ' || " + esc("array_to_string(list_sort([neutral, second]), ', ')") + " || '</p>' || chr(10) || '<p>' || " + anchor_sql("'/j/' || court || '/'", "court") + " || '</p>' || chr(10) || '<p>' || category || '</p>' || " + listing_sql("o.items", "Cases cited") + " || " + listing_sql("i.items", "Cited by"))}) AS hash
+FROM j LEFT JOIN o USING (judgmentid) LEFT JOIN i USING (judgmentid)""", True)
+def judgment_page(spark, d):
+    j, refs = _refs(spark, d)
+    own, refs, urls = carriers.codes(j), tables.without_self(refs, carriers.codes(j)), _with_url(j)
+
+    def lists(edges, other, name):
+        e = edges.join(urls.select(F.col("judgmentid").alias(other), "url"), other)
+        return e.groupBy("judgmentid").agg(F.sort_array(F.collect_list(F.struct("date", F.col(other).alias("id"), "title", "url"))).alias(name))
+
+    out, into = lists(tables.outgoing(refs, own, j), "target", "outgoing"), lists(tables.incoming(refs, own, j), "source", "incoming")
+    rows = urls.withColumn("body", F.concat(F.lit("<p>"), "category", F.lit("</p>")))
+    return render.judgment_pages(rows, tables.codes_of(own), out, into).select("path", F.md5(F.col("html").cast("binary")).alias("hash"))
+
+
+@query(f"""SELECT '/x/disambiguation_' || replace(citationcode, ' ', '_') || '.html' AS path, md5({page_sql("citationcode", listing_sql("items", "Judgments with this citation"))}) AS hash
+FROM (SELECT citationcode, string_agg('<li>' || {anchor_sql("'/j/' || judgmentid || '.html'", "title")} || '</li>', chr(10) ORDER BY date DESC, judgmentid DESC) AS items FROM codes JOIN j USING (judgmentid) GROUP BY citationcode HAVING count(*) > 1)""", True)
+def disambiguation_page(spark, d):
+    j = carriers.judgments(spark, d)
+    rows = carriers.codes(j).join(_with_url(j), "judgmentid").groupBy("citationcode").agg(F.sort_array(F.collect_list(F.struct("date", F.col("judgmentid").alias("id"), "title", "url")), asc=False).alias("rows")).where(F.size("rows") > 1)
+    return render.disambiguation_pages(rows, "/x/").select("path", F.md5(F.col("html").cast("binary")).alias("hash"))
+
+
+@query(f"""SELECT '/j/' || court || '/index.html' AS path, md5({page_sql("court", "string_agg(block, '' ORDER BY y DESC, m DESC)")}) AS hash
+FROM (SELECT court, year(date) AS y, month(date) AS m, '<h2 id="' || year(date) || '-' || month(date) || '">' || strftime(min(date), '%B %Y') || '</h2>' || chr(10) || '<ul>' || chr(10) || string_agg('<li>' || {anchor_sql("'/j/' || judgmentid || '.html'", "title")} || '</li>', chr(10) ORDER BY date DESC, judgmentid DESC) || chr(10) || '</ul>' || chr(10) AS block FROM j GROUP BY court, year(date), month(date)) GROUP BY court""", True)
+def court_page(spark, d):
+    j = _with_url(carriers.judgments(spark, d))
+    months = j.groupBy("court", F.year("date").alias("year"), F.month("date").alias("month")).agg(F.min("date").alias("day"), F.sort_array(F.collect_list(F.struct("date", "judgmentid", "title", "url")), asc=False).alias("rows"))
+    months = months.select("court", "year", "month", F.date_format("day", "MMMM yyyy").alias("heading"), F.concat_ws("-", "year", "month").alias("anchor"), "rows")
+    return render.court_indexes(months, j.select("court", "court_url").distinct()).select("path", F.md5(F.col("html").cast("binary")).alias("hash"))
+
+
+@query(f"""SELECT 'index.html' AS path, {page_sql("'Courts'", "string_agg(block, '' ORDER BY r)")} AS html FROM (SELECT n_regionkey AS r, '<h2>' || r_name || '</h2>' || chr(10) || string_agg('<div class="row">' || {anchor_sql("'/judgments/' || n_name || '/'", "'Court of ' || n_name")} || '</div>' || chr(10), '' ORDER BY n_nationkey) AS block FROM nation JOIN region ON n_regionkey = r_regionkey GROUP BY n_regionkey, r_name)""")
+def top_page(spark, d):
+    n = table(spark, d, "nation").join(table(spark, d, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
+    courts = n.select(F.col("r_name").alias("category"), F.col("n_regionkey").alias("category_order"), F.col("n_nationkey").alias("position"), F.col("n_name").alias("short"), F.concat(F.lit("Court of "), "n_name").alias("name"))
+    return render.top_index(courts)
+
+
+@query(f"SELECT r.judgmentid, string_agg(c.judgmentid::VARCHAR, ',' ORDER BY t.date, c.judgmentid) AS ids FROM {NO_SELF} r JOIN codes c USING (citationcode) JOIN j t ON t.judgmentid = c.judgmentid GROUP BY ALL", True)
+def xref_listed(spark, d):
+    j, refs = _refs(spark, d)
+    out = tables.outgoing(tables.without_self(refs, carriers.codes(j)), carriers.codes(j), j)
+    return tables.listed(out, "target", "l").select("judgmentid", F.array_join(F.transform("l", lambda e: e["id"].cast("string")), ",").alias("ids"))
+
+
+@query("SELECT judgmentid, CASE judgmentid % 8 WHEN 6 THEN date_trunc('month', date)::DATE WHEN 7 THEN make_date(year(date), 1, 1) ELSE date END AS date FROM j", True)
+def date_forms(spark, d):
+    j, f = carriers.judgments(spark, d), lambda p: F.date_format("date", p)
+    forms = [f("d MMMM yyyy"), F.concat(f("EEEE, d"), F.lit("th day of "), f("MMMM yyyy")), f("MMM d, yyyy"), f("yyyy-MM-dd"), f("M/d/yy"), f("yyyy MMMM d"), f("MMMM yyyy"), f("yyyy")]
+    said = F.element_at(F.array(*forms), (F.col("judgmentid") % 8 + 1).cast("int"))
+    return j.select("judgmentid", titles.parsed_date(said).alias("date"))
+
+
+@query("SELECT n_nationkey, n_name, n_regionkey, true AS existed FROM nation")
+def table_sink(spark, d):
+    at = carriers.folder(spark, "table")
+    sinks.save_table(table(spark, d, "region"), at)
+    sinks.save_table(table(spark, d, "nation"), at, partition_by=("n_regionkey",))
+    name = "vellum_" + at.rpartition("-")[2]
+    spark.read.parquet(at).createOrReplaceTempView(name)
+    there = sinks.table_exists(spark, name)
+    spark.catalog.dropTempView(name)
+    return spark.read.parquet(at).select("n_nationkey", "n_name", "n_regionkey", F.lit(there).alias("existed"))
+
+
+@query("SELECT page_id, page_id || '.html' AS filename, strlen(html)::BIGINT AS size FROM pages")
+def page_files(spark, d):
+    at, staging = carriers.folder(spark, "live"), carriers.folder(spark, "staging")
+    rows = table(spark, d, "pages").select("html", F.concat((F.col("page_id") % 7).cast("string"), F.lit("/"), F.col("page_id").cast("string"), F.lit(".html")).alias("path"))
+    for _ in range(2):  # the second takes the place of the first
+        sinks.save_pages(rows, staging)
+        sinks.publish(spark, staging, at)
+    return pages.scan(spark, at).select(_number(F.col("filename")).alias("page_id"), "filename", F.octet_length("content").cast("bigint").alias("size"))
+
+
+@query("""SELECT '[labels] ' || doc_id || ': quality ' || quality AS line FROM labels WHERE quality IS NOT NULL UNION ALL SELECT '*** ' || source || ': ' || count(*) FROM documents GROUP BY source""")
+def log_file(spark, d):
+    errors = sinks.errors(table(spark, d, "labels"), "labels", F.col("doc_id"), F.concat(F.lit("quality "), F.col("quality").cast("string")))
+    counters = table(spark, d, "documents").groupBy(F.col("source").alias("name")).agg(F.count(F.lit(1)).alias("n"))
+    return sinks.log_lines(errors, counters)
+
+
+@query("SELECT p_name AS title, '/law/' || p_partkey AS link FROM part")
+def law_feed(spark, d):
+    at = carriers.folder(spark, "feed")
+    entry = F.concat(F.lit("<entry><title>"), F.when(F.col("p_partkey") % 2 == 0, "The ").otherwise(""), text.escaped(F.col("p_name")), F.lit('</title><link rel="alternate" href="/x"/><link rel="self" href="/law/'), F.col("p_partkey").cast("string"), F.lit('"/></entry>'))
+    feeds = table(spark, d, "part").select(entry.alias("e"), (F.col("p_partkey") % 20).alias("page")).groupBy("page").agg(F.concat(F.lit("<feed>"), F.array_join(F.collect_list("e"), ""), F.lit("</feed>")).alias("value"))
+    feeds.repartition("page").write.partitionBy("page").text(at)
+    return pages.feed(spark, f"{at}/*/*.txt").select("title", "link")
+
+
+@query("""WITH s AS (SELECT s_suppkey AS k, row_number() OVER (PARTITION BY s_nationkey ORDER BY s_suppkey) AS n, s_nationkey FROM supplier)
+SELECT unnest(['pages', 'judgments', 'citationcodes', 'judgmentcodes', 'parties', 'crossreferences', 'lawreferences', 'errors']) AS name, unnest([count(*), count(*), count(*), count(*), 2 * count(*), count(*) - count(DISTINCT s_nationkey), count(*), 0]) AS n FROM s""")
+def build_counts(spark, d):
+    """A whole build, of a page for each supplier that cites the next one of its nation."""
+    s = table(spark, d, "supplier").join(table(spark, d, "nation"), F.col("s_nationkey") == F.col("n_nationkey")).join(table(spark, d, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
+    code = lambda k: F.concat(F.lit("[2001] "), "n_name", F.lit(" "), k.cast("string"))
+    cited = F.lead("s_suppkey").over(W.partitionBy("s_nationkey").orderBy("s_suppkey"))
+    rows = s.withColumn("codes", code(F.col("s_suppkey"))).withColumn("cited", F.coalesce(code(cited), F.lit("none")))
+    title = F.concat(F.lit("A v B "), "codes", F.lit(" (1 May 2001)"))
+    html = carriers.filled(carriers.PAGE, meta=F.lit(""), title=title, court=F.col("n_name"), source=F.col("s_suppkey").cast("string"), codes=F.col("codes"), body=F.concat(F.lit("see "), "cited", F.lit(". and the Data <b>Act</b> 1984")))
+    at = carriers.folder(spark, "judgments")
+    sinks.save_pages(rows.select(F.concat(F.col("s_suppkey").cast("string"), F.lit(".html")).alias("path"), html.alias("html")), at)
+    courts = [(r[0], r[0]) for r in table(spark, d, "nation").select("n_name").collect()]  # what a build is configured with
+    laws = spark.createDataFrame([(1, "Data Act 1984", "/law")], "legislationid long, title string, link string")
+    b = build.run(spark, [at], carriers.folder(spark, "store"), legislation=laws, courts=courts, categories={"all": [c for c, _ in courts]})
+    n = b.metrics()
+    return spark.createDataFrame([(k, n[k]) for k in ("pages", "judgments", "citationcodes", "judgmentcodes", "parties", "crossreferences", "lawreferences", "errors")], "name string, n long")

@@ -11,8 +11,9 @@ from .text import DELETED_CONTROLS
 _BOMS = ((codecs.BOM_UTF32_LE, "utf-32le"), (codecs.BOM_UTF32_BE, "utf-32be"), (codecs.BOM_UTF8, "utf-8"), (codecs.BOM_UTF16_LE, "utf-16le"), (codecs.BOM_UTF16_BE, "utf-16be"))
 #: How "<?xm" begins in encodings whose characters aren't single ASCII bytes.
 _SIGNATURES = ((b"\x4c\x6f\xa7\x94", "cp037"), (b"\x00\x3c\x00\x3f", "utf-16be"), (b"\x3c\x00\x3f\x00", "utf-16le"), (b"\x00\x00\x00\x3c", "utf-32be"), (b"\x3c\x00\x00\x00", "utf-32le"))
-_PROLOG = re.compile(r"^<\?.*encoding=['\"](.*?)['\"].*\?>", re.S)
-_META = re.compile(r"<\s*meta[^>]+charset=([^>]*?)[;'\">]", re.I)
+#: An encoding named by the XML declaration that a page begins with, or by the first meta element that has a charset.
+_PROLOG = re.compile(r"<\?[^>]*?\bencoding\s*=\s*([\"'])(?P<name>[^\"']*)\1[^>]*\?>")
+_META = re.compile(r"<\s*meta\b[^>]*?\bcharset\s*=\s*[\"']?(?P<name>[^\"'\s;>/]+)", re.I)
 _WIDE = ("utf-16", "utf-32", "utf_16", "utf_32", "ucs-2", "ucs-4", "iso-10646-ucs-2", "iso-10646-ucs-4", "csunicode", "csucs4")
 _DELETE = {ord(c): None for c in DELETED_CONTROLS}
 
@@ -54,7 +55,7 @@ def sniffed(data: bytes) -> tuple[str, bytes, bool]:
 def declared(data: bytes, first: str) -> str | None:
     text = data.decode(first if first != "ascii" else "latin-1", "replace")
     m = _PROLOG.match(text) or _META.search(text)
-    name = m[1].strip().lower() if m else None
+    name = m["name"].strip().lower() if m else None
     return first if name and name in _WIDE and first.startswith(("utf-16", "utf-32")) else name
 
 
@@ -80,6 +81,15 @@ def decode(data: bytes, overrides: tuple[str, ...] = (), salvage: bool = True) -
     raise ConversionError("can't decode this file")
 
 
+# What windows-1252 has at 0x91 to 0x97, and what stands for it in ASCII.
+SMART = {"\u2018": "'", "\u2019": "'", "\u201c": '"', "\u201d": '"', "\u2022": "*", "\u2013": "-", "\u2014": "--"}
+
+
+def without_smart_quotes(text: str) -> str:
+    """Typographic quotes, dots and dashes in ASCII. ``open_page`` does so on request only."""
+    return text.translate(str.maketrans(SMART))
+
+
 def clean(text: str) -> str:
     """ASCII with numeric references, from the first tag on, with LF line ends and without control characters."""
     text = text.encode("ascii", "xmlcharrefreplace").decode("ascii")
@@ -89,5 +99,7 @@ def clean(text: str) -> str:
     return text[at:].replace("\r\n", "\n").replace("\r", "\n").translate(_DELETE)
 
 
-def open_page(data: bytes) -> str:
-    return clean(decode(data).text)
+def open_page(data: bytes, smart_quotes: bool = True) -> str:
+    """The clean page; without ``smart_quotes`` typographic marks give way to ASCII ones."""
+    text = decode(data).text
+    return clean(text if smart_quotes else without_smart_quotes(text))

@@ -77,3 +77,13 @@ def top_index(courts: DataFrame, path: str = "index.html") -> DataFrame:
     block = courts.where("category is not null").groupBy("category_order", "category").agg(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("position", line.alias("line")))), lambda x: x["line"]), "").alias("lines"))
     block = block.select(F.struct("category_order", F.concat(F.lit("<h2>"), escaped(F.col("category")), F.lit("</h2>\n"), "lines").alias("html")).alias("b"))
     return block.agg(F.array_join(F.transform(F.sort_array(F.collect_list("b")), lambda x: x["html"]), "").alias("all")).select(F.lit(path).alias("path"), page(F.lit("Courts"), F.col("all")).alias("html"))
+
+
+def includes(html: Column, parts: dict[str, str]) -> Column:
+    """A page with each <esi:include src="name" /> replaced by the part of that name, and those of other names by nothing. Parts aren't searched for includes themselves."""
+    mark = "\x00"
+    pieces = F.split(F.regexp_replace(html, r'<esi:include\s+src="([^"]*)"\s*/>', f"{mark}$1{mark}"), mark)
+    named = F.create_map(*[F.lit(x) for kv in parts.items() for x in kv]) if parts else None
+    # every other piece is a name
+    part = lambda name: F.coalesce(named[name], F.lit("")) if parts else F.lit("")
+    return F.array_join(F.transform(pieces, lambda p, i: F.when(i % 2 == 0, p).otherwise(part(p))), "")

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -26,6 +29,10 @@ class Build:
         """How many rows each table and kind of page has, and how many errors there were."""
         return {k: v.count() for k, v in {**self.tables, **self.pages, "errors": self.errors}.items()}
 
+    def log(self, spark: SparkSession) -> DataFrame:
+        """The lines of the build's log."""
+        return sinks.log_lines(self.errors, spark.createDataFrame(sorted(self.metrics().items()), "name string, n long"))
+
 
 def check(phases: tuple[str, ...]) -> None:
     unknown = set(phases) - set(PHASES)
@@ -53,44 +60,46 @@ def run(spark: SparkSession, paths: list[str], store: str, phases: tuple[str, ..
 
     if "analyse" in phases:
         clean = keep("pages", source.analyse(source.scan(spark, *paths)))
-        good = clean.where("error is null").select("filename", "value.*")
+        good = clean.where("error is null").select("path", "filename", "value.*")
         near = distance.nearest(good, "court_name", [n for _, n in courts], nearest_col="court")
         near = near.join(known.select(F.col("name").alias("court"), "short", "category"), "court")
-        nameless = near.where("category is null").select("filename", F.lit("no category has this court").alias("message"))
+        nameless = near.where("category is null").select("path", F.lit("no category has this court").alias("message"))
         near = near.where("category is not null")
-        near, twice = tables.one_per_key(near, "filename", "title")
-        near, same_source = tables.one_per_key(near, "source_url", "filename")
+        # a judgment is known by its file's name and by its source, wherever the file is
+        near, twice = tables.one_per_key(near, "filename", "path")
+        near, same_source = tables.one_per_key(near, "source_url", "path")
         # the code that extends "[year] COURT " most cheaply names the page
         target = F.concat(F.lit("["), F.year("date").cast("string"), F.lit("] "), F.col("short"), F.lit(" "))
         cost = distance.weighted_distance(1, 2, 2)
-        best = near.select("filename", target.alias("t"), F.explode("citations").alias("code")).withColumn("cost", cost("t", "code")).groupBy("filename").agg(F.min(F.struct("cost", "code"))["code"].alias("code"))
+        best = near.select("path", target.alias("t"), F.explode("citations").alias("code")).withColumn("cost", cost("t", "code")).groupBy("path").agg(F.min(F.struct("cost", "code"))["code"].alias("code"))
         base = F.concat(F.lit("/judgments/"), "short", F.lit("/"), F.year("date").cast("string"), F.lit("/"), text.file_name(F.col("code")))
-        named, unnamed = tables.unique_names(near.join(best, "filename"), base, "filename")
-        judgments = keep("judgments", named.select(F.xxhash64("filename").alias("judgmentid"), "title", "date", F.xxhash64("short").alias("courtid"), "filename", "source_url", "url", "citations", "parties"))
+        named, unnamed = tables.unique_names(near.join(best, "path"), base, "filename")
+        judgments = keep("judgments", named.select(F.xxhash64("filename").alias("judgmentid"), "title", "date", F.xxhash64("short").alias("courtid"), "filename", "path", "source_url", "url", "citations", "parties"))
         bridge = judgments.select("judgmentid", F.explode("citations").alias("citationcode"))
         keep("citationcodes", tables.dimension(bridge, "citationcode", key="citationcodeid"))
         keep("judgmentcodes", tables.with_key(bridge, "citationcode", key="citationcodeid"))
         keep("parties", judgments.select("judgmentid", F.explode("parties").alias("p")).select("judgmentid", "p.position", "p.name"))
         keep("courts", known.select(F.xxhash64("short").alias("courtid"), "name", F.xxhash64("category").alias("courtcategoryid"), F.col("short").alias("abbreviated_name"), F.concat(F.lit("/judgments/"), "short", F.lit("/")).alias("url")))
         keep("courtcategories", tables.dimension(known.where("category is not null").select(F.col("category").alias("name")), "name", key="courtcategoryid"))
-        bad.append(sinks.errors(clean, "analyse", F.col("filename"), F.col("error")))
-        bad += [sinks.errors(r, "analyse", F.col("filename"), F.col("message")) for r in (nameless, twice, same_source, unnamed)]
+        bad.append(sinks.errors(clean, "analyse", F.col("path"), F.col("error")))
+        bad += [sinks.errors(r, "analyse", F.col("path"), F.col("message")) for r in (nameless, twice, same_source, unnamed)]
     clean, judgments, bridge = load("pages"), load("judgments"), load("judgmentcodes")
-    ids = judgments.select("filename", "judgmentid")
+    # pages that were rejected take no part in what follows
+    ids = judgments.select("path", "judgmentid")
 
     if "crossreference" in phases:
-        searched = clean.where("page is not null").select("filename", text.search_text(F.col("page")).alias("t"))
-        bad.append(sinks.errors(searched.join(ids, "filename", "left_anti").withColumn("m", F.lit("no metadata")), "crossreference", F.col("filename"), F.col("m")))
+        searched = clean.where("page is not null").select("path", text.search_text(F.col("page")).alias("t"))
+        bad.append(sinks.errors(searched.join(ids, "path", "left_anti").withColumn("m", F.lit("no metadata")), "crossreference", F.col("path"), F.col("m")))
         dictionary = bridge.select("citationcode").distinct().withColumn("k", F.col("citationcode"))
-        hits = match.hits(searched.join(ids, "filename"), "judgmentid", "t", dictionary, "k", "citationcode")
+        hits = match.hits(searched.join(ids, "path"), "judgmentid", "t", dictionary, "k", "citationcode")
         keep("crossreferences", tables.with_key(tables.without_self(hits, bridge), "citationcode", key="citationcodeid"))
 
     if "convert" in phases:
         refs = load("crossreferences")
-        laws = {r[0]: r[1] for r in tables.first_by(legislation.select("legislationid", "link", text.violent(F.col("title"), True).alias("k")).where("k <> ''"), F.col("k"), "legislationid").select("k", "link").collect()} if legislation is not None else {}
-        with_id = clean.where("page is not null").join(ids, "filename").select("judgmentid", "page")
-        if laws:
-            linked = match.link(with_id, "judgmentid", "page", laws)
+        with_id = clean.where("page is not null").join(ids, "path").select("judgmentid", "page")
+        if legislation is not None:
+            laws = tables.first_by(legislation.select("legislationid", "link", text.violent(F.col("title"), True).alias("k")).where("k <> ''"), F.col("k"), "legislationid").select("k", "link")
+            linked = match.link_table(with_id, "judgmentid", "page", laws, "k", "link")
             keep("lawreferences", linked.select("judgmentid", F.explode("keys").alias("title")))
             with_id = linked.select("judgmentid", "page")
         body = keep("bodies", render.bodies(with_id, "judgmentid", "page"))
@@ -118,9 +127,24 @@ def run(spark: SparkSession, paths: list[str], store: str, phases: tuple[str, ..
         months = g.select("court", "year", "month", F.date_format("day", "MMMM yyyy").alias("heading"), F.concat_ws("-", "year", "month").alias("anchor"), "rows")
         out.pages["indexes"] = render.court_indexes(months, court.select("court", "court_url")).unionByName(render.top_index(known))
 
+    # each phase replaces its own errors alone
     empty = spark.createDataFrame([], "stage string, key string, message string")
-    for b in bad:
-        empty = empty.unionByName(b)
-    sinks.save_table(empty, f"{store}/errors")
-    out.errors = spark.read.parquet(f"{store}/errors")
+    every = reduce(DataFrame.unionByName, bad, empty)
+    for stage in PHASES:
+        if stage in phases:
+            sinks.save_table(every.where(F.col("stage") == stage).drop("stage"), f"{store}/errors/stage={stage}")
+    out.errors = spark.read.schema("key string, message string, stage string").parquet(f"{store}/errors").select("stage", "key", "message")
     return out
+
+
+@contextmanager
+def profiled(spark: SparkSession, folder: str | None = None) -> Iterator[None]:
+    """What the Python functions of the plans within cost, by Spark's own profiler: printed at the end, or written to ``folder``."""
+    before = spark.conf.get("spark.sql.pyspark.udf.profiler", None)
+    spark.conf.set("spark.sql.pyspark.udf.profiler", "perf")
+    try:
+        yield
+    finally:
+        spark.conf.unset("spark.sql.pyspark.udf.profiler") if before is None else spark.conf.set("spark.sql.pyspark.udf.profiler", before)
+        spark.profile.dump(folder, type="perf") if folder else spark.profile.show(type="perf")
+        spark.profile.clear(type="perf")

@@ -1,8 +1,11 @@
-"""Relations in the shape of the engine's own, derived from the star schema, so that its operators can be run at any size."""
+"""Relations and pages in the shape of the engine's own, derived from the star schema, so that its operators can be run at any size."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import tempfile
+import uuid
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -35,6 +38,62 @@ def references(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cited.unionByName(own)
 
 
+def folder(spark: SparkSession, name: str) -> str:
+    """A new folder in the one that all executors share, for files that a query writes and reads back; of our own where all runs on this machine."""
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
+    if not base:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+        base = "file://" + tempfile.mkdtemp(prefix="vellum-")
+        spark.conf.set("spark.checkpoint.dir", base)
+    path = f"{base.rstrip('/')}/vellum-{name}-{uuid.uuid4().hex}"
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(p)
+    return path
+
+
+#: A judgment's page, with what a build looks for: {title}, {court}, {source}, {codes}, {body} and, in the head, {meta}. It has CRLF line ends, a control character and some text in front.
+PAGE = (
+    '\ufeff junk <html>\r\n<head>{meta}<title>{title}</title></head><body><table><tr><td align="left"><h1>{court}</h1></td></tr></table><small><i>{source}</i><br>Cite as: {codes}</small>'
+    '<hr><p>caf\u00e9\x02 {body}</p><p>&nbsp;</p><ul><li><a href="x">one<li>two</li></a></li></ul><hr>end</body></html>'
+)
+
+
+def filled(template: str, **values: Column) -> Column:
+    """A template with columns in place of names in braces."""
+    out = []
+    for i, part in enumerate(template.replace("}", "{").split("{")):
+        out.append(values[part] if i % 2 else F.lit(part))
+    return F.concat(*out)
+
+
+def filled_sql(template: str, **values: str) -> str:
+    """The same in SQL."""
+    quoted = ["||".join([f"chr({ord(c)})" if c < " " else "'" + c.replace("'", "''") + "'" for c in _runs(part)] or ["''"]) if i % 2 == 0 else values[part] for i, part in enumerate(template.replace("}", "{").split("{"))]
+    return "(" + "||".join(quoted) + ")"
+
+
+def _runs(text: str) -> list[str]:
+    """A text cut around its control characters."""
+    out = [""]
+    for c in text:
+        if ord(c) < 32:
+            out += [c, ""]
+        else:
+            out[-1] += c
+    return [x for x in out if x]
+
+
+def files(j: DataFrame) -> DataFrame:
+    """A file for each judgment: path, filename and content, in turn as UTF-8, as UTF-16 with a mark, as ISO 8859-1 that the page declares, and as UTF-8 with a mark."""
+    n = F.col("judgmentid") % 4
+    html = filled(PAGE, meta=F.when(n == 2, '<meta charset="iso-8859-1">').otherwise(""), title=F.replace("title", F.lit("&"), F.lit("&amp;")), court=F.col("court"), source=F.concat(F.lit("http://example.org/"), F.col("judgmentid").cast("string")), codes=F.concat("neutral", F.lit(", "), "second"), body=F.concat("category", F.lit(" &amp; more.")))
+    plain = F.translate(html, "\ufeff", "")
+    content = F.when(n == 1, F.encode(plain, "UTF-16")).when(n == 2, F.encode(plain, "ISO-8859-1")).when(n == 3, F.encode(html, "UTF-8")).otherwise(F.encode(plain, "UTF-8"))
+    name = F.concat(F.col("judgmentid").cast("string"), F.lit(".html"))
+    return j.select(F.concat(F.lit("/"), name).alias("path"), name.alias("filename"), content.alias("content"))
+
+
 #: The same in SQL, to be put in front of a query.
 SQL = """
 WITH j AS (

@@ -2,20 +2,22 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterable, Iterator
+from xml.etree import ElementTree
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import citations, decode, html
+from .sinks import file_system
 
 METADATA = "struct<title: string, source_url: string, citations: array<string>, court_name: string, date: date, parties: array<struct<position: int, name: string>>>"
-SCHEMA = f"filename string, page string, value {METADATA}, error string"
+SCHEMA = f"path string, filename string, page string, value {METADATA}, error string"
 
 
 def scan(spark: SparkSession, *paths: str) -> DataFrame:
-    """path, filename (its last part, by which a file is known), content of all *.html files below folders, or of the files named."""
+    """path (by which a file is known), filename (its last part), content of all *.html files below folders, or of the files named."""
     files = [p for p in paths if p.endswith(".html")]
     folders = [p for p in paths if not p.endswith(".html")]
     parts = []
@@ -40,27 +42,53 @@ def metadata(page: str) -> dict:
 
 
 def analyse(files: DataFrame) -> DataFrame:
-    """Per file: filename, the clean page, and either its metadata (value) or what is wrong (error). Every file gives a row, whatever fails."""
+    """Per file: path, filename, the clean page, and either its metadata (value) or what is wrong (error). Every file gives a row, whatever fails."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for i in range(b.num_rows):
                 page, value, error = None, None, None
                 try:
-                    page = decode.open_page(b.column(1)[i].as_py() or b"")
+                    page = decode.open_page(b.column(2)[i].as_py() or b"")
                     value = metadata(page)
                 except decode.ConversionError as e:
                     error = str(e)
                 except Exception as e:  # noqa: BLE001 - a file that breaks the parser goes to the error table like any other
                     error = f"{type(e).__name__}: {e}"
-                yield pa.RecordBatch.from_arrays([b.column(0).slice(i, 1), pa.array([page], pa.string()), pa.array([value], _VALUE), pa.array([error], pa.string())], ["filename", "page", "value", "error"])
+                yield pa.RecordBatch.from_arrays([b.column(0).slice(i, 1), b.column(1).slice(i, 1), pa.array([page], pa.string()), pa.array([value], _VALUE), pa.array([error], pa.string())], ["path", "filename", "page", "value", "error"])
 
-    return files.select("filename", "content").mapInArrow(run, SCHEMA)
+    return files.select("path", "filename", "content").mapInArrow(run, SCHEMA)
 
 
 _VALUE = pa.struct([("title", pa.string()), ("source_url", pa.string()), ("citations", pa.list_(pa.string())), ("court_name", pa.string()), ("date", pa.date32()), ("parties", pa.list_(pa.struct([("position", pa.int32()), ("name", pa.string())])))])
 
 
+def next_page(feed: bytes) -> str | None:
+    """Where a feed goes on: its first link to the next page that is its own and not an entry's."""
+    for link in ElementTree.fromstring(feed).findall("{*}link"):
+        if link.get("rel") == "next":
+            return link.get("href")
+    return None
+
+
+def save_feeds(spark: SparkSession, fetch: Callable[[str], bytes], address: str, folder: str, years: Iterable[int] = range(1801, 2012)) -> int:
+    """Fetch a feed for each year (``address`` holds %d) with all its next pages, and save each as ``folder``/year-n.xml for ``feed``; how many there were. A page that names itself, or one that was fetched for this year, as the next ends the
+    year. One after the other, as a site that is asked for pages would want it: this is a download of some hundred files and no job for executors."""
+    fs, n = file_system(spark, folder)[0], 0
+    for year in years:
+        at, seen = address % year, set()
+        while at and at not in seen:
+            seen.add(at)
+            data = fetch(at)
+            out = fs.create(spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{folder.rstrip('/')}/{year}-{len(seen)}.xml"), True)
+            try:
+                out.write(bytearray(data))
+            finally:
+                out.close()
+            at, n = next_page(data), n + 1
+    return n
+
+
 def feed(spark: SparkSession, path: str, first_year: int = 1801, last_year: int = 2011) -> DataFrame:
     """legislationid, title, link from saved Atom feeds: titles without a leading "The ", the first link that is the entry's own; every entry, twice if it is there twice. Feeds are saved as one file per
     page, in folders or names that hold their year; files of other years are passed over."""

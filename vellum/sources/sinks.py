@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import datetime
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -16,9 +18,15 @@ def save_table(rows: DataFrame, path: str, replace: bool = True, partition_by: t
     (w.partitionBy(*partition_by) if partition_by else w).parquet(path)
 
 
-def drop(spark: SparkSession, path: str) -> None:
+def file_system(spark: SparkSession, path: str):
+    """Hadoop's file system for a path, and the path."""
     p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
+
+
+def drop(spark: SparkSession, path: str) -> None:
+    fs, p = file_system(spark, path)
+    fs.delete(p, True)
 
 
 def save_pages(pages: DataFrame, folder: str, path_col: str = "path", html_col: str = "html") -> None:
@@ -43,11 +51,27 @@ def stale(old: DataFrame, new: DataFrame, path_col: str = "path") -> DataFrame:
     return old.select(path_col).join(new.select(path_col), path_col, "left_anti")
 
 
+def purge(spark: SparkSession, folder: str, before: datetime, suffix: str = ".html") -> int:
+    """Delete the files below ``folder`` with this suffix that were last written before a time, each task its own, and count them. No path comes to the driver; a task that runs twice finds its files
+    gone and does no harm."""
+    import pyarrow.fs as pafs
+
+    def delete(batches):
+        for b in batches:
+            for address in b.column(0).to_pylist():
+                fs, path = pafs.FileSystem.from_uri(address)
+                if fs.get_file_info(path).type != pafs.FileType.NotFound:
+                    fs.delete_file(path)
+            yield b
+
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", f"*{suffix}").load(folder)
+    return files.where(F.col("modificationTime") < F.lit(before)).select("path").mapInArrow(delete, "path string").count()
+
+
 def publish(spark: SparkSession, staging: str, live: str) -> None:
     """Put the staging folder in the live one's place."""
-    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
-    a, b, old = (jvm.org.apache.hadoop.fs.Path(p) for p in (staging, live, f"{live}.old"))
-    fs = a.getFileSystem(conf)
+    fs = file_system(spark, staging)[0]
+    a, b, old = (file_system(spark, p)[1] for p in (staging, live, f"{live}.old"))
     fs.delete(old, True)
     if fs.exists(b):
         fs.rename(b, old)
@@ -60,5 +84,7 @@ def errors(rows: DataFrame, stage: str, key: Column, message: Column) -> DataFra
     return rows.where(message.isNotNull()).select(F.lit(stage).alias("stage"), key.cast("string").alias("key"), message.alias("message"))
 
 
-def log_lines(errors_: DataFrame) -> DataFrame:
-    return errors_.select(F.concat(F.lit("["), "stage", F.lit("] "), "key", F.lit(": "), "message").alias("line"))
+def log_lines(errors_: DataFrame, counters: DataFrame | None = None) -> DataFrame:
+    """The lines of a log: "[stage] key: message" for each error, and "*** message" for each counter (columns name and n)."""
+    lines = errors_.select(F.concat(F.lit("["), "stage", F.lit("] "), "key", F.lit(": "), "message").alias("line"))
+    return lines if counters is None else lines.unionByName(counters.select(F.concat(F.lit("*** "), "name", F.lit(": "), F.col("n").cast("string")).alias("line")))
