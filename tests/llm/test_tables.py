@@ -162,3 +162,30 @@ def test_pipeline(spark, small):
             docs = spark.read.parquet(f"{small}/stage{i}")
     got = sorted(map(str, map(tuple, out.collect())))
     assert got == sorted(map(str, map(tuple, corpus_pipeline.run(spark, small).collect()))) and len(got) == docs.count()
+
+
+def test_stages_with_odd_tables(spark, tmp_path):
+    """Columns named like those the operators use, nulls in every column, repeated rows, long texts; and no rows at all."""
+    import corpus_pipeline
+
+    spark.createDataFrame([(i, i % 2, 0) for i in range(40)] + [(None, None, None)], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    texts = [" ".join(f"w{i}x{k % 37 if i % 2 else k}" for k in range(60)) + " bob (at) example [dot] com" for i in range(40)] + edge_texts() + ["long " + "é1 " * 50_000]
+    own = {c: F.lit(c) for c in ("copy", "mix_key", "row", "n", "__vellum_k1", "__vellum_n", "sig", "key", "__text", "__id", "class_id", "first")}
+    odd = frame(spark, texts).drop("sig", "key", "cover").withColumns(own)
+    none = spark.createDataFrame([(None,) * 5], "doc_id long, text string, lang string, source string, n_chars long").withColumns(dict.fromkeys(own, F.lit(None).cast("string")))
+    odd = odd.unionByName(odd.where("doc_id = 3")).unionByName(none).unionByName(none)
+    for rows in (odd, odd.limit(0)):
+        docs = rows
+        for i, (name, stage) in enumerate(corpus_pipeline.STAGES[:-1]):
+            out = stage(spark, docs, str(tmp_path))
+            assert out.columns == odd.columns, name
+            out.write.parquet(f"{tmp_path}/{rows is odd}{i}")
+            docs = spark.read.parquet(f"{tmp_path}/{rows is odd}{i}")
+            assert docs.where("copy <> 'copy' or `__vellum_k1` <> '__vellum_k1' or first <> 'first'").isEmpty()
+            assert (docs.count() > 0) == (rows is odd), name
+            if name.startswith("n-gram"):
+                assert docs.where("doc_id = 3").count() <= 1
+            if name == "PII":
+                assert docs.where(F.contains("text", F.lit("(at)"))).isEmpty()
+        last = corpus_pipeline.STAGES[-1][1](spark, docs, str(tmp_path))
+        assert last.count() == docs.count()

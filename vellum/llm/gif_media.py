@@ -308,3 +308,10 @@ def frames(media: DataFrame, id_col: str, media_col: str) -> DataFrame:
 
     kind = dict(media.dtypes)[id_col]
     return media.select(id_col, F.col(media_col).alias("__media")).mapInArrow(run, f"`{id_col}` {kind}, frame int, start bigint, delay int, width int, height int, pixels binary, histogram array<bigint>")
+
+
+#: What is stored and read back.
+PAYLOAD_ORACLE = """
+SELECT doc_id, n AS n_bytes, greatest((n + 575) // 576, 1) * 576 AS payload_bytes, sha256(unhex(h || repeat('FF', (greatest((n + 575) // 576, 1) * 576 - n)::BIGINT))) AS payload_sha256
+FROM (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h, strlen(coalesce(text, ''))::BIGINT AS n FROM documents)
+"""

@@ -311,3 +311,15 @@ def one_of_each(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", te
     keyed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), *row_key(F.col(id_col), text)).join(first, [K1, K2])
     spoken = keyed.where("n > 0").dropDuplicates([K1, K2]).select("row.*")
     return spoken.unionByName(keyed.where("n = 0").select("row.*"))
+
+
+#: All pairs of different rows that share a shingle, and what can be reached over links.
+ORACLE = r"""
+WITH RECURSIVE d AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+s AS (SELECT DISTINCT r, unnest(CASE WHEN len(w) BETWEEN 1 AND 4 THEN [array_to_string(w, ' ')] ELSE list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')) END) AS g FROM d),
+n AS (SELECT r, count(*) AS n FROM s GROUP BY r),
+l AS (SELECT a, b FROM (SELECT x.r AS a, y.r AS b, count(*) AS c FROM s x JOIN s y ON x.g = y.g AND x.r <> y.r GROUP BY ALL) JOIN n p ON p.r = a JOIN n q ON q.r = b WHERE 9 * c >= 4 * (p.n + q.n)),
+h AS (SELECT r AS a, r AS b FROM d UNION SELECT h.a, l.b FROM h JOIN l ON h.b = l.a),
+m AS (SELECT h.a AS r, min(d.doc_id) AS class_id FROM h JOIN d ON h.b = d.r GROUP BY h.a)
+SELECT doc_id, class_id, (SELECT count(*) FROM l WHERE l.a = d.r) AS n_links, coalesce((SELECT n FROM n WHERE n.r = d.r), 0) AS n_shingles FROM d JOIN m ON d.r = m.r
+"""

@@ -338,3 +338,22 @@ def redacted(docs: DataFrame, text_col: str = "text", length_col: str | None = "
             yield pa.RecordBatch.from_arrays(cols, schema=b.schema)
 
     return docs.mapInArrow(clean, docs.schema)
+
+
+# where matches stand follows from their lengths and from what stands between them
+_PATTERNS = {"email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+", "ip": r"[0-9]+(?:\.[0-9]+)(?:\.[0-9]+)(?:\.[0-9]+)", "card": r"[0-9](?:[\x20-]?[0-9])+", "phone": r"\+[0-9][\x20().0-9-]+[0-9]"}
+_DIGITS = "regexp_replace(m, '[^0-9]', '', 'g')"
+_LUHN = f"list_sum(list_transform(range(1, length({_DIGITS}) + 1), lambda i: CASE WHEN (length({_DIGITS}) - i) % 2 = 0 THEN {_DIGITS}[i]::INT ELSE 2 * {_DIGITS}[i]::INT - CASE WHEN {_DIGITS}[i]::INT > 4 THEN 9 ELSE 0 END END)) % 10 = 0"
+_GOOD = {"email": "true", "ip": "len(list_filter(string_split(m, '.'), lambda x: length(ltrim(x, '0')) > 3 OR ('0' || right(x, 3))::INT > 255)) = 0", "card": f"length({_DIGITS}) BETWEEN 14 AND 19 AND {_LUHN}", "phone": f"length({_DIGITS}) BETWEEN 10 AND 15"}
+_FOUND = " UNION ALL ".join(
+    f"""SELECT r, {k} AS kind, '{kind}' AS name, a, a + length(m) AS b FROM (SELECT r, l[i] AS m, list_sum(list_transform(p[1:i], lambda x: length(x))) + coalesce(list_sum(list_transform(l[1:i - 1], lambda x: length(x))), 0) AS a
+    FROM (SELECT r, l, p, unnest(range(1, len(l) + 1)) AS i FROM (SELECT r, regexp_extract_all(text, '{pattern}') AS l, string_split_regex(text, '{pattern}') AS p FROM t))) WHERE {_GOOD[kind]}"""
+    for k, (kind, pattern) in enumerate(_PATTERNS.items())
+)
+#: The base counts and spans.
+BASE_ORACLE = f"""
+WITH t AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS text FROM documents),
+f AS ({_FOUND}),
+n AS (SELECT r, {", ".join(f"count(*) FILTER (name = '{k}') AS n_{k}" for k in KINDS)}, sha256(string_agg(name || ':' || a::BIGINT || ':' || b::BIGINT, ',' ORDER BY a, kind)) AS base FROM f GROUP BY r)
+SELECT doc_id, {", ".join(f"coalesce(n_{k}, 0) AS n_{k}" for k in KINDS)}, coalesce(base, sha256('')) AS base_sha256 FROM t LEFT JOIN n USING (r)
+"""

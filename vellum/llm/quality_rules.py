@@ -242,3 +242,17 @@ def keep(docs: DataFrame, trees: Trees, text_col: str = "text") -> DataFrame:
             yield b.filter(pa.array(np.concatenate(kept)))
 
     return docs.mapInArrow(choose, docs.schema)
+
+
+#: The base counts.
+BASE_ORACLE = rf"""
+WITH t AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+u AS (SELECT r, unnest(w) AS x, generate_subscripts(w, 1) AS i FROM t),
+g AS (SELECT r, i, {" || ' ' || ".join(["x"] + [f"lead(x, {k}) OVER o" for k in range(1, 8)])} AS eight FROM u WINDOW o AS (PARTITION BY r ORDER BY i)),
+a AS (SELECT r, i, count(*) OVER (PARTITION BY r, eight) > 1 AS again FROM g WHERE eight IS NOT NULL),
+c AS (SELECT r, count(DISTINCT i + k) AS n FROM (SELECT r, i, unnest(range(8)) AS k FROM a WHERE again) GROUP BY r),
+b AS (SELECT doc_id, len(w) AS n_words, length(array_to_string(w, '')) AS word_chars, length(regexp_replace(text, '[^#*$%&|<>]', '', 'g')) AS n_symbols,
+    len(list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]'))) - len(list_distinct(list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')))) AS n_dup_lines, coalesce(c.n, 0) AS n_repeat_words
+FROM t LEFT JOIN c USING (r))
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines::BIGINT AS n_dup_lines, n_repeat_words, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed FROM b
+"""

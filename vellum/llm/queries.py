@@ -61,7 +61,25 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc_archive.round_trip(spark, table(spark, sf_dir, "pages"))
 
 
+def pii_base(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What of op1 SQL can state."""
+    return op1_pii(spark, sf_dir).select("doc_id", "n_email", "n_ip", "n_card", "n_phone", "base_sha256")
+
+
+def rules_base(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What of op7 SQL can state."""
+    return op7_quality_rules(spark, sf_dir).select("doc_id", *quality_rules.BASE, "base_failed")
+
+
+def gif_payload(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What of op9 SQL can state."""
+    return op9_gif_media(spark, sf_dir).select("doc_id", "n_bytes", "payload_bytes", "payload_sha256")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_pii, op2_langid, op3_jaccard_join, op4_source_mixing, op5_sentencepiece, op6_suffix_dedup, op7_quality_rules, op8_quality_classifier, op9_gif_media, op10_warc)
+    f.__name__: f for f in (op1_pii, op2_langid, op3_jaccard_join, op4_source_mixing, op5_sentencepiece, op6_suffix_dedup, op7_quality_rules, op8_quality_classifier, op9_gif_media, op10_warc, pii_base, rules_base, gif_payload)
+}
+ORACLES = {
+    "op3_jaccard_join": jaccard_join.ORACLE, "op4_source_mixing": mixing.ORACLE, "op6_suffix_dedup": suffix_dedup.ORACLE, "op10_warc": warc_archive.ORACLE,
+    "pii_base": pii.BASE_ORACLE, "rules_base": quality_rules.BASE_ORACLE, "gif_payload": gif_media.PAYLOAD_ORACLE,
 }
-ORACLES = {"op4_source_mixing": mixing.ORACLE, "op10_warc": warc_archive.ORACLE}

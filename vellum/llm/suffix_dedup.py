@@ -348,3 +348,17 @@ def dedup(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", text_col
 
     kind = dict(docs.dtypes)[id_col]
     return rows.mapInArrow(remove, f"`{id_col}` {kind}, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string" + ", kept binary, removed array<struct<a: bigint, b: bigint>>" * texts)
+
+
+#: Strings are told apart by two sums of the hashes of their runs of 16 bytes, one of them weighted by place, which a window rolls over each text.
+ORACLE = f"""
+WITH t AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(hex(encode(coalesce(text, ''))), '..') AS l FROM documents),
+b AS (SELECT r, len(l) AS n, unnest(l) AS x, generate_subscripts(l, 1) AS i FROM t),
+g AS (SELECT r, n, x, i, hash({", ".join(["x"] + [f"lead(x, {k}) OVER o" for k in range(1, 16)])})::HUGEINT AS v FROM b WINDOW o AS (PARTITION BY r ORDER BY i)),
+w AS (SELECT r, n, x, i, CASE WHEN i <= n - {WINDOW - 1} THEN hash(sum(v) OVER o, sum(v * i) OVER o - i * sum(v) OVER o) END AS s FROM g WINDOW o AS (PARTITION BY r ORDER BY i ROWS BETWEEN CURRENT ROW AND {WINDOW - 16} FOLLOWING)),
+a AS (SELECT s FROM w WHERE s IS NOT NULL GROUP BY s HAVING count(*) > 1),
+c AS (SELECT r, x, i, coalesce(max(CASE WHEN a.s IS NOT NULL THEN 1 ELSE 0 END) OVER (PARTITION BY r ORDER BY i ROWS BETWEEN {WINDOW - 1} PRECEDING AND CURRENT ROW), 0) AS gone FROM w LEFT JOIN a ON w.s = a.s),
+e AS (SELECT r, x, i, gone, lag(gone, 1, 0) OVER (PARTITION BY r ORDER BY i) AS before FROM c),
+k AS (SELECT r, sum(gone)::BIGINT AS n_removed, count(*) FILTER (gone = 1 AND before = 0) AS n_spans, sha256(unhex(coalesce(string_agg(x, '' ORDER BY i) FILTER (gone = 0), ''))) AS kept FROM e GROUP BY r)
+SELECT doc_id, len(l) AS n_bytes, coalesce(n_removed, 0) AS n_removed, coalesce(n_spans, 0) AS n_spans, coalesce(kept, sha256('')) AS kept_sha256 FROM t LEFT JOIN k USING (r)
+"""
