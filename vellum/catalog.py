@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
@@ -326,6 +327,21 @@ def dict_replace(spark, d):
     return linked.select("doc_id", F.md5(F.col("text").cast("binary")).alias("hash"), F.size("keys").alias("n"))
 
 
+@query(f"""SELECT doc_id, md5(text) AS hash, len(regexp_extract_all({VIOLENT_SQL.format(PLAIN_SQL.format('text'))}, 'then|tion|the|and|que|sch'))::INTEGER AS n FROM documents""")
+def dict_link(spark, d):
+    """Links found in a normalised view, and the text without them."""
+    linked = match.link(table(spark, d, "documents"), "doc_id", "text", dict.fromkeys(WORDS, "/"))
+    return linked.select("doc_id", F.md5(F.regexp_replace("text", '<a href="/">|</a>', "").cast("binary")).alias("hash"), F.size("keys").alias("n"))
+
+
+@query(f"SELECT doc_id, item_id FROM (SELECT doc_id, {SEARCH_SQL.format('text')} AS t FROM documents) JOIN (SELECT item_id, {SEARCH_SQL.format('text')} AS k FROM benchmark) ON contains(t, k)")
+def dict_hits_large(spark, d):
+    """As dict_hits, by the way that dictionaries of any size take."""
+    docs = table(spark, d, "documents").select("doc_id", text.search_text(F.col("text")).alias("t"))
+    items = table(spark, d, "benchmark").select("item_id", text.search_text(F.col("text")).alias("k"))
+    return match.hits(docs, "doc_id", "t", items, "k", "item_id", sent_bytes=0)
+
+
 @query("""SELECT doc_id, p::BIGINT AS start, w AS word FROM (SELECT doc_id, text, w, list_sum(list_transform(parts[1:i], lambda x: length(x))) + (i - 1) * length(w) AS p
 FROM (SELECT doc_id, text, w, parts, unnest(range(1, len(parts))) AS i FROM (SELECT doc_id, text, w, string_split(text, w) AS parts FROM documents, (SELECT unnest(['then', 'tion', 'que', 'sch', 'chen', 'qu']) AS w))))
 WHERE NOT (w = 'qu' AND substr(text, p::BIGINT + 1, 3) = 'que')""")
@@ -519,8 +535,13 @@ def table_sink(spark, d):
     sinks.save_table(table(spark, d, "nation"), at, partition_by=("n_regionkey",))
     name = "vellum_" + at.rpartition("-")[2]
     spark.read.parquet(at).createOrReplaceTempView(name)
-    there = sinks.table_exists(spark, name)
+    there = sinks.table_exists(spark, name) and not sinks.table_exists(spark, f"{name}_no")
     spark.catalog.dropTempView(name)
+    other = f"{at}-dropped"
+    sinks.save_table(table(spark, d, "region"), other)
+    sinks.drop(spark, other)
+    fs, p = sinks.file_system(spark, other)
+    there = there and not fs.exists(p)
     return spark.read.parquet(at).select("n_nationkey", "n_name", "n_regionkey", F.lit(there).alias("existed"))
 
 
@@ -534,6 +555,16 @@ def page_files(spark, d):
     return pages.scan(spark, at).select(_number(F.col("filename")).alias("page_id"), "filename", F.octet_length("content").cast("bigint").alias("size"))
 
 
+@query("SELECT count(*) AS purged, 0 AS n_left FROM pages")
+def page_purge(spark, d):
+    at = carriers.folder(spark, "old")
+    rows = table(spark, d, "pages").select(F.concat(F.col("page_id").cast("string"), F.lit(".html")).alias("path"), "html")
+    sinks.save_pages(rows, at)
+    early = sinks.purge(spark, at, datetime(2001, 1, 1))
+    gone = sinks.purge(spark, at, datetime(2999, 1, 1))
+    return spark.createDataFrame([(gone - early, pages.scan(spark, at).count())], "purged long, n_left int")
+
+
 @query("""SELECT '[labels] ' || doc_id || ': quality ' || quality AS line FROM labels WHERE quality IS NOT NULL UNION ALL SELECT '*** ' || source || ': ' || count(*) FROM documents GROUP BY source""")
 def log_file(spark, d):
     errors = sinks.errors(table(spark, d, "labels"), "labels", F.col("doc_id"), F.concat(F.lit("quality "), F.col("quality").cast("string")))
