@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -71,16 +73,32 @@ def date_candidates(title: Column) -> Column:
 def parsed_date(s: Column) -> Column:
     """A date from the usual ways to write one; what is missing of day and month counts as 1, so that results don't depend on the day of the run. Month first in 1/2/2001 unless the first is no month; years of two
     digits from 69 on are of the last century."""
+    plain = F.to_date(F.try_to_timestamp(s, F.lit("d MMMM yyyy")))
+    return F.coalesce(plain, once(_plain_words(s), lambda w: once(_full_year_last(w), _by_formats)))
+
+
+def once(value: Column, use: Callable[[Column], Column]) -> Column:
+    """use(value), with the value computed once however often ``use`` has it."""
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
+def _plain_words(s: Column) -> Column:
+    """Numbers and months with single spaces between them."""
     s = F.regexp_replace(F.translate(F.trim(s), ",./-", "    "), "(?i)([0-9])(?:st|nd|rd|th)\\b", "$1")
     s = F.regexp_replace(s, r"(?i)\b((mon|tues|wednes|thurs|fri|satur|sun)day|mon|tue|wed|thu|fri|sat|sun|of|day)\b", " ")
-    s = F.initcap(F.trim(F.regexp_replace(s, r"\s+", " ")))
-    s = F.regexp_replace(s, r"\bSept\b", "Sep")
-    # the year goes to the end, in four digits
+    return F.regexp_replace(F.initcap(F.trim(F.regexp_replace(s, r"\s+", " "))), r"\bSept\b", "Sep")
+
+
+def _full_year_last(s: Column) -> Column:
+    """The year at the end, in four digits, and the month before the day where both are numbers."""
     s = F.regexp_replace(s, r"^(\d{4}) (\S+) (\d{1,2})$", "$2 $3 $1")
     s = F.regexp_replace(s, r"^(3[2-9]|[4-9]\d) ([A-Z]\S+) (\d{1,2})$", "$2 $3 $1")
-    short = s.rlike(r"^(\d{1,2} \S+|[A-Z]\S+ \d{1,2}) \d\d$|^[A-Z]\S+ (3[2-9]|[4-9]\d)$")
-    s = F.when(short, F.regexp_replace(F.regexp_replace(s, r" (69|[7-9]\d)$", " 19$1"), r" (\d\d)$", " 20$1")).otherwise(s)
-    s = F.regexp_replace(s, r"^(1[3-9]|[2-9]\d) (\d{1,2}) (\d{4})$", "$2 $1 $3")
+    s = F.regexp_replace(s, r"^(\d{1,2} \S+|[A-Z]\S+ \d{1,2}) (69|[7-9]\d)$|^([A-Z]\S+) (69|[7-9]\d)$", "$1$3 19$2$4")
+    s = F.regexp_replace(s, r"^(\d{1,2} \S+|[A-Z]\S+ \d{1,2}) (\d\d)$|^([A-Z]\S+) (3[2-9]|[4-9]\d)$", "$1$3 20$2$4")
+    return F.regexp_replace(s, r"^(1[3-9]|[2-9]\d) (\d{1,2}) (\d{4})$", "$2 $1 $3")
+
+
+def _by_formats(s: Column) -> Column:
     formats = ("d MMMM yyyy", "d MMM yyyy", "MMMM d yyyy", "MMM d yyyy", "M d yyyy", "MMMM yyyy", "MMM yyyy")
     tried = [F.to_date(F.try_to_timestamp(s, F.lit(f))) for f in formats]
     return F.coalesce(*tried, F.when(s.rlike("^[12][0-9]{3}$"), F.to_date(F.try_to_timestamp(s, F.lit("yyyy")))))
