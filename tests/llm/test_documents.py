@@ -278,6 +278,8 @@ def test_language(spark):
     assert np.mean([r.lang_pred == truth[r.doc_id] for r in got if r.held_out]) > 0.95
     assert all(r.lang_pred == "und" and r.score == 0 for r in got if r.doc_id and r.doc_id >= 9000) and all(0 <= r.score <= 1 for r in got)
     assert {r.lang_pred for r in langid.predict(docs, langid.train(docs.limit(0))).collect()} == {"und"}
+    copies = docs.unionByName(docs.where("doc_id % 50 = 1").crossJoin(spark.range(40)).drop("id")).repartition(5)
+    assert langid.train(copies, per_lang=40).weights.tolist() == m.weights.tolist()
 
 
 @settings(max_examples=150)

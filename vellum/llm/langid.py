@@ -176,16 +176,17 @@ def held_out(id_col: Column) -> Column:
 
 
 def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", per_lang: int = 250, most_rows: int = 25_000, least_per_lang: int = 10) -> Model:
-    """Machines for every language that has a labelled row, fitted on at most ``per_lang`` documents of each (those with the smallest hash), held-out rows never. With so many languages
+    """Machines for every language that has a labelled row, fitted on at most ``per_lang`` different texts of each (those with the smallest hash), held-out rows never. With so many languages
     that these would be more than ``most_rows``, fewer are taken of each, though at least ``least_per_lang``. Each gives its whole text, and two short pieces of it as texts of their own."""
     known = docs.where(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull() & ~held_out(F.col(id_col)))
     known = known.select(F.col(lang_col).cast("string").alias("lang"), F.col(text_col).cast("string").alias("text"))
     slot = F.pmod(F.xxhash64(F.lit("langid"), "text"), F.lit(1 << 30))
-    sizes = save(docs.sparkSession, known.groupBy("lang").count(), "languages")
+    # copies count once, both here and in the sample; the estimate doesn't depend on how rows are dealt
+    sizes = save(docs.sparkSession, known.groupBy("lang").agg(F.approx_count_distinct(slot).alias("count")), "languages")
     n = sizes.count()
     per_lang = max(min(per_lang, most_rows // max(n, 1)), min(per_lang, least_per_lang))
     bounds = sizes.select("lang", (F.least(F.lit(1.0), 2.0 * per_lang / F.col("count") + 64.0 / F.col("count")) * (1 << 30)).cast("long").alias("bound"))
-    some = known.withColumn("slot", slot).join(F.broadcast(bounds) if n <= SENT_LANGS else bounds, "lang").where("slot <= bound")
+    some = known.withColumn("slot", slot).join(F.broadcast(bounds) if n <= SENT_LANGS else bounds, "lang").where("slot <= bound").select("lang", "slot", "text").distinct()
     some = some.withColumn("place", F.row_number().over(W.partitionBy("lang").orderBy("slot", "text"))).where(F.col("place") <= per_lang).select("lang", "text")
 
     @thrifty
