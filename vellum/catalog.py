@@ -342,6 +342,12 @@ def dict_hits_large(spark, d):
     return match.hits(docs, "doc_id", "t", items, "k", "item_id", sent_bytes=0)
 
 
+@query("SELECT p_partkey, CASE split_part(p_name, ' ', 1) WHEN 'new' THEN 'n' WHEN 'red' THEN 'r' WHEN 'hot' THEN 'h' END AS value, 'hot,new,newer,red' AS keys FROM part")
+def dict_lookup(spark, d):
+    words = table(spark, d, "part").select("p_partkey", F.split_part("p_name", F.lit(" "), F.lit(1)).alias("word"))
+    return match.lookup(words, "word", {"red": "r", "newer": "x", "new": "n", "hot": "h"}).select("p_partkey", "value", F.array_join("keys", ",").alias("keys"))
+
+
 @query("""SELECT doc_id, p::BIGINT AS start, w AS word FROM (SELECT doc_id, text, w, list_sum(list_transform(parts[1:i], lambda x: length(x))) + (i - 1) * length(w) AS p
 FROM (SELECT doc_id, text, w, parts, unnest(range(1, len(parts))) AS i FROM (SELECT doc_id, text, w, string_split(text, w) AS parts FROM documents, (SELECT unnest(['then', 'tion', 'que', 'sch', 'chen', 'qu']) AS w))))
 WHERE NOT (w = 'qu' AND substr(text, p::BIGINT + 1, 3) = 'que')""")

@@ -136,18 +136,23 @@ def opinion(page: Node) -> Node:
 
 
 def mend_lists(body: Node) -> bool:
-    """A list item within a link within a list item moves behind the outer item, again and again. Whether there was one."""
+    """A list item within a link within a list item moves behind the outer item, the first in the document first, until there is none. Whether there was one. A move can only make new ones of what moved, so a pass
+    over those found is repeated while it finds any."""
+
+    def misplaced(n: Node) -> bool:
+        a = n.parent
+        return a is not None and a.tag == "a" and a.parent is not None and a.parent.tag == "li" and a.parent.parent is not None
+
     mended = False
-    while True:
-        inner = next((n for n in body.find("li", "a") if n.parent.parent is not None and n.parent.parent.tag == "li"), None)
-        if inner is None or inner.parent.parent.parent is None:
-            return mended
-        outer = inner.parent.parent
-        inner.parent.children.remove(inner)
-        siblings = outer.parent.children
-        siblings.insert(next(i for i, c in enumerate(siblings) if c is outer) + 1, inner)
-        inner.parent = outer.parent
-        mended = True
+    while found := [n for n in body.find("li") if misplaced(n)]:
+        for inner in found:
+            if misplaced(inner):
+                outer = inner.parent.parent
+                inner.parent.children.remove(inner)
+                siblings = outer.parent.children
+                siblings.insert(next(i for i, c in enumerate(siblings) if c is outer) + 1, inner)
+                inner.parent, mended = outer.parent, True
+    return mended
 
 
 def empty_blocks_to_breaks(body: Node) -> bool:

@@ -15,6 +15,7 @@ from dataclasses import dataclass
 
 import ahocorasick
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
@@ -294,6 +295,17 @@ def _typed(find, value_col: str, kind: str):
     return run
 
 
+def lookup(rows: DataFrame, key_col: str, entries: dict[str, str], value_col: str = "value") -> DataFrame:
+    """``rows`` with the value of their key, null for a key that ``entries`` (a dictionary of this program's, not a table) hasn't; and with ``keys``, all keys in order."""
+
+    @F.pandas_udf("string")
+    def value(keys: pd.Series) -> pd.Series:
+        d = Dictionary(entries)
+        return keys.map(lambda k: d[k] if k in d.entries else None)
+
+    return rows.withColumn(value_col, value(key_col)).withColumn("keys", F.array(*map(F.lit, Dictionary(entries))))
+
+
 def hits(docs: DataFrame, id_col: str, text_col: str, dictionary: DataFrame, key_col: str, value_col: str, **options) -> DataFrame:
     """Which texts mention which entries: distinct pairs of id and value."""
     return search(docs, id_col, text_col, dictionary, key_col, value_col, **options).select(id_col, value_col).distinct()
