@@ -33,6 +33,8 @@ from . import textkit as tk
 from .streams import thrifty
 
 SLICE = 1 << 21
+#: Parts that are hashed at a time.
+HASHED = 1 << 15
 LONG_PART = 40
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 _TOP = np.uint64(44)
@@ -311,11 +313,12 @@ class Encoded:
         end = np.r_[start[1:], len(data)] if len(start) else start
         size = end - start
         self.text = np.searchsorted(base, start, "right") - 1
-        if len(start):
-            at = np.arange(len(data)) - np.repeat(start, size)
-            h = tk.mix(np.add.reduceat(tk.BYTES[data] * tk.powers(int(size.max()) + 1)[at], start) + size.astype(np.uint64))
-        else:
-            h = np.zeros(0, np.uint64)
+        h = np.zeros(len(start), np.uint64)
+        for i in range(0, len(start), HASHED):  # some parts at a time, as each byte takes 48 in between
+            some, sizes = start[i : i + HASHED] - start[i], size[i : i + HASHED]
+            at = np.arange(sizes.sum()) - np.repeat(some, sizes)
+            h[i : i + HASHED] = np.add.reduceat(tk.BYTES[data[start[i] : start[i] + len(at)]] * tk.powers(int(sizes.max()) + 1)[at], some)
+        h = tk.mix(h + size.astype(np.uint64))
         _, first, self.which = np.unique(h, return_index=True, return_inverse=True)
         self.start, self.size, self.first = start, size, first
         self.parts = solve(v, data, start[first], size[first])
