@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import gif_media, jaccard_join, langid, mixing, pii, quality_ordinal, quality_rules, sentencepiece_nbest, suffix_dedup, warc_archive
+from . import gif_media, jaccard_join, langid, mixing, pii, quality_ordinal, quality_rules, sentencepiece_nbest, site_tree, suffix_dedup, warc_archive
 
 #: The vocabulary of SentencePiece's kind that op5 and the pipeline use.
 PIECES = "/opt/tokenizers/piece_bpe_32k.model"
@@ -61,6 +61,10 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc_archive.round_trip(spark, table(spark, sf_dir, "pages"))
 
 
+def op11_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return site_tree.main_text(spark, table(spark, sf_dir, "pages"))
+
+
 def pii_base(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What of op1 SQL can state."""
     return op1_pii(spark, sf_dir).select("doc_id", "n_email", "n_ip", "n_card", "n_phone", "base_sha256")
@@ -77,9 +81,10 @@ def gif_payload(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_pii, op2_langid, op3_jaccard_join, op4_source_mixing, op5_sentencepiece, op6_suffix_dedup, op7_quality_rules, op8_quality_classifier, op9_gif_media, op10_warc, pii_base, rules_base, gif_payload)
+    f.__name__: f for f in (op1_pii, op2_langid, op3_jaccard_join, op4_source_mixing, op5_sentencepiece, op6_suffix_dedup, op7_quality_rules, op8_quality_classifier, op9_gif_media, op10_warc, op11_html_text, pii_base, rules_base, gif_payload)
 }
 ORACLES = {
     "op3_jaccard_join": jaccard_join.ORACLE, "op4_source_mixing": mixing.ORACLE, "op6_suffix_dedup": suffix_dedup.ORACLE, "op10_warc": warc_archive.ORACLE,
+    "op11_html_text": site_tree.ORACLE,
     "pii_base": pii.BASE_ORACLE, "rules_base": quality_rules.BASE_ORACLE, "gif_payload": gif_media.PAYLOAD_ORACLE,
 }
