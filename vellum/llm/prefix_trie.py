@@ -18,12 +18,11 @@ import json
 import zlib
 from collections.abc import Iterator
 
-import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .scratch import HOT_KEYS, save
-from .turns import MASK, carried, in_order, over_rows, part
+from .turns import MASK, carried, columns, in_order, over_rows, part
 
 FAMILY, HEADS = 20, 4
 #: A task's trie is flushed at so many nodes.
@@ -95,18 +94,7 @@ def _summary(rows: Iterator[tuple]) -> Iterator[tuple]:
         yield me, n, None, None, None, None, json.dumps({"begin": begin, "conv": conv, "n": size, "sum": sum_, "first": first, "whole": start == 0, "family": fam, "fam_first": fam_first})
 
 
-_SCHEMA = "part int, seq bigint, conv bigint, h1 bigint, h2 bigint, words bigint, record string"
-
-
-def _columns(rows: Iterator[tuple], types: tuple, names: list[str], size: int = 10_000) -> Iterator[pa.RecordBatch]:
-    held: list[tuple] = []
-    for r in rows:
-        held.append(r)
-        if len(held) >= size:
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*held, strict=True), types, strict=True)], names)
-            held = []
-    if held:
-        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*held, strict=True), types, strict=True)], names)
+_TURNS = "part int, seq bigint, conv bigint, h1 bigint, h2 bigint, words bigint, record string"
 
 
 def _step(state: dict, r: dict) -> dict:
@@ -224,15 +212,14 @@ def _digests(rows: Iterator[tuple]) -> Iterator[tuple]:
         yield now, sha.hexdigest()
 
 
-_TURNS = (pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.string()), ["part", "seq", "conv", "h1", "h2", "words", "record"]
-_NODES = (pa.binary(), pa.binary(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64())), ["key", "up", "depth", "words", "least", "n", "ends"]
-_ENDS = (pa.binary(), pa.string()), ["key", "ends_sha256"]
+_NODES = "key binary, up binary, depth bigint, words bigint, least bigint, n bigint, ends array<bigint>"
+_ENDS = "key binary, ends_sha256 string"
 
 
 def partial_tries(spark: SparkSession, rows: DataFrame, conv_col: str = "conv_id", turn_col: str = "turn", role_col: str = "role", text_col: str = "text") -> DataFrame:
     """The nodes of every task's own trie: key, up (its parent), depth, words of its last text, least (smallest member), n members, ends. A node may have several rows."""
     turns = _sorted_turns(rows, conv_col, turn_col, role_col, text_col)
-    turns = save(spark, turns.mapInArrow(over_rows(lambda r: _columns(_summary(r), *_TURNS)), _SCHEMA), "turns")
+    turns = save(spark, turns.mapInArrow(over_rows(lambda r: columns(_summary(r), _TURNS)), _TURNS), "turns")
     records = sorted((r.part, json.loads(r.record)) for r in turns.where("record is not null").select("part", "record").collect())
     carry = carried(records, {}, _step)
     following = {a: b for (a, _), (_, b) in zip(records, records[1:], strict=False)}
@@ -240,7 +227,7 @@ def partial_tries(spark: SparkSession, rows: DataFrame, conv_col: str = "conv_id
     zero = [(r.h1 & MASK, r.h2 & MASK, r.words) for r in turns.where("conv = 0").orderBy("part", "seq").limit(HEADS - 1).collect()]
     rows = turns.where("record is null").drop("record").repartitionByRange("part").sortWithinPartitions("part", "seq")
     make = _partial(carry, goes_on, zero)
-    return rows.mapInArrow(over_rows(lambda r: _columns(make(r), *_NODES)), "key binary, up binary, depth bigint, words bigint, least bigint, n bigint, ends array<bigint>")
+    return rows.mapInArrow(over_rows(lambda r: columns(make(r), _NODES)), _NODES)
 
 
 def trie(spark: SparkSession, rows: DataFrame, conv_col: str = "conv_id", turn_col: str = "turn", role_col: str = "role", text_col: str = "text") -> DataFrame:
@@ -278,7 +265,7 @@ def trie(spark: SparkSession, rows: DataFrame, conv_col: str = "conv_id", turn_c
         step *= 2
 
     ends = parts.where("ends is not null").select("key", "ends").join(many.where("n_ends > 0").select("key"), "key", "left_semi")
-    ends = ends.repartition("key").sortWithinPartitions("key", F.col("ends")[0]).mapInArrow(over_rows(lambda r: _columns(_digests(r), *_ENDS)), "key binary, ends_sha256 string")
+    ends = ends.repartition("key").sortWithinPartitions("key", F.col("ends")[0]).mapInArrow(over_rows(lambda r: columns(_digests(r), _ENDS)), _ENDS)
 
     shared = with_parent(many.where("depth > 0")).unionByName(many.where("depth = 0").withColumn("parent_conv_id", F.lit(None).cast("bigint")))
     shared = shared.drop("up", "leaves", "saved").join(sums.select("key", "leaves", "saved"), "key").join(ends, "key", "left")

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import gif_media, jaccard_join, langid, mixing, pii, prefix_trie, quality_ordinal, quality_rules, sentencepiece_nbest, site_tree, suffix_dedup, warc_archive
+from . import gif_media, jaccard_join, langid, mixing, pii, prefix_trie, quality_ordinal, quality_rules, sentencepiece_nbest, site_tree, suffix_dedup, turn_repair, warc_archive
 
 #: The vocabulary of SentencePiece's kind that op5 and the pipeline use.
 PIECES = "/opt/tokenizers/piece_bpe_32k.model"
@@ -69,6 +69,10 @@ def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefix_trie.trie(spark, table(spark, sf_dir, "conversations"))
 
 
+def op13_turn_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return turn_repair.repair(spark, turn_repair.damaged(table(spark, sf_dir, "conversations")), absent=F.col("absent"))
+
+
 def pii_base(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What of op1 SQL can state."""
     return op1_pii(spark, sf_dir).select("doc_id", "n_email", "n_ip", "n_card", "n_phone", "base_sha256")
@@ -85,10 +89,10 @@ def gif_payload(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_pii, op2_langid, op3_jaccard_join, op4_source_mixing, op5_sentencepiece, op6_suffix_dedup, op7_quality_rules, op8_quality_classifier, op9_gif_media, op10_warc, op11_html_text, op12_prefix_trie, pii_base, rules_base, gif_payload)
+    f.__name__: f for f in (op1_pii, op2_langid, op3_jaccard_join, op4_source_mixing, op5_sentencepiece, op6_suffix_dedup, op7_quality_rules, op8_quality_classifier, op9_gif_media, op10_warc, op11_html_text, op12_prefix_trie, op13_turn_repair, pii_base, rules_base, gif_payload)
 }
 ORACLES = {
     "op3_jaccard_join": jaccard_join.ORACLE, "op4_source_mixing": mixing.ORACLE, "op6_suffix_dedup": suffix_dedup.ORACLE, "op10_warc": warc_archive.ORACLE,
-    "op11_html_text": site_tree.ORACLE, "op12_prefix_trie": prefix_trie.ORACLE,
+    "op11_html_text": site_tree.ORACLE, "op12_prefix_trie": prefix_trie.ORACLE, "op13_turn_repair": turn_repair.ORACLE,
     "pii_base": pii.BASE_ORACLE, "rules_base": quality_rules.BASE_ORACLE, "gif_payload": gif_media.PAYLOAD_ORACLE,
 }

@@ -44,3 +44,27 @@ def carried(records: list[tuple[int, Any]], start: Any, step: Callable[[Any, Any
         out[n] = state
         state = step(state, record)
     return out
+
+
+def columns(rows: Iterator[tuple], schema: str, size: int = 10_000) -> Iterator[pa.RecordBatch]:
+    """Batches of rows with the columns of ``schema``."""
+    fields = arrow_schema(schema)
+    held: list[tuple] = []
+    for r in rows:
+        held.append(r)
+        if len(held) >= size:
+            yield _batch(held, fields)
+            held = []
+    if held:
+        yield _batch(held, fields)
+
+
+def _batch(rows: list[tuple], fields: pa.Schema) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), fields, strict=True)], schema=fields)
+
+
+_KINDS = {"boolean": pa.bool_(), "int": pa.int32(), "bigint": pa.int64(), "string": pa.string(), "binary": pa.binary(), "array<bigint>": pa.list_(pa.int64())}
+
+
+def arrow_schema(schema: str) -> pa.Schema:
+    return pa.schema([(name, _KINDS[kind]) for name, kind in (c.split() for c in schema.split(", "))])
