@@ -39,6 +39,22 @@ def test_disguised_identifiers(text, kind, want):
         assert [text[a:b] for a, b in more[kind]] == [want]
 
 
+Z, SOFT = "\u200b", "\u00ad"
+INVISIBLE = [
+    (f"x 4111{Z}1111{Z}1111{Z}1111 y", "card", f"4111{Z}1111{Z}1111{Z}1111"), (f"alice@exam{Z}ple.com", "email", f"alice@exam{Z}ple.com"), (f"alice{Z}@example.com", "email", f"alice{Z}@example.com"),
+    (f"al{Z}ice@example.com", "email", f"al{Z}ice@example.com"), (f"+44{Z}2079460958", "phone", f"+44{Z}2079460958"), (f"192.168{Z}.1.10", "ip", f"192.168{Z}.1.10"), (f"alice@exam{SOFT}ple.com", "email", f"alice@exam{SOFT}ple.com"),
+    (f"4111{SOFT}1111 1111{SOFT}1111", "card", f"4111{SOFT}1111 1111{SOFT}1111"),
+]
+
+
+@pytest.mark.parametrize(("text", "kind", "want"), INVISIBLE)
+def test_characters_without_width(text, kind, want):
+    plain, more = pii.find(text)
+    assert [text[a:b] for a, b in more[kind]] == [want] and pii.redact(text) == text.replace(want, f"[{kind.upper()}]")
+    # those beside an identifier or in other words are no disguise
+    assert pii.find(f"bob@x.org{Z} wo{Z}rd")[1] == {k: [] for k in pii.KINDS}
+
+
 BRACKETED = [
     ("mail alice@example[.]com", "email", "alice@example[.]com"), ("alice@mail{ . }example<.>com", "email", "alice@mail{ . }example<.>com"),
     ("from 192[.]168[.]1[.]10 on", "ip", "192[.]168[.]1[.]10"), ("192(.)168 (.) 1(.)10", "ip", "192(.)168 (.) 1(.)10"),

@@ -246,7 +246,8 @@ def disguised(text: str, plain: dict[str, list[Span]]) -> dict[str, list[Span]]:
         for kind, spans in identifiers(v.text).items():
             for a, b in spans:
                 s, e = v.start[a], v.end[b - 1]
-                if not any(v.changed[a:b]) or i and kind == "card" and one_word(v, a, b):
+                # characters that were left out leave no mark but a source that is longer
+                if (e - s == b - a and not any(v.changed[a:b])) or i and kind == "card" and one_word(v, a, b):
                     continue
                 # words beside a plain address are no part of it
                 apart = i and kind in ("email", "ip")
