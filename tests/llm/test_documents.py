@@ -214,6 +214,48 @@ def brute_score(model, text):
     return sum(float(model.weights[s]) for s in slots) + share
 
 
+def test_trees_by_a_plain_walk():
+    """Scores of the flattened arrays against a walk from node to node, one row at a time."""
+    rng = np.random.default_rng(4)
+    x = rng.normal(size=(400, 4))
+    y = (x[:, 0] + 0.5 * x[:, 1] ** 2 + rng.normal(size=400) > 0.3).astype(float)
+    t = quality_rules.fit(x, y, [1, 0, -1, 0], rounds=12, depth=4)
+    assert len(t.roots) == 12 and t.depth == 4
+    for row, got in zip(x[:100], t.score(x[:100]), strict=True):
+        total = t.bias
+        for node in t.roots.tolist():
+            while t.left[node] != node:
+                node = int(t.left[node]) + int(row[t.feature[node]] > t.cut[node])
+            total += t.value[node]
+        assert abs(got - 1 / (1 + np.exp(-total))) < 1e-12
+
+
+def test_media_columns_by_hand(spark):
+    """feature, tail_crc32 and the stored form's columns, from the payload and from the stream that ``table`` keeps."""
+    texts = [None, "", "a", "é" * 700, "x y\n" * 2000, "a"]
+    docs = frame(spark, texts)
+    media = {r.doc_id: bytes(r.media) for r in gif.table(docs).collect()}
+    got = {r.doc_id: r for r in gif.digests(docs).collect()}
+    assert len(got) == len(texts) and got[2][1:] == got[5][1:]
+    for i, t in enumerate(texts):
+        raw = (t or "").encode()
+        payload = raw + b"\xff" * (-len(raw) % 576 if raw else 576)
+        r = got[i]
+        assert (r.n_bytes, r.payload_bytes, r.payload_sha256, r.tail_crc32) == (len(raw), len(payload), hashlib.sha256(payload).hexdigest(), zlib.crc32(payload[-32:]))
+        assert (r.media_bytes, r.media_sha256) == (len(media[i]), hashlib.sha256(media[i]).hexdigest()) and media[i][:6] == b"GIF89a"
+        shares = Counter(c >> 4 for c in payload)
+        n = -(-len(payload) // (gif.SIDE * gif.ROWS))
+        assert r.feature == f"frames={n};time={10 * n};hist=" + ",".join(str(1000 * shares[k] // len(payload)) for k in range(16))
+    assert gif.digests(docs.limit(0)).count() == gif.table(docs.limit(0)).count() == 0
+
+
+def test_pieces_of_no_rows_and_of_repeated_ones(spark):
+    docs = frame(spark, ["one two", None, ""])
+    assert sn.digests(docs.limit(0), PIECES).count() == 0
+    rows = [tuple(r) for r in sn.digests(docs.unionByName(docs), PIECES).collect()]
+    assert len(rows) == 6 and len(set(map(str, rows))) == 3 and len({str(r[1:]) for r in rows}) == 2
+
+
 def test_ordinal(spark):
     rng = random.Random(6)
     good, bad, worst = ["fine", "well", "good", "nice"], ["meh", "so", "bland"], ["vile", "nasty"]

@@ -4,10 +4,11 @@ Writing: pages with equal payloads are found by digest; of each such group the p
 A group's decision is joined to its pages by digest, so pages are moved only if there are too many groups to send to every task.
 
 Reading: the text source splits files at every ``WARC/1.``, true record start or not. For each such place a task reads the header and emits the length it declares, which is where the
-record's successor would begin; a payload digest comes with it if the record ends before the next such place. The places of one file then form a graph of pointers;
-a walk from the start of the file finds those that can be reached, and only they are records. A header that holds ``WARC/1.`` itself, of whatever length, is put together when the walk comes to
-it, so no byte is put together twice. So ``WARC/1.`` inside a payload, a whole record there included, is never taken for one. Payloads that hold such places are put together from their parts in a second pass, which is left out if there are none:
-the walk names the chunks that belong to each such record, and these alone are joined, sorted and read on one after the other.
+record's successor would begin; a payload digest comes with it if the record ends before the next such place. Headers that hold ``WARC/1.`` themselves, of whatever length, are put together from the chunks that may go on
+with one, each byte once. The places of a file then form a graph of pointers to successors. Pointers are doubled within an input split (numpy) until each place knows where its chain leaves the split; the few places that chains
+enter a split at are linked and doubled by joins from the file's start on; from those that are reached, pointers are doubled within the splits once more, and what they reach are the records. No task follows a file from record
+to record, and none sees more of it than a split. So ``WARC/1.`` inside a payload, a whole record there included, is never taken for one. Payloads that hold such places are put together from their parts in a last pass, which is left
+out if there are none: each such chunk knows its record, and these alone are joined, sorted and read on one after the other.
 
 Defined results: a null payload counts as empty; payloads of fewer than ``least`` bytes are always responses. Pages with a null id come last in the choice of the response. Repeated rows with the
 chosen id are all responses. A file that doesn't begin with a record has none; a chain that meets no record start ends there. No pages give no records. Line breaks in a URL become
@@ -24,6 +25,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from .scratch import delete, new_folder, save
@@ -139,102 +141,216 @@ def chunks(spark: SparkSession, folder: str) -> DataFrame:
     return raw.mapInArrow(number, "chunk binary, file string, split bigint, number bigint")
 
 
-def read(spark: SparkSession, folder: str) -> DataFrame:
-    """The records of all archives below ``folder``: file, offset, type, record_id, target_uri, refers_to, declared_digest, payload_digest (of a revisit: the declared one) and payload_bytes."""
-    fields_ddl = "type string, record_id string, target_uri string, refers_to string, declared_digest string, payload_digest string, payload_bytes bigint"
-
-    def candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        is_open = True  # whether a header before this chunk may go on here
-        for b in batches:
-            rows = []
-            for x, number in zip(b.column(0), b.column(3).to_pylist(), strict=True):
-                chunk = x.as_py()
-                h, stop = header(chunk), chunk.find(b"\r\n\r\n")
-                # of the first chunks of a split it isn't known what stands before them
-                into = is_open or number < 2
-                is_open = (into or _VERSION.match(chunk) is not None) and goes_on(chunk)
-                start = chunk[: stop + 4 if stop >= 0 else None] if into or is_open else None
-                if h is None:
-                    rows.append((len(chunk), None, start, *[None] * 7))
-                    continue
+_FIELDS_DDL = "type string, record_id string, target_uri string, refers_to string, declared_digest string, payload_digest string, payload_bytes bigint"
+
+
+def _candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of each chunk: where it begins in its split (at), its size, how far the record reaches whose header it begins with, what of it may belong to a header that began before or goes on (start), and the record's fields if it is whole."""
+    is_open = True  # whether a header before this chunk may go on here
+    at = 0
+    for b in batches:
+        rows = []
+        for x, number in zip(b.column(0), b.column(3).to_pylist(), strict=True):
+            chunk = x.as_py()
+            at = at if number else 0
+            h, stop = header(chunk), chunk.find(b"\r\n\r\n")
+            # of the first chunks of a split it isn't known what stands before them
+            into = is_open or number < 2
+            is_open = (into or _VERSION.match(chunk) is not None) and goes_on(chunk)
+            start = chunk[: stop + 4 if stop >= 0 else None] if into or is_open else None
+            if h is None:
+                rows.append((at, len(chunk), None, start, *[None] * 7))
+            else:
                 fields, begin, length = h
                 whole = begin + length + 4 == len(chunk)
-                rows.append((len(chunk), len(MAGIC) + begin + length + 4, start, *(described(fields, chunk[begin : begin + length]) if whole else [None] * 7)))
-            cols = list(zip(*rows, strict=True)) or [()] * 10
-            yield pa.RecordBatch.from_arrays([*b.columns[1:], *(pa.array(c, t) for c, t in zip(cols, [pa.int64(), pa.int64(), pa.binary(), *_FIELD_TYPES], strict=True))], ["file", "split", "number", "size", "reach", "start", *_FIELDS])
-
-    def stitched(starts: pa.Array, i: int, end: int) -> int:
-        """How far a record reaches whose header begins in chunk i and holds magics; 0 if none does."""
-        parts = [starts[i].as_py() or b""]
-        if not _VERSION.match(parts[0]):
-            return 0
-        while b"\r\n\r\n" not in parts[-1]:
-            i += 1
-            more = starts[i].as_py() if i < end else None
-            if more is None:
-                return 0
-            parts.append(more)
-        h = header(MAGIC.join(parts))
-        return len(MAGIC) + h[1] + h[2] + 4 if h else 0
-
-    def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["file", "offset", "parts", "chunks", *_FIELDS]
-        for b, cut in grouped(batches, "key"):
-            col = {n: b.column(i) for i, n in enumerate(b.schema.names)}
-            keep, offsets, parts, chunks_ = [], [], [], []
-            for x, y in zip(cut[:-1].tolist(), cut[1:].tolist(), strict=True):
-                size = col["size"].slice(x, y - x).to_numpy()
-                # the first chunk stands before the first magic
-                place = np.r_[size[0], size[0] + np.cumsum(size[1:] + len(MAGIC))]
-                magic, end, n = place[:-1], place[-1], y - x - 1
-                if n == 0 or size[0] != 0:
-                    continue
-                reach = col["reach"].slice(x + 1, n).fill_null(0).to_numpy().copy()
-                succ = np.where(reach > 0, magic + reach, -1)
-                to = np.searchsorted(magic, succ)
-                good, i = [], 0
-                while i < n:
-                    if succ[i] < 0:
-                        succ[i] = magic[i] + stitched(col["start"], x + 1 + i, y)
-                        to[i] = np.searchsorted(magic, succ[i])
-                    j = int(to[i])
-                    # a record must end at a start or at the end of the file
-                    if j <= i or (magic[j] if j < n else end) != succ[i]:
-                        break
-                    good.append(i)
-                    i = j
-                good = np.array(good, np.int64)
-                count = to[good] - good
-                keep.append(x + 1 + good)
-                offsets.append(magic[good])
-                parts.append(count)
-                split, number = (col[c].slice(x + 1, n).to_pylist() if (count > 1).any() else [] for c in ("split", "number"))
-                chunks_ += [[{"split": split[k], "number": number[k]} for k in range(i, i + c)] if c > 1 else None for i, c in zip(good.tolist(), count.tolist(), strict=True)]
-            if keep:
-                at = pa.array(np.concatenate(keep))
-                yield pa.RecordBatch.from_arrays([col["file"].take(at), pa.array(np.concatenate(offsets)), pa.array(np.concatenate(parts).astype(np.int64)), pa.array(chunks_, _PLACES), *(col[f].take(at) for f in _FIELDS)], names)
+                rows.append((at, len(chunk), len(MAGIC) + begin + length + 4, start, *(described(fields, chunk[begin : begin + length]) if whole else [None] * 7)))
+            at += len(chunk) + len(MAGIC)
+        cols = list(zip(*rows, strict=True)) or [()] * 11
+        yield pa.RecordBatch.from_arrays([*b.columns[1:], *(pa.array(c, t) for c, t in zip(cols, [pa.int64(), pa.int64(), pa.int64(), pa.binary(), *_FIELD_TYPES], strict=True))], ["file", "split", "number", "at", "size", "reach", "start", *_FIELDS])
+
+
+def stitched(parts: list[bytes]) -> list[int]:
+    """Of chunks that follow each other, all but the last without a blank line and fit to be parts of a header: how far the record reaches whose header begins with each, 0 if none does. What holds for a header
+    depends on the lines behind its version, so one look at all lines serves every chunk."""
+    whole = MAGIC.join(parts)
+    end = whole.find(b"\r\n\r\n")
+    length, kind, bad, at = (-1, 0), -1, -1, 0
+    for line in whole[:end].split(b"\r\n"):
+        name, colon, value = line.partition(b":")
+        if not colon and line[:1] not in (b" ", b"\t"):
+            bad = at
+        elif colon and line[:1] not in (b" ", b"\t"):
+            key = name.strip().lower()
+            if key == b"content-length":
+                length = (at, int(value) if value.strip().isdigit() else -1)
+            elif key == b"warc-type":
+                kind = at
+        at += len(line) + 2
+    out, place = [], 0
+    for p in parts:
+        good = _VERSION.match(p) and end >= 0 and length[1] >= 0 and min(length[0], kind) > place and bad <= place
+        out.append(len(MAGIC) + end + 4 - place + length[1] + 4 if good else 0)
+        place += len(p) + len(MAGIC)
+    return out
+
+
+def _stitch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """From (file, place, size, start) in order: file, place and reach of the records whose headers hold magics. Chunks belong together if each begins where the one before it ends."""
+    now, end, run = None, 0, []
+    for b in batches:
+        out: list[tuple] = []
+        for file, place, size, start in zip(*(c.to_pylist() for c in b.columns), strict=True):
+            if file != now or place != end:
+                run = []
+            now, end = file, place + len(MAGIC) + size
+            run.append((place, start))
+            if b"\r\n\r\n" in start:
+                out += [(file, at, r) for (at, _), r in zip(run, stitched([x for _, x in run]), strict=True) if r and at != place]
+                run = []
+            elif not goes_on(start):
+                run = []
+        cols = list(zip(*out, strict=True)) or [(), (), ()]
+        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.string(), pa.int64(), pa.int64()), strict=True)], ["file", "place", "stitched"])
+
+
+def _successors(place: np.ndarray, size: np.ndarray, reach: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Within a split: for each place the number of its successor (its own if there is none here), where the record ends (-1: no header), and whether that is beyond the split."""
+    end = np.where(reach > 0, place + reach, -1)
+    to = np.minimum(np.searchsorted(place, end), len(place) - 1)
+    here = (end > place) & (place[to] == end)
+    return np.where(here, to, np.arange(len(place))), end, end >= place[-1] + len(MAGIC) + size[-1]
+
+
+def _doubled(next_: np.ndarray) -> Iterator[np.ndarray]:
+    """Pointers over 1, 2, 4 ... steps, until they move no more."""
+    while True:
+        yield next_
+        further = next_[next_]
+        if np.array_equal(further, next_):
+            return
+        next_ = further
+
+
+def _numpy(b: pa.RecordBatch, x: int, y: int, *names: str) -> list[np.ndarray]:
+    return [b.column(b.schema.get_field_index(n)).slice(x, y - x).fill_null(0).to_numpy(zero_copy_only=False) for n in names]
+
+
+def _exits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """For each place: where the chain from it leaves the split, -1 if it ends within."""
+    for b, cut in grouped(batches, "key"):
+        exits = []
+        for x, y in zip(cut[:-1].tolist(), cut[1:].tolist(), strict=True):
+            next_, end, beyond = _successors(*_numpy(b, x, y, "place", "size", "reach"))
+            for last in _doubled(next_):
+                pass
+            exits.append(np.where(beyond[last], end[last], -1))
+        yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(np.concatenate(exits))], ["file", "place", "exit"])
+
+
+_RECORD = f"file string, split bigint, offset bigint, parts bigint, chunks array<struct<split: bigint, number: bigint>>, beyond boolean, lead bigint, first bigint, {_FIELDS_DDL}"
+
+
+def _reached(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The places that pointers from the entered ones reach and whose records end at a start or at the end of the file; and a row without an offset for each split, with how many of its chunks stand before the first of these places (lead) from number ``first`` on, and whether there is any (beyond)."""
+    names = [c.split()[0] for c in _RECORD.split(", ")][:5] + ["beyond", "lead", "first", *_FIELDS]
+    for b, cut in grouped(batches, "key"):
+        keep, offsets, parts, chunks_, over, leads = [], [], [], [], [], []
+        for x, y in zip(cut[:-1].tolist(), cut[1:].tolist(), strict=True):
+            place, size, reach, entry, lands, file_end, number, split = _numpy(b, x, y, "place", "size", "reach", "entry", "lands", "end", "number", "split")
+            next_, end, beyond = _successors(place, size, reach)
+            mark = entry.astype(bool)
+            for pointer in _doubled(next_):
+                mark[pointer[mark]] = True
+            n = len(place)
+            there = np.flatnonzero(mark)
+            leads.append((x, int(there[0]) if len(there) else n, int(number[0]), len(there) > 0))
+            good = there[(next_[there] != there) | (beyond[there] & ((end[there] == file_end[there]) | lands[there].astype(bool)))]
+            count = np.where(beyond[good], n, next_[good]) - good
+            keep.append(x + good)
+            offsets.append(place[good])
+            parts.append(count)
+            over.append(beyond[good])
+            chunks_ += [[{"split": int(split[k]), "number": int(number[k])} for k in range(i, i + c)] if c > 1 or o else None for i, c, o in zip(good.tolist(), count.tolist(), beyond[good].tolist(), strict=True)]
+        at = pa.array(np.concatenate(keep))
+        m = len(at)
+        col = lambda n: b.column(b.schema.get_field_index(n))  # noqa: E731, B023
+        none = pa.nulls(m, pa.int64())
+        yield pa.RecordBatch.from_arrays(
+            [col("file").take(at), col("split").take(at), pa.array(np.concatenate(offsets)), pa.array(np.concatenate(parts)), pa.array(chunks_, _PLACES), pa.array(np.concatenate(over)), none, none, *(col(f).take(at) for f in _FIELDS)], names
+        )
+        first, lead, numbers, some = (pa.array(c) for c in zip(*leads, strict=True))
+        none = pa.nulls(len(leads), pa.int64())
+        yield pa.RecordBatch.from_arrays([col("file").take(first), col("split").take(first), none, none, pa.nulls(len(leads), _PLACES), some, lead, numbers, *(pa.nulls(len(leads), t) for t in _FIELD_TYPES)], names)
+
+
+def entered(spark: SparkSession, exits: DataFrame) -> DataFrame:
+    """From each place's exit: the places that some chain enters a split at (file, place, reached): those that the chain from the file's start comes to, and others. Their pointers to each other are doubled, so rounds grow with the
+    logarithm of a file's splits."""
+    targets = exits.where("exit >= 0").select("file", F.col("exit").alias("place")).distinct()
+    some = exits.join(targets, ["file", "place"], "left_semi").unionByName(exits.where("place = 0")).distinct()
+    some = save(spark, some, "entries")
+    reached = some.where("place = 0").select("file", "place")
+    jump = some.join(some.select("file", F.col("place").alias("exit")), ["file", "exit"]).select("file", "place", F.col("exit").alias("to"))
+    while True:
+        jump = save(spark, jump, "jumps")
+        if not jump.take(1):
+            break
+        reached = save(spark, reached.unionByName(reached.join(jump, ["file", "place"]).select("file", F.col("to").alias("place"))).distinct(), "reached")
+        jump = jump.join(jump.select("file", F.col("place").alias("to"), F.col("to").alias("next")), ["file", "to"]).select("file", "place", F.col("next").alias("to"))
+    return some.select("file", "place").distinct().join(reached.withColumn("reached", F.lit(True)), ["file", "place"], "left").select("file", "place", F.coalesce("reached", F.lit(False)).alias("reached"))
+
 
+def read(spark: SparkSession, folder: str) -> DataFrame:
+    """The records of all archives below ``folder``: file, offset, type, record_id, target_uri, refers_to, declared_digest, payload_digest (of a revisit: the declared one) and payload_bytes."""
     every = chunks(spark, folder)
-    thin = every.mapInArrow(candidates, f"file string, split bigint, number bigint, size bigint, reach bigint, start binary, {fields_ddl}").withColumn("key", F.xxhash64("file"))
-    found = thin.repartition("key").sortWithinPartitions("key", "split", "number").mapInArrow(walk, f"file string, offset bigint, parts bigint, chunks array<struct<split: bigint, number: bigint>>, {fields_ddl}")
-    found = save(spark, found, "records")
-    long = found.where("parts > 1")
-    n = long.agg(F.sum("parts")).first()[0]
-    short = found.where("parts = 1").select("file", "offset", *_FIELDS)
+    thin = save(spark, every.mapInArrow(_candidates, f"file string, split bigint, number bigint, at bigint, size bigint, reach bigint, start binary, {_FIELDS_DDL}"), "places")
+    # one row for each input split, as many as the scan has tasks
+    splits = thin.groupBy("file", "split").agg(F.max(F.col("at") + F.col("size") + len(MAGIC)).alias("total"))
+    of_file = W.partitionBy("file")
+    splits = splits.select("file", "split", (F.sum("total").over(of_file.orderBy("split")) - F.col("total")).alias("base"), (F.sum("total").over(of_file) - len(MAGIC)).alias("end"))
+    thin = thin.join(F.broadcast(save(spark, splits, "splits")), ["file", "split"]).withColumn("place", F.col("base") + F.col("at") - len(MAGIC)).where("place >= 0").drop("base", "at")
+    opens = thin.where("start is not null").select("file", "place", "size", "start").repartition("file").sortWithinPartitions("file", "place")
+    more = save(spark, opens.mapInArrow(_stitch, "file string, place bigint, stitched bigint"), "stitched")
+    nodes = thin.drop("start")
+    if more.take(1):
+        nodes = nodes.join(more, ["file", "place"], "left").withColumn("reach", F.coalesce("reach", "stitched")).drop("stitched")
+    nodes = nodes.withColumn("key", F.xxhash64("file", "split"))
+    in_splits = lambda rows: rows.repartition("key").sortWithinPartitions("key", "file", "split", "place")
+    exits = save(spark, in_splits(nodes.select("file", "place", "size", "reach", "split", "key")).mapInArrow(_exits, "file string, place bigint, exit bigint"), "exits")
+    doors = save(spark, entered(spark, exits), "doors")
+    rows = nodes.withColumn("to", F.col("place") + F.col("reach")).join(doors.where("reached").select("file", "place", F.lit(1).alias("entry")), ["file", "place"], "left")
+    rows = rows.join(doors.select("file", F.col("place").alias("to"), F.lit(1).alias("lands")), ["file", "to"], "left").drop("to")
+    found = save(spark, in_splits(rows).mapInArrow(_reached, _RECORD), "records")
+    # chunks before a split's first record belong to the last record that reaches over, in whichever split that was
+    over = found.groupBy("file", "split").agg(F.max(F.when(F.col("beyond"), F.col("offset"))).alias("last"), F.max(F.when(F.col("offset").isNull(), F.col("beyond"))).alias("some"))
+    over = over.select("file", "split", F.coalesce("last", F.when(F.col("some"), -1)).alias("last"))  # -1: the chain ended there
+    before = W.partitionBy("file").orderBy("split").rowsBetween(W.unboundedPreceding, -1)
+    leads = found.where("offset is null").select("file", "split", "lead", "first").join(over, ["file", "split"], "left").withColumn("offset", F.last("last", True).over(before)).where("lead > 0 and offset >= 0")
+    leads = leads.select("file", "offset", "split", F.explode(F.sequence(F.col("first"), F.col("first") + F.col("lead") - 1)).alias("number"))
+    leads = save(spark, leads, "leads")
+    records = found.where("offset is not null")
+    further = leads.groupBy("file", "offset").agg(F.count(F.lit(1)).alias("more"))
+    records = records.join(further, ["file", "offset"], "left").withColumn("parts", F.col("parts") + F.coalesce("more", F.lit(0)))
+    n = records.where("parts > 1").agg(F.sum("parts")).first()[0]
+    short = records.where("parts = 1").select("file", "offset", *_FIELDS)
+    if not n:
+        return short
+    long = records.where("parts > 1")
+    places = long.select("file", "offset", F.explode("chunks").alias("c")).select("file", "offset", "c.split", "c.number")
+    places = places.unionByName(leads.join(long.select("file", "offset"), ["file", "offset"], "left_semi").select("file", "offset", "split", "number"))
     # saved, so that the result reads nothing of the archives any more
-    return short.unionByName(save(spark, spanning(every, long, n <= SENT_CHUNKS), "spanning")) if n else short
+    return short.unionByName(save(spark, spanning(every, places, n <= SENT_CHUNKS), "spanning"))
 
 
-def spanning(every: DataFrame, long: DataFrame, few: bool) -> DataFrame:
-    """Records whose payload holds magics, from the chunks that the walk found to be theirs. ``few``: there are few enough of these to be sent to every task."""
-    places = long.select("file", "offset", F.posexplode("chunks").alias("place", "c")).select("file", "offset", "place", "c.split", "c.number")
-    mine = every.join(F.broadcast(places) if few else places, ["file", "split", "number"]).select(F.xxhash64("file", "offset").alias("record"), "file", "offset", "place", "chunk")
+def spanning(every: DataFrame, places: DataFrame, few: bool) -> DataFrame:
+    """Records whose payload holds magics, from the chunks that are theirs (file, offset, split, number). ``few``: there are few enough of these to be sent to every task."""
+    mine = every.join(F.broadcast(places) if few else places, ["file", "split", "number"]).select(F.xxhash64("file", "offset").alias("record"), "file", "offset", "split", "number", "chunk")
 
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b, cut in grouped(batches, "record"):
             rows = []
             for x, y in zip(cut[:-1].tolist(), cut[1:].tolist(), strict=True):
-                chunk = MAGIC.join(b.column(4).slice(x, y - x).to_pylist())
+                chunk = MAGIC.join(b.column(5).slice(x, y - x).to_pylist())
                 h = header(chunk)
                 rows.append(described(h[0], chunk[h[1] : h[1] + h[2]]) if h else (None,) * 7)
             at = pa.array(cut[:-1])
@@ -242,7 +358,7 @@ def spanning(every: DataFrame, long: DataFrame, few: bool) -> DataFrame:
             yield pa.RecordBatch.from_arrays([b.column(1).take(at), b.column(2).take(at), *(pa.array(c, t) for c, t in zip(cols, _FIELD_TYPES, strict=True))], ["file", "offset", *_FIELDS])
 
     ddl = "file string, offset bigint, type string, record_id string, target_uri string, refers_to string, declared_digest string, payload_digest string, payload_bytes bigint"
-    return mine.repartition("record").sortWithinPartitions("record", "file", "offset", "place").mapInArrow(build, ddl)
+    return mine.repartition("record").sortWithinPartitions("record", "file", "offset", "split", "number").mapInArrow(build, ddl)
 
 
 def round_trip(spark: SparkSession, pages: DataFrame, id_col: str = "page_id", url_col: str = "url", payload_col: str = "html", least: int = 0) -> DataFrame:
