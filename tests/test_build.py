@@ -41,23 +41,26 @@ def test_build(spark, corpus):
     refs = sorted((name[r.judgmentid], r.citationcode) for r in b.tables["crossreferences"].collect())
     assert refs == [("1.html", "[2001] QB 2"), ("2.html", "[2001] QB 3")]
     assert b.tables["lawreferences"].count() == 3
-    html = {r.path: r.html for r in b.pages["judgments"].collect()}
+    laws = {r.judgmentid: r.legislationid for r in b.tables["lawreferences"].collect()}
+    assert b.tables["lawreferences"].columns == ["judgmentid", "legislationid"] and laws == dict.fromkeys(name, 1)
+    html = {r.path: r.html for r in b.whole_pages("judgments").collect()}
     assert len(html) == 3 and "/judgments/QB/2001/[2001]_QB_2.html" in html
     assert "Cases cited" in html["/judgments/QB/2001/[2001]_QB_1.html"] and "Cited by" not in html["/judgments/QB/2001/[2001]_QB_1.html"]
     assert '<a href="/law/1">Contempt' in html["/judgments/QB/2001/[2001]_QB_2.html"]
-    assert [r.path for r in b.pages["disambiguation"].collect()] == ["/judgments/disambiguation_[2001]_Shared_7.html"]
-    index = {r.path: r.html for r in b.pages["indexes"].collect()}
+    assert [r.path for r in b.whole_pages("disambiguation").collect()] == ["/judgments/disambiguation_[2001]_Shared_7.html"]
+    index = {r.path: r.html for r in b.whole_pages("indexes").collect()}
     assert index["/judgments/QB/index.html"].index("QB_3") < index["/judgments/QB/index.html"].index("QB_1") and "July 2001" in index["/judgments/QB/index.html"]
     assert index["index.html"].index("Court of Matters") < index["index.html"].index("Court of Things")
-    sinks.save_pages(b.pages["judgments"], f"file://{corpus}/out")
+    sinks.save_page_blocks(b.pages["judgments"], f"file://{corpus}/out")
     assert (corpus / "out/judgments/QB/2001/[2001]_QB_1.html").read_text() == html["/judgments/QB/2001/[2001]_QB_1.html"]
     before = sorted(map(tuple, b.errors.collect()))
     again = build.run(spark, [], str(corpus / "store"), phases=("indexes",), courts=COURTS, categories=CATEGORIES)
-    assert again.pages["indexes"].count() == 2 and sorted(map(tuple, again.errors.collect())) == before
+    assert again.whole_pages("indexes").count() == 2 and sorted(map(tuple, again.errors.collect())) == before
     lines = [r.line for r in again.log(spark).collect()]
     assert "*** judgments: 3" in lines and any(x.startswith("[analyse] file:") for x in lines) and f"*** errors: {len(before)}" in lines
-    sinks.publish(spark, f"file://{corpus}/out", f"file://{corpus}/live")
-    assert (corpus / "live/judgments/QB/2001/[2001]_QB_1.html").exists() and not (corpus / "out").exists()
+    now = sinks.publish(spark, f"file://{corpus}/out", f"file://{corpus}/live")
+    assert sinks.current(spark, f"file://{corpus}/live") == now and not (corpus / "out").exists()
+    assert (corpus / "live" / now.rpartition("/")[2] / "judgments/QB/2001/[2001]_QB_1.html").exists()
 
 
 def test_files_of_one_name(spark, corpus):
@@ -67,7 +70,7 @@ def test_files_of_one_name(spark, corpus):
     assert b.tables["pages"].count() == 6 and b.tables["judgments"].count() == 4
     kept = {r.path for r in b.tables["judgments"].collect()}
     assert {f"file:{corpus}/in/1.html", f"file:{corpus}/in/same.html"} < kept and f"file:{corpus}/in/deep/1.html" not in kept
-    assert b.pages["judgments"].count() == 4 and b.tables["bodies"].count() == 4
+    assert b.whole_pages("judgments").count() == 4 and b.tables["bodies"].count() == 4
     assert {r.key for r in b.errors.where("stage = 'crossreference'").collect()} == {f"file:{corpus}/in/deep/1.html"}
 
 
@@ -81,10 +84,155 @@ def test_purge_includes_and_feeds(spark, tmp_path):
     page = spark.createDataFrame([('a<esi:include src="/h" />b<esi:include src="/x"/>c',), ("none",), (None,)], "h string")
     assert [r[0] for r in page.select(render.includes(F.col("h"), {"/h": "<b>$1</b>"})).collect()] == ["a<b>$1</b>bc", "none", None]
     assert page.select(render.includes(F.col("h"), {})).first()[0] == "abc"
-    link = '<feed xmlns="http://www.w3.org/2005/Atom">{}<entry><title>The {} Act</title><link rel="self" href="/{}"/><link rel="next" href="nowhere"/></entry></feed>'
-    web = {"f1976": link.format('<link rel="next" href="f1976"/>', "A", "a"), "f1977": link.format('<link rel="next" href="p2"/>', "B", "b"), "p2": link.format("", "C", "c")}
-    assert pages.save_feeds(spark, lambda u: web[u].encode(), "f%d", f"file://{tmp_path}/feeds", [1976, 1977]) == 3
-    assert sorted((r.title, r.link) for r in pages.feed(spark, f"{tmp_path}/feeds/*.xml").collect()) == [("A Act", "/a"), ("B Act", "/b"), ("C Act", "/c")]
+    link = '<feed xmlns="http://www.w3.org/2005/Atom">{}<entry><title> The {} Act</title><link rel="self" href="/{}"/><link rel="next" href="nowhere"/></entry></feed>'
+    (tmp_path / "f").mkdir()
+    at = f"file://{tmp_path}/f"
+    for name, text in {"1976": link.format(f'<link rel="next" href="{at}/1976"/>', "A", "a"), "1977": link.format(f'<link rel="next" href="{at}/p2"/>', "B", "b"), "p2": link.format("", "C", "c"), "1978": "<feed/>"}.items():
+        (tmp_path / "f" / name).write_text(text)
+    got = pages.feeds(spark, at + "/%d", 1976, 1978)
+    assert got.rdd.getNumPartitions() == 3 and sorted((r.title, r.link, r.year, r.page) for r in got.collect()) == [("A Act", "/a", 1976, 1), ("B Act", "/b", 1977, 1), ("C Act", "/c", 1977, 2)]
+    with pytest.raises(Exception, match="1979"):
+        pages.feeds(spark, at + "/%d", 1979, 1979).collect()
+
+
+def test_pages_are_written_whole_or_not_at_all(spark, tmp_path):
+    out = f"file://{tmp_path}/out"
+    old = spark.createDataFrame([("a.html", "old a"), ("deep/b.html", "old b")], "path string, html string")
+    sinks.save_pages(old, out)
+    files = lambda: {str(p.relative_to(tmp_path)): p.read_text() for p in tmp_path.rglob("*.html")}
+    before = files()
+    assert before == {"out/a.html": "old a", "out/deep/b.html": "old b"}
+    broken = spark.range(200).repartition(8).select(F.concat("id", F.lit(".html")).alias("path"), F.when(F.col("id") == 150, F.raise_error(F.lit("no"))).otherwise(F.concat(F.lit("new"), "id")).alias("html"))
+    with pytest.raises(Exception, match="no"):
+        sinks.save_pages(broken.unionByName(old), out)
+    assert files() == before and [p.name for p in tmp_path.iterdir()] == ["out"]
+    sinks.save_pages(spark.createDataFrame([("a.html", "new a"), ("c.html", "é"), (None, "x"), ("d.html", None)], "path string, html string"), out)
+    assert files() == {**before, "out/a.html": "new a", "out/c.html": "é"}
+    sinks.save_pages(old.limit(0), out)
+    blocks = spark.range(5000).select(F.concat((F.col("id") % 3).cast("string"), F.lit("/x.html")).alias("path"), F.struct(F.lit(0).alias("section"), (-F.col("id")).alias("n0")).alias("place"), F.concat("id", F.lit("\n")).alias("html"))
+    sinks.save_page_blocks(blocks.repartition(7), out)
+    assert files()["out/1/x.html"] == "".join(f"{i}\n" for i in range(4999, -1, -1) if i % 3 == 1)
+
+
+def test_versions(spark, tmp_path):
+    live, stage = f"file://{tmp_path}/live", f"file://{tmp_path}/stage"
+    row = lambda x: spark.createDataFrame([("a.html", x)], "path string, html string")
+    read = lambda: (tmp_path / "live" / sinks.current(spark, live).rpartition("/")[2] / "a.html").read_text()
+    assert sinks.current(spark, live) is None
+    for n in range(3):
+        sinks.save_pages(row(str(n)), stage)
+        sinks.publish(spark, stage, live)
+        assert read() == str(n)
+    assert len([p for p in (tmp_path / "live").iterdir() if p.name.startswith("v-")]) == 2
+    with pytest.raises(FileNotFoundError):
+        sinks.publish(spark, stage, live)
+    assert read() == "2"
+    # a stop before the pointer changes leaves the old state, and the next one goes through
+    sinks.save_pages(row("3"), stage)
+    point, sinks._point = sinks._point, lambda *a: (_ for _ in ()).throw(OSError("stopped"))
+    try:
+        with pytest.raises(OSError, match="stopped"):
+            sinks.publish(spark, stage, live)
+    finally:
+        sinks._point = point
+    assert read() == "2"
+    sinks.save_pages(row("4"), stage)
+    sinks.publish(spark, stage, live)
+    assert read() == "4"
+    sinks.roll_back(spark, live)
+    assert read() == "2"
+
+
+def test_build_ends_in_files(spark, corpus, capsys):
+    from vellum.__main__ import main
+
+    laws = corpus / "laws"
+    laws.mkdir()
+    (laws / "1981").write_text('<feed><entry><title>Contempt of Court Act 1981</title><link rel="self" href="/law/1"/></entry></feed>')
+    out, live, store = (f"file://{corpus}/{x}" for x in ("out", "live", "store3"))
+    args = [store, str(corpus / "in"), "--out", out, "--legislation", f"file://{laws}/%d", "--years", "1981", "1981"]
+    b = main([*args, "--delete-db"], spark, courts=COURTS, categories=CATEGORIES, buckets=4)
+    assert b.counts["judgments"] == 3 and len(list((corpus / "out").rglob("*.html"))) == 3 + 1 + 2
+    assert list(b.seconds) == list(build.PHASES) and "*** convert took" in capsys.readouterr().out
+    # what was written was counted in the same pass, so asking for the numbers runs nothing
+    again = build.run(spark, [str(corpus / "in")], f"file://{corpus}/store4", legislation=pages.feeds(spark, f"file://{laws}/%d", 1981, 1981), courts=COURTS, categories=CATEGORIES, out=f"file://{corpus}/out4", buckets=4)
+    spark.sparkContext.setJobGroup("numbers", "")
+    n = again.metrics()
+    assert spark.sparkContext.statusTracker().getJobIdsForGroup("numbers") == []
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert {k: v for k, v in n.items() if k in ("lawreferences", "judgments", "disambiguation", "indexes", "pages", "crossreferences", "courts")} == {"lawreferences": 3, "judgments": 3, "disambiguation": 1, "indexes": 2, "pages": 5, "crossreferences": 2, "courts": 2} and n == b.metrics()
+    # a page that no build writes any more goes after the next conversion, and what is published is the whole
+    (corpus / "out" / "judgments" / "stale.html").write_text("x")
+    os.utime(corpus / "out" / "judgments" / "stale.html", (1, 1))
+    b = main([*args, "--no-analyse", "--no-crossreference", "--delete-html", "--live", live], spark, courts=COURTS, categories=CATEGORIES)
+    assert b.purged and not (corpus / "out").exists() and sinks.current(spark, live) == b.live
+    names = {p.name for p in (corpus / "live").rglob("*.html")}
+    assert len(names) == 5 and "stale.html" not in names
+    with pytest.raises(ValueError):
+        build.run(spark, [], store, live=live)
+    with pytest.raises(SystemExit):
+        main([store], spark)
+
+
+def exchanges(df):
+    """What the plan's exchanges read: scans of stored tables below an exchange that isn't a broadcast."""
+    spark = df.sparkSession
+    return df._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning")
+
+
+def test_tables_by_key(spark, tmp_path):
+    before = {k: spark.conf.get(k) for k in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.enabled")}
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        j = spark.range(300).select(F.col("id").alias("judgmentid"), F.current_date().alias("date"), F.concat(F.lit("t"), "id").alias("title"))
+        codes = j.select("judgmentid", F.concat(F.lit("c"), F.col("judgmentid") % 90).alias("citationcode"))
+        refs = j.select("judgmentid", F.concat(F.lit("c"), F.col("judgmentid") * 7 % 100).alias("citationcode"))
+        stored = {}
+        for name, rows, key in (("j", j, "judgmentid"), ("codes", codes, "judgmentid"), ("codes2", codes, "citationcode"), ("refs", refs, "citationcode")):
+            sinks.save_by_key(rows, f"{tmp_path}/{name}", key, 4)
+            stored[name] = sinks.load_by_key(spark, f"{tmp_path}/{name}", key)
+        assert exchanges(tables.codes_of(stored["codes"])) == 0
+        pairs = stored["refs"].join(stored["codes2"].withColumnRenamed("judgmentid", "target"), "citationcode")
+        assert exchanges(pairs) == 0
+        out = tables.outgoing(stored["refs"], stored["codes2"], stored["j"])
+        assert exchanges(out) == 1  # the pairs alone, by target
+        assert sorted(out.collect()) == sorted(tables.outgoing(refs, codes, j).collect())
+        # in another session the layout is known again
+        other = spark.newSession()
+        name = sinks._table_name(f"{tmp_path}/codes/by=judgmentid-4")
+        spark.sql(f"DROP TABLE {name}")
+        assert exchanges(tables.codes_of(sinks.load_by_key(other, f"{tmp_path}/codes", "judgmentid"))) == 0
+        with pytest.raises(FileNotFoundError):
+            sinks.load_by_key(spark, f"{tmp_path}/codes", "citationcode")
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+
+
+def test_page_blocks_make_the_same_pages(spark):
+    j = spark.range(40).select(F.col("id").alias("judgmentid"), F.concat(F.lit("T<"), "id").alias("title"), F.expr("date_add(DATE'2001-01-20', CAST(id % 30 AS INT))").alias("date"), F.concat(F.lit("/j/"), "id").alias("url"), F.concat(F.lit("C"), F.col("id") % 3).alias("court"))
+    j = j.withColumn("court_url", F.concat(F.lit("/c/"), "court", F.lit("/"))).withColumn("body", F.when(F.col("judgmentid") > 3, "<p>b</p>"))
+    codes = j.select("judgmentid", F.lit("x, y").alias("codes")).where("judgmentid > 5")
+    edges = j.where("judgmentid > 10").select("judgmentid", F.explode(F.array(F.col("judgmentid") % 4, F.lit(2).cast("bigint"))).alias("id")).join(j.select(F.col("judgmentid").alias("id"), "date", "title", "url"), "id")
+    lists = lambda name: edges.groupBy("judgmentid").agg(F.sort_array(F.collect_list(F.struct("date", "id", "title", "url"))).alias(name))
+    want = sorted(map(tuple, render.judgment_pages(j, codes, lists("outgoing"), lists("incoming")).collect()))
+    b = build.Build()
+    items = edges.join(j.select("judgmentid", F.col("url").alias("path")), "judgmentid").select("path", "date", "id", "title", "url")
+    b.pages["a"] = render.judgment_blocks(j, codes, items, items)
+    assert sorted(map(tuple, b.whole_pages("a").collect())) == want
+    months = j.groupBy("court", F.year("date").alias("year"), F.month("date").alias("month")).agg(F.min("date").alias("day"), F.sort_array(F.collect_list(F.struct("date", "judgmentid", "title", "url")), asc=False).alias("rows"))
+    months = months.select("court", "year", "month", F.date_format("day", "MMMM yyyy").alias("heading"), F.concat_ws("-", "year", "month").alias("anchor"), "rows")
+    courts_ = j.select("court", "court_url").distinct()
+    want = sorted(map(tuple, render.court_indexes(months, courts_).collect()))
+    b.pages["b"] = render.court_blocks(j, courts_.unionByName(spark.createDataFrame([("none", "/c/none/")], courts_.schema)))
+    assert sorted(map(tuple, b.whole_pages("b").collect())) == want
+    assert b.pages["b"].agg(F.max(F.length("html"))).first()[0] < 150
+    owners = j.select(F.concat(F.lit("[1] c/"), F.col("judgmentid") % 25).alias("citationcode"), "date", F.col("judgmentid").alias("id"), "title", F.when(F.col("judgmentid") % 25 != 3, F.col("url")).alias("url"))
+    many = owners.groupBy("citationcode").agg(F.sort_array(F.collect_list(F.struct("date", "id", "title", "url")), asc=False).alias("rows")).where(F.size("rows") > 1)
+    b.pages["c"] = render.disambiguation_blocks(owners)
+    want = sorted(map(tuple, render.disambiguation_pages(many).collect()))
+    assert len(want) == 14 and sorted(map(tuple, b.whole_pages("c").collect())) == want
 
 
 def test_profile(spark, tmp_path):
@@ -107,10 +255,18 @@ def test_courts():
 
 def test_explicit_files_and_feed(spark, corpus):
     assert [r.filename for r in pages.scan(spark, str(corpus / "in/bad.html")).collect()] == ["bad.html"]
+    several = pages.scan(spark, str(corpus / "in/bad.html"), str(corpus / "in/deep"), str(corpus / "in/deep/1.html"), str(corpus / "in/bad.html"))
+    assert sorted(r.filename for r in several.collect()) == ["1.html", "2.html", "3.html", "bad.html"]
     entry = '<entry><title>{}</title><link rel="alternate" href="/z"/><link rel="self" href="{}"/></entry>'
-    (corpus / "1990-1.xml").write_text("<feed>" + entry.format("The A Act", "/a") * 2 + entry.format("B Act", "/b") + "</feed>")
-    (corpus / "2012-1.xml").write_text("<feed>" + entry.format("C Act", "/c") + "</feed>")
-    assert sorted((r.title, r.link) for r in pages.feed(spark, f"{corpus}/*.xml").collect()) == [("A Act", "/a"), ("A Act", "/a"), ("B Act", "/b")]
+    for year, name, title in ((1990, "1-1850", "The A Act"), (1990, "part-aaaa2041-1", "The A Act"), (1991, "2099", "B Act"), (2012, "1", "C Act")):
+        (corpus / f"feeds/year={year}").mkdir(parents=True, exist_ok=True)
+        (corpus / f"feeds/year={year}/{name}.xml").write_text("<feed>" + entry.format(title, "/" + title[-5].lower()) + "</feed>")
+    read = lambda *a, **k: sorted((r.title, r.link) for r in pages.feed(spark, *a, **k).collect())
+    # digits in names of files say nothing, folders do if asked
+    assert read(f"{corpus}/feeds") == read(f"{corpus}/feeds/*/*.xml") == [("A Act", "/a"), ("A Act", "/a"), ("B Act", "/b"), ("C Act", "/c")]
+    assert read(f"{corpus}/feeds", years=(1990, 1990)) == [("A Act", "/a"), ("A Act", "/a")]
+    with pytest.raises(ValueError):
+        pages.feed(spark, f"{corpus}/feeds/*/*.xml", years=(1990, 1990))
 
 
 def test_search_of_large_dictionaries_agrees(spark):

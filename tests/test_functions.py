@@ -72,6 +72,10 @@ def test_decoding():
         assert decode.decode(declaration.encode() + b"\x93\xe9").text.endswith("\u201cé"), declaration
     assert decode.decode("<?xml version='1.0' encoding='utf-16'?>é".encode("utf-16")).text.endswith("é")
     assert decode.open_page("<p>\u201cx\u201d \u2013".encode(), smart_quotes=False) == '<p>"x" -' and "&#8220;" in decode.open_page("<p>\u201cx".encode())
+    assert len(decode.MARKS) == 27 and decode.without_smart_quotes("\u20ac\u0192\u2026\u017d\u2019x", "entities") == "&euro;&fnof;&hellip;&#x17D;&rsquo;x"
+    assert decode.without_smart_quotes("\u20ac\u2014é", "references") == "&#x20AC;&#x2014;é" and decode.open_page("<p>\u2122".encode(), False, "entities") == "<p>&trade;"
+    with pytest.raises(ValueError):
+        decode.smart_marks("latin")
     bad = decode.decode(b"<?xml encoding='utf-8'?>\xff\x81")
     assert bad.replaced and bad.encoding == "utf-8"
     assert decode.open_page("zzz<p>é\r\na\rb\x01\x04</p>".encode()) == "<p>&#233;\na\nb\x04</p>"

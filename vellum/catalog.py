@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .functions import distance, text, titles
+from .functions import decode, distance, text, titles
 from .operators import duplicates, match, render, tables
 from .plans import build, carriers
 from .plans.carriers import table
@@ -90,6 +90,26 @@ def control_chars(spark, d):
     return digest(table(spark, d, "documents"), "doc_id", text.without_controls(text.unix_lines(dirty)))
 
 
+MARKED = "".join(decode.MARKS[i] for i in (0, 5, 13, 14, 15, 21))
+
+
+def _marks_sql(to: str) -> str:
+    out = f"translate(text, 'aeiou.', '{MARKED}')"
+    for c, x in sorted(decode.smart_marks(to).items()):
+        out = f"replace({out}, chr({c}), '" + x.replace("'", "''") + "')"
+    return out
+
+
+@query(digest_sql("documents", "doc_id", _marks_sql("entities")))
+def smart_marks_named(spark, d):
+    return digest(table(spark, d, "documents"), "doc_id", text.without_typographic(F.translate("text", "aeiou.", MARKED), decode.smart_marks("entities")))
+
+
+@query(digest_sql("documents", "doc_id", _marks_sql("ascii")))
+def smart_marks_ascii(spark, d):
+    return digest(table(spark, d, "documents"), "doc_id", text.without_typographic(F.translate("text", "aeiou.", MARKED), decode.smart_marks("ascii")))
+
+
 @query(digest_sql("documents", "doc_id", "CASE WHEN position('<' IN text) > 0 THEN substr(text, position('<' IN text)) END"))
 def first_tag(spark, d):
     return digest(table(spark, d, "documents"), "doc_id", text.from_first_tag(F.col("text")))
@@ -177,6 +197,13 @@ def nearest_name(spark, d):
     return distance.nearest_of(table(spark, d, "part").select("p_type").distinct(), "p_type", table(spark, d, "customer"), "c_mktsegment").select("p_type", "nearest", "distance")
 
 
+@query("""WITH w AS (SELECT DISTINCT c_name FROM customer), n AS (SELECT DISTINCT s_name FROM supplier)
+SELECT s_name, (m).w AS nearest, (m).d::INTEGER AS distance FROM (SELECT s_name, min(struct_pack(d := levenshtein(s_name, c_name), w := c_name)) AS m FROM n, w GROUP BY s_name)""")
+def nearest_name_of_many(spark, d):
+    """As nearest_name, by the way that tables of any size take."""
+    return distance.nearest_of(table(spark, d, "supplier").select("s_name").distinct(), "s_name", table(spark, d, "customer"), "c_name", few=0).select("s_name", "nearest", "distance")
+
+
 @query("""SELECT judgmentid, (m).c::INTEGER AS cost, (m).w AS code FROM (SELECT judgmentid, min(struct_pack(c := cost, w := citationcode)) AS m FROM (SELECT p.judgmentid, p.citationcode, cost FROM p JOIN (SELECT a, b, dp[len(dp)] AS cost FROM step WHERE i = length(a)) USING (a, b)) GROUP BY judgmentid)""")
 def weighted_name(spark, d):
     j = carriers.judgments(spark, d)
@@ -376,17 +403,43 @@ def dup_totals(spark, d):
     return duplicates.totals(table(spark, d, "documents"), "doc_id", F.col("text"))
 
 
-@query("""WITH t AS (SELECT doc_id, text, length(text) AS n, string_split(text, '') AS l, min(doc_id) OVER (PARTITION BY text) AS rep FROM documents WHERE text IS NOT NULL),
+WINDOWS_SQL = """t AS (SELECT doc_id, text, length(text) AS n, string_split(text, '') AS l, min(doc_id) OVER (PARTITION BY text) AS rep FROM documents WHERE text IS NOT NULL),
 c AS (SELECT doc_id, n, unnest(list_transform(l, lambda x: unicode(x)::BIGINT)) AS c, generate_subscripts(l, 1) AS i FROM t WHERE n > 0),
 g AS (SELECT doc_id, n, i, CASE WHEN i <= n - 3 THEN (((((c * 131 + lead(c, 1) OVER o) * 131 + lead(c, 2) OVER o) * 131 + lead(c, 3) OVER o) & 2147483647) * 1103515245 >> 15) & 65535 ELSE 0 END AS v FROM c WINDOW o AS (PARTITION BY doc_id ORDER BY i)),
 m AS (SELECT doc_id, n, i, sum(v) OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN CURRENT ROW AND 246 FOLLOWING) % 512 AS s FROM g),
-s AS (SELECT DISTINCT doc_id, rep, md5(substr(text, i, 250)) AS h FROM (SELECT doc_id, i FROM m WHERE s = 0 AND (i = 1 OR i <= n - 249) UNION ALL SELECT doc_id, 1 FROM t WHERE n = 0) JOIN t USING (doc_id))
+s AS (SELECT DISTINCT doc_id, rep, md5(substr(text, i, 250)) AS h FROM (SELECT doc_id, i FROM m WHERE s = 0 AND (i = 1 OR i <= n - 249) UNION ALL SELECT doc_id, 1 FROM t WHERE n = 0) JOIN t USING (doc_id))"""
+
+
+@query("WITH " + WINDOWS_SQL + """
 SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS n_shared FROM s a JOIN s b ON a.h = b.h AND a.doc_id < b.doc_id WHERE a.doc_id = a.rep AND b.doc_id = b.rep GROUP BY ALL
 UNION ALL SELECT rep, doc_id, count(*) FROM s WHERE doc_id <> rep GROUP BY ALL""")
 def near_dups(spark, d):
     return duplicates.near(table(spark, d, "documents"), "doc_id", F.col("text"))
 
 
+@query("SELECT * FROM (" + ORACLES["near_dups"] + ") ORDER BY n_shared DESC, a DESC, b DESC LIMIT 50")
+def near_dups_top(spark, d):
+    """A report of the fifty pairs that share most."""
+    return duplicates.near(table(spark, d, "documents"), "doc_id", F.col("text"), most=50)
+
+
+@query("WITH RECURSIVE " + WINDOWS_SQL + """,
+e AS (SELECT DISTINCT a.doc_id AS a, b.doc_id AS b FROM s a JOIN s b ON a.h = b.h AND a.doc_id <> b.doc_id),
+r AS (SELECT doc_id AS root, doc_id FROM s UNION SELECT r.root, e.b FROM r JOIN e ON e.a = r.doc_id),
+k AS (SELECT DISTINCT s.doc_id, s.h FROM s JOIN s o ON s.h = o.h AND s.doc_id <> o.doc_id)
+SELECT k.doc_id, x.class_id, count(*) AS n_windows FROM k JOIN (SELECT doc_id, min(root) AS class_id FROM r GROUP BY doc_id) x USING (doc_id) GROUP BY ALL""")
+def near_dup_classes(spark, d):
+    """A row for each text that shares a window with another, whatever many it shares it with."""
+    return duplicates.near_classes(table(spark, d, "documents"), "doc_id", F.col("text"))
+
+
+@query("WITH " + WINDOWS_SQL + """
+SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS n_shared FROM s a JOIN s b ON a.h = b.h AND a.doc_id <> b.doc_id JOIN labels l ON l.doc_id = a.doc_id WHERE l.quality = 0 AND (b.doc_id = b.rep OR b.rep = a.rep) GROUP BY ALL""")
+def near_dup_links(spark, d):
+    """All links of the texts that are labelled as bad."""
+    return duplicates.links_of(table(spark, d, "labels").where("quality = 0"), table(spark, d, "documents"), "doc_id", F.col("text"))
+
+
 def _log_lines(spark, d):
     e = table(spark, d, "events")
     status = F.concat((F.lit(2) + F.col("event_id") % 4).cast("string"), F.lit("0"), (F.col("event_id") % 10).cast("string"))
@@ -512,6 +565,34 @@ def court_page(spark, d):
     return render.court_indexes(months, j.select("court", "court_url").distinct()).select("path", F.md5(F.col("html").cast("binary")).alias("hash"))
 
 
+def _written(spark, blocks):
+    at = carriers.folder(spark, "blocks")
+    sinks.save_page_blocks(blocks, at)
+    fs, p = sinks.file_system(spark, at)
+    root = fs.makeQualified(p).toString()
+    return pages.scan(spark, at).select(F.expr(f"substr(path, {len(root) + 1})").alias("path"), F.md5("content").alias("hash"))
+
+
+@query(ORACLES["court_page"])
+def court_page_blocks(spark, d):
+    """The same pages written block by block and read back."""
+    j = _with_url(carriers.judgments(spark, d))
+    written = _written(spark, render.court_blocks(j, j.select("court", "court_url").distinct()))
+    return written.select(F.replace("path", F.lit("%20"), F.lit(" ")).alias("path"), "hash")
+
+
+@query(ORACLES["judgment_page"])
+def judgment_page_blocks(spark, d):
+    """The same pages written block by block and read back."""
+    j, refs = _refs(spark, d)
+    own, refs, urls = carriers.codes(j), tables.without_self(refs, carriers.codes(j)), _with_url(j)
+    here = urls.select("judgmentid", F.col("url").alias("path"))
+    out = tables.outgoing(refs, own, urls, also=("url",)).join(here, "judgmentid").select("path", "date", F.col("target").alias("id"), "title", "url")
+    into = tables.incoming(refs, own, urls, also=("url",)).join(here, "judgmentid").select("path", "date", F.col("source").alias("id"), "title", "url")
+    rows = urls.withColumn("body", F.concat(F.lit("<p>"), "category", F.lit("</p>")))
+    return _written(spark, render.judgment_blocks(rows, tables.codes_of(own), out, into))
+
+
 @query(f"""SELECT 'index.html' AS path, {page_sql("'Courts'", "string_agg(block, '' ORDER BY r)")} AS html FROM (SELECT n_regionkey AS r, '<h2>' || r_name || '</h2>' || chr(10) || string_agg('<div class="row">' || {anchor_sql("'/judgments/' || n_name || '/'", "'Court of ' || n_name")} || '</div>' || chr(10), '' ORDER BY n_nationkey) AS block FROM nation JOIN region ON n_regionkey = r_regionkey GROUP BY n_regionkey, r_name)""")
 def top_page(spark, d):
     n = table(spark, d, "nation").join(table(spark, d, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
@@ -558,7 +639,17 @@ def page_files(spark, d):
     for _ in range(2):  # the second takes the place of the first
         sinks.save_pages(rows, staging)
         sinks.publish(spark, staging, at)
-    return pages.scan(spark, at).select(_number(F.col("filename")).alias("page_id"), "filename", F.octet_length("content").cast("bigint").alias("size"))
+    return pages.scan(spark, sinks.current(spark, at)).select(_number(F.col("filename")).alias("page_id"), "filename", F.octet_length("content").cast("bigint").alias("size"))
+
+
+@query("SELECT page_id, strlen(html)::BIGINT AS size FROM pages WHERE page_id % 7 < 2")
+def page_named_files(spark, d):
+    """A folder, files named below it, and files named below another one, each once."""
+    at = carriers.folder(spark, "named")
+    rows = table(spark, d, "pages").select("html", F.concat((F.col("page_id") % 7).cast("string"), F.lit("/"), F.col("page_id").cast("string"), F.lit(".html")).alias("path"))
+    sinks.save_pages(rows, at)
+    named = [f"{at}/0/0.html", f"{at}/0/0.html", f"{at}/1/1.html"]
+    return pages.scan(spark, f"{at}/0", *named, f"{at}/1").select(_number(F.col("filename")).alias("page_id"), F.octet_length("content").cast("bigint").alias("size"))
 
 
 @query("SELECT count(*) AS purged, 0 AS n_left FROM pages")
@@ -578,29 +669,65 @@ def log_file(spark, d):
     return sinks.log_lines(errors, counters)
 
 
+def _entry():
+    return F.concat(F.lit("<entry><title>"), F.when(F.col("p_partkey") % 2 == 0, "The ").otherwise(""), text.escaped(F.col("p_name")), F.lit('</title><link rel="alternate" href="/x"/><link rel="self" href="/law/'), F.col("p_partkey").cast("string"), F.lit('"/></entry>'))
+
+
 @query("SELECT p_name AS title, '/law/' || p_partkey AS link FROM part")
 def law_feed(spark, d):
     at = carriers.folder(spark, "feed")
-    entry = F.concat(F.lit("<entry><title>"), F.when(F.col("p_partkey") % 2 == 0, "The ").otherwise(""), text.escaped(F.col("p_name")), F.lit('</title><link rel="alternate" href="/x"/><link rel="self" href="/law/'), F.col("p_partkey").cast("string"), F.lit('"/></entry>'))
-    feeds = table(spark, d, "part").select(entry.alias("e"), (F.col("p_partkey") % 20).alias("page")).groupBy("page").agg(F.concat(F.lit("<feed>"), F.array_join(F.collect_list("e"), ""), F.lit("</feed>")).alias("value"))
+    feeds = table(spark, d, "part").select(_entry().alias("e"), (F.col("p_partkey") % 20).alias("page")).groupBy("page").agg(F.concat(F.lit("<feed>"), F.array_join(F.collect_list("e"), ""), F.lit("</feed>")).alias("value"))
     feeds.repartition("page").write.partitionBy("page").text(at)
     return pages.feed(spark, f"{at}/*/*.txt").select("title", "link")
 
 
-@query("""WITH s AS (SELECT s_suppkey AS k, row_number() OVER (PARTITION BY s_nationkey ORDER BY s_suppkey) AS n, s_nationkey FROM supplier)
-SELECT unnest(['pages', 'judgments', 'citationcodes', 'judgmentcodes', 'parties', 'crossreferences', 'lawreferences', 'errors']) AS name, unnest([count(*), count(*), count(*), count(*), 2 * count(*), count(*) - count(DISTINCT s_nationkey), count(*), 0]) AS n FROM s""")
-def build_counts(spark, d):
-    """A whole build, of a page for each supplier that cites the next one of its nation."""
+@query("SELECT p_name AS title, '/law/' || p_partkey AS link, 1901 + p_partkey % 20 AS year, 1 + (p_partkey // 20) % 3 AS page FROM part")
+def law_feed_pages(spark, d):
+    """Feeds of twenty years, each of three pages that name the next, read year by year where they are."""
+    at = carriers.folder(spark, "feeds")
+    p = table(spark, d, "part").select(_entry().alias("e"), (1901 + F.col("p_partkey") % 20).alias("year"), (1 + F.floor(F.col("p_partkey") / 20) % 3).alias("page"))
+    name = lambda page: F.concat(F.lit("/"), F.col("year").cast("string"), F.when(page > 1, F.concat(F.lit("-"), page.cast("string"))).otherwise(""), F.lit(".xml"))
+    follow = F.when(F.col("page") < 3, F.concat(F.lit(f'<link rel="next" href="{at}'), name(F.col("page") + 1), F.lit('"/>'))).otherwise("")
+    feeds = p.groupBy("year", "page").agg(F.array_join(F.collect_list("e"), "").alias("all")).select(name(F.col("page")).alias("path"), F.concat(F.lit("<feed>"), follow, "all", F.lit("</feed>")).alias("html"))
+    sinks.save_pages(feeds, at)
+    return pages.feeds(spark, at + "/%d.xml", 1901, 1920).select("title", "link", "year", "page")
+
+
+def _build(spark, d):
+    """A whole build, of a page for each supplier that cites the next one of its nation and two laws."""
     s = table(spark, d, "supplier").join(table(spark, d, "nation"), F.col("s_nationkey") == F.col("n_nationkey")).join(table(spark, d, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
     code = lambda k: F.concat(F.lit("[2001] "), "n_name", F.lit(" "), k.cast("string"))
     cited = F.lead("s_suppkey").over(W.partitionBy("s_nationkey").orderBy("s_suppkey"))
     rows = s.withColumn("codes", code(F.col("s_suppkey"))).withColumn("cited", F.coalesce(code(cited), F.lit("none")))
     title = F.concat(F.lit("A v B "), "codes", F.lit(" (1 May 2001)"))
-    html = carriers.filled(carriers.PAGE, meta=F.lit(""), title=title, court=F.col("n_name"), source=F.col("s_suppkey").cast("string"), codes=F.col("codes"), body=F.concat(F.lit("see "), "cited", F.lit(". and the Data <b>Act</b> 1984")))
+    body = F.concat(F.lit("see "), "cited", F.lit(". and the Data <b>Act</b> 1984"), F.when(F.col("s_suppkey") % 3 == 0, ", Law No 7 and Law No 7").otherwise(""))
+    html = carriers.filled(carriers.PAGE, meta=F.lit(""), title=title, court=F.col("n_name"), source=F.col("s_suppkey").cast("string"), codes=F.col("codes"), body=body)
     at = carriers.folder(spark, "judgments")
     sinks.save_pages(rows.select(F.concat(F.col("s_suppkey").cast("string"), F.lit(".html")).alias("path"), html.alias("html")), at)
     courts = [(r[0], r[0]) for r in table(spark, d, "nation").select("n_name").collect()]  # what a build is configured with
-    laws = spark.createDataFrame([(1, "Data Act 1984", "/law")], "legislationid long, title string, link string")
-    b = build.run(spark, [at], carriers.folder(spark, "store"), legislation=laws, courts=courts, categories={"all": [c for c, _ in courts]})
-    n = b.metrics()
-    return spark.createDataFrame([(k, n[k]) for k in ("pages", "judgments", "citationcodes", "judgmentcodes", "parties", "crossreferences", "lawreferences", "errors")], "name string, n long")
+    laws = spark.createDataFrame([(1, "Data Act 1984", "/law"), (7, "Law No. 7", "/law7")], "legislationid long, title string, link string")
+    return build.run(spark, [at], carriers.folder(spark, "store"), legislation=laws, courts=courts, categories={"all": [c for c, _ in courts]}, out=carriers.folder(spark, "out"), buckets=8)
+
+
+COUNTED = ("pages", "judgments", "citationcodes", "judgmentcodes", "parties", "crossreferences", "lawreferences", "indexes", "errors")
+
+
+@query(f"""WITH s AS (SELECT s_suppkey AS k, s_nationkey FROM supplier)
+SELECT unnest({list(COUNTED)}) AS name, unnest([count(*), count(*), count(*), count(*), 2 * count(*), count(*) - count(DISTINCT s_nationkey), count(*) + 2 * count(*) FILTER (k % 3 = 0), 1 + count(DISTINCT s_nationkey), 0]) AS n FROM s""")
+def build_counts(spark, d):
+    n = _build(spark, d).metrics()
+    return spark.createDataFrame([(k, n[k]) for k in COUNTED], "name string, n long")
+
+
+@query("""SELECT s_suppkey || '.html' AS filename, 1::BIGINT AS legislationid FROM supplier UNION ALL SELECT s_suppkey || '.html', 7 FROM supplier, range(2) WHERE s_suppkey % 3 = 0""")
+def build_lawreferences(spark, d):
+    """Which judgment links which law, a row for each link."""
+    b = _build(spark, d)
+    return b.tables["lawreferences"].join(b.tables["judgments"], "judgmentid").select("filename", "legislationid")
+
+
+@query("""SELECT s_suppkey || '.html' AS filename, '[2001] ' || n_name || ' ' || cited AS citationcode FROM (SELECT s_suppkey, n_name, lead(s_suppkey) OVER (PARTITION BY s_nationkey ORDER BY s_suppkey) AS cited FROM supplier JOIN nation ON s_nationkey = n_nationkey) WHERE cited IS NOT NULL""")
+def build_crossreferences(spark, d):
+    """Which judgment cites which code."""
+    b = _build(spark, d)
+    return b.tables["crossreferences"].join(b.tables["judgments"], "judgmentid").select("filename", "citationcode")

@@ -5,6 +5,7 @@ from __future__ import annotations
 import codecs
 import re
 from dataclasses import dataclass
+from html.entities import codepoint2name
 
 from .text import DELETED_CONTROLS
 
@@ -83,11 +84,25 @@ def decode(data: bytes, overrides: tuple[str, ...] = (), salvage: bool = True) -
 
 # What windows-1252 has at 0x91 to 0x97, and what stands for it in ASCII.
 SMART = {"\u2018": "'", "\u2019": "'", "\u201c": '"', "\u201d": '"', "\u2022": "*", "\u2013": "-", "\u2014": "--"}
+#: The marks that windows-1252 has at 0x80 to 0x9F.
+MARKS = "".join(bytes([n]).decode("cp1252", "ignore") for n in range(0x80, 0xA0))
 
 
-def without_smart_quotes(text: str) -> str:
-    """Typographic quotes, dots and dashes in ASCII. ``open_page`` does so on request only."""
-    return text.translate(str.maketrans(SMART))
+def smart_marks(to: str) -> dict[int, str]:
+    """What stands for typographic marks: "ascii" for quotes, dots and dashes alone; "entities" (numeric where a mark has no name) or "references" for all of MARKS."""
+    if to == "ascii":
+        return str.maketrans(SMART)
+    number = lambda c: f"#x{ord(c):X}"
+    if to == "references":
+        return str.maketrans({c: f"&{number(c)};" for c in MARKS})
+    if to == "entities":
+        return str.maketrans({c: f"&{codepoint2name.get(ord(c), number(c))};" for c in MARKS})
+    raise ValueError(f"typographic marks can't be turned into {to}")
+
+
+def without_smart_quotes(text: str, to: str = "ascii") -> str:
+    """Typographic marks in ASCII. ``open_page`` does so on request only."""
+    return text.translate(smart_marks(to))
 
 
 def clean(text: str) -> str:
@@ -99,7 +114,7 @@ def clean(text: str) -> str:
     return text[at:].replace("\r\n", "\n").replace("\r", "\n").translate(_DELETE)
 
 
-def open_page(data: bytes, smart_quotes: bool = True) -> str:
-    """The clean page; without ``smart_quotes`` typographic marks give way to ASCII ones."""
+def open_page(data: bytes, smart_quotes: bool = True, to: str = "ascii") -> str:
+    """The clean page; without ``smart_quotes`` typographic marks give way to what ``to`` says (``smart_marks``)."""
     text = decode(data).text
-    return clean(text if smart_quotes else without_smart_quotes(text))
+    return clean(text if smart_quotes else without_smart_quotes(text, to))

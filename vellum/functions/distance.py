@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -65,12 +66,86 @@ def nearest(names: DataFrame, name_col: str, dictionary: list[str], distance_col
         words = F.array(*map(F.lit, sorted(dictionary)[i : i + NAMES]))
         one = F.array_min(F.transform(words, lambda w: F.struct(F.levenshtein(F.col(name_col), w).alias("d"), w.alias("w"))))
         best = one if best is None else F.least(best, one)
-    return names.withColumn("__best", best).withColumn(distance_col, F.col("__best.d")).withColumn(nearest_col, F.col("__best.w")).drop("__best")
-
-
-def nearest_of(names: DataFrame, name_col: str, dictionary: DataFrame, word_col: str, most: int = 100_000, distance_col: str = "distance", nearest_col: str = "nearest") -> DataFrame:
-    """As ``nearest``, for a table of words. It is sent to every task, so it may have at most ``most`` different words."""
-    words = [r[0] for r in dictionary.select(word_col).where(F.col(word_col).isNotNull()).distinct().limit(most + 1).collect()]
-    if len(words) > most:
-        raise ValueError(f"the dictionary has more than {most} words")
-    return nearest(names, name_col, words, distance_col, nearest_col)
+    return names.withColumn("__best", F.when(F.col(name_col).isNotNull(), best)).withColumn(distance_col, F.col("__best.d")).withColumn(nearest_col, F.col("__best.w")).drop("__best")
+
+
+#: Words are compared with names in parts of so many.
+PART = 200_000
+_BINS = 32
+
+
+def bags(words: list[str]) -> np.ndarray:
+    """How many characters of each of _BINS kinds a word has. Two words are at least as far from each other as the larger of what one has more and what the other has more."""
+    size = np.array([len(w) for w in words], np.int64)
+    codes = np.frombuffer("".join(words).encode("utf-32-le"), "<u4").astype(np.int64)
+    at = np.repeat(np.arange(len(words)), size) * _BINS + (codes * 2654435761 >> 7) % _BINS
+    return np.bincount(at, minlength=len(words) * _BINS).reshape(len(words), _BINS).astype(np.int32)
+
+
+class Words:
+    """Words by length, and the nearest of them to a name: the least edit distance, and of equally near ones the first."""
+
+    def __init__(self, words: list[str]):
+        by: dict[int, list[str]] = {}
+        for w in words:
+            by.setdefault(len(w), []).append(w)
+        self.by = {n: (np.array(ws, object), bags(ws)) for n, ws in by.items()}
+
+    def nearest(self, name: str) -> tuple[int, str]:
+        """Words are tried by their length's distance and then by what their characters say at least, until no other can be as near."""
+        bag, best = bags([name])[0], (1 << 30, "")
+        for n in sorted(self.by, key=lambda n: (abs(n - len(name)), n)):
+            if abs(n - len(name)) > best[0]:
+                break
+            words, have = self.by[n]
+            more = have - bag
+            least = np.maximum(np.where(more > 0, more, 0).sum(1), np.where(more < 0, -more, 0).sum(1))
+            order = np.argsort(least, kind="stable")
+            at, step = 0, 64
+            while at < len(order) and least[order[at]] <= best[0]:
+                some = order[at : at + step]
+                some = some[least[some] <= best[0]]
+                got = distances([name] * len(some), words[some].tolist())
+                k = int(got.min())
+                if k <= best[0]:
+                    best = min(best, (k, min(words[some][got == k])))
+                at, step = at + step, step * 2
+        return best
+
+
+def nearest_of(names: DataFrame, name_col: str, dictionary: DataFrame, word_col: str, distance_col: str = "distance", nearest_col: str = "nearest", few: int = NAMES, part: int = PART) -> DataFrame:
+    """As ``nearest``, for a table of words of any size; a null name has neither, and no word is null. Up to ``few`` words make an expression. More are dealt by hash into parts of about ``part``; every different name
+    goes to every part, where lengths and counts of characters leave few words to be compared, and of the parts' answers the least counts."""
+    words = dictionary.select(F.col(word_col).cast("string").alias("word")).where("word is not null").distinct()
+    some = [r.word for r in words.limit(few + 1).collect()]
+    if not some:
+        return names.withColumn(distance_col, F.lit(None).cast("int")).withColumn(nearest_col, F.lit(None).cast("string"))
+    if len(some) <= few:
+        return nearest(names, name_col, some, distance_col, nearest_col)
+    n = max(-(-words.count() // part), 1)
+    asked = names.select(F.col(name_col).alias("name")).where("name is not null").distinct()
+    # a part's words are dealt on over tasks with the names that meet them: each task has one part and some of the names
+    shares = max(names.sparkSession.sparkContext.defaultParallelism // n, 1)
+    pieces = asked.select("name", F.explode(F.sequence(F.lit(0), F.lit(n - 1))).alias("part"), F.pmod(F.xxhash64("name"), F.lit(shares)).cast("int").alias("share"), F.lit(1).alias("kind"))
+    dealt = words.select(F.col("word").alias("name"), F.pmod(F.xxhash64("word"), F.lit(n)).cast("int").alias("part"), F.explode(F.sequence(F.lit(0), F.lit(shares - 1))).alias("share"), F.lit(0).alias("kind"))
+    stream = dealt.unionByName(pieces).repartition(n * shares, "part", "share").sortWithinPartitions("part", "share", "kind").select("part", "share", "kind", "name")
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, held, found = None, [], None
+        for b in batches:
+            out = []
+            for p, s, kind, name in zip(*(c.to_pylist() for c in b.columns), strict=True):
+                if (p, s) != now:
+                    now, held, found = (p, s), [], None
+                if kind == 0:
+                    held.append(name)
+                    continue
+                found = found or Words(held)
+                if found.by:
+                    out.append((name, *found.nearest(name)))
+            cols = list(zip(*out, strict=True)) or [(), (), ()]
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.string(), pa.int32(), pa.string()), strict=True)], ["__name", "d", "w"])
+
+    best = stream.mapInArrow(compare, "__name string, d int, w string").groupBy("__name").agg(F.min(F.struct("d", "w")).alias("__best"))
+    joined = names.join(best, F.col(name_col) == F.col("__name"), "left")
+    return joined.withColumn(distance_col, F.col("__best.d")).withColumn(nearest_col, F.col("__best.w")).drop("__best", "__name")

@@ -105,3 +105,8 @@ def clean_page(s: Column) -> Column:
 def escaped(s: Column) -> Column:
     """A text for use in HTML or in a quoted attribute."""
     return reduce(lambda c, r: F.replace(c, F.lit(r[0]), F.lit(r[1])), (("&", "&amp;"), ("<", "&lt;"), (">", "&gt;"), ('"', "&quot;")), s)
+
+
+def without_typographic(s: Column, marks: dict[int, str]) -> Column:
+    """Typographic marks replaced: ``marks`` as ``decode.smart_marks`` gives them."""
+    return reduce(lambda x, m: F.replace(x, F.lit(chr(m[0])), F.lit(m[1])), sorted(marks.items()), s)

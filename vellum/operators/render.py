@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from ..functions import decode, html
 from ..functions.text import disambiguation_file, escaped
+from .tables import join_evenly
 
 
 def page(title: Column, *body: Column) -> Column:
@@ -56,6 +57,69 @@ def judgment_pages(judgments: DataFrame, codes: DataFrame, outgoing: DataFrame,
     return rows.select(F.col("url").alias("path"), page(F.col("title"), head, F.coalesce("body", F.lit("")), lists).alias("html"))
 
 
+def _blocks(rows: DataFrame, path: Column, section: int, html: Column, *order: Column) -> DataFrame:
+    """Blocks of pages: path, place (section, then up to four numbers) and html."""
+    numbers = [c.cast("bigint") for c in order] + [F.lit(0).cast("bigint")] * (4 - len(order))
+    return rows.select(path.alias("path"), F.struct(F.lit(section).alias("section"), *(n.alias(f"n{i}") for i, n in enumerate(numbers))).alias("place"), html.alias("html"))
+
+
+_HEAD = "<!DOCTYPE html>\n<html><head><title>"
+_FOOT = "\n</body></html>\n"
+
+
+def _opening(title: Column) -> Column:
+    return F.concat(F.lit(_HEAD), escaped(title), F.lit("</title></head>\n<body>\n"))
+
+
+def _item(href: Column, label: Column) -> Column:
+    return F.concat(F.lit("<li>"), anchor(href, label), F.lit("</li>\n"))
+
+
+def _list_blocks(items: DataFrame, section: int, heading: str) -> DataFrame:
+    """A heading, the items (path, date, id, title, url) in order of date and id, and the end of the list, for each path that has any."""
+    some = items.groupBy("path").agg(F.count(F.lit(1)).alias("n"))
+    label = F.concat("title", F.lit(" ("), F.col("date").cast("string"), F.lit(")"))
+    first = _blocks(some, F.col("path"), section, F.lit(f"<h2>{heading}</h2>\n<ul>\n"))
+    return first.unionByName(_blocks(items, F.col("path"), section + 1, _item(F.col("url"), label), F.unix_date("date"), F.col("id"))).unionByName(_blocks(some, F.col("path"), section + 2, F.lit("</ul>\n")))
+
+
+def judgment_blocks(judgments: DataFrame, codes: DataFrame, outgoing: DataFrame, incoming: DataFrame) -> DataFrame:
+    """The pages of ``judgment_pages`` in blocks: path, place, html. The two lists have a row for each item: path of the page that it stands on, date, id, title, url; so a judgment that very many cite is no row of its own."""
+    head = F.concat(F.lit("<h1>"), escaped(F.col("title")), F.lit("</h1>\n<p>"), F.col("date").cast("string"), F.lit(" "), escaped(F.coalesce("codes", F.lit(""))), F.lit("</p>\n<p>"), anchor(F.col("court_url"), F.col("court")), F.lit("</p>\n"))
+    rows = judgments.join(codes, "judgmentid", "left")
+    top = _blocks(rows, F.col("url"), 0, F.concat(_opening(F.col("title")), head, F.coalesce("body", F.lit(""))))
+    end = _blocks(judgments, F.col("url"), 9, F.lit(_FOOT))
+    return top.unionByName(_list_blocks(outgoing, 1, "Cases cited")).unionByName(_list_blocks(incoming, 4, "Cited by")).unionByName(end)
+
+
+def court_blocks(judgments: DataFrame, courts: DataFrame) -> DataFrame:
+    """The pages of ``court_indexes`` in blocks: path, place, html. judgments: court_url, date, judgmentid, title, url, a row each; courts: court, court_url. So a court of very many judgments is no row of its own."""
+    path, year, month = F.concat("court_url", F.lit("index.html")), F.year("date"), F.month("date")
+    with_ = courts.join(judgments.select("court_url").distinct(), "court_url", "left_semi")
+    months = judgments.groupBy("court_url", year.alias("y"), month.alias("m")).agg(F.min("date").alias("day"))
+    heading = F.concat(F.lit('<h2 id="'), F.col("y").cast("string"), F.lit("-"), F.col("m").cast("string"), F.lit('">'), F.date_format("day", "MMMM yyyy"), F.lit("</h2>\n<ul>\n"))
+    # within the section of months: a heading, its judgments newest first, the end of the list
+    when = F.col("y") * 12 + F.col("m")
+    out = _blocks(with_, path, 0, _opening(F.col("court"))).unionByName(_blocks(with_, path, 2, F.lit(_FOOT)))
+    out = out.unionByName(_blocks(months, path, 1, heading, -when, F.lit(0))).unionByName(_blocks(months, path, 1, F.lit("</ul>\n"), -when, F.lit(2)))
+    return out.unionByName(_blocks(judgments, path, 1, _item(F.col("url"), F.col("title")), -(year * 12 + month), F.lit(1), -F.unix_date("date"), -F.col("judgmentid")))
+
+
+def disambiguation_blocks(rows: DataFrame, prefix: str = "/judgments/") -> DataFrame:
+    """The pages of ``disambiguation_pages`` in blocks, for codes that more than one judgment has. rows: citationcode, date, id, title, url, a row for each judgment and code; read several times."""
+    n = rows.groupBy("citationcode").agg(F.count(F.lit(1)).alias("n"), F.count("url").alias("times")).where("n > 1 and times > 0").select("citationcode", "times")
+    path = F.concat(F.lit(prefix), disambiguation_file(F.col("citationcode")))
+    first = F.concat(_opening(F.col("citationcode")), F.lit("<h2>Judgments with this citation</h2>\n<ul>\n"))
+    items = join_evenly(rows.where("url is not null"), n, "citationcode", "times", rows.count())
+    out = _blocks(n, path, 0, first).unionByName(_blocks(n, path, 2, F.lit("</ul>\n" + _FOOT)))
+    return out.unionByName(_blocks(items, path, 1, _item(F.col("url"), F.col("title")), -F.unix_date("date"), -F.col("id")))
+
+
+def whole_blocks(pages: DataFrame) -> DataFrame:
+    """Pages of one row each (path, html) as blocks."""
+    return _blocks(pages, F.col("path"), 0, F.col("html"))
+
+
 def disambiguation_pages(ambiguous: DataFrame, prefix: str = "/judgments/") -> DataFrame:
     """path, html. ambiguous: citationcode and rows, an array of date, id, title, url, newest first; codes none of whose judgments has a URL give no page."""
     items = F.transform(F.filter("rows", lambda r: r["url"].isNotNull()), lambda r: anchor(r["url"], r["title"]))

@@ -23,11 +23,17 @@ def without_match(rows: DataFrame, other: DataFrame, on: str | list[str]) -> Dat
     return rows.join(other, on, "left_anti")
 
 
-def join_salted(rows: DataFrame, per_key: DataFrame, on: str, by: Column, salts: int = 32) -> DataFrame:
-    """``rows`` with what ``per_key`` (one row for each key) has for their key. Rows with one key are dealt by ``by`` over ``salts`` parts, each of which gets its own copy of the key's row, so
-    a key that very many rows have doesn't meet in one task."""
-    dealt = rows.withColumn("__salt", F.pmod(F.xxhash64(by), F.lit(salts)).cast("int"))
-    return dealt.join(per_key.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))), [on, "__salt"]).drop("__salt")
+#: A key counts as hot if more than one row in so many has it, so there are never more hot keys than that.
+HOT = 10_000
+
+
+def join_evenly(rows: DataFrame, per_key: DataFrame, on: str, times: str, total: int) -> DataFrame:
+    """``rows`` (``total`` of them) with what ``per_key`` has for their key: one row for each key, ``times`` saying how many of the rows have it (dropped). Hot keys are sent to every task, HOT of them
+    at most, and their rows stay where they are; the rest meet by a shuffle, in which no key has more than one row in HOT. What ``per_key`` holds for a key must be of bounded size."""
+    most = max(total // HOT, 1)
+    hot, cold = per_key.where(F.col(times) > most).drop(times), per_key.where(F.col(times) <= most).drop(times)
+    rest = rows.join(F.broadcast(hot.select(on)), on, "left_anti")
+    return rows.join(F.broadcast(hot), on).unionByName(rest.join(cold, on))
 
 
 def first_by(rows: DataFrame, key: Column, *order: str) -> DataFrame:
@@ -36,11 +42,13 @@ def first_by(rows: DataFrame, key: Column, *order: str) -> DataFrame:
 
 
 def unique_names(rows: DataFrame, base: Column, order: str, name_col: str = "url", most: int = 99) -> tuple[DataFrame, DataFrame]:
-    """Rows with a name of their own, base.html or base_1.html up to base_99.html, given in order of ``order``; and the rows for which no name was left."""
-    n = F.row_number().over(W.partitionBy("__base").orderBy(order)) - 1
-    named = rows.withColumn("__base", base).withColumn("__n", n)
-    good = named.where(F.col("__n") <= most).withColumn(name_col, F.concat("__base", F.when(F.col("__n") > 0, F.concat(F.lit("_"), F.col("__n").cast("string"))).otherwise(""), F.lit(".html")))
-    return good.drop("__base", "__n"), named.where(F.col("__n") > most).drop("__base", "__n").withColumn("message", F.lit("can't give this a file name"))
+    """Rows with a name of their own, base.html or base_1.html up to base_99.html, given in order of ``order``, which no two rows share; and the rows for which no name was left. Each task passes on the first rows of
+    a base alone, so a base that very many rows have isn't sorted in one place; the others are those that aren't among the named."""
+    named = rows.withColumn("__base", base).withColumn("__n", F.row_number().over(W.partitionBy("__base").orderBy(order))).where(F.col("__n") <= most + 1)
+    suffix = F.when(F.col("__n") > 1, F.concat(F.lit("_"), (F.col("__n") - 1).cast("string"))).otherwise("")
+    good = named.withColumn(name_col, F.concat("__base", suffix, F.lit(".html"))).drop("__base", "__n")
+    bad = rows.join(named.select(order), order, "left_anti").withColumn("message", F.lit("can't give this a file name"))
+    return good, bad
 
 
 def one_per_key(rows: DataFrame, key: str, order: str) -> tuple[DataFrame, DataFrame]:
@@ -65,20 +73,20 @@ def without_self(refs: DataFrame, bridge: DataFrame, id_col: str = "judgmentid",
     return refs.join(bridge.select(id_col, code_col), [id_col, code_col], "left_anti")
 
 
-def outgoing(refs: DataFrame, bridge: DataFrame, judgments: DataFrame, distinct: bool = False) -> DataFrame:
-    """judgmentid, target, date, title: which judgments each cites. A code that several have counts for all of them, and one that is cited by two of its codes
+def outgoing(refs: DataFrame, bridge: DataFrame, judgments: DataFrame, distinct: bool = False, also: tuple[str, ...] = ()) -> DataFrame:
+    """judgmentid, target, date, title and what ``also`` names of the target: which judgments each cites. A code that several have counts for all of them, and one that is cited by two of its codes
     comes twice unless ``distinct`` is set."""
     target = bridge.select("citationcode", F.col("judgmentid").alias("target"))
-    out = refs.select("judgmentid", "citationcode").join(target, "citationcode").join(judgments.select(F.col("judgmentid").alias("target"), "date", "title"), "target")
-    out = out.select("judgmentid", "target", "date", "title")
+    out = refs.select("judgmentid", "citationcode").join(target, "citationcode").join(judgments.select(F.col("judgmentid").alias("target"), "date", "title", *also), "target")
+    out = out.select("judgmentid", "target", "date", "title", *also)
     return out.distinct() if distinct else out
 
 
-def incoming(refs: DataFrame, bridge: DataFrame, judgments: DataFrame, distinct: bool = False) -> DataFrame:
-    """judgmentid, source, date, title: which judgments cite each."""
+def incoming(refs: DataFrame, bridge: DataFrame, judgments: DataFrame, distinct: bool = False, also: tuple[str, ...] = ()) -> DataFrame:
+    """judgmentid, source, date, title and what ``also`` names of the source: which judgments cite each."""
     own = bridge.select("citationcode", "judgmentid")
     cites = refs.select(F.col("judgmentid").alias("source"), "citationcode")
-    out = cites.join(own, "citationcode").join(judgments.select(F.col("judgmentid").alias("source"), "date", "title"), "source").select("judgmentid", "source", "date", "title")
+    out = cites.join(own, "citationcode").join(judgments.select(F.col("judgmentid").alias("source"), "date", "title", *also), "source").select("judgmentid", "source", "date", "title", *also)
     return out.distinct() if distinct else out
 
 

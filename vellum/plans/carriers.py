@@ -2,12 +2,11 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..sources.shared import folder  # noqa: F401 - queries take it from here
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -38,20 +37,6 @@ def references(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cited.unionByName(own)
 
 
-def folder(spark: SparkSession, name: str) -> str:
-    """A new folder in the one that all executors share, for files that a query writes and reads back; of our own where all runs on this machine."""
-    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
-    if not base:
-        if not spark.sparkContext.master.startswith("local["):
-            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
-        base = "file://" + tempfile.mkdtemp(prefix="vellum-")
-        spark.conf.set("spark.checkpoint.dir", base)
-    path = f"{base.rstrip('/')}/vellum-{name}-{uuid.uuid4().hex}"
-    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(p)
-    return path
-
-
 #: A judgment's page, with what a build looks for: {title}, {court}, {source}, {codes}, {body} and, in the head, {meta}. It has CRLF line ends, a control character and some text in front.
 PAGE = (
     '\ufeff junk <html>\r\n<head>{meta}<title>{title}</title></head><body><table><tr><td align="left"><h1>{court}</h1></td></tr></table><small><i>{source}</i><br>Cite as: {codes}</small>'

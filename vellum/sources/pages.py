@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable, Iterator
+from collections.abc import Iterator
+from functools import reduce
+from operator import or_
+from urllib.request import urlopen
 from xml.etree import ElementTree
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 from ..functions import citations, decode, html
 from .sinks import file_system
@@ -17,20 +21,29 @@ SCHEMA = f"path string, filename string, page string, value {METADATA}, error st
 
 
 def scan(spark: SparkSession, *paths: str) -> DataFrame:
-    """path (by which a file is known), filename (its last part), content of all *.html files below folders, or of the files named."""
-    files = [p for p in paths if p.endswith(".html")]
-    folders = [p for p in paths if not p.endswith(".html")]
+    """path (by which a file is known), filename (its last part), content of all *.html files below folders, and of the files named; a file that is named and also below a folder, or named twice, comes once."""
+    files = list(dict.fromkeys(p for p in paths if p.endswith(".html")))
+    folders = list(dict.fromkeys(p for p in paths if not p.endswith(".html")))
     parts = []
     if folders:
         parts.append(spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.html").load(folders))
     if files:
-        parts.append(spark.read.format("binaryFile").load(files))
+        named = spark.read.format("binaryFile").load(files)
+        roots = [_address(spark, f) for f in folders]
+        # what Spark calls a file begins with what it calls the folder that it is below
+        below = [F.col("path").startswith(r) for r in roots]
+        parts.append(named.where(~reduce(or_, below)) if below else named)
     if not parts:
         raise ValueError("no path given")
     rows = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
     return rows.select("path", F.element_at(F.split("path", "/"), -1).alias("filename"), "content")
 
 
+def _address(spark: SparkSession, folder: str) -> str:
+    fs, p = file_system(spark, folder)
+    return str(fs.makeQualified(p).toString()).rstrip("/") + "/"
+
+
 def metadata(page: str) -> dict:
     """What a clean page says about itself. Any part that is missing is a ConversionError."""
     tree = html.parse(page)
@@ -63,36 +76,81 @@ def analyse(files: DataFrame) -> DataFrame:
 _VALUE = pa.struct([("title", pa.string()), ("source_url", pa.string()), ("citations", pa.list_(pa.string())), ("court_name", pa.string()), ("date", pa.date32()), ("parties", pa.list_(pa.struct([("position", pa.int32()), ("name", pa.string())])))])
 
 
-def next_page(feed: bytes) -> str | None:
+# -- feeds -----------------------------------------------------------------------------------------------------------------------------------------------
+
+
+def next_page(feed: ElementTree.Element) -> str | None:
     """Where a feed goes on: its first link to the next page that is its own and not an entry's."""
-    for link in ElementTree.fromstring(feed).findall("{*}link"):
+    for link in feed.findall("{*}link"):
         if link.get("rel") == "next":
             return link.get("href")
     return None
 
 
-def save_feeds(spark: SparkSession, fetch: Callable[[str], bytes], address: str, folder: str, years: Iterable[int] = range(1801, 2012)) -> int:
-    """Fetch a feed for each year (``address`` holds %d) with all its next pages, and save each as ``folder``/year-n.xml for ``feed``; how many there were. A page that names itself, or one that was fetched for this year, as the next ends the
-    year. One after the other, as a site that is asked for pages would want it: this is a download of some hundred files and no job for executors."""
-    fs, n = file_system(spark, folder)[0], 0
-    for year in years:
-        at, seen = address % year, set()
+def fetch(address: str) -> bytes:
+    """What an address holds: of the web, or of a file system."""
+    if address.startswith(("http://", "https://")):
+        with urlopen(address, timeout=120) as got:
+            return got.read()
+    import pyarrow.fs as pafs
+
+    fs, path = pafs.FileSystem.from_uri(address)
+    with fs.open_input_stream(path) as got:
+        return got.read()
+
+
+class _Year(InputPartition):
+    pass
+
+
+class FeedSource(DataSource):
+    """Atom feeds of legislation, one for each year, each with its next pages: option address (with %d for the year), first_year and last_year. A year is a task, which fetches its pages one after the other as each names the next; a page that
+    was read for this year already ends it."""
+
+    @classmethod
+    def name(cls) -> str:
+        return "vellum_feed"
+
+    def schema(self) -> str:
+        return "year int, page int, title string, link string"
+
+    def reader(self, schema) -> DataSourceReader:
+        return _FeedReader(self.options["address"], int(self.options.get("first_year", "1801")), int(self.options.get("last_year", "2011")))
+
+
+class _FeedReader(DataSourceReader):
+    def __init__(self, address: str, first: int, last: int):
+        self.address, self.years = address, range(first, last + 1)
+
+    def partitions(self) -> list[InputPartition]:
+        return [_Year(y) for y in self.years]
+
+    def read(self, partition: InputPartition) -> Iterator[tuple]:
+        at, seen = self.address % partition.value, set()
         while at and at not in seen:
             seen.add(at)
-            data = fetch(at)
-            out = fs.create(spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{folder.rstrip('/')}/{year}-{len(seen)}.xml"), True)
-            try:
-                out.write(bytearray(data))
-            finally:
-                out.close()
-            at, n = next_page(data), n + 1
-    return n
-
-
-def feed(spark: SparkSession, path: str, first_year: int = 1801, last_year: int = 2011) -> DataFrame:
-    """legislationid, title, link from saved Atom feeds: titles without a leading "The ", the first link that is the entry's own; every entry, twice if it is there twice. Feeds are saved as one file per
-    page, in folders or names that hold their year; files of other years are passed over."""
+            tree = ElementTree.fromstring(fetch(at))
+            for entry in tree.findall("{*}entry"):
+                title = (entry.findtext("{*}title") or "").strip()
+                own = next((x.get("href") for x in entry.findall("{*}link") if x.get("rel") == "self"), None)
+                yield partition.value, len(seen), title.removeprefix("The "), own
+            at = next_page(tree)
+
+
+def feeds(spark: SparkSession, address: str, first_year: int = 1801, last_year: int = 2011) -> DataFrame:
+    """legislationid, title, link, year, page of the feeds at ``address`` (see FeedSource): titles without a leading "The ", the first link that is the entry's own; every entry, twice if it is there twice."""
+    spark.dataSource.register(FeedSource)
+    rows = spark.read.format("vellum_feed").option("address", address).option("first_year", first_year).option("last_year", last_year).load()
+    return rows.select(F.xxhash64("title", "link").alias("legislationid"), "title", "link", "year", "page")
+
+
+def feed(spark: SparkSession, path: str, years: tuple[int, int] | None = None) -> DataFrame:
+    """The same from Atom feeds that are saved as files: legislationid, title, link. ``years``: those of the first to the last of two years alone, for feeds in folders named year=1976 and so on below ``path``; nothing else about a
+    file's name counts."""
     entry = spark.read.format("xml").option("rowTag", "entry").schema("id string, title string, link array<struct<_rel: string, _href: string>>").load(path)
-    year = F.try_to_number(F.regexp_extract(F.col("_metadata.file_path"), r"((?:18|19|20)\d{2})[^/]*$", 1), F.lit("9999")).cast("int")
-    rows = entry.where(year.isNull() | year.between(first_year, last_year)).select(F.regexp_replace(F.trim("title"), "^The ", "").alias("title"), F.element_at(F.concat(F.filter("link", lambda x: x["_rel"] == "self"), F.array(F.lit(None).cast("struct<_rel: string, _href: string>"))), 1)["_href"].alias("link"))
+    if years is not None:
+        if "year" not in entry.columns:
+            raise ValueError(f"{path} has no folders named year=...")
+        entry = entry.where(F.col("year").cast("int").between(*years))
+    rows = entry.select(F.regexp_replace(F.trim("title"), "^The ", "").alias("title"), F.element_at(F.concat(F.filter("link", lambda x: x["_rel"] == "self"), F.array(F.lit(None).cast("struct<_rel: string, _href: string>"))), 1)["_href"].alias("link"))
     return rows.select(F.xxhash64("title", "link").alias("legislationid"), "title", "link")

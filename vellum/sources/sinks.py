@@ -1,11 +1,21 @@
-"""Where results go: tables, pages, logs, and the change from a staging folder to the live one."""
+"""Where results go: tables, pages, logs, and the versions of what is live."""
 
 from __future__ import annotations
 
+import hashlib
+import uuid
+from collections.abc import Iterator
+from dataclasses import dataclass
 from datetime import datetime
 
+import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.datasource import DataSource, DataSourceWriter, WriterCommitMessage
+
+#: How many buckets a table by key has.
+BUCKETS = 64
 
 
 def table_exists(spark: SparkSession, name: str) -> bool:
@@ -18,6 +28,34 @@ def save_table(rows: DataFrame, path: str, replace: bool = True, partition_by: t
     (w.partitionBy(*partition_by) if partition_by else w).parquet(path)
 
 
+def save_by_key(rows: DataFrame, path: str, key: str, n: int = BUCKETS) -> None:
+    """Write a table in ``n`` buckets of ``key``, each sorted by it: what an index is to a database. The folder below ``path`` says so in its name, so that no reader takes it for another layout."""
+    spark, at = rows.sparkSession, f"{path.rstrip('/')}/by={key}-{n}"
+    drop(spark, path)
+    name = _table_name(at)
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    # a bucket is one task's, so it is one sorted file
+    rows.repartition(n, key).write.format("parquet").bucketBy(n, key).sortBy(key).option("path", at).saveAsTable(name)
+
+
+def load_by_key(spark: SparkSession, path: str, key: str) -> DataFrame:
+    """A table that ``save_by_key`` wrote, in this session or in another. Joins and aggregations by its key need no exchange."""
+    fs, p = file_system(spark, path)
+    found = [str(s.getPath()) for s in (fs.listStatus(p) if fs.exists(p) else []) if s.getPath().getName().startswith(f"by={key}-")]
+    if not found:
+        raise FileNotFoundError(f"{path} holds no table by {key}")
+    at, n = found[0], int(found[0].rpartition("-")[2])
+    name = _table_name(f"{path.rstrip('/')}/by={key}-{n}")
+    if not spark.catalog.tableExists(name):
+        columns = ", ".join(f"`{c}` {t}" for c, t in spark.read.parquet(at).dtypes)
+        spark.sql(f"CREATE TABLE {name} ({columns}) USING parquet CLUSTERED BY (`{key}`) SORTED BY (`{key}`) INTO {n} BUCKETS LOCATION '{at}'")
+    return spark.table(name)
+
+
+def _table_name(at: str) -> str:
+    return "vellum_" + hashlib.md5(at.encode()).hexdigest()
+
+
 def file_system(spark: SparkSession, path: str):
     """Hadoop's file system for a path, and the path."""
     p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
@@ -29,21 +67,120 @@ def drop(spark: SparkSession, path: str) -> None:
     fs.delete(p, True)
 
 
+# -- pages -----------------------------------------------------------------------------------------------------------------------------------------------
+
+
+@dataclass
+class _Written(WriterCommitMessage):
+    folder: str
+    n: int
+
+
+class PageSink(DataSource):
+    """Rows (path, html) as files below a folder. Rows of one path that follow each other in a task go into one file, one behind the other. Each attempt at a task writes into a folder of its own; when all are done, the names of
+    those that count are left in committed.txt, and if any fails for good nothing is left."""
+
+    @classmethod
+    def name(cls) -> str:
+        return "vellum_pages"
+
+    def writer(self, schema, overwrite: bool) -> DataSourceWriter:
+        return _PageWriter(self.options["path"])
+
+
+class _PageWriter(DataSourceWriter):
+    def __init__(self, folder: str):
+        self.folder = folder.rstrip("/")
+
+    def write(self, iterator) -> WriterCommitMessage:
+        import pyarrow.fs as pafs
+
+        t = TaskContext.get()
+        mine = f"{t.partitionId()}-{t.taskAttemptId()}"
+        fs, root = pafs.FileSystem.from_uri(self.folder)
+        now, out, n, made = None, None, 0, set()
+        try:
+            for path, html in iterator:
+                if path != now:
+                    if out:
+                        out.close()
+                    now, n = path, n + 1
+                    where = f"{root}/{mine}/{path.lstrip('/')}"
+                    up = where.rsplit("/", 1)[0]
+                    if up not in made:
+                        fs.create_dir(up, recursive=True)
+                        made.add(up)
+                    out = fs.open_output_stream(where)
+                out.write(html.encode())
+        finally:
+            if out:
+                out.close()
+        return _Written(mine, n)
+
+    def commit(self, messages: list[WriterCommitMessage | None]) -> None:
+        import pyarrow.fs as pafs
+
+        fs, root = pafs.FileSystem.from_uri(self.folder)
+        fs.create_dir(root, recursive=True)
+        with fs.open_output_stream(f"{root}/committed.txt") as out:
+            out.write("".join(f"{m.folder}\n" for m in messages if m and m.n).encode())
+
+    def abort(self, messages: list[WriterCommitMessage | None]) -> None:
+        import pyarrow.fs as pafs
+
+        fs, root = pafs.FileSystem.from_uri(self.folder)
+        if fs.get_file_info(root).type != pafs.FileType.NotFound:
+            fs.delete_dir(root)
+
+
+def _move(stage: str, folder: str):
+    """From names of tasks' folders below ``stage``: their files moved to ``folder``, and how many there were. A task that runs twice finds its files gone and does no harm."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import pyarrow.fs as pafs
+
+        fs, root = pafs.FileSystem.from_uri(folder.rstrip("/"))
+        _, from_ = pafs.FileSystem.from_uri(stage)
+        for b in batches:
+            counts = []
+            for mine in b.column(0).to_pylist():
+                base, made = f"{from_}/{mine}", set()
+                files = [f.path for f in fs.get_file_info(pafs.FileSelector(base, recursive=True, allow_not_found=True)) if f.is_file]
+                for f in files:
+                    to = f"{root}/{f[len(base) :].lstrip('/')}"
+                    up = to.rsplit("/", 1)[0]
+                    if up not in made:
+                        fs.create_dir(up, recursive=True)
+                        made.add(up)
+                    fs.move(f, to)
+                counts.append(len(files))
+            yield pa.RecordBatch.from_arrays([pa.array(counts, pa.int64())], ["n"])
+
+    return run
+
+
+def _commit(rows: DataFrame, folder: str) -> None:
+    spark, folder = rows.sparkSession, folder.rstrip("/")
+    stage = f"{folder}.{uuid.uuid4().hex}.part"
+    spark.dataSource.register(PageSink)
+    try:
+        rows.write.format("vellum_pages").mode("append").save(stage)
+        done = spark.read.text(f"{stage}/committed.txt").repartition(spark.sparkContext.defaultParallelism * 4, "value")
+        done.mapInArrow(_move(stage, folder), "n bigint").agg(F.sum("n")).collect()
+    finally:
+        drop(spark, stage)
+
+
 def save_pages(pages: DataFrame, folder: str, path_col: str = "path", html_col: str = "html") -> None:
-    """One file per row, below ``folder``, in the file system that the folder is in. Each task writes its own rows, under a name that it then changes, so that a task
-    that runs twice does no harm."""
-    import pyarrow.fs as pafs
+    """One file per row, below ``folder``, in the file system that the folder is in. No file of ``folder`` is touched before all tasks have written theirs beside it; then tasks move them to their places. A job that fails leaves the folder
+    as it was. (Readers that mustn't see some new pages and some old ones are served by ``publish``.)"""
+    _commit(pages.select(F.col(path_col).alias("path"), F.col(html_col).alias("html")).where("path is not null and html is not null"), folder)
 
-    def write(rows) -> None:
-        fs, root = pafs.FileSystem.from_uri(folder)
-        for r in rows:
-            where = f"{root.rstrip('/')}/{r[0].lstrip('/')}"
-            fs.create_dir(where.rsplit("/", 1)[0], recursive=True)
-            with fs.open_output_stream(f"{where}.part") as out:
-                out.write(r[1].encode())
-            fs.move(f"{where}.part", where)
 
-    pages.select(path_col, html_col).where(f"`{path_col}` is not null and `{html_col}` is not null").foreachPartition(write)
+def save_page_blocks(blocks: DataFrame, folder: str) -> None:
+    """As ``save_pages``, for pages in blocks: path, place and html. A page's blocks are written one behind the other in order of place, as they come, so neither a row nor a task holds a whole page."""
+    rows = blocks.where("path is not null and html is not null").repartition("path").sortWithinPartitions("path", "place").select("path", "html")
+    _commit(rows, folder)
 
 
 def stale(old: DataFrame, new: DataFrame, path_col: str = "path") -> DataFrame:
@@ -56,10 +193,15 @@ def purge(spark: SparkSession, folder: str, before: datetime, suffix: str = ".ht
     gone and does no harm."""
     import pyarrow.fs as pafs
 
+    hadoop, p = file_system(spark, folder)
+    address_of_folder = hadoop.makeQualified(p).toString().rstrip("/")
+
     def delete(batches):
+        # names of pages may hold what no address may, so only the folder is read as one
+        fs, root = pafs.FileSystem.from_uri(folder.rstrip("/"))
         for b in batches:
             for address in b.column(0).to_pylist():
-                fs, path = pafs.FileSystem.from_uri(address)
+                path = root + address[len(address_of_folder) :]
                 if fs.get_file_info(path).type != pafs.FileType.NotFound:
                     fs.delete_file(path)
             yield b
@@ -68,15 +210,72 @@ def purge(spark: SparkSession, folder: str, before: datetime, suffix: str = ".ht
     return files.where(F.col("modificationTime") < F.lit(before)).select("path").mapInArrow(delete, "path string").count()
 
 
-def publish(spark: SparkSession, staging: str, live: str) -> None:
-    """Put the staging folder in the live one's place."""
-    fs = file_system(spark, staging)[0]
-    a, b, old = (file_system(spark, p)[1] for p in (staging, live, f"{live}.old"))
-    fs.delete(old, True)
-    if fs.exists(b):
-        fs.rename(b, old)
-    fs.rename(a, b)
-    fs.delete(old, True)
+# -- versions ----------------------------------------------------------------------------------------------------------------------------------------------
+
+POINTER = "CURRENT"
+
+
+def current(spark: SparkSession, live: str) -> str | None:
+    """The folder of the version that is live; None before the first one."""
+    fs, p = file_system(spark, f"{live.rstrip('/')}/{POINTER}")
+    if not fs.exists(p):
+        return None
+    jvm, stream = spark.sparkContext._jvm, fs.open(p)
+    try:
+        name = jvm.org.apache.commons.io.IOUtils.toString(stream, jvm.java.nio.charset.StandardCharsets.UTF_8).strip()
+    finally:
+        stream.close()
+    return f"{live.rstrip('/')}/{name}"
+
+
+def publish(spark: SparkSession, staging: str, live: str) -> str:
+    """Make the staging folder the live version: it is moved below ``live`` as a new version, then the pointer to the current one is replaced in one step, and versions before the last one go. Readers go by ``current`` and have the whole
+    old state or the whole new one, wherever this stops. The new version's folder is returned."""
+    fs, a = file_system(spark, staging)
+    if not fs.exists(a):
+        raise FileNotFoundError(f"there is no staging folder {staging}; {live} stays as it is")
+    live, name = live.rstrip("/"), f"v-{uuid.uuid4().hex}"
+    path = lambda x: file_system(spark, f"{live}/{x}")[1]
+    before = current(spark, live)
+    fs.mkdirs(file_system(spark, live)[1])
+    if not fs.rename(a, path(name)):
+        raise OSError(f"can't move {staging} to {live}/{name}")
+    _point(spark, live, name)
+    keep = {name, before.rpartition("/")[2] if before else None}
+    for s in fs.listStatus(file_system(spark, live)[1]):
+        if s.getPath().getName().startswith("v-") and s.getPath().getName() not in keep:
+            fs.delete(s.getPath(), True)
+    return f"{live}/{name}"
+
+
+def roll_back(spark: SparkSession, live: str) -> str:
+    """Make the version before the current one live again."""
+    now, fs = current(spark, live), file_system(spark, live)[0]
+    others = [s.getPath().getName() for s in fs.listStatus(file_system(spark, live)[1]) if s.getPath().getName().startswith("v-")]
+    others = [x for x in others if now is None or x != now.rpartition("/")[2]]
+    if not others:
+        raise FileNotFoundError(f"{live} has no other version")
+    _point(spark, live.rstrip("/"), others[0])
+    return f"{live.rstrip('/')}/{others[0]}"
+
+
+def _point(spark: SparkSession, live: str, name: str) -> None:
+    """Write a pointer beside the current one and put it in its place, which file systems do in one step."""
+    jvm, new = spark.sparkContext._jvm, f"{live}/{POINTER}.{uuid.uuid4().hex}"
+    fs, p = file_system(spark, new)
+    out = fs.create(p, True)
+    try:
+        out.write(bytearray(name.encode()))
+    finally:
+        out.close()
+    options = jvm.org.apache.hadoop.fs.Options
+    overwrite = spark.sparkContext._gateway.new_array(getattr(options, "Rename"), 1)
+    overwrite[0] = getattr(options, "Rename").OVERWRITE
+    target = file_system(spark, f"{live}/{POINTER}")[1]
+    jvm.org.apache.hadoop.fs.FileContext.getFileContext(p.toUri() if p.toUri().getScheme() else fs.getUri(), spark.sparkContext._jsc.hadoopConfiguration()).rename(p, target, overwrite)
+
+
+# -- logs ------------------------------------------------------------------------------------------------------------------------------------------------
 
 
 def errors(rows: DataFrame, stage: str, key: Column, message: Column) -> DataFrame:
