@@ -276,6 +276,14 @@ def test_ordinal(spark):
         assert abs(rows[i].expected_grade - sum(want)) < 1e-5 and abs(rows[i].tail_prob - want[-1]) < 1e-5, t
         assert rows[i].selected == (bool(quality_words(t or "")) and rows[i].tail_prob >= 0.5)
     assert np.mean([rows[i].selected == (g == 2) for i, g in enumerate(grades)]) > 0.9
+    chosen = {r.doc_id: r.selected for r in quality_ordinal.score(docs, m).collect()}
+    best = [chosen[i] for i, g in enumerate(grades) if g == 2]
+    assert 0 < m.cut < 1 and np.mean(best) > 0.93 and np.mean([chosen[i] for i, g in enumerate(grades) if g < 2]) < 0.2
+    # the cut is the highest that keeps the share of held-out rows; with too few of them it is the model's own
+    w = quality_ordinal.Model(np.array([1.0], np.float32), np.array([0.0]))
+    rows_ = [(np.array([0]), np.array([x], np.float32)) for x in range(100)]
+    cut = quality_ordinal.cut_for(w, rows_, np.ones(100, int), 0.9)
+    assert sum(1 / (1 + math.exp(-x)) >= cut for x in range(36)) == 36 - 10 and quality_ordinal.cut_for(w, rows_[:19], np.ones(19, int), 0.9) == 0.2
     low = {r.doc_id: r.tail_prob for r in quality_ordinal.score(docs, m, tail=1).collect()}
     assert all(low[i] >= rows[i].tail_prob for i in rows)
     assert np.mean([round(rows[i].expected_grade) == g for i, g in enumerate(grades)]) > 0.9

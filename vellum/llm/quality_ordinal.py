@@ -65,10 +65,15 @@ def features(data: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return text[order], slot[order].astype(np.int32), value[order].astype(np.float32)
 
 
+#: One text in so many is held out of the fit, and the share of good ones among them that must be selected.
+HELD, KEEP = 5, 0.975
+
+
 @dataclass
 class Model:
     weights: np.ndarray
     thresholds: np.ndarray  # ascending, one for each grade but the lowest
+    cut: float = 0.2  # P(highest grade) from which on a document is selected
 
     def tails(self, data: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """P(grade >= k) for each text and k from 1 on, and whether the text has a word."""
@@ -118,8 +123,9 @@ def graded(quality: Column, toxic: Column) -> Column:
     return F.when(toxic == 1, 0).when(quality == 0, 1).when(quality == 1, 2)
 
 
-def train(docs: DataFrame, labels: DataFrame, grade: Column, top: int = 2, id_col: str = "doc_id", text_col: str = "text", max_rows: int = 8000) -> Model:
-    """A model fitted on at most ``max_rows`` rated rows, those with the smallest hash of their id; that also bounds what is broadcast and collected.
+def train(docs: DataFrame, labels: DataFrame, grade: Column, top: int = 2, id_col: str = "doc_id", text_col: str = "text", max_rows: int = 8000, keep: float = KEEP) -> Model:
+    """A model fitted on at most ``max_rows`` rated rows, those with the smallest hash of their id; that also bounds what is broadcast and collected. One text in HELD is held out, and the cut for selection is the highest one that
+    selects a share ``keep`` of the held-out rows of the highest grade.
     ``grade``: an expression over ``labels``, from 0 to ``top``."""
     some = labels.select(F.col(id_col).alias("__id"), grade.cast("int").alias("__grade")).where("__id is not null and __grade is not null")
     some = bounded_sample(some, max_rows, F.col("__id"), F.col("__grade"))
@@ -141,12 +147,28 @@ def train(docs: DataFrame, labels: DataFrame, grade: Column, top: int = 2, id_co
     if isinstance(slots, pa.ChunkedArray):
         slots, share = slots.chunk(0), share.chunk(0)
     cut, at, x = slots.offsets.to_numpy(), slots.values.to_numpy(), share.values.to_numpy()
-    return fit([(at[a:b], x[a:b]) for a, b in zip(cut[:-1].tolist(), cut[1:].tolist(), strict=True)], got["grade"].to_numpy() if got.num_rows else np.zeros(0), top)
+    rows = [(at[a:b], x[a:b]) for a, b in zip(cut[:-1].tolist(), cut[1:].tolist(), strict=True)]
+    grades, marks = (got[c].to_numpy() if got.num_rows else np.zeros(0, np.int64) for c in ("grade", "mark"))
+    held = marks % HELD == 0  # by text, so copies are on one side
+    model = fit([r for r, h in zip(rows, held, strict=True) if not h], grades[~held], top)
+    model.cut = cut_for(model, [r for r, h in zip(rows, held, strict=True) if h], grades[held], keep)
+    return model
+
+
+def cut_for(model: Model, rows: list[tuple[np.ndarray, np.ndarray]], grade: np.ndarray, keep: float, least: int = 20) -> float:
+    """The highest cut that selects a share ``keep`` of held-out rows of the highest grade; the model's own if there are fewer than ``least`` of those."""
+    top = len(model.thresholds)
+    best = [i for i in range(len(rows)) if grade[i] == top]
+    if len(best) < least:
+        return model.cut
+    score = np.sort([float(rows[i][1] @ model.weights[rows[i][0]]) for i in best])
+    place = score[int((1 - keep) * len(score) + 1e-9)] - model.thresholds[-1]
+    return float(1 / (1 + np.exp(-np.clip(place, -50, 50))))
 
 
-def score(docs: DataFrame, model: Model, tail: int | None = None, least: float = 0.2, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Per row: the id, expected_grade, tail_prob = P(grade >= tail), by default that of the highest grade, and selected (tail_prob at least ``least``, and the text has a word)."""
-    m, k = model, len(model.thresholds) if tail is None else tail
+def score(docs: DataFrame, model: Model, tail: int | None = None, least: float | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """Per row: the id, expected_grade, tail_prob = P(grade >= tail), by default that of the highest grade, and selected (tail_prob at least ``least``, by default the model's cut, and the text has a word)."""
+    m, k, cut = model, len(model.thresholds) if tail is None else tail, model.cut if least is None else least
 
     @thrifty
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -154,7 +176,7 @@ def score(docs: DataFrame, model: Model, tail: int | None = None, least: float =
             data, offs = tk.texts(b.column(1))
             for i, j in tk.slices(offs):
                 p, some = m.tails(data, offs[i : j + 1])
-                yield pa.RecordBatch.from_arrays([b.column(0).slice(i, j - i), pa.array(p.sum(1)), pa.array(p[:, k - 1]), pa.array(some & (p[:, k - 1] >= least))], [id_col, "expected_grade", "tail_prob", "selected"])
+                yield pa.RecordBatch.from_arrays([b.column(0).slice(i, j - i), pa.array(p.sum(1)), pa.array(p[:, k - 1]), pa.array(some & (p[:, k - 1] >= cut))], [id_col, "expected_grade", "tail_prob", "selected"])
 
     kind = dict(docs.dtypes)[id_col]
     return docs.select(id_col, F.col(text_col).cast("string").alias("__text")).mapInArrow(run, f"`{id_col}` {kind}, expected_grade double, tail_prob double, selected boolean")
