@@ -139,6 +139,42 @@ def test_nearest_of_a_million_words(spark):
     assert [r.distance for r in rows[:3]].count(0) + sum(r.distance == 0 for r in rows[3:]) == 3
 
 
+def test_nearest_asks_few_blocks():
+    """Of 20 and of 200 blocks of words, a name meets as many: those alone that may hold a word as near."""
+    rng, asked = random.Random(4), []
+    for n in (20_000, 200_000):
+        words = [f"Customer#{i:09d}" for i in range(n)]
+        blocks = [(words[i], distance.common(words[i], words[j - 1]), 18, 18) for i, j in distance.cut(words, 1000)]
+        tree = distance.Beginnings(blocks)
+        assert n // 1000 <= len(blocks) <= n // 50 and sum(j - i for i, j in distance.cut(words, 1000)) == n
+        names = [f"Supplier#{rng.randrange(n):09d}" for _ in range(300)]
+        for at, x in distance._by_length(names):
+            first = tree.nearby(x)
+            assert all(tree.first[k] <= "Customer" + names[i][8:] < (tree.first + ["D"])[k + 1] for i, k in zip(at, first, strict=True))
+            before = np.array([k + 1 for k in first])
+            asked.append(sum(len(block) for _, block in tree.within(x, np.full(len(x), 5), before)))
+    assert sum(asked) == 600
+
+
+def test_nearest_in_blocks_by_brute_force():
+    rng = random.Random(9)
+    for part in (1, 3, 40):
+        words = sorted({"".join(rng.choice("abé𝄞 ") for _ in range(rng.randint(0, 7))) for _ in range(200)})
+        held = sorted(words[i:j] for i, j in distance.cut(words, part))
+        assert sorted(w for ws in held for w in ws) == words and max(map(len, held)) <= part
+        tree = distance.Beginnings([(ws[0], distance.common(ws[0], ws[-1]), min(map(len, ws)), max(map(len, ws))) for ws in held])
+        names = ["".join(rng.choice("abéx") for _ in range(rng.randint(0, 9))) for _ in range(30)]
+        best = {}
+        for at, x in distance._by_length(names, 7):
+            for i, k in zip(at, tree.nearby(x), strict=True):
+                best[i] = distance.Words(held[k]).nearest(names[i])
+            bound, before = (np.array(v) for v in zip(*((best[i][0], sum(f < best[i][1] for f in tree.first)) for i in at), strict=True))
+            for name, block in tree.within(x, bound, before):
+                for i, k in zip(at[name], block, strict=True):
+                    best[i] = distance.Words(held[k]).nearest(names[i], best[i])
+        assert all(best[i] == min((distance.distance(n, w), w) for w in words) for i, n in enumerate(names))
+
+
 # -- dictionaries --------------------------------------------------------------------------------------------------------------------------------------------
 
 
