@@ -1,5 +1,7 @@
+import random
 from datetime import date
 
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -7,6 +9,7 @@ from pyspark.sql import functions as F
 
 from vellum.functions import citations, decode, distance, html, text, titles
 from vellum.operators import match
+from vellum.sources import pages, shared
 
 PAGE = """<html><head><title>Smith &amp; Co v. Jones [2001] QB 62
  (25th July, 2001)</title></head><body><table><tr><td align="left"><h1>Court of Things</h1></td></tr></table>
@@ -98,6 +101,39 @@ def test_page():
         html.title(html.parse("<p>x</p>"))
 
 
+def test_plain_pages_are_read_as_others():
+    def tree(n):
+        assert all(c.parent is n for c in n.elements)
+        return n.tag, n.attrs, [tree(c) if isinstance(c, html.Node) else c for c in n.children]
+
+    rng = random.Random(5)
+    plain = ["<p>", "</p>", "<P class=x>", "<li>", "</li>", "<ul>", "</ul>", '<a href="x&amp;y">', "</a>", "<br>", "<br />", "<title>", "</title>", "t&amp;", "&nbsp", "&#233;", " x ", "<table>", "<tr>", "<td align='left'>", "<th>", "</table>", "<div/>", "<dl>", "<dt>", "<dd>", "<option>", "<a ID=x id=y/>"]
+    odd = ["<", "a<b", "<!-- c -->", "<script>", "</script>", "<svg>", "<!DOCTYPE html>", "<a href=x/y>", "</br>", "</p/>"]
+    n = 0
+    for i in range(4000):
+        page = "".join(rng.choice(plain if i % 3 else plain + odd) for _ in range(rng.randint(0, 14)))
+        b = html._Builder()
+        b.feed(page)
+        b.close()
+        got = html._parse_plain(page)
+        n += got is not None
+        assert tree(html.parse(page)) == tree(b.root) and (got is None or tree(got) == tree(b.root)), page
+    assert n > 1500
+
+
+def test_pages_go_in_batches():
+    """Not each in a batch of its own, and not all at once."""
+    content = [PAGE.encode(), b"", None, b"<p>x</p>"] * 1000
+    b = pa.RecordBatch.from_pydict({"path": [str(i) for i in range(4000)], "filename": ["x"] * 4000, "content": pa.array(content, pa.binary())})
+    got = list(pages._read(True, iter([b])))
+    assert len(got) == -(-sum(len(c or b"") for c in content) // shared.PIECE) and sum(x.num_rows for x in got) == 4000
+    rows = got[0].slice(0, 4).to_pylist()
+    assert rows[0]["value"] == pages.metadata(decode.open_page(PAGE.encode())) and rows[0]["error"] is None
+    assert [(r["page"], r["value"], r["error"]) for r in rows[1:]] == [(None, None, "there is no HTML in this file")] * 2 + [("<p>x</p>", None, 'can\'t find element "title"')]
+    # rows without content cost nothing
+    assert sum(x.num_rows for x in shared.pieces(iter([b]), 2, 1)) == 4000 and max(x.num_rows for x in shared.pieces(iter([b]), 2, 1)) <= 3
+
+
 @pytest.mark.parametrize(("s", "want"), [("25th July, 2001", date(2001, 7, 25)), ("March 1995", date(1995, 3, 1)), ("01/02/2001", date(2001, 1, 2)), ("1999", date(1999, 1, 1)), ("SCOTLAND", None), ("194d(3", None), ("QB", None), ("", None), ("31 February 2001", None),
     ("25 July 01", date(2001, 7, 25)), ("25/7/99", date(1999, 7, 25)), ("7/25/68", date(2068, 7, 25)), ("March 95", date(1995, 3, 1)), ("March 10", None), ("2001 July 25", date(2001, 7, 25)), ("2001/7/25", date(2001, 7, 25)), ("25.7.2001", date(2001, 7, 25)),
     ("2001-07-25", date(2001, 7, 25)), ("Wednesday, 25th day of July 2001", date(2001, 7, 25)), ("Sept 3, 1999", date(1999, 9, 3)), ("99 July 4", date(1999, 7, 4)), ("13/13/2001", None), ("25 July", None), ("July", None), ("62", None), ("9999", None), ("12", None)])

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from ..functions import decode, html
 from ..functions.text import disambiguation_file, escaped
+from ..sources.shared import pieces, thrifty
 from .tables import join_evenly
 
 
@@ -31,7 +32,7 @@ def bodies(pages: DataFrame, id_col: str, html_col: str) -> DataFrame:
     """Per page: the repaired opinion as HTML (the children of its body), whether lists were mended and empty blocks removed, or an error."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in pieces(batches, 1):
             rows = []
             for text in b.column(1).to_pylist():
                 try:
@@ -45,7 +46,7 @@ def bodies(pages: DataFrame, id_col: str, html_col: str) -> DataFrame:
             cols = list(zip(*rows, strict=True)) or [()] * 4
             yield pa.RecordBatch.from_arrays([b.column(0), *(pa.array(c, t) for c, t in zip(cols, (pa.string(), pa.bool_(), pa.bool_(), pa.string()), strict=True))], [id_col, "body", "mended", "emptied", "error"])
 
-    return pages.select(id_col, html_col).mapInArrow(run, f"`{id_col}` {dict(pages.dtypes)[id_col]}, body string, mended boolean, emptied boolean, error string")
+    return pages.select(id_col, html_col).mapInArrow(thrifty(run), f"`{id_col}` {dict(pages.dtypes)[id_col]}, body string, mended boolean, emptied boolean, error string")
 
 
 def judgment_pages(judgments: DataFrame, codes: DataFrame, outgoing: DataFrame, incoming: DataFrame) -> DataFrame:

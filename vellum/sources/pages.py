@@ -3,17 +3,19 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import reduce
+from functools import partial, reduce
 from operator import or_
 from urllib.request import urlopen
 from xml.etree import ElementTree
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 from ..functions import citations, decode, html
+from .shared import pieces, thrifty
 from .sinks import file_system
 
 METADATA = "struct<title: string, source_url: string, citations: array<string>, court_name: string, date: date, parties: array<struct<position: int, name: string>>>"
@@ -46,7 +48,7 @@ def _address(spark: SparkSession, folder: str) -> str:
 
 def metadata(page: str) -> dict:
     """What a clean page says about itself. Any part that is missing is a ConversionError."""
-    tree = html.parse(page)
+    tree = html.Index(html.parse(page))
     title = html.title(tree)
     return {
         "title": title, "source_url": html.source_url(tree), "citations": sorted({citations.weak(c) for c in citations.find_citations(tree, title)}), "court_name": html.court_name(tree),
@@ -56,24 +58,46 @@ def metadata(page: str) -> dict:
 
 def analyse(files: DataFrame) -> DataFrame:
     """Per file: path, filename, the clean page, and either its metadata (value) or what is wrong (error). Every file gives a row, whatever fails."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            for i in range(b.num_rows):
-                page, value, error = None, None, None
-                try:
-                    page = decode.open_page(b.column(2)[i].as_py() or b"")
-                    value = metadata(page)
-                except decode.ConversionError as e:
-                    error = str(e)
-                except Exception as e:  # noqa: BLE001 - a file that breaks the parser goes to the error table like any other
-                    error = f"{type(e).__name__}: {e}"
-                yield pa.RecordBatch.from_arrays([b.column(0).slice(i, 1), b.column(1).slice(i, 1), pa.array([page], pa.string()), pa.array([value], _VALUE), pa.array([error], pa.string())], ["path", "filename", "page", "value", "error"])
-
-    return files.select("path", "filename", "content").mapInArrow(run, SCHEMA)
-
-
-_VALUE = pa.struct([("title", pa.string()), ("source_url", pa.string()), ("citations", pa.list_(pa.string())), ("court_name", pa.string()), ("date", pa.date32()), ("parties", pa.list_(pa.struct([("position", pa.int32()), ("name", pa.string())])))])
+    return files.select("path", "filename", "content").mapInArrow(thrifty(partial(_read, True)), SCHEMA)
+
+
+def decoded(files: DataFrame) -> DataFrame:
+    """As ``analyse``, where no metadata is wanted: path, filename, the clean page or what is wrong."""
+    return files.select("path", "filename", "content").mapInArrow(thrifty(partial(_read, False)), "path string, filename string, page string, error string")
+
+
+def _read(values: bool, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for b in pieces(batches, 2):
+        pages, found, errors = [], [], []
+        for content in b.column(2):
+            page, value, error = None, None, None
+            try:
+                page = decode.open_page(content.as_py() or b"")
+                value = metadata(page) if values else None
+            except decode.ConversionError as e:
+                error = str(e)
+            except Exception as e:  # noqa: BLE001 - a file that breaks the parser goes to the error table like any other
+                error = f"{type(e).__name__}: {e}"
+            pages.append(page)
+            found.append(value)
+            errors.append(error)
+        value = {"value": _values(found)} if values else {}
+        yield pa.RecordBatch.from_pydict({"path": b.column(0), "filename": b.column(1), "page": pa.array(pages, pa.string()), **value, "error": pa.array(errors, pa.string())})
+
+
+def _values(found: list[dict | None]) -> pa.StructArray:
+    """Metadata of pages, column by column."""
+    none = dict.fromkeys(_VALUE.names) | {"parties": ()}
+    rows = [v or none for v in found]
+    people = [p for v in rows for p in v["parties"]]
+    party = pa.StructArray.from_arrays([pa.array([p[k] for p in people], _PARTY[k].type) for k in _PARTY.names], fields=list(_PARTY))
+    ends = np.r_[0, np.cumsum([len(v["parties"]) for v in rows])].astype(np.int32)
+    columns = [pa.ListArray.from_arrays(pa.array(ends), party) if f.name == "parties" else pa.array([v[f.name] for v in rows], f.type) for f in _VALUE]
+    return pa.StructArray.from_arrays([c.cast(f.type) for c, f in zip(columns, _VALUE, strict=True)], fields=list(_VALUE), mask=pa.array([v is None for v in found], pa.bool_()))
+
+
+_PARTY = pa.struct([("position", pa.int32()), ("name", pa.string())])
+_VALUE = pa.struct([("title", pa.string()), ("source_url", pa.string()), ("citations", pa.list_(pa.string())), ("court_name", pa.string()), ("date", pa.date32()), ("parties", pa.list_(_PARTY))])
 
 
 # -- feeds -----------------------------------------------------------------------------------------------------------------------------------------------
