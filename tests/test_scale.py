@@ -4,6 +4,7 @@ import random
 from collections import defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -214,3 +215,16 @@ def test_dictionary_in_shares(spark):
     one = sorted(map(tuple, match.search(docs, "id", "t", keys, "k", "v").collect()))
     assert one and one == sorted(map(tuple, match.search(docs, "id", "t", keys, "k", "v", sent_bytes=0, filter_bytes=1 << 12).collect()))
     assert match.shares(10**9, match.FILTER_BYTES) > 1 == match.shares(10**5, match.FILTER_BYTES)
+
+
+# -- memory ----------------------------------------------------------------------------------------------------------------------------------------------------
+
+
+def test_texts_of_a_batch_are_not_held_together(monkeypatch):
+    """What Python makes of a batch of 6 MB of texts comes in pieces of a megabyte of them."""
+    docs = type("Docs", (), {"dtypes": [("id", "bigint"), ("t", "string")], "select": lambda self, *c: self, "where": lambda self, c: self, "mapInArrow": lambda self, f, schema: f})()
+    text = "the quick <b>then</b> " * 500
+    b = pa.RecordBatch.from_pydict({"id": list(range(600)), "t": [text] * 600})
+    for normaliser in (None, match.law_view):
+        rows = [x.num_rows for x in match.link(docs, "id", "t", {"the": "/", "then": "/"}, normaliser)(iter([b]))]
+        assert sum(rows) == 600 and max(rows) * len(text) <= 1 << 20

@@ -11,6 +11,7 @@ several times, each time for a share of the keys.
 from __future__ import annotations
 
 import re
+from array import array
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
@@ -22,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from ..sources.shared import save
+from ..sources.shared import pieces, save, thrifty
 from .tables import join_evenly
 
 SENT_BYTES = 16 << 20
@@ -31,12 +32,12 @@ BITS, PROBES = 12, 4
 FILTER_BYTES = 64 << 20
 
 #: A normalised text, and for each of its characters where it stood.
-View = tuple[str, list[int]]
+View = tuple[str, array]
 Normaliser = Callable[[View], View]
 
 
 def view(text: str) -> View:
-    return text, list(range(len(text)))
+    return text, array("i", range(len(text)))
 
 
 def rewriter(pattern: str, replacement: Callable[[re.Match[str]], list[tuple[str, int]]] | None = None) -> Normaliser:
@@ -45,7 +46,7 @@ def rewriter(pattern: str, replacement: Callable[[re.Match[str]], list[tuple[str
 
     def run(v: View) -> View:
         text, at = v
-        out, places, last = [], [], 0
+        out, places, last = [], array("i"), 0
         for m in compiled.finditer(text):
             out.append(text[last : m.start()])
             places += at[last : m.start()]
@@ -181,7 +182,7 @@ def search(
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         d = Dictionary(part)
-        for b in batches:
+        for b in pieces(batches, 1):
             rows = []
             for i, text in enumerate(b.column(1).to_pylist()):
                 text = normalised(text, normaliser)
@@ -191,7 +192,7 @@ def search(
             at, start, size, value = zip(*rows, strict=True) if rows else ((), (), (), ())
             yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array(at, pa.int64())), pa.array(start, pa.int64()), pa.array(size, pa.int64()), pa.array(value) if rows else pa.array([], b.column(0).type)], [id_col, "start", "n_chars", value_col])
 
-    return docs.select(id_col, text_col).mapInArrow(_typed(find, value_col, values), f"`{id_col}` {ids}, start bigint, n_chars bigint, `{value_col}` {values}")
+    return docs.select(id_col, text_col).mapInArrow(thrifty(_typed(find, value_col, values)), f"`{id_col}` {ids}, start bigint, n_chars bigint, `{value_col}` {values}")
 
 
 def inside_word(text: str, start: int, end: int) -> bool:
@@ -310,7 +311,7 @@ def candidates(docs: DataFrame, id_col: str, text_col: str, known: Filter, bound
     sent = docs.sparkSession.sparkContext.broadcast(known)
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in pieces(batches, 1):
             rows: list[tuple] = []
             for i, text in enumerate(b.column(1).to_pylist()):
                 text = normalised(text, normaliser)
@@ -318,7 +319,7 @@ def candidates(docs: DataFrame, id_col: str, text_col: str, known: Filter, bound
             i, start, size, key, good = zip(*rows, strict=True) if rows else ((), (), (), (), ())
             yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array(i, pa.int64())), pa.array(start, pa.int64()), pa.array(size, pa.int64()), pa.array(key, pa.string()), pa.array(good, pa.bool_())], [id_col, "start", "n_chars", "__key", "__good"])
 
-    return docs.select(id_col, text_col).mapInArrow(find, f"`{id_col}` {dict(docs.dtypes)[id_col]}, start bigint, n_chars bigint, __key string, __good boolean")
+    return docs.select(id_col, text_col).mapInArrow(thrifty(find), f"`{id_col}` {dict(docs.dtypes)[id_col]}, start bigint, n_chars bigint, __key string, __good boolean")
 
 
 def _search_large(docs: DataFrame, id_col: str, text_col: str, dictionary: DataFrame, key_col: str, value_col: str, boundary: bool, legacy_end: bool, normaliser: Normaliser | None, filter_bytes: int = FILTER_BYTES) -> DataFrame:
@@ -390,10 +391,10 @@ def link(docs: DataFrame, id_col: str, text_col: str, entries: dict[str, str | t
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         d = Dictionary(pairs)
-        for b in batches:
+        for b in pieces(batches, 1):
             yield _links(b, [_linked(d, t, normaliser) for t in b.column(1).to_pylist()], names)
 
-    return docs.select(id_col, text_col).mapInArrow(run, _link_schema(docs, id_col, text_col))
+    return docs.select(id_col, text_col).mapInArrow(thrifty(run), _link_schema(docs, id_col, text_col))
 
 
 def _link_schema(docs: DataFrame, id_col: str, text_col: str) -> str:
@@ -414,11 +415,11 @@ def link_table(docs: DataFrame, id_col: str, text_col: str, entries: DataFrame,
     names = [id_col, text_col, "keys", "ids"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in pieces(batches, 1):
             got = []
             for t, own in zip(b.column(1).to_pylist(), b.column(2).to_pylist(), strict=True):
                 got.append(_linked(Dictionary({e["key"]: (e["href"], e["number"]) for e in own}), t, normaliser) if t and own else (t, [], []))
             yield _links(b, got, names)
 
     rows = docs.select(id_col, text_col).join(found, id_col, "left")
-    return rows.mapInArrow(run, _link_schema(docs, id_col, text_col))
+    return rows.mapInArrow(thrifty(run), _link_schema(docs, id_col, text_col))
