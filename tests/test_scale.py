@@ -228,3 +228,12 @@ def test_texts_of_a_batch_are_not_held_together(monkeypatch):
     for normaliser in (None, match.law_view):
         rows = [x.num_rows for x in match.link(docs, "id", "t", {"the": "/", "then": "/"}, normaliser)(iter([b]))]
         assert sum(rows) == 600 and max(rows) * len(text) <= 1 << 20
+
+
+def test_edges_move_as_plain_rows(spark):
+    """The lists of a judgment's page are made where its edges arrive: no task makes parts of lists, sorts them and sends them with urls."""
+    from vellum import catalog
+
+    plan = catalog.QUERIES["judgment_page"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().sparkPlan().toString()
+    plan = plan if "Exchange" in plan else catalog.QUERIES["judgment_page"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("REPARTITION_BY_COL") >= 2
