@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import zipfile
 from collections.abc import Iterator
 from functools import partial, reduce
 from operator import or_
@@ -15,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 from ..functions import citations, decode, html
-from .shared import pieces, thrifty
+from .shared import PIECE, pieces, thrifty
 from .sinks import file_system
 
 METADATA = "struct<title: string, source_url: string, citations: array<string>, court_name: string, date: date, parties: array<struct<position: int, name: string>>>"
@@ -46,6 +47,38 @@ def _address(spark: SparkSession, folder: str) -> str:
     return str(fs.makeQualified(p).toString()).rstrip("/") + "/"
 
 
+def packed(spark: SparkSession, folder: str) -> DataFrame:
+    """path (as it was given), filename and content of all pages in the archives below a folder (``sinks.save_packed_blocks``)."""
+    hadoop, p = file_system(spark, folder)
+    top = hadoop.makeQualified(p).toString().rstrip("/")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import pyarrow.fs as pafs
+
+        # as in sinks.purge: only the folder is read as an address
+        fs, root = pafs.FileSystem.from_uri(folder.rstrip("/"))
+        for b in batches:
+            for address in b.column(0).to_pylist():
+                with fs.open_input_file(root + address[len(top) :]) as raw, zipfile.ZipFile(raw) as pack:
+                    paths, contents, size = [], [], 0
+                    for info in pack.infolist():
+                        paths.append(info.filename)
+                        contents.append(pack.read(info))
+                        size += info.file_size
+                        if size >= PIECE:
+                            yield _packed(paths, contents)
+                            paths, contents, size = [], [], 0
+                    yield _packed(paths, contents)
+
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.zip").load(folder)
+    rows = files.select("path").mapInArrow(thrifty(run), "path string, content binary")
+    return rows.select("path", F.element_at(F.split("path", "/"), -1).alias("filename"), "content")
+
+
+def _packed(paths: list[str], contents: list[bytes]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(paths, pa.string()), pa.array(contents, pa.binary())], ["path", "content"])
+
+
 def metadata(page: str) -> dict:
     """What a clean page says about itself. Any part that is missing is a ConversionError."""
     tree = html.Index(html.parse(page))

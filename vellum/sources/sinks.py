@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import uuid
+import zipfile
 from collections.abc import Iterator
 from dataclasses import dataclass
 from datetime import datetime
@@ -16,6 +17,8 @@ from pyspark.sql.datasource import DataSource, DataSourceWriter, WriterCommitMes
 
 #: How many buckets a table by key has.
 BUCKETS = 64
+#: An archive of pages ends with the page that brings it to so many pages or bytes.
+PACK_PAGES, PACK_BYTES = 10_000, 1 << 26
 
 
 def table_exists(spark: SparkSession, name: str) -> bool:
@@ -85,7 +88,7 @@ class PageSink(DataSource):
         return "vellum_pages"
 
     def writer(self, schema, overwrite: bool) -> DataSourceWriter:
-        return _PageWriter(self.options["path"])
+        return (_PackWriter if self.options.get("packed") == "true" else _PageWriter)(self.options["path"])
 
 
 class _PageWriter(DataSourceWriter):
@@ -133,6 +136,53 @@ class _PageWriter(DataSourceWriter):
             fs.delete_dir(root)
 
 
+class _PackWriter(_PageWriter):
+    """The same into zip archives, whose names no other task or save gives."""
+
+    def write(self, iterator) -> WriterCommitMessage:
+        import pyarrow.fs as pafs
+
+        t = TaskContext.get()
+        mine = f"{t.partitionId()}-{t.taskAttemptId()}"
+        fs, root = pafs.FileSystem.from_uri(self.folder)
+        fs.create_dir(f"{root}/{mine}", recursive=True)
+        now, raw, pack, page, n, held, size = None, None, None, None, 0, 0, 0
+        try:
+            for path, html in iterator:
+                if path != now:
+                    if "\0" in path:
+                        raise ValueError(f"no archive can name {path!r}")
+                    if page:
+                        page.close()
+                        page = None
+                    if pack and (held >= PACK_PAGES or size >= PACK_BYTES):
+                        pack.close()
+                        raw.close()
+                        pack = None
+                    if not pack:
+                        raw = fs.open_output_stream(f"{root}/{mine}/{uuid.uuid4().hex}.zip")
+                        pack, held, size = zipfile.ZipFile(_Forward(raw), "w", zipfile.ZIP_DEFLATED), 0, 0
+                    now, n, held = path, n + 1, held + 1
+                    info = zipfile.ZipInfo(path)
+                    info.compress_type = zipfile.ZIP_DEFLATED
+                    page = pack.open(info, "w", force_zip64=True)
+                data = html.encode()
+                size += len(data)
+                page.write(data)
+        finally:
+            for x in (page, pack, raw):
+                if x:
+                    x.close()
+        return _Written(mine, n)
+
+
+class _Forward:
+    """A stream that is only written forward, as a zip archive may be."""
+
+    def __init__(self, out):
+        self.write, self.flush = out.write, out.flush
+
+
 def _move(stage: str, folder: str):
     """From names of tasks' folders below ``stage``: their files moved to ``folder``, and how many there were. A task that runs twice finds its files gone and does no harm."""
 
@@ -159,12 +209,12 @@ def _move(stage: str, folder: str):
     return run
 
 
-def _commit(rows: DataFrame, folder: str) -> None:
+def _commit(rows: DataFrame, folder: str, packed: bool = False) -> None:
     spark, folder = rows.sparkSession, folder.rstrip("/")
     stage = f"{folder}.{uuid.uuid4().hex}.part"
     spark.dataSource.register(PageSink)
     try:
-        rows.write.format("vellum_pages").mode("append").save(stage)
+        rows.write.format("vellum_pages").option("packed", str(packed).lower()).mode("append").save(stage)
         done = spark.read.text(f"{stage}/committed.txt").repartition(spark.sparkContext.defaultParallelism * 4, "value")
         done.mapInArrow(_move(stage, folder), "n bigint").agg(F.sum("n")).collect()
     finally:
@@ -179,8 +229,19 @@ def save_pages(pages: DataFrame, folder: str, path_col: str = "path", html_col:
 
 def save_page_blocks(blocks: DataFrame, folder: str) -> None:
     """As ``save_pages``, for pages in blocks: path, place and html. A page's blocks are written one behind the other in order of place, as they come, so neither a row nor a task holds a whole page."""
-    rows = blocks.where("path is not null and html is not null").repartition("path").sortWithinPartitions("path", "place").select("path", "html")
-    _commit(rows, folder)
+    _commit(_in_order(blocks), folder)
+
+
+def save_packed_blocks(blocks: DataFrame, folder: str) -> None:
+    """As ``save_page_blocks``, into zip archives below a folder that holds nothing yet: pages number too many where each takes a block of the disk and a place in a directory. ``pages.packed`` reads them."""
+    fs, p = file_system(blocks.sparkSession, folder)
+    if fs.exists(p) and fs.listStatus(p):
+        raise FileExistsError(f"{folder} isn't empty")
+    _commit(_in_order(blocks), folder, True)
+
+
+def _in_order(blocks: DataFrame) -> DataFrame:
+    return blocks.where("path is not null and html is not null").repartition("path").sortWithinPartitions("path", "place").select("path", "html")
 
 
 def stale(old: DataFrame, new: DataFrame, path_col: str = "path") -> DataFrame:
