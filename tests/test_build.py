@@ -318,6 +318,15 @@ def test_explicit_files_and_feed(spark, corpus):
         pages.feed(spark, f"{corpus}/feeds/*/*.xml", years=(1990, 1990))
 
 
+def test_small_files_are_read_by_few_tasks(spark, tmp_path):
+    (tmp_path / "deep").mkdir()
+    for n in range(1000):
+        (tmp_path / ("deep" if n % 2 else "") / f"{n}.html").write_text(str(n))
+    read = pages.scan(spark, str(tmp_path))
+    assert read.rdd.getNumPartitions() <= 4 * spark.sparkContext.defaultParallelism  # 32 otherwise, by so many files each
+    assert sorted((r.filename, bytes(r.content)) for r in read.collect()) == sorted((f"{n}.html", str(n).encode()) for n in range(1000))
+
+
 def test_search_of_large_dictionaries_agrees(spark):
     docs = spark.createDataFrame([(1, "abcabd xbc"), (2, ""), (3, None), (4, "bcd")], "id long, t string")
     keys = spark.createDataFrame([("ab", 1), ("abc", 2), ("bc", 3), ("bc", 4), ("bcd", 5)], "k string, v long")

@@ -120,7 +120,8 @@ def run(
             clean = keep("pages", source.analyse(source.scan(spark, *paths)))
             good = clean.where("error is null").select("path", "filename", "value.*")
             near = distance.nearest(good, "court_name", [n for _, n in courts], nearest_col="court")
-            near = near.join(known.select(F.col("name").alias("court"), "short", "category"), "court")
+            # read once for what is kept and once for each kind of error
+            near = save(near.join(known.select(F.col("name").alias("court"), "short", "category"), "court"), "near")
             nameless = near.where("category is null").select("path", F.lit("no category has this court").alias("message"))
             near = near.where("category is not null")
             # a judgment is known by its file's name and by its source, wherever the file is

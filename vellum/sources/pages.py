@@ -20,6 +20,8 @@ from .shared import PIECE, pieces, thrifty
 from .sinks import file_system
 
 METADATA = "struct<title: string, source_url: string, citations: array<string>, court_name: string, date: date, parties: array<struct<position: int, name: string>>>"
+#: What a task reads of small files, if there are enough of them to go round.
+TASK = 1 << 25
 SCHEMA = f"path string, filename string, page string, value {METADATA}, error string"
 
 
@@ -39,6 +41,9 @@ def scan(spark: SparkSession, *paths: str) -> DataFrame:
     if not parts:
         raise ValueError("no path given")
     rows = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+    # Spark counts each file as 4 MB, so a task would have 32 small ones, and Python's start and end would cost it more than they do
+    size = int(rows._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    rows = rows.coalesce(max(size // TASK, spark.sparkContext.defaultParallelism * 4))
     return rows.select("path", F.element_at(F.split("path", "/"), -1).alias("filename"), "content")
 
 
