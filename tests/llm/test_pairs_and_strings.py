@@ -170,6 +170,59 @@ def test_suffix_order():
     assert common.tolist() == [sd.common_prefix(a, b) for a, b in zip(got, got[1:], strict=False)]
 
 
+@pytest.mark.parametrize("few", [0, 64])
+@pytest.mark.parametrize("n", [2, 3, 7, 30])
+def test_covers_of_a_gram_are_compared_alike_in_either_way(monkeypatch, few, n):
+    monkeypatch.setattr(sd, "FEW", few)
+    rng = np.random.default_rng(n)
+    for _ in range(20):
+        low, window = rng.integers(0, 8, n), 24
+        high = low + rng.integers(0, 8, n)
+        fronts = [bytes(rng.choice([97, 98], h, p=[0.9, 0.1]).astype(np.uint8)) for h in high]
+        suffixes = [b"gram" + bytes(rng.choice([97, 98], window - 4 - x, p=[0.9, 0.1]).astype(np.uint8)) for x in low]
+        strings = [{q: f[:q] + b"|" + s[: window - q] for q in range(x, y + 1)} for f, s, x, y in zip(fronts, suffixes, low, high, strict=True)]
+        want = [{q for q in mine if any(other.get(q) == mine[q] for k, other in enumerate(strings) if k != i)} for i, mine in enumerate(strings)]
+        got = sd.repeats(suffixes, fronts, low, high, np.ones(n, np.int64), window)
+        assert [{q for a, b in r for q in range(a, b + 1)} for r in got] == want
+        assert all(b < c for r in got for (_, b), (c, _) in zip(r, r[1:], strict=False))
+
+
+def test_more_suffixes_get_more_buckets_and_no_larger_ones(spark):
+    def sizes(n):
+        rows = spark.range(n).select(F.concat(F.sha2(F.floor(F.col("id") / 3).cast("string"), 256), F.col("id").cast("string")).cast("binary").alias("suffix"))
+        found = sd.in_buckets(rows, 64, 100).select(F.spark_partition_id().alias("p"), F.substring("suffix", 1, 64).alias("head"), "suffix").collect()
+        parts = {}
+        for r in found:
+            parts.setdefault(r.p, []).append(bytes(r.suffix))
+        assert sorted(x for p in parts.values() for x in p) == sorted(bytes(r.suffix) for r in rows.collect())
+        assert all([x[:64] for x in p] == sorted(x[:64] for x in p) for p in parts.values())
+        assert len({(r.p, bytes(r.head)) for r in found}) == len({bytes(r.head) for r in found})
+        return sorted(map(len, parts.values()))
+
+    small, large = sizes(900), sizes(9000)
+    assert len(large) > 5 * len(small)
+    assert large[-1] < 300
+
+
+def test_small_buckets_and_many_distances_give_what_all_windows_give(spark, monkeypatch):
+    monkeypatch.setattr(sd, "FEW", 3)
+    rng = random.Random(4)
+    passages = [" ".join(words(rng, 30)) for _ in range(12)]
+    texts = [" ".join([*words(rng, rng.randint(0, 6)), (p := rng.choice(passages))[rng.randint(0, 30) : len(p) - rng.randint(0, 30)], *words(rng, rng.randint(0, 6))]) for _ in range(60)]
+    got = sorted(map(tuple, sd.dedup(spark, frame(spark, texts), window=60, gram=16, bucket=2).collect()))
+    assert got == sorted((i, *e) for i, e in enumerate(covered(texts, 60)))
+    assert any(x[2] for x in got)
+
+
+def test_suffixes_equal_for_long_are_sorted_without_a_step_for_each_word(monkeypatch):
+    steps = []
+    sort = np.sort
+    monkeypatch.setattr(sd.np, "sort", lambda *a, **k: steps.append(1) or sort(*a, **k))
+    strings = [b"x" * 390 + bytes([c]) * 10 for c in (99, 97, 98)]
+    assert sd.suffix_array(strings)[0].tolist() == [1, 2, 0]
+    assert len(steps) < 6
+
+
 def test_dedup_of_nothing_and_texts(spark):
     assert sd.dedup(spark, frame(spark, ["a"]).limit(0)).count() == 0
     r = sd.dedup(spark, frame(spark, ["ab" * 300]), texts=True).first()
