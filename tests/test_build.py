@@ -163,6 +163,97 @@ def test_judgment_pages_are_not_a_file_each(spark):
     assert fs.getContentSummary(p).getFileCount() <= 32
 
 
+def test_pages_in_streams(spark, tmp_path):
+    out = f"file://{tmp_path}/streams"
+    long = spark.range(25000).select(F.lit("/deep/é x.html").alias("path"), (-F.col("id")).alias("n"), F.concat("id", F.lit("é\n")).alias("html"))
+    many = spark.range(3000).select(F.concat(F.lit("/j/"), "id", F.lit(".html")).alias("path"), F.explode(F.array(*[F.lit(x).cast("bigint") for x in (1, 0)])).alias("n"), F.when(F.col("id") > 9, F.col("id").cast("string")).otherwise("").alias("html"))
+    none = many.limit(2).withColumn("path", F.lit(None).cast("string")).unionByName(many.limit(2).withColumn("html", F.lit(None).cast("string")))
+    rows = many.where("html <> ''").withColumn("html", F.concat("n", F.lit(":"), "html", F.lit("|"))).unionByName(many.where("html = ''")).unionByName(long).unionByName(none).repartition(3, "path").sortWithinPartitions("path", "n")
+    want = {f"/j/{i}.html": f"0:{i}|1:{i}|" if i > 9 else "" for i in range(3000)} | {"/deep/é x.html": "".join(f"{i}é\n" for i in range(24999, -1, -1))}
+    sinks.save_streams(rows, out)
+    got = pages.streamed(spark, out).collect()
+    assert len(got) == 3001 and {r.path: bytes(r.content).decode() for r in got} == want and {r.filename for r in got} == {x.rpartition("/")[2] for x in want}
+    assert 0 < len([p for p in tmp_path.rglob("*") if p.suffix == ".arrows"]) <= 3
+    with pytest.raises(FileExistsError):
+        sinks.save_streams(rows, out)
+    broken = rows.withColumn("html", F.when(F.col("path") == "/j/1500.html", F.raise_error(F.lit("no"))).otherwise(F.col("html")))
+    with pytest.raises(Exception, match="no"):
+        sinks.save_streams(broken, f"{out}2")
+    assert not list(tmp_path.glob("streams2*"))
+    # many pages of one kind take less than half of what entries of an archive do
+    alike = spark.range(2000).select(F.concat(F.lit("/j/"), "id").alias("path"), F.struct(F.lit(0).alias("section")).alias("place"), F.concat(F.lit("<p>" + "a page like others, " * 5), "id").alias("html"))
+    sinks.save_packed_blocks(alike, f"{out}3")
+    sinks.save_streams(alike.repartition(3), f"{out}4")
+    size = lambda x: sum(p.stat().st_size for p in (tmp_path / x).rglob("*.*") if p.suffix in (".zip", ".arrows"))
+    assert size("streams4") * 2 < size("streams3")
+
+
+def test_streams_end_and_go_on(tmp_path, monkeypatch):
+    import pyarrow as pa
+
+    monkeypatch.setattr(sinks, "TaskContext", type("T", (), {"get": staticmethod(lambda: type("C", (), {"partitionId": lambda s: 1, "taskAttemptId": lambda s: 2})())}))
+    rows = [("p", "abc"), ("p", "def"), ("q", ""), ("r", "é"), ("r", "r"), ("r", "s"), ("s", "x"), ("t", "")]
+    for name, pages_, bytes_, step, ends in (("a", 2, 1 << 20, 1, [2, 2, 1]), ("b", 99, 1, 1, [1] * 5), ("c", 99, 1 << 20, 3, [5]), ("d", 1, 1 << 20, 2, [1, 2, 2])):
+        monkeypatch.setattr(sinks, "PACK_PAGES", pages_)
+        monkeypatch.setattr(sinks, "PACK_BYTES", bytes_)
+        # rows before and after a batch's own are no part of it
+        whole = pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*rows, strict=True)], ["path", "html"])
+        batches = [whole.slice(i, step) for i in range(0, len(rows), step)] + [whole.slice(0, 0)]
+        assert sinks._StreamWriter(f"file://{tmp_path}/{name}").write(iter(batches)).n == 5
+        found = []
+        for f in (tmp_path / name).rglob("*.arrows"):
+            with pa.ipc.open_stream(f.read_bytes()) as stream:
+                found.append([r for b in pages._whole(stream) for r in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True)])
+        assert sorted(map(len, found)) == sorted(ends)
+        assert sorted((p, c.decode()) for x in found for p, c in x) == [("p", "abcdef"), ("q", ""), ("r", "érs"), ("s", "x"), ("t", "")]
+
+
+def test_judgment_pages_leave_nothing_shuffled(spark):
+    """What was shuffled for pages that are written is gone, and not on disk until the driver ends."""
+    import time
+
+    from vellum import catalog
+
+    files = lambda: {f.getName() for f in _list(disks.getAllFiles()) if f.getName().startswith("shuffle_")}
+    disks = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    _list = lambda xs: [xs.apply(i) for i in range(xs.size())]
+    before = files()
+    pages_ = catalog.QUERIES["judgment_page_blocks"](spark, "/root/testdata/sf0.001")
+    left, until = files() - before, time.monotonic() + 20
+    while left and time.monotonic() < until:
+        time.sleep(0.5)
+        left = files() - before
+    assert not left
+    assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled") == "false"
+    assert pages_.count() > 100
+
+
+def test_judgment_pages_in_rounds(spark, tmp_path):
+    from vellum.plans import archives
+
+    j = spark.range(40).select(F.col("id").alias("judgmentid"), F.concat(F.lit("T<"), "id").alias("title"), F.expr("date_add(DATE'2001-01-20', CAST(id % 30 AS INT))").alias("date"), F.concat(F.lit("C"), F.col("id") % 3).alias("court"))
+    j = j.withColumn("court_url", F.concat(F.lit("/c/"), "court", F.lit("/"))).withColumn("body", F.when(F.col("judgmentid") > 3, "<p>b</p>"))
+    bridge = j.where("judgmentid > 5").select("judgmentid", F.explode(F.array(F.lit("y"), F.lit("x"))).alias("citationcode"))
+    # judgments that others cite twice, and ids of no judgment on either side
+    edges = j.where("judgmentid > 10").select("judgmentid", F.explode(F.array(F.col("judgmentid") % 4, F.lit(2).cast("bigint"), F.lit(77).cast("bigint"))).alias("id")).unionByName(spark.createDataFrame([(99, 1), (99, 98)], "judgmentid long, id long"))
+    url = lambda x: F.concat(F.lit("/j/"), x.cast("string"))
+    known = j.select(F.col("judgmentid").alias("id"), "date", "title", url(F.col("judgmentid")).alias("url"))
+
+    def lists(pairs, name):
+        return pairs.join(known, "id").groupBy("judgmentid").agg(F.sort_array(F.collect_list(F.struct("date", "id", "title", "url"))).alias(name))
+
+    back = edges.select(F.col("id").alias("judgmentid"), F.col("judgmentid").alias("id"))
+    want = sorted(map(tuple, render.judgment_pages(j.withColumn("url", url(F.col("judgmentid"))), tables.codes_of(bridge), lists(edges, "outgoing"), lists(back, "incoming")).collect()))
+    assert "Cases cited" in want[5][1] and len(want) == 40
+    for most, n in ((10**9, 1), (50, -(-(2 * edges.count() + 40) // 50))):
+        out = f"file://{tmp_path}/{most}"
+        assert archives.save_judgments(j, bridge, edges, out, url, most) == n
+        assert sorted((r.path, bytes(r.content).decode()) for r in pages.streamed(spark, out).collect()) == want
+        assert len({p.parent for p in tmp_path.rglob("*.arrows") if f"/{most}/" in str(p)}) == n
+    assert archives.save_judgments(j.limit(0), bridge, edges, f"file://{tmp_path}/none", url) == 1
+    assert pages.streamed(spark, f"file://{tmp_path}/none").count() == 0
+
+
 def test_versions(spark, tmp_path):
     live, stage = f"file://{tmp_path}/live", f"file://{tmp_path}/stage"
     row = lambda x: spark.createDataFrame([("a.html", x)], "path string, html string")

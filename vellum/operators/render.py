@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions import decode, html
@@ -84,6 +85,31 @@ def _list_blocks(items: DataFrame, section: int, heading: str) -> DataFrame:
     return first.unionByName(_blocks(items, F.col("path"), section + 1, _item(F.col("url"), label), F.unix_date("date"), F.col("id"))).unionByName(_blocks(some, F.col("path"), section + 2, F.lit("</ul>\n")))
 
 
+def judgment_rows(judgments: DataFrame, codes: DataFrame, items: DataFrame, others: DataFrame, url: Callable[[Column], Column]) -> DataFrame:
+    """The pages of ``judgment_pages`` in blocks, path and html, all of a page in one task and in order. What moves to a page's task is a row for each item, without markup: it is rendered there, and a list begins and ends where the section of rows does.
+    items: judgmentid (whose page it stands on), section (1: cited there, 2: citing), id; those on pages of no judgment are left out. others: judgmentid, date, title of ids. url: of an id. No row and no task holds a whole page."""
+    top = judgments.join(codes, "judgmentid", "left").select("judgmentid", F.lit(0).alias("section"), F.lit(None).cast("bigint").alias("id"), "date", "title", "codes", "court", "court_url", "body")
+    none = {c: F.lit(None).cast("string") for c in ("codes", "court", "court_url", "body")}
+    items = items.join(others.select(F.col("judgmentid").alias("id"), "date", "title"), "id").withColumns(none)
+    w = W.partitionBy("judgmentid").orderBy("section", F.unix_date("date"), "id")
+    begins = F.lag("section").over(w) != F.col("section")
+    after = F.lead("section").over(w)
+    # the row of the page itself comes first
+    owned = F.first("section").over(w.rowsBetween(W.unboundedPreceding, W.currentRow)) == 0
+    rows = top.unionByName(items).withColumns({"begins": begins, "after": after, "owned": owned}).where("owned")
+    date = F.col("date").cast("string")
+    head = F.concat(F.lit("<h1>"), escaped(F.col("title")), F.lit("</h1>\n<p>"), date, F.lit(" "), escaped(F.coalesce("codes", F.lit(""))), F.lit("</p>\n<p>"), anchor(F.col("court_url"), F.col("court")), F.lit("</p>\n"))
+    page_ = F.concat(_opening(F.col("title")), head, F.coalesce("body", F.lit("")))
+    item = _item(url(F.col("id")), F.concat("title", F.lit(" ("), date, F.lit(")")))
+    listed = F.concat(
+        F.when(F.col("begins"), F.concat(F.lit("<h2>"), F.when(F.col("section") == 1, "Cases cited").otherwise("Cited by"), F.lit("</h2>\n<ul>\n"))).otherwise(""),
+        F.coalesce(item, F.lit("")),
+        F.when(F.col("after") == F.col("section"), "").otherwise("</ul>\n"),
+    )
+    html_ = F.concat(F.when(F.col("section") == 0, F.coalesce(page_, F.lit(""))).otherwise(listed), F.when(F.col("after").isNull(), _FOOT).otherwise(""))
+    return rows.select(url(F.col("judgmentid")).alias("path"), html_.alias("html"))
+
+
 def judgment_blocks(judgments: DataFrame, codes: DataFrame, outgoing: DataFrame, incoming: DataFrame) -> DataFrame:
     """The pages of ``judgment_pages`` in blocks: path, place, html. The two lists have a row for each item: path of the page that it stands on, date, id, title, url; so a judgment that very many cite is no row of its own."""
     head = F.concat(F.lit("<h1>"), escaped(F.col("title")), F.lit("</h1>\n<p>"), F.col("date").cast("string"), F.lit(" "), escaped(F.coalesce("codes", F.lit(""))), F.lit("</p>\n<p>"), anchor(F.col("court_url"), F.col("court")), F.lit("</p>\n"))

@@ -84,6 +84,46 @@ def _packed(paths: list[str], contents: list[bytes]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(paths, pa.string()), pa.array(contents, pa.binary())], ["path", "content"])
 
 
+def streamed(spark: SparkSession, folder: str) -> DataFrame:
+    """path (as it was given), filename and content of all pages in the streams below a folder (``sinks.save_streams``)."""
+    hadoop, p = file_system(spark, folder)
+    top = hadoop.makeQualified(p).toString().rstrip("/")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import pyarrow.fs as pafs
+
+        # as in sinks.purge: only the folder is read as an address
+        fs, root = pafs.FileSystem.from_uri(folder.rstrip("/"))
+        for b in batches:
+            for address in b.column(0).to_pylist():
+                with fs.open_input_stream(root + address[len(top) :]) as raw, pa.ipc.open_stream(raw) as stream:
+                    yield from _whole(stream)
+
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.arrows").load(folder)
+    rows = files.select("path").mapInArrow(thrifty(run), "path string, content binary")
+    return rows.select("path", F.element_at(F.split("path", "/"), -1).alias("filename"), "content")
+
+
+def _whole(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Pages of a stream, a row each: only the last row of a batch may go on in the next one."""
+    path, parts = None, []
+    for b in stream:
+        paths, html = b.column(0).cast(pa.string()), b.column(1).cast(pa.large_binary())
+        if path is not None and paths[0].as_py() == path:
+            parts.append(html[0].as_py())
+            paths, html = paths.slice(1), html.slice(1)
+        if len(paths):
+            if path is not None:
+                yield _packed([path], [b"".join(parts)])
+            path, parts = paths[-1].as_py(), [html[-1].as_py()]
+            # cut by bytes, since the streams' batches are as long as their pages
+            rest = pa.RecordBatch.from_arrays([paths.slice(0, len(paths) - 1), html.slice(0, len(html) - 1)], ["path", "content"])
+            for x in pieces(iter([rest]), 1):
+                yield pa.RecordBatch.from_arrays([x.column(0), x.column(1).cast(pa.binary())], ["path", "content"])
+    if path is not None:
+        yield _packed([path], [b"".join(parts)])
+
+
 def metadata(page: str) -> dict:
     """What a clean page says about itself. Any part that is missing is a ConversionError."""
     tree = html.Index(html.parse(page))

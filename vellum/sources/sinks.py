@@ -9,11 +9,13 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 from datetime import datetime
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.datasource import DataSource, DataSourceWriter, WriterCommitMessage
+from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, DataSourceWriter, WriterCommitMessage
 
 #: How many buckets a table by key has.
 BUCKETS = 64
@@ -88,7 +90,7 @@ class PageSink(DataSource):
         return "vellum_pages"
 
     def writer(self, schema, overwrite: bool) -> DataSourceWriter:
-        return (_PackWriter if self.options.get("packed") == "true" else _PageWriter)(self.options["path"])
+        return {"files": _PageWriter, "zip": _PackWriter, "arrows": _StreamWriter}[self.options.get("form", "files")](self.options["path"])
 
 
 class _PageWriter(DataSourceWriter):
@@ -176,6 +178,53 @@ class _PackWriter(_PageWriter):
         return _Written(mine, n)
 
 
+class _StreamWriter(_PageWriter, DataSourceArrowWriter):
+    """The same into Arrow streams (path, html), in which a page is a row, or several that follow each other. Streams are compressed across pages, and no page costs Python anything."""
+
+    def write(self, iterator: Iterator[pa.RecordBatch]) -> WriterCommitMessage:
+        import pyarrow.fs as pafs
+
+        t = TaskContext.get()
+        mine = f"{t.partitionId()}-{t.taskAttemptId()}"
+        fs, root = pafs.FileSystem.from_uri(self.folder)
+        fs.create_dir(f"{root}/{mine}", recursive=True)
+        options = pa.ipc.IpcWriteOptions(compression="zstd")
+        now, raw, out, n, held, size = None, None, None, 0, 0, 0
+        try:
+            for b in iterator:
+                b = _one_row_each(b)
+                while b.num_rows:
+                    goes_on = b.column(0)[0].as_py() == now
+                    full = out and (held >= PACK_PAGES or size >= PACK_BYTES)
+                    if full and not goes_on:
+                        out.close()
+                        raw.close()
+                        out = None
+                    if not out:
+                        raw = fs.open_output_stream(f"{root}/{mine}/{uuid.uuid4().hex}.arrows")
+                        out, held, size = pa.ipc.new_stream(raw, b.schema, options=options), 0, 0
+                    # a full stream takes the rest of its last page and no more
+                    part = b.slice(0, 1) if full and goes_on else b
+                    out.write_batch(part)
+                    now, held, size, n = part.column(0)[-1].as_py(), held + part.num_rows - goes_on, size + part.nbytes, n + part.num_rows - goes_on
+                    b = b.slice(part.num_rows)
+        finally:
+            for x in (out, raw):
+                if x:
+                    x.close()
+        return _Written(mine, n)
+
+
+def _one_row_each(b: pa.RecordBatch) -> pa.RecordBatch:
+    """Rows (path, html), neither null, with those that follow each other with one path as one row. Their texts lie one behind the other as they are."""
+    path, html = b.column(0).cast(pa.large_string()), b.column(1).cast(pa.large_string())
+    if len(path):
+        first = np.flatnonzero(np.r_[True, pc.not_equal(path.slice(1), path.slice(0, len(path) - 1)).to_numpy(zero_copy_only=False)])
+        at = np.frombuffer(html.buffers()[1], np.int64)[html.offset : html.offset + len(html) + 1]
+        path, html = path.take(pa.array(first)), pa.LargeStringArray.from_buffers(len(first), pa.py_buffer(at[np.r_[first, len(html)]]), html.buffers()[2])
+    return pa.RecordBatch.from_arrays([path, html], ["path", "html"])
+
+
 class _Forward:
     """A stream that is only written forward, as a zip archive may be."""
 
@@ -209,12 +258,12 @@ def _move(stage: str, folder: str):
     return run
 
 
-def _commit(rows: DataFrame, folder: str, packed: bool = False) -> None:
+def _commit(rows: DataFrame, folder: str, form: str = "files") -> None:
     spark, folder = rows.sparkSession, folder.rstrip("/")
     stage = f"{folder}.{uuid.uuid4().hex}.part"
     spark.dataSource.register(PageSink)
     try:
-        rows.write.format("vellum_pages").option("packed", str(packed).lower()).mode("append").save(stage)
+        rows.write.format("vellum_pages").option("form", form).mode("append").save(stage)
         done = spark.read.text(f"{stage}/committed.txt").repartition(spark.sparkContext.defaultParallelism * 4, "value")
         done.mapInArrow(_move(stage, folder), "n bigint").agg(F.sum("n")).collect()
     finally:
@@ -237,7 +286,16 @@ def save_packed_blocks(blocks: DataFrame, folder: str) -> None:
     fs, p = file_system(blocks.sparkSession, folder)
     if fs.exists(p) and fs.listStatus(p):
         raise FileExistsError(f"{folder} isn't empty")
-    _commit(_in_order(blocks), folder, True)
+    _commit(_in_order(blocks), folder, "zip")
+
+
+def save_streams(rows: DataFrame, folder: str) -> None:
+    """As ``save_packed_blocks``, for rows (path, html) that are in order already: all blocks of a page in one task, one behind the other. They go into Arrow streams, which are compressed across pages, so many small pages take less of the disk than an
+    archive's entries do. ``pages.streamed`` reads them."""
+    fs, p = file_system(rows.sparkSession, folder)
+    if fs.exists(p) and fs.listStatus(p):
+        raise FileExistsError(f"{folder} isn't empty")
+    _commit(rows.select("path", "html").where("path is not null and html is not null"), folder, "arrows")
 
 
 def _in_order(blocks: DataFrame) -> DataFrame:
